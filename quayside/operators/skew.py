@@ -1,0 +1,84 @@
+"""Semi and anti joins that stay balanced when one key holds much of the table."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+SALTS = 64
+HOT_SHARE = 0.01
+SAMPLE = 0.01
+_SALT = "__salt"
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of a frame as the optimizer estimates it."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """True when the estimate is below the session's own broadcast limit."""
+    spark = df.sparkSession
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return estimated_bytes(df) <= limit
+
+
+def frequent_keys(
+    df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, fraction: float = SAMPLE
+) -> list[tuple]:
+    """Keys holding at least ``share`` of the sampled rows.
+
+    There can be at most ``1 / share`` of them, so the list is small whatever the
+    table holds. It only steers how rows are spread; no result depends on it.
+    """
+    sample = df.select(*keys) if fraction >= 1 else df.select(*keys).sample(fraction, seed=11)
+    counted = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    top = counted.orderBy(F.col("__n").desc()).limit(int(1 / share))
+    total = counted.agg(F.sum("__n").alias("t")).first().t or 0
+    return [tuple(r[k] for k in keys) for r in top.collect() if r["__n"] >= max(share * total, 2)]
+
+
+def filter_join(
+    df: DataFrame,
+    matches: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    salts: int = SALTS,
+    fraction: float = SAMPLE,
+) -> DataFrame:
+    """``left_semi`` or ``left_anti`` join of ``df`` with the keys found in ``matches``.
+
+    The match side is cut to distinct keys before it is shuffled. When it is small
+    Spark broadcasts it and ``df`` does not move. Otherwise the rows of a frequent
+    key, and rows with a null key, are dealt over ``salts`` partitions, with only
+    those few match keys repeated.
+    """
+    if how not in ("left_semi", "left_anti"):
+        raise ValueError(f"not a filtering join: {how}")
+    keys = list(keys)
+    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    distinct = matches.select(*keys).where(present).distinct()
+    rows = df.where(present) if how == "left_semi" else df
+    if fits_broadcast(distinct):
+        return rows.join(distinct, keys, how)
+    hot = _is_one_of(keys, frequent_keys(rows.where(present), keys, fraction=fraction))
+    spread = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    salted = rows.withColumn(_SALT, F.when(hot | ~present, spread).otherwise(F.lit(0)))
+    copies = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = distinct.withColumn(_SALT, F.explode(copies))
+    return salted.join(repeated, [*keys, _SALT], how).select(*df.columns)
+
+
+def _is_one_of(keys: Sequence[str], values: list[tuple]) -> Column:
+    if not values:
+        return F.lit(False)
+    if len(keys) == 1:
+        return F.coalesce(F.col(keys[0]).isin([v[0] for v in values]), F.lit(False))
+    rows = [
+        reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(x)) for k, x in zip(keys, v)])
+        for v in values
+    ]
+    return reduce(lambda a, b: a | b, rows)
