@@ -16,7 +16,7 @@ _SALT = "__salt"
 
 def estimated_bytes(df: DataFrame) -> int:
     """Size of a frame as the optimizer estimates it."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def fits_broadcast(df: DataFrame) -> bool:

@@ -37,14 +37,23 @@ def hours_between(start: dt.datetime, end: dt.datetime) -> list[str]:
 
 
 def hour_paths(spark: SparkSession, root: str, start: dt.datetime, end: dt.datetime) -> list[str]:
-    """Existing hour folders of a range: one listing per day, never a full crawl."""
-    hours = hours_between(start, end)
-    wanted = set(hours)
+    """Existing folders of a range: a day that is wanted whole is one folder.
+
+    Days are found by one listing per month and hours by one per cut day, so the
+    tree is never crawled.
+    """
+    hours: dict[str, set[str]] = {}
+    for hour in hours_between(start, end):
+        hours.setdefault(hour[:10], set()).add(hour[11:])
     paths = []
-    for day in sorted({hour[:10] for hour in hours}):
-        for path in workspace.glob(spark, f"{root}/{day}/*"):
-            if f"{day}/{path.rsplit('/', 1)[1]}" in wanted:
-                paths.append(path)
+    for month in sorted({day[:7] for day in hours}):
+        for day_path in workspace.glob(spark, f"{root}/{month}/*"):
+            wanted = hours.get(f"{month}/{day_path.rsplit('/', 1)[1]}", set())
+            if len(wanted) == 24:
+                paths.append(day_path)
+            elif wanted:
+                found = workspace.glob(spark, f"{day_path}/*")
+                paths += [path for path in found if path.rsplit("/", 1)[1] in wanted]
     return paths
 
 
@@ -83,7 +92,7 @@ def read_hive_hours(
     return spark.read.schema(schema).json(root).where(F.col("datehour").between(first, last))
 
 
-def stream_records(spark: SparkSession, path: str, max_bytes: str | None = None) -> DataFrame:
+def stream_records(spark: SparkSession, path: str, max_bytes: int | None = None) -> DataFrame:
     """Stream of base64 records; ``max_bytes`` caps one micro-batch."""
     reader = spark.readStream.schema(as_schema(RECORD_SCHEMA))
     if max_bytes:

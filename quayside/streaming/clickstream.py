@@ -16,7 +16,7 @@ from quayside.streaming.jobs import start
 
 # Flush interval and size of the delivery, and the record results.
 FLUSH_INTERVAL = "60 seconds"
-FLUSH_BYTES = "1m"
+FLUSH_BYTES = 1_048_576
 OK = "Ok"
 FAILED = "ProcessingFailed"
 FAILED_PREFIX = "processing-failed/"
@@ -62,9 +62,11 @@ def write_hour_folders(batch: DataFrame, batch_id: int, root: str) -> None:
     spark = batch.sparkSession
     staging = f"{root}/_staging/batch-{batch_id:08d}"
     batch.write.mode("overwrite").partitionBy("datehour").text(staging)
-    for path in workspace.children(spark, staging):
-        hour = unquote(path.rsplit("datehour=", 1)[1])
-        workspace.move(spark, path, f"{root}/{hour}/batch-{batch_id:08d}")
+    moves = {
+        path: f"{root}/{unquote(path.rsplit('datehour=', 1)[1])}/batch-{batch_id:08d}"
+        for path in workspace.children(spark, staging)
+    }
+    workspace.move_all(spark, moves)
     workspace.delete(spark, staging)
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -38,7 +39,7 @@ def _path(spark: SparkSession, path: str):
 
 
 def _fs(spark: SparkSession, path: str):
-    return _path(spark, path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -69,11 +70,18 @@ def delete(spark: SparkSession, path: str) -> bool:
     return _fs(spark, path).delete(_path(spark, path), True)
 
 
-def move(spark: SparkSession, source: str, target: str) -> None:
-    """Rename ``source`` to ``target``, replacing what a failed attempt left there."""
-    fs = _fs(spark, source)
-    if fs.exists(_path(spark, target)):
-        fs.delete(_path(spark, target), True)
-    fs.mkdirs(_path(spark, target).getParent())
-    if not fs.rename(_path(spark, source), _path(spark, target)):
-        raise OSError(f"could not move {source} to {target}")
+def move_all(spark: SparkSession, moves: dict[str, str], at_once: int = 8) -> None:
+    """Rename each source to its target, replacing what a failed attempt left there."""
+    if not moves:
+        return
+    fs = _fs(spark, next(iter(moves)))
+
+    def move(pair: tuple[str, str]) -> None:
+        old, new = (_path(spark, path) for path in pair)
+        fs.mkdirs(new.getParent())
+        fs.delete(new, True)
+        if not fs.rename(old, new):
+            raise OSError(f"could not move {pair[0]} to {pair[1]}")
+
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        list(pool.map(move, moves.items()))
