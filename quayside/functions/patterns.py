@@ -14,13 +14,17 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Entity:
-    """A kind of personal data, found by its text or by the column's name."""
+    """A kind of personal data, found by its text or by the column's name.
+
+    ``needs`` is a piece of text every match holds; cells without it skip the pattern.
+    """
 
     name: str
     category: str
     pattern: str
     by_column_name: bool = False
     luhn: bool = False
+    needs: str = ""
 
     @property
     def tag(self) -> str:
@@ -46,7 +50,7 @@ MBI = (
 
 # Entities of each detection category.
 ENTITIES = (
-    Entity("email", "universal", EMAIL),
+    Entity("email", "universal", EMAIL, needs="@"),
     Entity("card_number", "universal", CARD, luhn=True),
     Entity("person_name", "universal", PERSON_NAME_COLUMN, by_column_name=True),
     Entity("ip_v4", "networking", IPV4),
@@ -91,4 +95,7 @@ def has_entity(text: Column, entity: Entity) -> Column:
     """True when the text holds the entity; null for null text."""
     if entity.by_column_name:
         raise ValueError(f"{entity.name} is found by column name")
-    return F.size(card_numbers(text)) > 0 if entity.luhn else text.rlike(entity.pattern)
+    if entity.luhn:
+        return F.size(card_numbers(text)) > 0
+    found = text.rlike(entity.pattern)
+    return F.contains(text, F.lit(entity.needs)) & found if entity.needs else found

@@ -10,8 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions.patterns import CATEGORIES, ENTITIES, Entity, card_numbers, has_entity
+from quayside.operators.spread import fill_cores
 
 THRESHOLD = 0.1
+REPORT_SCHEMA = (
+    "column_name string, category string, entity string, matched bigint, non_null bigint, "
+    "rate double, flagged boolean"
+)
 
 
 def entities_of(
@@ -69,7 +74,10 @@ def column_report(
                     F.col(f"n{i}").alias("non_null"),
                 )
             )
-    counted = df.agg(*totals, *hits)
+    cells = df.select(*[F.col(f"`{c}`") for c in columns])
+    if not rows:
+        return df.sparkSession.createDataFrame([], REPORT_SCHEMA)
+    counted = fill_cores(cells).agg(*totals, *hits)
     report = counted.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
     rate = F.when(F.col("non_null") > 0, F.col("matched") / F.col("non_null")).otherwise(F.lit(0.0))
     return report.withColumn("rate", rate).withColumn(
@@ -96,7 +104,10 @@ def mask(text: Column, entities: Iterable[Entity]) -> Column:
         if entity.luhn:
             masked = _mask_cards(masked, entity)
         else:
-            masked = F.regexp_replace(masked, entity.pattern, F.lit(re.escape(entity.tag)))
+            replaced = F.regexp_replace(masked, entity.pattern, re.escape(entity.tag))
+            if entity.needs:
+                replaced = F.when(F.contains(masked, F.lit(entity.needs)), replaced).otherwise(masked)
+            masked = replaced
     return masked
 
 
@@ -111,7 +122,7 @@ def _mask_cards(text: Column, entity: Entity) -> Column:
 
 
 def mask_columns(df: DataFrame, columns: Sequence[str], entities: Sequence[Entity]) -> DataFrame:
-    return df.withColumns({c: mask(F.col(f"`{c}`"), entities) for c in columns})
+    return fill_cores(df).withColumns({c: mask(F.col(f"`{c}`"), entities) for c in columns})
 
 
 def hash_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -135,7 +146,7 @@ def holds_personal_data(columns: Sequence[str], entities: Sequence[Entity]) -> C
 def zoned(df: DataFrame, columns: Sequence[str], entities: Sequence[Entity]) -> DataFrame:
     """Mark each row ``quarantine`` or ``clean``."""
     hit = holds_personal_data(columns, entities)
-    return df.withColumn("zone", F.when(hit, "quarantine").otherwise("clean"))
+    return fill_cores(df).withColumn("zone", F.when(hit, "quarantine").otherwise("clean"))
 
 
 def write_zones(df: DataFrame, path: str) -> None:

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.functions.text import col, fill_template
+from quayside.operators.spread import fill_cores
 
-# Token pattern and the usual BM25 parameters.
-TOKEN = r"[\p{L}\p{N}]+"
+# What separates tokens, and the usual BM25 parameters.
+SEPARATOR = r"[^\p{L}\p{N}]+"
 K1 = 1.2
 B = 0.75
 
@@ -22,26 +23,43 @@ PROMPT = (
     f'If the context does not hold the answer, reply with "{NO_ANSWER}".\n\n'
     "Question: {question}\n\nAnswer:"
 )
-CONTRIBUTION = "decimal(20,8)"
+
+# Scores are added up in units of one hundred-millionth.
+UNITS = 100_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def tokens(text: Column | str) -> Column:
     """Lower-cased runs of letters and digits, in order, repeats kept."""
-    return F.regexp_extract_all(F.lower(col(text)), F.lit(TOKEN), F.lit(0))
+    return F.array_remove(F.split(F.lower(col(text)), SEPARATOR), "")
 
 
 def term_index(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Postings ``(term, doc_id, tf, doc_len)`` over whole texts.
 
-    The length rides along from the token array, so no join brings it back, and
-    the counts combine inside each task before the one shuffle.
+    A document's words are sorted inside its row, and each run of equal words
+    becomes one posting whose length is the count. Nothing is shuffled.
     """
-    parsed = documents.select(F.col(doc_id).alias("doc_id"), tokens(text).alias("tokens"))
-    exploded = parsed.select(
-        "doc_id", F.size("tokens").alias("doc_len"), F.explode("tokens").alias("term")
+    sorted_words = fill_cores(documents.select(doc_id, text)).select(
+        F.col(doc_id).alias("doc_id"), F.sort_array(tokens(text)).alias("words")
+    )
+    last = F.size("words") - 1
+    ends = F.filter(
+        F.sequence(F.lit(0), last),
+        lambda at: F.coalesce(F.get("words", at + 1) != F.get("words", at), F.lit(True)),
     )
-    return exploded.groupBy("term", "doc_id", "doc_len").agg(F.count(F.lit(1)).alias("tf"))
+    # Not a filter: it would be pushed below the exchange and split every text twice.
+    ends = F.when(last >= 0, ends)
+    runs = sorted_words.select("doc_id", "words", ends.alias("ends"))
+    postings = F.transform(
+        "ends",
+        lambda end, n: F.struct(
+            F.get("words", end).alias("term"),
+            (end - F.coalesce(F.get("ends", n - 1), F.lit(-1))).alias("tf"),
+        ),
+    )
+    found = runs.select("doc_id", F.size("words").alias("doc_len"), F.explode(postings).alias("p"))
+    return found.select("p.term", "doc_id", F.col("p.tf").cast("bigint").alias("tf"), "doc_len")
 
 
 def term_stats(index: DataFrame) -> DataFrame:
@@ -78,38 +96,41 @@ def retrieve(
     """The ``k`` best documents of each question: ``(query_id, rank, doc_id, score)``.
 
     Only postings of question terms move, once, to the task that owns their
-    document; the scores are then added up in place. A question's candidates are
-    cut to ``k`` in every task before they meet (WindowGroupLimit). Contributions
-    are decimals, so their sum does not depend on the order of rows, and equal
-    scores rank by document.
+    document. There they meet the question weights, which are sent to every task
+    while their measured size allows, and the scores are added up in place, so a
+    pair of question and document is never shuffled: a question's candidates are
+    cut to ``k`` in every task before they meet (WindowGroupLimit). A common term
+    is spread over its documents and loads no single task.
+
+    Contributions are added as whole numbers, so the sum does not depend on the
+    order of rows, and equal scores rank by document.
     """
     wanted = (
         questions.select(F.col(query_id).alias("query_id"), F.explode(tokens(question)).alias("term"))
         .distinct()
     )
-    terms = wanted.select("term").distinct()
-    frequency = index.postings.join(terms, "term", "left_semi").groupBy("term").agg(
-        F.count(F.lit(1)).alias("df")
-    )
+    size = wanted.agg(F.sum(F.octet_length("term") + 32).alias("bytes")).first().bytes or 0
+    small = F.broadcast if size <= BROADCAST_BYTES else (lambda frame: frame)
+    asked = index.postings.join(small(wanted.select("term").distinct()), "term", "left_semi")
+    frequency = asked.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     rarity = F.log(1 + (F.lit(index.documents) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weights = wanted.join(frequency, "term").select("query_id", "term", rarity.alias("idf"))
-    size = wanted.agg(F.sum(F.octet_length("term") + 32).alias("bytes")).first().bytes or 0
-    if size <= BROADCAST_BYTES:
-        terms, weights = F.broadcast(terms), F.broadcast(weights)
-    by_document = index.postings.join(terms, "term", "left_semi").repartition("doc_id")
+
     length = F.col("doc_len") / F.lit(max(index.average_length, 1e-9))
     saturation = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * length))
-    contribution = (F.col("idf") * saturation).cast(CONTRIBUTION)
+    contribution = F.floor(F.col("idf") * saturation * UNITS + 0.5)
     scores = (
-        by_document.join(weights, "term")
+        asked.repartition("doc_id")
+        .join(small(weights), "term")
         .groupBy("query_id", "doc_id")
         .agg(F.sum(contribution).alias("total"))
     )
     order = Window.partitionBy("query_id").orderBy(F.col("total").desc(), F.col("doc_id"))
+    four_digits = F.floor((F.col("total") + UNITS // 20_000) / (UNITS // 10_000)) / F.lit(10_000.0)
     return (
         scores.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
-        .select("query_id", "rank", "doc_id", F.round(F.col("total").cast("double"), 4).alias("score"))
+        .select("query_id", "rank", "doc_id", four_digits.alias("score"))
     )
 
 

@@ -1,0 +1,29 @@
+"""Deal a small input over the cores."""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import DataFrame
+
+from quayside.operators.skew import estimated_bytes
+
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+
+
+def split_bytes(df: DataFrame) -> int:
+    """The session's size of one input split."""
+    text = df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes").lower()
+    number, unit = re.fullmatch(r"([0-9]+)([a-z]*)", text).groups()
+    return int(number) * _UNITS[unit]
+
+
+def fill_cores(df: DataFrame) -> DataFrame:
+    """Give every core a part of an input too small to be split that far.
+
+    Text work costs far more than reading, so a file that arrives as one split
+    would keep one core busy. Only an input below one split per core is moved;
+    anything larger is already spread by its scan and stays where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if estimated_bytes(df) < cores * split_bytes(df) else df

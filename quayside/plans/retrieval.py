@@ -53,11 +53,13 @@ QUERIES = {
 
 _TOKENS = r"regexp_extract_all(lower({text}), '[\p{{L}}\p{{N}}]+')"
 _INDEX = f"""
-tokenized AS (SELECT doc_id, {_TOKENS.format(text='text')} AS tokens FROM documents),
+tokenized AS (
+  SELECT row_number() OVER () AS document, doc_id, {_TOKENS.format(text='text')} AS tokens FROM documents
+),
 postings AS (
   SELECT term, doc_id, doc_len, count(*) AS tf
-  FROM (SELECT doc_id, len(tokens) AS doc_len, unnest(tokens) AS term FROM tokenized)
-  GROUP BY ALL
+  FROM (SELECT document, doc_id, len(tokens) AS doc_len, unnest(tokens) AS term FROM tokenized)
+  GROUP BY document, term, doc_id, doc_len
 )"""
 _RANKED = f"""
 {_INDEX},
@@ -67,10 +69,10 @@ wanted AS (
   SELECT DISTINCT item_id AS query_id, unnest({_TOKENS.format(text='text')}) AS term FROM benchmark
 ),
 scores AS (
-  SELECT query_id, doc_id, sum(CAST(
+  SELECT query_id, doc_id, sum(CAST(floor(
            ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE))
            * (tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * (doc_len / avg_len))))
-           AS DECIMAL(20, 8))) AS total
+           * 100000000 + 0.5::DOUBLE) AS BIGINT)) AS total
   FROM wanted JOIN postings USING (term) JOIN frequency USING (term), totals
   GROUP BY query_id, doc_id
 ),
@@ -93,7 +95,7 @@ ORACLE = {
         f"WITH {_INDEX} SELECT term, count(*) AS df, sum(tf) AS occurrences FROM postings GROUP BY term"
     ),
     "doc_retrieve_topk": (
-        f"WITH {_RANKED} SELECT query_id, rank, doc_id, round(CAST(total AS DOUBLE), 4) AS score FROM ranked"
+        f"WITH {_RANKED} SELECT query_id, rank, doc_id, floor((total + 5000) / 10000) / 10000.0::DOUBLE AS score FROM ranked"
     ),
     "prompt_assemble": f"""
 WITH {_RANKED},
