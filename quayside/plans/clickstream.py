@@ -89,10 +89,13 @@ SELECT event_type AS element_clicked, CAST(trunc(value) AS INTEGER) AS time_spen
 FROM events"""
 _SIX_HOURS = f"""
 SELECT * FROM ({_CLICKS}) WHERE datehour BETWEEN '2024/01/10/06' AND '2024/01/10/11'"""
-_BODY = f"""
-'{{"element_clicked":"' || event_type || '","time_spent":' || CAST(CAST(trunc(value) AS INTEGER) AS VARCHAR)
-|| ',"source_menu":"menu' || CAST({EVENT_K} AS VARCHAR) || '","created_at":"'
-|| strftime(ts, '%Y-%m-%d %H:%M:%S') || '","not_in_the_table":' || CAST(user_id AS VARCHAR) || '}}'"""
+_BODY = rf"""
+'{{' || concat_ws(',',
+  '"element_clicked":"' || replace(replace(event_type, '\', '\\'), '"', '\"') || '"',
+  '"time_spent":' || CAST(CAST(trunc(value) AS INTEGER) AS VARCHAR),
+  '"source_menu":"menu' || CAST({EVENT_K} AS VARCHAR) || '"',
+  '"created_at":"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '"',
+  '"not_in_the_table":' || CAST(user_id AS VARCHAR)) || '}}'"""
 
 ORACLE = {
     "record_transform": f"""

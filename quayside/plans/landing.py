@@ -74,11 +74,10 @@ def _land_orders(spark: SparkSession, sf_dir: str, root: str) -> str:
     """One landed file per order status, as a folder of parts under the file's name."""
     rows = table(spark, sf_dir, "orders").where(F.col("o_orderstatus").isin("F", "O", "P"))
     arrival = F.concat(F.lit("Orders"), F.col("o_orderstatus"), F.lit(" - 01-31-2024.csv"))
-    staged = f"{root}/staged"
-    rows.select(
-        *[F.col(c).cast("string") for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")],
-        arrival.alias("arrival"),
-    ).write.partitionBy("arrival").option("header", True).option("escape", '"').csv(staged)
+    rows = rows.select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", arrival.alias("arrival")
+    )
+    staged = write_csv(rows, f"{root}/staged", partition_by="arrival")
     workspace.move_all(
         spark,
         {
@@ -99,7 +98,7 @@ def landing_repack(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     require_run(spark, f"{root}/log", "orders", DAY)
     frames = [
-        read_typed_csv(spark, f"{done.folder}/{name}.gz", FILE_SCHEMA, multi_line=True)
+        read_typed_csv(spark, f"{done.folder}/{name}.gz", FILE_SCHEMA)
         .withColumn("file", F.lit(name))
         for name in sorted(done.files)
     ]
@@ -173,7 +172,7 @@ def header_csv_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = workspace.scratch(spark, "names")
     landing = _land_orders(spark, sf_dir, root)
     below = F.element_at(F.split(F.url_decode(F.col("_metadata.file_path")), "/"), -2)
-    rows = read_header_csv(spark, [f"{path}" for path in workspace.children(spark, landing)])
+    rows = read_header_csv(spark, workspace.children(spark, landing), multi_line=True)
     return rows.select("o_orderkey", below.alias("arrival"))
 
 

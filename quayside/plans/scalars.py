@@ -115,9 +115,9 @@ _CUT_BYTES = (
 
 ORACLE = {
     "scalar_names": r"""
-SELECT doc_id, base, lang AS level_1, CAST(NULL AS VARCHAR) AS level_7,
-       split_part(base, '.', 1) AS stem, lower(source) || '.csv' AS clean_lower,
-       upper(source) || '.csv' AS clean,
+SELECT doc_id, base, CASE WHEN base IS NOT NULL THEN lang END AS level_1, CAST(NULL AS VARCHAR) AS level_7,
+       split_part(base, '.', 1) AS stem, lower(trim(split_part(base, '-', 1))) || '.csv' AS clean_lower,
+       trim(split_part(base, '-', 1)) || '.csv' AS clean,
        upper(replace('load_in/' || lang || '/' || base, '_', ' ')) AS label
 FROM (SELECT *, upper(source) || ' - ' || CAST(doc_id AS VARCHAR) || '.part.csv' AS base FROM documents)""",
     "scalar_times": """

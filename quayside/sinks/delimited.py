@@ -26,6 +26,7 @@ def write_csv(
     sep: str = ",",
     compression: str | None = None,
     rows_per_file: int = 0,
+    partition_by: str | None = None,
 ) -> str:
     """Header CSV as a folder of parts; null and empty cells are both written empty."""
     text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
@@ -43,6 +44,8 @@ def write_csv(
     )
     if compression:
         writer = writer.option("compression", compression)
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
     writer.csv(path)
     return path
 

@@ -42,10 +42,12 @@ def read_typed_csv(
     schema: str | T.StructType,
     sep: str = ",",
     mode: str = "FAILFAST",
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Load with a declared schema by position, skipping the header line.
 
+    Quoted cells may hold line breaks, as in the bulk load. Turn ``multi_line`` off
+    for plain files that are large enough to be worth splitting.
     ``mode`` decides on rows that do not fit: ``FAILFAST`` stops the load,
     ``PERMISSIVE`` keeps them with nulls, ``DROPMALFORMED`` leaves them out.
     """
@@ -78,7 +80,7 @@ def import_mapped_csv(
     path: str | list[str],
     schema: str | T.StructType,
     mapping: Mapping[str, str] | None = None,
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Bring a header CSV into a declared table: match by lower-cased name, then cast.
 
