@@ -40,7 +40,7 @@ def text_columns(df: DataFrame) -> list[str]:
 
 def sampled(df: DataFrame, portion: float = 1.0, seed: int = 5) -> DataFrame:
     """Rows looked at by detection; the full portion is the frame itself."""
-    return df if portion >= 1.0 else df.sample(portion, seed=seed)
+    return df if portion >= 1.0 else df.sample(fraction=portion, seed=seed)
 
 
 def column_report(

@@ -34,7 +34,7 @@ def frequent_keys(
     There can be at most ``1 / share`` of them, so the list is small whatever the
     table holds. It only steers how rows are spread; no result depends on it.
     """
-    sample = df.select(*keys) if fraction >= 1 else df.select(*keys).sample(fraction, seed=11)
+    sample = df.select(*keys) if fraction >= 1 else df.select(*keys).sample(fraction=fraction, seed=11)
     counted = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     top = counted.orderBy(F.col("__n").desc()).limit(int(1 / share))
     total = counted.agg(F.sum("__n").alias("t")).first().t or 0

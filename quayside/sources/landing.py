@@ -61,8 +61,7 @@ def stream_arrivals(
 def read_documents(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
     """One row per text file below an inclusion prefix: ``(doc_id, text)``."""
     return (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .text(f"{root}/{prefix}".rstrip("/"))
+        spark.read.option("recursiveFileLookup", True)
+        .text(f"{root}/{prefix}".rstrip("/"), wholetext=True)
         .select(F.col("_metadata.file_path").alias("doc_id"), F.col("value").alias("text"))
     )

@@ -18,14 +18,14 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder, or a new local one in local mode only."""
-    named = spark.conf.get(CHECKPOINT_SETTING, None)
+    context = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"{CHECKPOINT_SETTING} must name a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="quayside-")
-    spark.conf.set(CHECKPOINT_SETTING, root)
-    return root
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="quayside-"))
+    return context.getCheckpointDir()
 
 
 def scratch(spark: SparkSession, label: str) -> str:

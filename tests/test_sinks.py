@@ -1,0 +1,176 @@
+"""Writers, gates, reports and versions."""
+
+import datetime as dt
+import gzip
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quayside import workspace
+from quayside.sinks import delimited, repack, report, runlog, tables
+from quayside.sources.delimited import read_bel_csv, read_header_csv
+
+DAY = dt.date(2024, 1, 31)
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_dated_parquet_is_replaced_by_a_rerun(spark, tmp_path):
+    for _ in range(2):
+        path = delimited.write_dated_parquet(spark.range(3), str(tmp_path), DAY)
+    assert path.endswith("/2024-01-31") and spark.read.parquet(path).count() == 3
+
+
+CELLS = ['q "x"', "a,b", "line\nbreak", "  pad  ", "bel\u0007bel", "", None, "back\\slash", "é€😀"]
+
+
+def test_bel_gzip_round_trip(spark, tmp_path):
+    df = spark.createDataFrame(list(enumerate(CELLS)), "Id int, Cell string")
+    path = delimited.write_bel_gzip(df, f"{tmp_path}/data/", DAY, "cells")
+    assert path.endswith("/data/20240131/cells.csv.gz")
+    wanted = sorted([(str(i), c or None) for i, c in enumerate(CELLS)], key=repr)
+    assert rows(read_bel_csv(spark, path)) == wanted
+    assert read_bel_csv(spark, path, ["Id", "Cell"]).columns == ["id", "cell"]
+    parts = list(Path(path).glob("part-*.csv.gz"))
+    assert all(gzip.open(p, "rt").readline() == "Id\x07Cell\n" for p in parts)
+
+
+def test_gzip_parts_are_bounded_and_each_has_a_header(spark, tmp_path):
+    df = spark.range(0, 25, 1, 1).withColumn("t", F.lit("x"))
+    path = delimited.write_bel_gzip(df, f"{tmp_path}/", DAY, "many", rows_per_file=10)
+    assert len(list(Path(path).glob("part-*"))) == 3
+    assert read_bel_csv(spark, path).count() == 25
+
+
+def test_create_and_refresh(spark, tmp_path):
+    schema = T.StructType([T.StructField("a", T.StringType(), True, {"max_len": 9}), T.StructField("b", T.StringType())])
+    name = tables.staging_table_name("", "src", "file")
+    assert tables.create_table_if_absent(spark, name, schema, f"{tmp_path}/t")
+    assert not tables.create_table_if_absent(spark, name, schema, f"{tmp_path}/other")
+    assert spark.table(name).schema["a"].metadata["max_len"] == 9
+    tables.refresh_table(spark.createDataFrame([("y", "x")], "b string, a string"), name)
+    tables.refresh_table(spark.createDataFrame([("2", "1")], "b string, a string"), name)
+    assert rows(spark.table(name)) == [("1", "2")]
+    assert tables.staging_table_name("source", "lms", "users") == "source.lms_users"
+
+
+def test_versions_can_be_read_while_written(spark, tmp_path):
+    root = str(tmp_path / "v")
+    with pytest.raises(FileNotFoundError):
+        tables.read_published(spark, root)
+    tables.publish(spark.range(2), root)
+    tables.publish(tables.read_published(spark, root).unionByName(spark.range(5, 6)), root)
+    assert rows(tables.read_published(spark, root)) == [(0,), (1,), (5,)]
+    unfinished = Path(root) / "version=00000003"
+    unfinished.mkdir()
+    assert tables.read_published(spark, root).count() == 3
+    tables.publish(spark.range(1), root)
+    assert tables.read_published(spark, root).count() == 1
+
+
+def test_export(spark, tmp_path):
+    done = tables.export_tables(spark, ["a", "b"], lambda n: spark.range(len(n)), str(tmp_path))
+    assert sorted(done) == ["a", "b"] and spark.read.parquet(done["b"]).count() == 1
+
+
+def test_run_log_gate(spark, tmp_path):
+    log = str(tmp_path / "log")
+    with pytest.raises(runlog.MarkerNotFound):
+        runlog.require_run(spark, log, "lms", DAY)
+    for _ in range(2):
+        runlog.mark_run(spark, log, "lms", DAY, {"a.csv": 3, "b.csv": 0})
+    runlog.require_run(spark, log, "lms", DAY)
+    assert rows(runlog.run_log(spark, log)) == [("a.csv", 3, "lms", "20240131"), ("b.csv", 0, "lms", "20240131")]
+    assert not runlog.has_run(spark, log, "lms", dt.date(2024, 2, 1))
+    assert not runlog.has_run(spark, log, "other", DAY)
+
+
+def test_samples_gate(spark):
+    runlog.require_samples(spark.range(1))
+    with pytest.raises(runlog.MarkerNotFound):
+        runlog.require_samples(spark.range(0))
+
+
+def land(root, files):
+    for name, content in files.items():
+        path = Path(root) / "landing" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(content)
+    return f"{root}/landing"
+
+
+FILES = {"Users - 01-31-2024.csv": 'Id,Note\n1,"a\nb"\n2,c\n', "courses.csv": "Code\nx\n"}
+
+
+def run(spark, root, exact=True, required=("users.csv", "courses.csv")):
+    return repack.repack(spark, f"{root}/landing", f"{root}/out", required, DAY, "lms", f"{root}/log", exact=exact)
+
+
+def test_repack_moves_records_and_deletes(spark, tmp_path):
+    landing = land(tmp_path, FILES)
+    done = run(spark, tmp_path)
+    assert done.files == {"users.csv": 2, "courses.csv": 1}
+    users = read_header_csv(spark, f"{tmp_path}/out/20240131/users.csv.gz", multi_line=True)
+    assert rows(users) == [("1", "a\nb"), ("2", "c")]
+    assert runlog.has_run(spark, f"{tmp_path}/log", "lms", DAY)
+    assert workspace.children(spark, landing) == []
+
+
+def test_repack_refuses_what_the_gate_refuses(spark, tmp_path):
+    landing = land(tmp_path, {**FILES, "extra.csv": "a\n1\n"})
+    with pytest.raises(repack.IncompleteDelivery, match="extra"):
+        run(spark, tmp_path)
+    assert len(workspace.children(spark, landing)) == 3
+    assert not workspace.exists(spark, f"{tmp_path}/out") and not workspace.exists(spark, f"{tmp_path}/log")
+    done = run(spark, tmp_path, exact=False)
+    assert sorted(done.files) == ["courses.csv", "users.csv"]
+    assert [p.rsplit("/", 1)[1] for p in workspace.children(spark, landing)] == ["extra.csv"]
+
+
+def test_repack_keeps_sources_until_the_run_is_recorded(spark, tmp_path, monkeypatch):
+    landing = land(tmp_path, FILES)
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(repack, "mark_run", lost)
+    with pytest.raises(RuntimeError, match="lost"):
+        run(spark, tmp_path)
+    assert len(workspace.children(spark, landing)) == 2
+    monkeypatch.undo()
+    assert run(spark, tmp_path).files == {"users.csv": 2, "courses.csv": 1}
+
+
+def test_repack_joins_parts_of_one_file(spark, tmp_path):
+    land(tmp_path, {"Users - 1.csv": "Id,Note\n1,a\n", "Users - 2.csv": "Id,More\n2,b\n"})
+    done = run(spark, tmp_path, exact=False, required=("users.csv",))
+    assert done.files == {"users.csv": 2}
+    got = read_header_csv(spark, f"{tmp_path}/out/20240131/users.csv.gz")
+    assert rows(got.select("Id", "Note", "More")) == [("1", "a", None), ("2", None, "b")]
+
+
+def lines_of(spark, items):
+    df = spark.createDataFrame(items, "customer string, source string, airflow string")
+    return report.report_lines(df, ["customer", "source"], ["Customer", "Source", "Airflow"])
+
+
+def test_report_escapes_cells_and_links(spark, tmp_path):
+    lines = lines_of(spark, [("b", "<s>", "http://x?a&b"), ("a", None, None)])
+    path = report.write_report(lines, f"{tmp_path}/r", ["customer", "source"])
+    parts = sorted(Path(path).glob("part-*"))
+    html = "".join(p.read_text() for p in parts).splitlines()
+    assert html[0].endswith("<th>customer</th><th>source</th><th>airflow</th></tr></thead><tbody>")
+    assert html[1] == "<tr><td>a</td><td>None</td><td>None</td></tr>"
+    assert html[2] == (
+        '<tr><td>b</td><td>&lt;s&gt;</td><td><a target="_blank" href="http://x?a&amp;b">LINK</a></td></tr>'
+    )
+    assert html[3] == report.TABLE_END and len(html) == 4
+
+
+def test_empty_report_is_a_header(spark):
+    lines = lines_of(spark, []).orderBy("section").collect()
+    assert [r.section for r in lines] == [0, 2] and "<th>Customer</th>" in lines[0].html
