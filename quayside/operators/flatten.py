@@ -38,32 +38,41 @@ def drop_nested(df: DataFrame) -> DataFrame:
 def flatten(df: DataFrame, max_columns: int = 4000) -> DataFrame:
     """Nested keys joined by ``_`` and list elements by index: ``a_0_b``.
 
-    The list widths of one nesting level come from one aggregate over the data, so
-    the number of passes is the nesting depth of the lists. Empty lists and empty
-    objects give no column. Where two paths give one name, the later path that
-    has a value wins. Data too wide for columns goes through ``flatten_entries``.
+    Objects are opened first; the widths of all lists then in sight come from one
+    aggregate over the data, so the number of passes is how deep lists lie within
+    lists. Empty lists and empty objects give no column. Where two paths give one
+    name, the later path that has a value wins. Data too wide for columns goes
+    through ``flatten_entries``.
     """
     while True:
-        fields = df.schema.fields
-        if not any(isinstance(f.dataType, (T.StructType, T.ArrayType)) for f in fields):
+        kinds = {type(f.dataType) for f in df.schema.fields}
+        if T.StructType in kinds:
+            df = _open(df, {}, max_columns)
+        elif T.ArrayType in kinds:
+            widths = {r.column_name: r.width for r in array_widths(df).collect()}
+            df = _open(df, widths, max_columns)
+        else:
             return df
-        widths = {r.column_name: r.width for r in array_widths(df).collect()} if _arrays(df) else {}
-        parts: dict[str, list[tuple[Column, T.DataType]]] = {}
-        for field in fields:
-            value, kind = F.col(f"`{field.name}`"), field.dataType
-            if isinstance(kind, T.StructType):
-                for sub in kind.fields:
-                    item = (value.getField(sub.name), sub.dataType)
-                    parts.setdefault(f"{field.name}_{sub.name}", []).append(item)
-            elif isinstance(kind, T.ArrayType):
-                for at in range(widths[field.name]):
-                    item = (F.get(value, F.lit(at)), kind.elementType)
-                    parts.setdefault(f"{field.name}_{at}", []).append(item)
-            else:
-                parts.setdefault(field.name, []).append((value, kind))
-        if len(parts) > max_columns:
-            raise ValueError(f"{len(parts)} columns after flattening; use flatten_entries")
-        df = df.select(*[_merge(values).alias(name) for name, values in parts.items()])
+
+
+def _open(df: DataFrame, widths: dict[str, int], max_columns: int) -> DataFrame:
+    """One level: every object into its fields, every list of known width into its elements."""
+    parts: dict[str, list[tuple[Column, T.DataType]]] = {}
+    for field in df.schema.fields:
+        value, kind = F.col(f"`{field.name}`"), field.dataType
+        if isinstance(kind, T.StructType):
+            for sub in kind.fields:
+                item = (value.getField(sub.name), sub.dataType)
+                parts.setdefault(f"{field.name}_{sub.name}", []).append(item)
+        elif field.name in widths:
+            for at in range(widths[field.name]):
+                item = (F.get(value, F.lit(at)), kind.elementType)
+                parts.setdefault(f"{field.name}_{at}", []).append(item)
+        else:
+            parts.setdefault(field.name, []).append((value, kind))
+    if len(parts) > max_columns:
+        raise ValueError(f"{len(parts)} columns after flattening; use flatten_entries")
+    return df.select(*[_merge(values).alias(name) for name, values in parts.items()])
 
 
 def _merge(values: list[tuple[Column, T.DataType]]) -> Column:

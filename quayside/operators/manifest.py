@@ -28,22 +28,25 @@ def manifest_report(
 ) -> DataFrame:
     """Per delivery and file: how often it is present and how often required.
 
-    Present and required names are stacked and counted together, so a delivery or
-    a name that floods the listing shrinks to one row per task before any shuffle.
-    The required names come from configuration and are attached row by row.
+    The listing is counted by name first, so a delivery or a name that floods it
+    shrinks to one row per task before the shuffle. The deliveries are taken from
+    those counts, each gets the required names, and both sides are added up; the
+    listing is read once.
     """
     by = list(by)
-    expected = F.explode(F.array(*[F.lit(name) for name in required])).alias("file")
+    counted = present.groupBy(*by, "file").agg(F.count(F.lit(1)).alias("present"))
     if by:
-        deliveries = present.select(*by).distinct()
+        # Keeping the count in use lets both branches share the counted shuffle.
+        deliveries = counted.groupBy(*by).agg(F.max("present").alias("most")).where("most > 0")
     else:
-        deliveries = present.sparkSession.range(1).select()
-    wanted = deliveries.select(*by, expected)
-    stacked = present.select(*by, "file", F.lit(1).alias("p"), F.lit(0).alias("r")).unionByName(
-        wanted.select(*by, "file", F.lit(0).alias("p"), F.lit(1).alias("r"))
+        deliveries = present.sparkSession.range(1)
+    expected = F.explode(F.array(*[F.lit(name) for name in required])).alias("file")
+    wanted = deliveries.select(*by, expected, F.lit(0).cast("bigint").alias("present"))
+    stacked = counted.withColumn("required", F.lit(0)).unionByName(
+        wanted.withColumn("required", F.lit(1))
     )
     counted = stacked.groupBy(*by, "file").agg(
-        F.sum("p").alias("present"), F.sum("r").alias("required")
+        F.sum("present").alias("present"), F.sum("required").alias("required")
     )
     state = (
         F.when(F.col("present") == F.col("required"), "ok")

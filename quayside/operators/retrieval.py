@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.functions.text import col, fill_template
+from quayside.operators.skew import HOT_SHARE, SALTS, filter_join
 from quayside.operators.spread import fill_cores
 
 # What separates tokens, and the usual BM25 parameters.
@@ -110,21 +111,16 @@ def retrieve(
         .distinct()
     )
     size = wanted.agg(F.sum(F.octet_length("term") + 32).alias("bytes")).first().bytes or 0
-    small = F.broadcast if size <= BROADCAST_BYTES else (lambda frame: frame)
-    asked = index.postings.join(small(wanted.select("term").distinct()), "term", "left_semi")
-    frequency = asked.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    rarity = F.log(1 + (F.lit(index.documents) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = wanted.join(frequency, "term").select("query_id", "term", rarity.alias("idf"))
-
+    if size <= BROADCAST_BYTES:
+        asked = index.postings.join(F.broadcast(wanted.select("term").distinct()), "term", "left_semi")
+        met = asked.repartition("doc_id").join(F.broadcast(_weights(index, wanted, asked)), "term")
+    else:
+        asked = filter_join(index.postings, wanted, ["term"], "left_semi")
+        met = _meet_by_term(index, asked, _weights(index, wanted, asked))
     length = F.col("doc_len") / F.lit(max(index.average_length, 1e-9))
     saturation = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * length))
     contribution = F.floor(F.col("idf") * saturation * UNITS + 0.5)
-    scores = (
-        asked.repartition("doc_id")
-        .join(small(weights), "term")
-        .groupBy("query_id", "doc_id")
-        .agg(F.sum(contribution).alias("total"))
-    )
+    scores = met.groupBy("query_id", "doc_id").agg(F.sum(contribution).alias("total"))
     order = Window.partitionBy("query_id").orderBy(F.col("total").desc(), F.col("doc_id"))
     four_digits = F.floor((F.col("total") + UNITS // 20_000) / (UNITS // 10_000)) / F.lit(10_000.0)
     return (
@@ -134,6 +130,30 @@ def retrieve(
     )
 
 
+def _weights(index: Index, wanted: DataFrame, asked: DataFrame) -> DataFrame:
+    """Rarity of each question's terms."""
+    frequency = asked.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    rarity = F.log(1 + (F.lit(index.documents) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    return wanted.join(frequency, "term").select("query_id", "term", "df", rarity.alias("idf"))
+
+
+def _meet_by_term(index: Index, asked: DataFrame, weights: DataFrame) -> DataFrame:
+    """Postings and weights of more questions than a task can hold, joined by term.
+
+    A term that a hundredth of the documents hold is dealt over many partitions by
+    document. There are at most a hundred such terms per word of an average
+    document, so their list is small.
+    """
+    common = F.col("df") >= max(index.documents * HOT_SHARE, 2)
+    terms = weights.where(common).select("term", F.lit(True).alias("common")).distinct()
+    deal = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
+    dealt = asked.join(F.broadcast(terms), "term", "left").withColumn(
+        "part", F.when(F.col("common"), deal).otherwise(F.lit(0))
+    )
+    copies = F.when(common, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return dealt.join(weights.withColumn("part", F.explode(copies)), ["term", "part"])
+
+
 def assemble_prompts(
     ranked: DataFrame,
     documents: DataFrame,

@@ -103,7 +103,7 @@ SELECT CAST(event_id AS VARCHAR) AS "recordId", 'Ok' AS result,
        base64(encode({_BODY} || chr(10))) AS data
 FROM events""",
     "clickstream_hourly": f"""
-SELECT datehour, count(*) AS records, sum(time_spent) AS time_spent
+SELECT datehour, count(*) AS records, CAST(sum(time_spent) AS BIGINT) AS time_spent
 FROM ({_CLICKS}) WHERE datehour BETWEEN '2024/01/01/00' AND '2024/01/31/23' GROUP BY datehour""",
     "clickstream_hour_range": _SIX_HOURS,
     "clickstream_hive_range": _SIX_HOURS,

@@ -215,7 +215,7 @@ wanted AS (
 ),
 report AS (
   SELECT coalesce(c.delivery, w.delivery) AS delivery, coalesce(c.file, w.file) AS file,
-         coalesce(c.present, 0) AS present, CASE WHEN w.file IS NULL THEN 0 ELSE 1 END AS required
+         coalesce(c.present, 0) AS present, CAST(CASE WHEN w.file IS NULL THEN 0 ELSE 1 END AS BIGINT) AS required
   FROM counted c FULL OUTER JOIN wanted w ON c.delivery = w.delivery AND c.file = w.file
 )"""
 

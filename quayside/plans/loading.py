@@ -62,11 +62,21 @@ def _order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _as_stored(orders: DataFrame) -> DataFrame:
+    """The loaded types back to those of the order table."""
+    return orders.withColumns(
+        {
+            "o_totalprice": F.col("o_totalprice").cast("double"),
+            "o_orderdate": F.col("o_orderdate").cast("timestamp_ntz"),
+        }
+    )
+
+
 def typed_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV with a declared schema, by position."""
     root = workspace.scratch(spark, "typed-csv")
     write_csv(_order_rows(spark, sf_dir), root)
-    return read_typed_csv(spark, root, ORDER_TYPES)
+    return _as_stored(read_typed_csv(spark, root, ORDER_TYPES))
 
 
 def mapped_csv_import(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +91,7 @@ def mapped_csv_import(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderstatus").alias("O_OrderStatus"),
     )
     write_csv(rows, root)
-    return import_mapped_csv(spark, root, ORDER_TYPES, {"o_orderdate": "OrderedOn"})
+    return _as_stored(import_mapped_csv(spark, root, ORDER_TYPES, {"o_orderdate": "OrderedOn"}))
 
 
 # Widths of the staging columns below; the time column is parsed, not cut.
@@ -173,8 +183,8 @@ QUERIES = {
 
 _ORDER_SQL = """
 SELECT o_orderkey, o_custkey, nullif(o_orderstatus, '') AS o_orderstatus,
-       CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice,
-       CAST(o_orderdate AS DATE) AS o_orderdate, nullif(o_orderpriority, '') AS o_orderpriority
+       CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS o_totalprice,
+       CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS o_orderdate, nullif(o_orderpriority, '') AS o_orderpriority
 FROM orders"""
 
 _COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -199,7 +209,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS orderkey,
 FROM orders""",
     "width_profile": "\nUNION ALL\n".join(
         f"SELECT {i} AS ordinal, '{c}' AS column_name, "
-        f"greatest(coalesce(max(length(CAST({c} AS VARCHAR))), 0), length('{c}') + 200) AS width "
+        f"CAST(greatest(coalesce(max(length(CAST({c} AS VARCHAR))), 0), length('{c}') + 200) AS INTEGER) AS width "
         "FROM documents"
         for i, c in enumerate(_COLUMNS, start=1)
     ),

@@ -39,9 +39,11 @@ def doc_retrieve_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prompt_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.assemble_prompts(
+    prompts = retrieval.assemble_prompts(
         _ranked(spark, sf_dir), table(spark, sf_dir, "documents"), _questions(spark, sf_dir)
     )
+    sources = F.array_join(F.col("source_documents").cast("array<string>"), ",")
+    return prompts.withColumn("source_documents", sources)
 
 
 QUERIES = {
@@ -90,22 +92,22 @@ def _text(value: str) -> str:
 
 
 ORACLE = {
-    "doc_term_index": f"WITH {_INDEX} SELECT term, doc_id, doc_len, tf FROM postings",
+    "doc_term_index": f"WITH {_INDEX} SELECT term, doc_id, CAST(doc_len AS INTEGER) AS doc_len, tf FROM postings",
     "doc_term_stats": (
-        f"WITH {_INDEX} SELECT term, count(*) AS df, sum(tf) AS occurrences FROM postings GROUP BY term"
+        f"WITH {_INDEX} SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS occurrences FROM postings GROUP BY term"
     ),
     "doc_retrieve_topk": (
-        f"WITH {_RANKED} SELECT query_id, rank, doc_id, floor((total + 5000) / 10000) / 10000.0::DOUBLE AS score FROM ranked"
+        f"WITH {_RANKED} SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, floor((total + 5000) / 10000) / 10000.0::DOUBLE AS score FROM ranked"
     ),
     "prompt_assemble": f"""
 WITH {_RANKED},
 found AS (
   SELECT query_id, string_agg(coalesce(text, ''), chr(10) || chr(10) ORDER BY rank) AS context,
-         list(doc_id ORDER BY rank) AS source_documents
+         string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY rank) AS source_documents
   FROM ranked JOIN documents USING (doc_id) GROUP BY query_id
 )
 SELECT item_id AS query_id,
        {_text(_HEAD)} || coalesce(context, '') || {_text(_MIDDLE)} || coalesce(text, '') || {_text(_TAIL)} AS prompt,
-       coalesce(source_documents, []) AS source_documents
+       coalesce(source_documents, '') AS source_documents
 FROM benchmark LEFT JOIN found ON item_id = query_id""",
 }
