@@ -30,6 +30,7 @@ from quayside.sources.delimited import (
     read_typed_csv,
 )
 from quayside.sources.items import read_items_export, tagged_item
+from quayside.sources.tables import run_scripts
 
 DAY = dt.date(2024, 1, 31)
 
@@ -121,7 +122,9 @@ def bel_roundtrip_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = staging_table_name("", "extract", f"orders_{root.rsplit('-', 1)[1]}")
     create_table_if_absent(spark, name, staged.schema, f"{root}/warehouse")
     refresh_table(staged, name)
-    return spark.table(name)
+    loaded = spark.read.schema(spark.table(name).schema).parquet(f"{root}/warehouse")
+    spark.sql(f"DROP TABLE {name}")
+    return loaded
 
 
 def document_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,8 +157,10 @@ def latest_item_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("updated_at"),
         F.col("event_id").alias("seq"),
     )
-    tagged_item(puts, ITEM_TAGS).write.text(root)
-    return latest_items(read_items_export(spark, root, ITEM_TYPES), ["id", "name"], "updated_at", "seq")
+    tagged_item(puts, ITEM_TAGS).write.text(f"{root}/export")
+    items = read_items_export(spark, f"{root}/export", ITEM_TYPES)
+    publish(latest_items(items, ["id", "name"], "updated_at", "seq"), f"{root}/state")
+    return read_published(spark, f"{root}/state")
 
 
 def staged_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,6 +175,21 @@ def staged_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_published(spark, root)
 
 
+LOAD_SCRIPTS = (
+    "CREATE OR REPLACE TEMPORARY VIEW staged_orders AS "
+    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1 AS o_totalprice, o_orderdate, "
+    "o_orderpriority FROM all_orders WHERE o_orderkey % 3 = 0",
+    "SELECT * FROM all_orders t LEFT ANTI JOIN staged_orders s ON t.o_orderkey = s.o_orderkey "
+    "WHERE o_orderstatus = :status UNION ALL SELECT * FROM staged_orders",
+)
+
+
+def scripted_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A customer's load and upsert scripts, run in order with bound values."""
+    table(spark, sf_dir, "orders").createOrReplaceTempView("all_orders")
+    return run_scripts(spark, LOAD_SCRIPTS, {"status": "F"})[-1]
+
+
 QUERIES = {
     "csv_to_parquet": csv_to_parquet,
     "typed_csv_load": typed_csv_load,
@@ -179,6 +199,7 @@ QUERIES = {
     "pk_violations": pk_violations,
     "latest_item_per_key": latest_item_per_key,
     "staged_upsert": staged_upsert,
+    "scripted_upsert": scripted_upsert,
 }
 
 _ORDER_SQL = """
@@ -226,6 +247,10 @@ SELECT id, name, score, "isActive", updated_at, seq FROM (
                             ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn
   FROM events)
 WHERE rn = 1""",
+    "scripted_upsert": """
+SELECT * FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 3 IS DISTINCT FROM 0
+UNION ALL
+SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM orders WHERE o_orderkey % 3 = 0""",
     "staged_upsert": """
 SELECT * FROM orders t WHERE o_orderkey % 2 = 1
   AND NOT EXISTS (SELECT 1 FROM orders s WHERE s.o_orderkey % 3 = 0 AND s.o_orderkey = t.o_orderkey)

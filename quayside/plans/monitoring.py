@@ -13,6 +13,7 @@ from quayside.operators import monitor, profile
 from quayside.plans.tables import STATUS_SQL, status_runs, table
 from quayside.sinks.report import TABLE_END, TABLE_START, report_lines
 from quayside.sinks.tables import read_published
+from quayside.sources.tables import run_query
 from quayside.streaming.counter import count_visits
 
 AS_OF = {
@@ -52,6 +53,18 @@ def report_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_lines(report, ["customer", "source"], TITLES)
 
 
+def status_view_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The status view read by a query with a bound value."""
+    _status(spark, sf_dir).createOrReplaceTempView("etl_current_status")
+    return run_query(
+        spark,
+        "SELECT customer, source, lrd, status, info, airflow FROM etl_current_status "
+        "WHERE status <> :healthy AND source <> :other",
+        healthy=monitor.SUCCESS,
+        other=monitor.MTA_SOURCE,
+    )
+
+
 def visit_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.visit_counts(table(spark, sf_dir, "events"), "event_type")
 
@@ -73,6 +86,7 @@ QUERIES = {
     "monitor_late_weekly": _late("etlmonitor-weekly"),
     "monitor_late_monthly": _late("etlmonitor-monthly"),
     "monitor_report_html": report_html,
+    "status_view_query": status_view_query,
     "visit_counter": visit_counter,
     "visit_counter_stream": visit_counter_stream,
 }
@@ -130,6 +144,10 @@ ORACLE = {
     "monitor_late_weekly": _late_sql("etlmonitor-weekly", 7),
     "monitor_late_monthly": _late_sql("etlmonitor-monthly", 30),
     "monitor_report_html": _HTML_SQL,
+    "status_view_query": (
+        f"WITH {STATUS_SQL} SELECT customer, source, lrd, status, info, airflow FROM status "
+        "WHERE status <> 'success' AND source <> 'MTA Build'"
+    ),
     "visit_counter": _VISITS_SQL,
     "visit_counter_stream": _VISITS_SQL,
 }

@@ -56,12 +56,15 @@ def write_hour_folders(batch: DataFrame, batch_id: int, root: str) -> None:
     """Write one micro-batch below ``yyyy/MM/dd/HH/batch-<id>``.
 
     One job writes all hours to a staging folder; each hour's folder is then moved
-    into place. The batch number is part of the name, so a batch that is run
-    again after a failure replaces what it wrote before.
+    into place. Rows are gathered by hour first, so a backlog does not leave a file
+    per task and hour; the rebalance splits an hour that holds much of the batch.
+    The batch number is part of the name, so a batch that is run again after a
+    failure replaces what it wrote before.
     """
     spark = batch.sparkSession
     staging = f"{root}/_staging/batch-{batch_id:08d}"
-    batch.write.mode("overwrite").partitionBy("datehour").text(staging)
+    gathered = batch.hint("rebalance", "datehour")
+    gathered.write.mode("overwrite").partitionBy("datehour").text(staging)
     moves = {
         path: f"{root}/{unquote(path.rsplit('datehour=', 1)[1])}/batch-{batch_id:08d}"
         for path in workspace.children(spark, staging)
