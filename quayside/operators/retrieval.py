@@ -7,8 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quayside import workspace
 from quayside.functions.text import col, fill_template
-from quayside.operators.skew import HOT_SHARE, SALTS, filter_join
+from quayside.operators.skew import HOT_SHARE, filter_join
 from quayside.operators.spread import fill_cores
 
 # What separates tokens, and the usual BM25 parameters.
@@ -28,6 +29,7 @@ PROMPT = (
 # Scores are added up in units of one hundred-millionth.
 UNITS = 100_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+TERM_PARTS = 64
 
 
 def tokens(text: Column | str) -> Column:
@@ -146,11 +148,11 @@ def _meet_by_term(index: Index, asked: DataFrame, weights: DataFrame) -> DataFra
     """
     common = F.col("df") >= max(index.documents * HOT_SHARE, 2)
     terms = weights.where(common).select("term", F.lit(True).alias("common")).distinct()
-    deal = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
+    deal = F.pmod(F.xxhash64("doc_id"), F.lit(TERM_PARTS)).cast("int")
     dealt = asked.join(F.broadcast(terms), "term", "left").withColumn(
         "part", F.when(F.col("common"), deal).otherwise(F.lit(0))
     )
-    copies = F.when(common, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    copies = F.when(common, F.sequence(F.lit(0), F.lit(TERM_PARTS - 1))).otherwise(F.array(F.lit(0)))
     return dealt.join(weights.withColumn("part", F.explode(copies)), ["term", "part"])
 
 
@@ -167,8 +169,14 @@ def assemble_prompts(
     """One prompt per question with its retrieved texts, best first, as context.
 
     A group holds the ``k`` ranked documents of a question and no more. A question
-    without a hit keeps an empty context.
+    without a hit keeps an empty context. The ranking is written first: it is
+    computed once, and its size is then known, so Spark can send it to the documents
+    instead of shuffling their texts.
     """
+    spark = ranked.sparkSession
+    path = workspace.scratch(spark, "ranking")
+    ranked.write.parquet(path)
+    ranked = spark.read.parquet(path)
     texts = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     found = ranked.join(texts, "doc_id").groupBy("query_id").agg(
         F.sort_array(F.collect_list(F.struct("rank", "doc_id", "text"))).alias("hits")

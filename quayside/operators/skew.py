@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 64
 HOT_SHARE = 0.01
 SAMPLE = 0.01
 _SALT = "__salt"
@@ -35,10 +34,13 @@ def frequent_keys(
     table holds. It only steers how rows are spread; no result depends on it.
     """
     sample = df.select(*keys) if fraction >= 1 else df.select(*keys).sample(fraction=fraction, seed=11)
-    counted = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    top = counted.orderBy(F.col("__n").desc()).limit(int(1 / share))
-    total = counted.agg(F.sum("__n").alias("t")).first().t or 0
-    return [tuple(r[k] for k in keys) for r in top.collect() if r["__n"] >= max(share * total, 2)]
+    counted = sample.groupingSets([list(keys), []], *keys).agg(
+        F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__total")
+    )
+    top = counted.orderBy(F.col("__n").desc(), F.col("__total").desc()).limit(int(1 / share) + 1)
+    rows = top.collect()
+    least = max(share * rows[0]["__n"], 2) if rows else 0
+    return [tuple(r[k] for k in keys) for r in rows[1:] if r["__n"] >= least]
 
 
 def filter_join(
@@ -46,15 +48,15 @@ def filter_join(
     matches: DataFrame,
     keys: Sequence[str],
     how: str,
-    salts: int = SALTS,
+    salts: int | None = None,
     fraction: float = SAMPLE,
 ) -> DataFrame:
     """``left_semi`` or ``left_anti`` join of ``df`` with the keys found in ``matches``.
 
     The match side is cut to distinct keys before it is shuffled. When it is small
     Spark broadcasts it and ``df`` does not move. Otherwise the rows of a frequent
-    key, and rows with a null key, are dealt over ``salts`` partitions, with only
-    those few match keys repeated.
+    key, and rows with a null key, are dealt over ``salts`` parts, one per shuffle
+    partition unless given, with only those few match keys repeated.
     """
     if how not in ("left_semi", "left_anti"):
         raise ValueError(f"not a filtering join: {how}")
@@ -64,6 +66,7 @@ def filter_join(
     rows = df.where(present) if how == "left_semi" else df
     if fits_broadcast(distinct):
         return rows.join(distinct, keys, how)
+    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = _is_one_of(keys, frequent_keys(rows.where(present), keys, fraction=fraction))
     spread = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
     salted = rows.withColumn(_SALT, F.when(hot | ~present, spread).otherwise(F.lit(0)))

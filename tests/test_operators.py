@@ -212,6 +212,11 @@ def test_salted_join_spreads_the_hot_key(spark, no_broadcast):
     assert len(counts) == 4 and counts[-1] < 0.5 * sum(counts)
 
 
+def test_frequent_keys_of_nothing(spark):
+    df = spark.range(0).select("id", F.col("id").alias("b"))
+    assert skew.frequent_keys(df, ["id", "b"]) == []
+
+
 def test_frequent_keys_are_few(spark):
     df = spark.range(1000).select(F.when(F.col("id") < 400, 1).otherwise(F.col("id")).alias("k"))
     assert skew.frequent_keys(df, ["k"], fraction=1.0) == [(1,)]

@@ -145,6 +145,11 @@ def test_repack_keeps_sources_until_the_run_is_recorded(spark, tmp_path, monkeyp
     assert run(spark, tmp_path).files == {"users.csv": 2, "courses.csv": 1}
 
 
+def test_repack_takes_a_file_without_rows(spark, tmp_path):
+    land(tmp_path, {"users.csv": "Id,Note\n", "courses.csv": "Code\nx\n"})
+    assert run(spark, tmp_path).files == {"users.csv": 0, "courses.csv": 1}
+
+
 def test_repack_joins_parts_of_one_file(spark, tmp_path):
     land(tmp_path, {"Users - 1.csv": "Id,Note\n1,a\n", "Users - 2.csv": "Id,More\n2,b\n"})
     done = run(spark, tmp_path, exact=False, required=("users.csv",))
