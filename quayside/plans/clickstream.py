@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside import workspace
-from quayside.functions.text import encode_base64
 from quayside.plans.tables import EVENT_K, event_k, table
-from quayside.sources.clickstream import read_hive_hours, read_hours, stream_records
+from quayside.sources.clickstream import read_hive_hours, read_hours, stream_records, to_records
 from quayside.streaming.clickstream import (
     FLUSH_BYTES,
     deliver,
@@ -34,11 +33,8 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("user_id").alias("not_in_the_table"),
         )
     )
-    return table(spark, sf_dir, "events").select(
-        F.col("event_id").cast("string").alias("recordId"),
-        encode_base64(body).alias("data"),
-        F.col("ts").alias("arrival_ts"),
-    )
+    bodies = table(spark, sf_dir, "events").withColumn("body", body)
+    return to_records(bodies, "event_id", "body", "ts")
 
 
 def _stream(spark: SparkSession, sf_dir: str, root: str, max_bytes: int | None = None) -> DataFrame:

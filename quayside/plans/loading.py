@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside import workspace
+from quayside.config import SALES_KEYS, SALES_SCHEMAS
 from quayside.functions import times
+from quayside.operators.combine import union_strict
 from quayside.operators.latest import latest_items
 from quayside.operators.load import clean_for_load
 from quayside.operators.profile import key_violations, width_profile
@@ -164,21 +166,70 @@ def latest_item_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Odd orders as target, every third order staged with a new price."""
+    """Closed orders as target; urgent orders, closed or not, staged with a new price."""
     orders = table(spark, sf_dir, "orders")
     root = workspace.scratch(spark, "upsert")
-    publish(orders.where(F.col("o_orderkey") % 2 == 1), root)
-    staged = orders.where(F.col("o_orderkey") % 3 == 0).withColumn(
+    publish(orders.where(F.col("o_orderstatus") != "O"), root)
+    staged = orders.where(F.col("o_orderpriority") == "1-URGENT").withColumn(
         "o_totalprice", F.col("o_totalprice") + 1
     )
     publish(upsert(read_published(spark, root), staged, ["o_orderkey"]), root)
     return read_published(spark, root)
 
 
+def sales_lead_import(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The declared lead table from a CSV with its own header spelling."""
+    root = workspace.scratch(spark, "leads")
+    balance = F.col("c_acctbal")
+    leads = table(spark, sf_dir, "customer").select(
+        F.col("c_mktsegment").alias("LeadSource"),
+        F.lit("buyer").alias("JobRole"),
+        F.concat(F.lit('said "call, '), F.col("c_name"), F.lit('"')).alias("ContactNotes"),
+        F.col("c_name").alias("LeadProfile"),
+        F.when(balance > 5000, "yes").otherwise("no").alias("UsedPromo"),
+        F.when(balance < 0, "t").otherwise("f").alias("DoNotReachOut"),
+        F.col("c_nationkey").alias("Region"),
+        F.floor(balance).alias("Converted"),
+        F.col("c_custkey").alias("ProspectID"),
+    )
+    write_csv(leads, root)
+    return import_mapped_csv(spark, root, SALES_SCHEMAS["leaddata"])
+
+
+# Source columns of the sales tables, in the order of their declared columns.
+SALES_SOURCES = {
+    "customer": ("customer", ("c_custkey", "c_name", "c_mktsegment"), "ID,Name,phonenumber"),
+    "ordertable": ("orders", ("o_orderkey", "o_custkey"), "ID,customer_id"),
+    "orderitem": (
+        "lineitem",
+        ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
+        "ID,order_id,product_id,quantity",
+    ),
+}
+
+
+def sales_key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Import the declared sales tables and check their primary keys.
+
+    The declared ``int`` keys are read as ``bigint``, so that large tables fit.
+    """
+    root = workspace.scratch(spark, "sales")
+    found = []
+    for name, (source, columns, header) in SALES_SOURCES.items():
+        rows = table(spark, sf_dir, source).select(*columns).toDF(*header.split(","))
+        write_csv(rows, f"{root}/{name}")
+        schema = SALES_SCHEMAS[name].replace(" int", " bigint")
+        loaded = import_mapped_csv(spark, f"{root}/{name}", schema)
+        key = SALES_KEYS[name]
+        violations = key_violations(loaded, [key])
+        found.append(violations.withColumnRenamed(key, "key").withColumn("table_name", F.lit(name)))
+    return union_strict(found)
+
+
 LOAD_SCRIPTS = (
     "CREATE OR REPLACE TEMPORARY VIEW staged_orders AS "
     "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1 AS o_totalprice, o_orderdate, "
-    "o_orderpriority FROM all_orders WHERE o_orderkey % 3 = 0",
+    "o_orderpriority FROM all_orders WHERE o_orderpriority = '1-URGENT'",
     "SELECT * FROM all_orders t LEFT ANTI JOIN staged_orders s ON t.o_orderkey = s.o_orderkey "
     "WHERE o_orderstatus = :status UNION ALL SELECT * FROM staged_orders",
 )
@@ -200,6 +251,8 @@ QUERIES = {
     "latest_item_per_key": latest_item_per_key,
     "staged_upsert": staged_upsert,
     "scripted_upsert": scripted_upsert,
+    "sales_lead_import": sales_lead_import,
+    "sales_key_violations": sales_key_violations,
 }
 
 _ORDER_SQL = """
@@ -247,13 +300,29 @@ SELECT id, name, score, "isActive", updated_at, seq FROM (
                             ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn
   FROM events)
 WHERE rn = 1""",
+    "sales_lead_import": """
+SELECT nullif(c_mktsegment, '') AS leadsource, 'buyer' AS jobrole,
+       'said "call, ' || c_name || '"' AS contactnotes, nullif(c_name, '') AS leadprofile,
+       CASE WHEN c_acctbal > 5000 THEN 'yes' ELSE 'no' END AS usedpromo,
+       CASE WHEN c_acctbal < 0 THEN true ELSE false END AS donotreachout,
+       CAST(c_nationkey AS VARCHAR) AS region, CAST(floor(c_acctbal) AS INTEGER) AS converted,
+       CAST(c_custkey AS VARCHAR) AS prospectid
+FROM customer""",
+    "sales_key_violations": " UNION ALL ".join(
+        f"SELECT {columns[0]} AS key, count(*) AS copies, "
+        f"CASE WHEN {columns[0]} IS NULL THEN 'null' ELSE 'duplicate' END AS problem, "
+        f"'{name}' AS table_name FROM {source} GROUP BY {columns[0]} "
+        f"HAVING count(*) > 1 OR {columns[0]} IS NULL"
+        for name, (source, columns, _) in SALES_SOURCES.items()
+    ),
     "scripted_upsert": """
-SELECT * FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 3 IS DISTINCT FROM 0
+SELECT * FROM orders t WHERE o_orderstatus = 'F'
+  AND NOT EXISTS (SELECT 1 FROM orders s WHERE s.o_orderpriority = '1-URGENT' AND s.o_orderkey = t.o_orderkey)
 UNION ALL
-SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM orders WHERE o_orderkey % 3 = 0""",
+SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM orders WHERE o_orderpriority = '1-URGENT'""",
     "staged_upsert": """
-SELECT * FROM orders t WHERE o_orderkey % 2 = 1
-  AND NOT EXISTS (SELECT 1 FROM orders s WHERE s.o_orderkey % 3 = 0 AND s.o_orderkey = t.o_orderkey)
+SELECT * FROM orders t WHERE o_orderstatus <> 'O'
+  AND NOT EXISTS (SELECT 1 FROM orders s WHERE s.o_orderpriority = '1-URGENT' AND s.o_orderkey = t.o_orderkey)
 UNION ALL
-SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM orders WHERE o_orderkey % 3 = 0""",
+SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM orders WHERE o_orderpriority = '1-URGENT'""",
 }

@@ -6,12 +6,18 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside import workspace
+from quayside.config import PERSONAL_HEALTH_SCHEMA
+from quayside.functions import patterns
 from quayside.functions.patterns import CARD, Entity
 from quayside.operators import privacy
 from quayside.operators.combine import union_strict
+from quayside.operators.spread import fill_cores
 from quayside.plans.tables import table
+from quayside.sinks.delimited import write_csv
+from quayside.sources.delimited import read_typed_csv
 
 CUSTOM = {"hex_token": "[0-9a-f]{40}"}
 ENTITIES = privacy.entities_of(custom=CUSTOM)
@@ -49,6 +55,33 @@ def pii_hash_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return privacy.hash_columns(customers, privacy.flagged_columns(report))
 
 
+# Where each column of the personal-health table is found in a document.
+HEALTH_COLUMNS = {
+    "email": patterns.EMAIL,
+    "mobileNumber": patterns.US_PHONE,
+    "creditCardNumber": "[0-9]{13,16}",
+    "ssn": patterns.SSN,
+    "geo": patterns.IPV4,
+    "mbi": patterns.MBI,
+}
+
+
+def pii_health_table_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The declared personal-health table loaded from CSV and profiled, all 13 columns."""
+    root = workspace.scratch(spark, "health")
+    columns = T.StructType.fromDDL(PERSONAL_HEALTH_SCHEMA).fieldNames()
+    values = {name: F.lit(None).cast("string") for name in columns}
+    values |= {"mpi": F.col("doc_id").cast("string"), "firstName": F.col("lang"), "lastName": F.col("source")}
+    values |= {
+        name: F.nullif(F.regexp_extract("text", pattern, 0), F.lit(""))
+        for name, pattern in HEALTH_COLUMNS.items()
+    }
+    documents = fill_cores(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    write_csv(documents.select(*[values[name].alias(name) for name in columns]), root)
+    loaded = read_typed_csv(spark, root, PERSONAL_HEALTH_SCHEMA)
+    return privacy.column_report(loaded, ENTITIES)
+
+
 def pii_quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write quarantine and clean rows in one pass and read both sides back."""
     root = workspace.scratch(spark, "zones")
@@ -68,6 +101,7 @@ QUERIES = {
     "pii_mask": pii_mask,
     "pii_mask_conversations": pii_mask_conversations,
     "pii_hash_flagged": pii_hash_flagged,
+    "pii_health_table_report": pii_health_table_report,
     "pii_quarantine_split": pii_quarantine_split,
     "pii_sampled_report": pii_sampled_report,
 }
@@ -95,21 +129,24 @@ def _hit_sql(column: str, entity: Entity) -> str:
     return f"regexp_matches({column}, {_quoted(entity.pattern)})"
 
 
-def _report_sql() -> str:
+def _counts_sql(source: str, columns, extra: str = "") -> list[str]:
     parts = []
-    for name, columns in SCANNED.items():
-        for column in columns:
-            for entity in ENTITIES:
-                if entity.by_column_name:
-                    named = re.search(entity.pattern, column, re.IGNORECASE)
-                    matched = f"count({column})" if named else "0"
-                else:
-                    matched = f"count(*) FILTER (WHERE {_hit_sql(column, entity)})"
-                parts.append(
-                    f"SELECT '{name}' AS table_name, '{column}' AS column_name, "
-                    f"'{entity.category}' AS category, '{entity.name}' AS entity, "
-                    f"{matched} AS matched, count({column}) AS non_null FROM {name}"
-                )
+    for column in columns:
+        for entity in ENTITIES:
+            if entity.by_column_name:
+                named = re.search(entity.pattern, column, re.IGNORECASE)
+                matched = f'count("{column}")' if named else "0"
+            else:
+                matched = f"count(*) FILTER (WHERE {_hit_sql(column, entity)})"
+            parts.append(
+                f"SELECT {extra} '{column}' AS column_name, "
+                f"'{entity.category}' AS category, '{entity.name}' AS entity, "
+                f'{matched} AS matched, count("{column}") AS non_null FROM {source}'
+            )
+    return parts
+
+
+def _rates_sql(parts: list[str]) -> str:
     return (
         "SELECT *, CASE WHEN non_null > 0 THEN CAST(matched AS DOUBLE) / non_null ELSE 0.0 END AS rate, "
         "non_null > 0 AND CAST(matched AS DOUBLE) / non_null >= 0.1 AS flagged FROM ("
@@ -118,6 +155,25 @@ def _report_sql() -> str:
     )
 
 
+def _report_sql() -> str:
+    parts = []
+    for name, columns in SCANNED.items():
+        parts += _counts_sql(name, columns, f"'{name}' AS table_name,")
+    return _rates_sql(parts)
+
+
+def _health_sql() -> str:
+    columns = T.StructType.fromDDL(PERSONAL_HEALTH_SCHEMA).fieldNames()
+    values = {name: "CAST(NULL AS VARCHAR)" for name in columns}
+    values |= {"mpi": "CAST(doc_id AS VARCHAR)", "firstName": "nullif(lang, '')", "lastName": "nullif(source, '')"}
+    values |= {
+        name: f"nullif(regexp_extract(text, {_quoted(pattern)}, 0), '')"
+        for name, pattern in HEALTH_COLUMNS.items()
+    }
+    picked = ", ".join(f'{values[name]} AS "{name}"' for name in columns)
+    return f"WITH health AS (SELECT {picked} FROM documents) " + _rates_sql(_counts_sql("health", columns))
+
+
 def _mask_sql(column: str) -> str:
     masked = column
     for entity in MASKED:
@@ -143,6 +199,7 @@ _ANY_HIT = " OR ".join(
 
 ORACLE = {
     "pii_column_report": _report_sql(),
+    "pii_health_table_report": _health_sql(),
     "pii_mask": f"SELECT doc_id, {_mask_sql('text')} AS text FROM documents",
     "pii_mask_conversations": f"SELECT conv_id, turn, {_mask_sql('text')} AS text FROM conversations",
     "pii_hash_flagged": "SELECT c_custkey, sha256(c_name) AS c_name, c_mktsegment FROM customer",

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from quayside import workspace
 from quayside.config import CLICKSTREAM_SCHEMA, RECORD_SCHEMA
+from quayside.functions.text import encode_base64
 from quayside.sources.delimited import as_schema
 
 HOUR_FORMAT = "%Y/%m/%d/%H"
@@ -92,6 +93,19 @@ def read_hive_hours(
     return spark.read.schema(schema).json(root).where(F.col("datehour").between(first, last))
 
 
+def to_records(bodies: DataFrame, record_id: str, body: str, arrival: str) -> DataFrame:
+    """Request bodies as delivery records: the body in base64 with its id and arrival.
+
+    Takes a batch or a stream, such as the ``key``, ``value`` and ``timestamp`` of a
+    message source.
+    """
+    return bodies.select(
+        F.col(record_id).cast("string").alias("recordId"),
+        encode_base64(F.col(body).cast("string")).alias("data"),
+        F.col(arrival).cast("timestamp_ntz").alias("arrival_ts"),
+    )
+
+
 def stream_records(spark: SparkSession, path: str, max_bytes: int | None = None) -> DataFrame:
     """Stream of base64 records; ``max_bytes`` caps one micro-batch."""
     reader = spark.readStream.schema(as_schema(RECORD_SCHEMA))
