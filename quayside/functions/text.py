@@ -114,6 +114,26 @@ def as_boolean(c: Column | str) -> Column:
     return F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False)
 
 
+def number_text(c: Column | str) -> Column:
+    """A double as its shortest decimal text: plain from 0.0001 up to below 1e16.
+
+    Outside that range the exponent has a sign and two digits at least: ``1e+16``.
+    """
+    value = col(c)
+    size = F.abs(value)
+    spark_text = value.cast("string")
+    digits = F.rtrim(value.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
+    plain = F.when(F.endswith(digits, F.lit(".")), F.concat(digits, F.lit("0"))).otherwise(digits)
+    mantissa = F.regexp_replace(F.split_part(spark_text, F.lit("E"), F.lit(1)), r"\.0$", "")
+    power = F.split_part(spark_text, F.lit("E"), F.lit(2))
+    sign = F.when(F.startswith(power, F.lit("-")), "-").otherwise("+")
+    exponent = F.ltrim(power, F.lit("-"))
+    padded = F.when(F.length(exponent) < 2, F.concat(F.lit("0"), exponent)).otherwise(exponent)
+    scientific = F.concat(mantissa, F.lit("e"), sign, padded)
+    in_range = (size >= 1e-4) & (size < 1e16)
+    return F.when(~F.contains(spark_text, F.lit("E")), spark_text).when(in_range, plain).otherwise(scientific)
+
+
 def random_id() -> Column:
     return F.uuid()
 

@@ -40,10 +40,7 @@ DAY = dt.date(2024, 1, 31)
 def csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header CSV to dated Parquet, every column as text."""
     root = workspace.scratch(spark, "csv-to-parquet")
-    customers = table(spark, sf_dir, "customer").withColumn(
-        "c_acctbal", F.col("c_acctbal").cast("decimal(18,2)")
-    )
-    write_csv(customers, f"{root}/raw")
+    write_csv(table(spark, sf_dir, "customer"), f"{root}/raw")
     path = write_dated_parquet(read_header_csv(spark, f"{root}/raw"), f"{root}/output", DAY)
     return spark.read.parquet(path)
 
@@ -59,7 +56,7 @@ def _order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey",
         "o_custkey",
         "o_orderstatus",
-        F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"),
+        "o_totalprice",
         F.col("o_orderdate").cast("date").alias("o_orderdate"),
         "o_orderpriority",
     )
@@ -267,7 +264,7 @@ ORACLE = {
     "csv_to_parquet": """
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, nullif(c_name, '') AS c_name,
        CAST(c_nationkey AS VARCHAR) AS c_nationkey,
-       CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS c_acctbal,
+       CAST(c_acctbal AS VARCHAR) AS c_acctbal,
        nullif(c_mktsegment, '') AS c_mktsegment
 FROM customer""",
     "typed_csv_load": _ORDER_SQL,

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quayside.functions.text import number_text
 from quayside.sources.delimited import BEL
 
 # A gzip part is read back by a single task, so parts are kept to this many rows.
@@ -29,7 +30,12 @@ def write_csv(
     partition_by: str | None = None,
 ) -> str:
     """Header CSV as a folder of parts; null and empty cells are both written empty."""
-    text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+    text = df.select(
+        *[
+            (number_text(f"`{c}`") if kind == "double" else F.col(f"`{c}`").cast("string")).alias(c)
+            for c, kind in df.dtypes
+        ]
+    )
     writer = (
         text.write.mode("overwrite")
         .option("header", True)

@@ -120,6 +120,25 @@ def test_small_text(spark):
     assert len(set(values(spark, ["a", "b"], lambda c: text.random_id()))) == 2
 
 
+@SLOW
+@given(st.lists(st.integers(-10**15, 10**15).map(lambda n: n / 100), min_size=1, max_size=60))
+def test_number_text_is_plain(spark, items):
+    assert values(spark, items, text.number_text, "double") == [repr(i) for i in items]
+
+
+@SLOW
+@given(st.lists(st.one_of(st.floats(), st.floats(1e-6, 1e-2), st.floats(1e15, 1e18)), min_size=1, max_size=60))
+def test_number_text_reads_back(spark, items):
+    got = values(spark, items, text.number_text, "double")
+    assert [repr(float(g)) for g in got] == [repr(i) for i in items]
+
+
+def test_number_text_exponents(spark):
+    items = [1e16, 1.5e-5, 1e-4, 123456789012.25, -2.5e100, 0.0, -0.0, None]
+    wanted = ["1e+16", "1.5e-05", "0.0001", "123456789012.25", "-2.5e+100", "0.0", "-0.0", None]
+    assert values(spark, items, text.number_text, "double") == wanted
+
+
 def test_luhn(spark):
     digits = ["4111111111111111", "4111111111111112", "378282246310005", "0"]
     assert values(spark, digits, passes_luhn) == [True, False, True, True]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions.text import decode_base64, encode_base64
 from quayside.sinks.tables import read_published
-from quayside.sources.clickstream import read_hive_hours, read_hours, stream_records
+from quayside.sources.clickstream import read_hive_hours, read_hours, stream_records, to_records
 from quayside.sources.delimited import read_header_csv
 from quayside.sources.landing import stream_arrivals
 from quayside.streaming import arrivals, clickstream, counter
@@ -78,6 +78,19 @@ def test_a_batch_that_runs_again_replaces_itself(spark, tmp_path):
     assert not list(Path(tmp_path, "hours", "_staging").glob("*"))
 
 
+def test_delivery_keeps_running_at_an_interval(spark, tmp_path):
+    record(spark, ITEMS[:1]).write.json(f"{tmp_path}/in")
+    stream = stream_records(spark, f"{tmp_path}/in")
+    query = clickstream.deliver(stream, f"{tmp_path}/hours", f"{tmp_path}/checkpoint", interval="1 second")
+    try:
+        query.processAllAvailable()
+        record(spark, ITEMS[1:]).write.mode("append").json(f"{tmp_path}/in")
+        query.processAllAvailable()
+        assert query.isActive and delivered(spark, tmp_path) == HOURS
+    finally:
+        query.stop()
+
+
 def test_failed_records_are_kept_apart(spark, tmp_path):
     bad = spark.createDataFrame([("9", "***", ITEMS[0][2])], "recordId string, data string, arrival_ts timestamp_ntz")
     record(spark, ITEMS[:1]).unionByName(bad).write.json(f"{tmp_path}/in")
@@ -87,6 +100,13 @@ def test_failed_records_are_kept_apart(spark, tmp_path):
     assert rows(kept) == [("***",)]
 
 
+def test_message_frames_become_records(spark):
+    df = spark.createDataFrame([(bytearray(b"k"), bytearray("é".encode()), at("2024-01-01 00:00:00"))],
+                               "key binary, value binary, timestamp timestamp_ntz")
+    got = to_records(df, "key", "value", "timestamp").first()
+    assert (got.recordId, got.data, got.arrival_ts) == ("k", "w6k=", at("2024-01-01 00:00:00"))
+
+
 def test_hook_is_any_frame_function(spark, tmp_path):
     record(spark, ITEMS).write.json(f"{tmp_path}/in")
 
