@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quayside import workspace
 from quayside.functions.text import col, fill_template
-from quayside.operators.skew import HOT_SHARE, filter_join
+from quayside.operators.skew import filter_join
 from quayside.operators.spread import fill_cores
 
 # What separates tokens, and the usual BM25 parameters.
@@ -118,7 +118,7 @@ def retrieve(
         met = asked.repartition("doc_id").join(F.broadcast(_weights(index, wanted, asked)), "term")
     else:
         asked = filter_join(index.postings, wanted, ["term"], "left_semi")
-        met = _meet_by_term(index, asked, _weights(index, wanted, asked))
+        met = _meet_by_term(asked, _weights(index, wanted, asked))
     length = F.col("doc_len") / F.lit(max(index.average_length, 1e-9))
     saturation = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * length))
     contribution = F.floor(F.col("idf") * saturation * UNITS + 0.5)
@@ -136,24 +136,18 @@ def _weights(index: Index, wanted: DataFrame, asked: DataFrame) -> DataFrame:
     """Rarity of each question's terms."""
     frequency = asked.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     rarity = F.log(1 + (F.lit(index.documents) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    return wanted.join(frequency, "term").select("query_id", "term", "df", rarity.alias("idf"))
+    return wanted.join(frequency, "term").select("query_id", "term", rarity.alias("idf"))
 
 
-def _meet_by_term(index: Index, asked: DataFrame, weights: DataFrame) -> DataFrame:
+def _meet_by_term(asked: DataFrame, weights: DataFrame) -> DataFrame:
     """Postings and weights of more questions than a task can hold, joined by term.
 
-    A term that a hundredth of the documents hold is dealt over many partitions by
-    document. There are at most a hundred such terms per word of an average
-    document, so their list is small.
+    Every term is dealt over a fixed number of parts by document, so a term that
+    most documents hold is no single task's work; the weights are repeated per part.
     """
-    common = F.col("df") >= max(index.documents * HOT_SHARE, 2)
-    terms = weights.where(common).select("term", F.lit(True).alias("common")).distinct()
-    deal = F.pmod(F.xxhash64("doc_id"), F.lit(TERM_PARTS)).cast("int")
-    dealt = asked.join(F.broadcast(terms), "term", "left").withColumn(
-        "part", F.when(F.col("common"), deal).otherwise(F.lit(0))
-    )
-    copies = F.when(common, F.sequence(F.lit(0), F.lit(TERM_PARTS - 1))).otherwise(F.array(F.lit(0)))
-    return dealt.join(weights.withColumn("part", F.explode(copies)), ["term", "part"])
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(TERM_PARTS)).cast("int")
+    parts = F.explode(F.sequence(F.lit(0), F.lit(TERM_PARTS - 1)))
+    return asked.withColumn("part", part).join(weights.withColumn("part", parts), ["term", "part"])
 
 
 def assemble_prompts(

@@ -33,6 +33,7 @@ from quayside.sources.delimited import (
 )
 from quayside.sources.items import read_items_export, tagged_item
 from quayside.sources.tables import run_scripts
+from quayside.streaming.items import put_items
 
 DAY = dt.date(2024, 1, 31)
 
@@ -162,6 +163,25 @@ def latest_item_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_published(spark, f"{root}/state")
 
 
+def latest_item_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same puts as a stream, merged batch by batch into the published state."""
+    root = workspace.scratch(spark, "item-stream")
+    puts = table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("id"),
+        F.col("event_type").alias("name"),
+        F.col("value").alias("score"),
+        F.col("ts").alias("updated_at"),
+        F.col("event_id").alias("seq"),
+    )
+    # Two landings, so that the second batch meets the state of the first.
+    late = F.col("score").isNull() | (F.col("score") > 50)
+    for half in (late, ~late):
+        puts.where(half).write.mode("append").parquet(f"{root}/puts")
+        stream = spark.readStream.schema(puts.schema).parquet(f"{root}/puts")
+        put_items(stream, ["id", "name"], ["updated_at", "seq"], f"{root}/state", f"{root}/checkpoint")
+    return read_published(spark, f"{root}/state")
+
+
 def staged_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed orders as target; urgent orders, closed or not, staged with a new price."""
     orders = table(spark, sf_dir, "orders")
@@ -246,6 +266,7 @@ QUERIES = {
     "width_profile": document_widths,
     "pk_violations": pk_violations,
     "latest_item_per_key": latest_item_per_key,
+    "latest_item_stream": latest_item_stream,
     "staged_upsert": staged_upsert,
     "scripted_upsert": scripted_upsert,
     "sales_lead_import": sales_lead_import,
@@ -296,6 +317,13 @@ SELECT id, name, score, "isActive", updated_at, seq FROM (
          row_number() OVER (PARTITION BY user_id, event_type
                             ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn
   FROM events)
+WHERE rn = 1""",
+    "latest_item_stream": """
+SELECT id, name, score, updated_at, seq FROM (
+  SELECT CAST(user_id AS VARCHAR) AS id, event_type AS name, value AS score, ts AS updated_at, event_id AS seq,
+         row_number() OVER (PARTITION BY user_id, event_type
+                            ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn
+  FROM events)
 WHERE rn = 1""",
     "sales_lead_import": """
 SELECT nullif(c_mktsegment, '') AS leadsource, 'buyer' AS jobrole,

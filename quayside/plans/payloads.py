@@ -101,7 +101,8 @@ def user_child_union_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = workspace.scratch(spark, "enrollments")
     orders = table(spark, sf_dir, "orders")
     frames = []
-    for parity, kind in enumerate(("string", "bigint")):
+    finished = F.col("o_orderstatus").eqNullSafe("F")
+    for chosen, kind in ((finished, "string"), (~finished, "bigint")):
         month = F.date_format("o_orderdate", "yyyyMM").cast(kind)
         row = F.struct(
             F.col("o_orderkey").alias("Id"),
@@ -110,7 +111,7 @@ def user_child_union_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col("o_orderkey") % 7).cast(kind).alias("CourseCollectionId"),
         )
         path = f"{root}/{kind}"
-        orders.where(F.col("o_orderkey") % 2 == parity).select(
+        orders.where(chosen).select(
             F.to_json(F.array(row)).alias("value")
         ).write.text(path)
         page = read_array(spark, path, ENROLLMENT.format(kind=kind), multi_line=False)

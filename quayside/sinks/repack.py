@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -24,6 +25,9 @@ from quayside.sources.delimited import read_header_csv
 from quayside.sources.landing import list_files
 
 
+FILES_AT_ONCE = 5
+
+
 class IncompleteDelivery(RuntimeError):
     """Required files are missing, or files arrived that the gate does not allow."""
 
@@ -74,13 +78,16 @@ def repack(
     for row in only_required(present, required).orderBy("arrival").collect():
         moved.setdefault(row.file, []).append(f"{landing}/{row.arrival}")
     folder = f"{destination}/{day:%Y%m%d}"
-    counts = {}
-    for name, paths in sorted(moved.items()):
-        rows = union_outer([read_header_csv(spark, p, multi_line=multi_line) for p in paths])
+
+    def write(name: str) -> int:
+        rows = union_outer([read_header_csv(spark, p, multi_line=multi_line) for p in moved[name]])
         seen = Observation()
         observed = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
         write_csv(observed, f"{folder}/{name}.gz", ",", "gzip", ROWS_PER_GZIP)
-        counts[name] = int(seen.get["rows"])
+        return int(seen.get["rows"])
+
+    with ThreadPoolExecutor(max_workers=FILES_AT_ONCE) as pool:
+        counts = dict(zip(sorted(moved), pool.map(write, sorted(moved))))
     mark_run(spark, log, source, day, counts)
     for paths in moved.values():
         for path in paths:

@@ -33,6 +33,10 @@ def refresh_table(df: DataFrame, name: str) -> None:
     df.select(*columns).write.mode("overwrite").insertInto(name)
 
 
+def version_path(root: str, number: int) -> str:
+    return f"{root}/version={number:08d}"
+
+
 def versions(spark: SparkSession, root: str) -> list[str]:
     """Committed versions below a folder, oldest first."""
     found = workspace.glob(spark, f"{root}/version=*/_SUCCESS")
@@ -47,7 +51,7 @@ def publish(df: DataFrame, root: str) -> str:
     """
     done = versions(df.sparkSession, root)
     number = int(done[-1].rsplit("=", 1)[1]) + 1 if done else 1
-    path = f"{root}/version={number:08d}"
+    path = version_path(root, number)
     df.write.mode("overwrite").parquet(path)
     return path
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from quayside.operators.profile import visit_counts
+from quayside.sinks.tables import version_path
 from quayside.streaming.jobs import start
 
 
@@ -19,7 +20,7 @@ def count_visits(
     """
 
     def publish_totals(totals: DataFrame, batch_id: int) -> None:
-        totals.write.mode("overwrite").parquet(f"{root}/version={batch_id + 1:08d}")
+        totals.write.mode("overwrite").parquet(version_path(root, batch_id + 1))
 
     counted = visit_counts(visits, page)
     writer = counted.writeStream.outputMode("complete").foreachBatch(publish_totals)

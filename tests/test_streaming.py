@@ -12,6 +12,7 @@ from quayside.sources.clickstream import read_hive_hours, read_hours, stream_rec
 from quayside.sources.delimited import read_header_csv
 from quayside.sources.landing import stream_arrivals
 from quayside.streaming import arrivals, clickstream, counter
+from quayside.streaming import items as items_stream
 
 DAY = dt.date(2024, 1, 31)
 FIRST, LAST = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 3)
@@ -129,6 +130,25 @@ def test_hive_folders_hold_the_same(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(datehour" in plan
 
 
+def test_puts_merge_and_replay(spark, tmp_path):
+    schema = "id string, at int, v string"
+
+    def put(items):
+        spark.createDataFrame(items, schema).write.mode("append").json(f"{tmp_path}/in")
+        stream = spark.readStream.schema(schema).json(f"{tmp_path}/in")
+        items_stream.put_items(stream, ["id"], ["at"], f"{tmp_path}/state", f"{tmp_path}/checkpoint")
+
+    put([("a", 5, "x"), ("b", 1, "y")])
+    put([("a", 4, "late"), ("b", 2, "z"), ("c", 1, "w")])
+    wanted = [("a", 5, "x"), ("b", 2, "z"), ("c", 1, "w")]
+    assert rows(read_published(spark, f"{tmp_path}/state")) == wanted
+    commits = sorted(Path(tmp_path, "checkpoint", "commits").glob("[0-9]*"))
+    commits[-1].unlink()
+    commits[-1].with_name(f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    put([])
+    assert rows(read_published(spark, f"{tmp_path}/state")) == wanted
+
+
 def csv_file(root, name, lines):
     path = Path(root, "raw", name)
     path.parent.mkdir(parents=True, exist_ok=True)
