@@ -172,7 +172,7 @@ def header_csv_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = workspace.scratch(spark, "names")
     landing = _land_orders(spark, sf_dir, root)
     below = F.element_at(F.split(F.url_decode(F.col("_metadata.file_path")), "/"), -2)
-    rows = read_header_csv(spark, workspace.children(spark, landing), multi_line=True)
+    rows = read_header_csv(spark, workspace.children(spark, landing))
     return rows.select("o_orderkey", below.alias("arrival"))
 
 

@@ -61,7 +61,7 @@ def repack(
     log: str,
     exact: bool = True,
     lower: bool = True,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> Repacked:
     """Gate a delivery, write each required file to ``{destination}/{yyyyMMdd}/{file}.gz``,
     record the run, and only then delete what was moved.

@@ -11,7 +11,20 @@ from pyspark.sql import types as T
 BEL = "\u0007"
 
 
-def _reader(spark: SparkSession, sep: str, multi_line: bool):
+def cells_span_lines(spark: SparkSession, path: str | list[str]) -> bool:
+    """True when a quoted cell may run over a line end.
+
+    A cell that does leaves an odd number of quotes on its first line. Counting them
+    reads the files as plain lines, split over all tasks.
+    """
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return spark.read.text(path).agg(F.max(quotes % 2).alias("odd")).first().odd == 1
+
+
+def _reader(spark: SparkSession, path: str | list[str], sep: str, multi_line: bool | None):
+    """CSV reader; unless told, files are read whole only if their cells span lines."""
+    if multi_line is None:
+        multi_line = cells_span_lines(spark, path)
     return (
         spark.read.option("header", True)
         .option("sep", sep)
@@ -26,14 +39,14 @@ def as_schema(schema: str | T.StructType) -> T.StructType:
 
 
 def read_header_csv(
-    spark: SparkSession, path: str | list[str], sep: str = ",", multi_line: bool = False
+    spark: SparkSession, path: str | list[str], sep: str = ",", multi_line: bool | None = None
 ) -> DataFrame:
     """Every column as text, named by the header line; blank cells are null.
 
-    Without ``multi_line`` a large file is split over many tasks; set it for files
-    whose quoted cells may hold line breaks.
+    Large files are split over many tasks unless a quoted cell holds a line break,
+    which ``multi_line`` states and is otherwise looked up in the files.
     """
-    return _reader(spark, sep, multi_line).csv(path)
+    return _reader(spark, path, sep, multi_line).csv(path)
 
 
 def read_typed_csv(
@@ -42,17 +55,16 @@ def read_typed_csv(
     schema: str | T.StructType,
     sep: str = ",",
     mode: str = "FAILFAST",
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """Load with a declared schema by position, skipping the header line.
 
-    Quoted cells may hold line breaks, as in the bulk load. Turn ``multi_line`` off
-    for plain files that are large enough to be worth splitting.
+    Quoted cells may hold line breaks, as in the bulk load.
     ``mode`` decides on rows that do not fit: ``FAILFAST`` stops the load,
     ``PERMISSIVE`` keeps them with nulls, ``DROPMALFORMED`` leaves them out.
     """
     return (
-        _reader(spark, sep, multi_line)
+        _reader(spark, path, sep, multi_line)
         .schema(as_schema(schema))
         .option("enforceSchema", True)
         .option("mode", mode)
@@ -68,7 +80,7 @@ def read_bel_csv(
     A gzip part is read by one task in any case, so line breaks inside quotes are
     always honoured here.
     """
-    reader = _reader(spark, BEL, True)
+    reader = _reader(spark, path, BEL, True)
     if columns:
         schema = T.StructType([T.StructField(name.lower(), T.StringType()) for name in columns])
         reader = reader.schema(schema).option("enforceSchema", True)
@@ -80,7 +92,7 @@ def import_mapped_csv(
     path: str | list[str],
     schema: str | T.StructType,
     mapping: Mapping[str, str] | None = None,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """Bring a header CSV into a declared table: match by lower-cased name, then cast.
 

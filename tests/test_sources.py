@@ -40,6 +40,23 @@ def test_typed_csv_keeps_line_breaks(spark, tmp_path):
     assert rows(delimited.read_typed_csv(spark, path, "x int, y string")) == [(1, "a\nb")]
 
 
+def test_only_files_with_broken_lines_are_read_whole(spark, tmp_path):
+    plain = put(tmp_path / "plain.csv", "x,y\n" + "".join(f'{i},"a ""{i}"""\n' for i in range(2000)))
+    broken = put(tmp_path / "broken.csv", 'x,y\n1,"a\n\nb"\n2,c\n')
+    assert not delimited.cells_span_lines(spark, plain) and delimited.cells_span_lines(spark, [plain, broken])
+    assert rows(delimited.read_header_csv(spark, broken)) == [("1", "a\n\nb"), ("2", "c")]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for key in before:
+            spark.conf.set(key, "4096")
+        split = delimited.read_typed_csv(spark, plain, "x int, y string")
+        assert split.rdd.getNumPartitions() > 3 and split.count() == 2000
+        assert split.where("y = concat('a \"', x, '\"')").count() == 2000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_mapped_import(spark, tmp_path):
     path = put(tmp_path / "a.csv", "NAME,Number,Id,extra\nann,5,1,z\n,,2,z\n")
     df = delimited.import_mapped_csv(spark, path, "id int, name string, phone int", {"phone": "Number"})
