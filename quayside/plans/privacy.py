@@ -6,7 +6,6 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quayside import workspace
 from quayside.config import PERSONAL_HEALTH_SCHEMA
@@ -55,6 +54,8 @@ def pii_hash_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return privacy.hash_columns(customers, privacy.flagged_columns(report))
 
 
+HEALTH_NAMES = [field.split()[0] for field in PERSONAL_HEALTH_SCHEMA.split(", ")]
+
 # Where each column of the personal-health table is found in a document.
 HEALTH_COLUMNS = {
     "email": patterns.EMAIL,
@@ -69,7 +70,7 @@ HEALTH_COLUMNS = {
 def pii_health_table_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The declared personal-health table loaded from CSV and profiled, all 13 columns."""
     root = workspace.scratch(spark, "health")
-    columns = T.StructType.fromDDL(PERSONAL_HEALTH_SCHEMA).fieldNames()
+    columns = HEALTH_NAMES
     values = {name: F.lit(None).cast("string") for name in columns}
     values |= {"mpi": F.col("doc_id").cast("string"), "firstName": F.col("lang"), "lastName": F.col("source")}
     values |= {
@@ -163,7 +164,7 @@ def _report_sql() -> str:
 
 
 def _health_sql() -> str:
-    columns = T.StructType.fromDDL(PERSONAL_HEALTH_SCHEMA).fieldNames()
+    columns = HEALTH_NAMES
     values = {name: "CAST(NULL AS VARCHAR)" for name in columns}
     values |= {"mpi": "CAST(doc_id AS VARCHAR)", "firstName": "nullif(lang, '')", "lastName": "nullif(source, '')"}
     values |= {

@@ -59,7 +59,7 @@ def test_plan_has_no_python_and_no_cross_join(spark, sf_small, name):
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", plan)
 
 
-@pytest.mark.parametrize("name", ["monitor_current_status", "latest_item_per_key", "doc_retrieve_topk"])
+@pytest.mark.parametrize("name", ["monitor_current_status", "monitor_late_weekly", "doc_retrieve_topk"])
 def test_best_rows_are_cut_before_the_shuffle(spark, sf_small, name):
     plan = plan_of(QUERIES[name](spark, sf_small))
     assert re.search(r"WindowGroupLimit .*Partial", plan)
