@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,6 +57,11 @@ def any_rows(df: DataFrame) -> bool:
     return not df.isEmpty()
 
 
+def exists_by(df: DataFrame, by: Sequence[str], condition: Column) -> DataFrame:
+    """Existence test per group: does any row meet the condition."""
+    return df.groupBy(*by).agg(F.bool_or(F.coalesce(condition, F.lit(False))).alias("found"))
+
+
 def visit_counts(visits: DataFrame, page: str) -> DataFrame:
     """Visits per page; the same expression serves a batch and a stream."""
     return visits.groupBy(page).agg(F.count(F.lit(1)).alias("views"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quayside import workspace
 from quayside.config import required_files
+from quayside.functions.names import base_name
 from quayside.operators.combine import union_strict
 from quayside.operators.manifest import (
     complete_at_least,
@@ -17,6 +18,7 @@ from quayside.operators.manifest import (
     manifest_report,
     present_files,
 )
+from quayside.operators.profile import exists_by
 from quayside.plans.tables import table
 from quayside.sinks.delimited import write_csv
 from quayside.sinks.repack import repack
@@ -66,6 +68,11 @@ def landing_manifest_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return complete_at_least(report, ["delivery"])
 
 
+def landing_files_exist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per delivery: has any file arrived, folder markers aside."""
+    return exists_by(_listing(spark, sf_dir), ["delivery"], F.length(base_name("path")) > 0)
+
+
 ORDER_FILES = "ordersf.csv;orderso.csv;ordersp.csv"
 FILE_SCHEMA = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string"
 
@@ -180,6 +187,7 @@ QUERIES = {
     "landing_manifest_files": landing_manifest_files,
     "landing_manifest_exact": landing_manifest_exact,
     "landing_manifest_contains": landing_manifest_contains,
+    "landing_files_exist": landing_files_exist,
     "landing_repack": landing_repack,
     "landing_run_log": landing_run_log,
     "landing_file_names": header_csv_names,
@@ -240,6 +248,10 @@ FROM report GROUP BY delivery""",
 SELECT delivery, count(*) FILTER (WHERE present < required) AS missing,
        bool_and(present >= required) AS complete
 FROM report GROUP BY delivery""",
+    "landing_files_exist": f"""
+WITH {_CLEAN}
+SELECT CAST(delivery AS INTEGER) AS delivery, bool_or(coalesce(name <> '', false)) AS found
+FROM listing GROUP BY 1""",
     "landing_repack": _LANDED.format(
         cols="o_orderkey, o_custkey, o_orderstatus, nullif(o_orderpriority, '') AS o_orderpriority, "
         "'orders' || lower(o_orderstatus) || '.csv' AS file"

@@ -27,8 +27,9 @@ def read_json_table(
     return spark.read.schema(as_schema(schema)).option("mode", mode).json(path)
 
 
-def hours_between(start: dt.datetime, end: dt.datetime) -> list[str]:
-    """Hour folders from ``start`` to ``end``, both included."""
+def hours_between(start: dt.datetime, end: dt.datetime | None = None) -> list[str]:
+    """Hour folders from ``start`` to ``end``, both included; without an end, to now in UTC."""
+    end = end or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     hour = start.replace(minute=0, second=0, microsecond=0)
     found = []
     while hour <= end:
@@ -37,7 +38,9 @@ def hours_between(start: dt.datetime, end: dt.datetime) -> list[str]:
     return found
 
 
-def hour_paths(spark: SparkSession, root: str, start: dt.datetime, end: dt.datetime) -> list[str]:
+def hour_paths(
+    spark: SparkSession, root: str, start: dt.datetime, end: dt.datetime | None = None
+) -> list[str]:
     """Existing folders of a range: a day that is wanted whole is one folder.
 
     Days are found by one listing per month and hours by one per cut day, so the
@@ -62,7 +65,7 @@ def read_hours(
     spark: SparkSession,
     root: str,
     start: dt.datetime,
-    end: dt.datetime,
+    end: dt.datetime | None = None,
     schema: str | T.StructType = CLICKSTREAM_SCHEMA,
 ) -> DataFrame:
     """Rows of the hours in range with their ``datehour``, reading only those folders."""
@@ -84,13 +87,14 @@ def read_hive_hours(
     spark: SparkSession,
     root: str,
     start: dt.datetime,
-    end: dt.datetime,
+    end: dt.datetime | None = None,
     schema: str | T.StructType = CLICKSTREAM_SCHEMA,
 ) -> DataFrame:
     """The same range over ``datehour=`` folders, pruned by Spark's partition filter."""
     schema = as_schema(schema).add("datehour", T.StringType())
-    first, last = start.strftime(HOUR_FORMAT), end.strftime(HOUR_FORMAT)
-    return spark.read.schema(schema).json(root).where(F.col("datehour").between(first, last))
+    hours = hours_between(start, end)
+    rows = spark.read.schema(schema).json(root)
+    return rows.where(F.col("datehour").between(hours[0], hours[-1]) if hours else F.lit(False))
 
 
 def to_records(bodies: DataFrame, record_id: str, body: str, arrival: str) -> DataFrame:

@@ -12,8 +12,7 @@ from quayside.sources.delimited import as_schema
 
 def parse_json(c: Column | str, schema: str | T.StructType) -> Column:
     """Parse JSON text; single-quoted text is accepted, broken text gives null."""
-    kind = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-    return F.from_json(col(c), kind, {"allowSingleQuotes": "true"})
+    return F.from_json(col(c), schema, {"allowSingleQuotes": "true"})
 
 
 def _items_schema(items: str | T.StructType) -> T.StructType:

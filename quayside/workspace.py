@@ -34,6 +34,13 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/quayside/{app}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def release(spark: SparkSession) -> None:
+    """Delete this application's scratch folders, once their results have been read."""
+    folder = f"{shared_root(spark)}/quayside/{spark.sparkContext.applicationId}"
+    if exists(spark, folder):
+        delete(spark, folder)
+
+
 def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 

@@ -92,6 +92,12 @@ def test_hours_are_found_by_range(spark, tmp_path):
     assert clickstream.read_hours(spark, root, dt.datetime(2023, 1, 1), dt.datetime(2023, 1, 2)).count() == 0
 
 
+def test_open_range_ends_now(spark, tmp_path):
+    hours = clickstream.hours_between(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - dt.timedelta(hours=2))
+    assert len(hours) == 3
+    assert clickstream.read_hours(spark, hour_tree(tmp_path), dt.datetime(2024, 1, 2)).count() == 2
+
+
 def test_hour_paths_leave_other_hours_alone(spark, tmp_path):
     root = hour_tree(tmp_path)
     paths = clickstream.hour_paths(spark, root, dt.datetime(2024, 1, 1, 22), dt.datetime(2024, 1, 1, 22))
@@ -204,6 +210,15 @@ def test_documents_below_prefix(spark, tmp_path):
     assert rows(found) == [("one\ntwo\n", True)]
 
 
+def test_release_deletes_only_this_application(spark):
+    other = f"{spark.conf.get('spark.checkpoint.dir')}/quayside/other/x"
+    mine = workspace.scratch(spark, "mine")
+    for path in (other, mine):
+        spark.range(1).write.parquet(path)
+    workspace.release(spark)
+    assert workspace.exists(spark, other) and not workspace.exists(spark, mine)
+
+
 def test_scratch_comes_from_the_session_setting(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = workspace.scratch(spark, "x"), workspace.scratch(spark, "x")
