@@ -13,9 +13,9 @@ from quayside.functions.names import base_name, clean_file_name, is_blank_name
 def present_files(
     listing: DataFrame, path: str = "path", by: Sequence[str] = (), lower: bool = True
 ) -> DataFrame:
-    """Cleaned file names of a listing; folder markers are skipped."""
+    """Cleaned file names of a listing; a folder marker names no file and is null."""
     named = listing.select(*by, clean_file_name(base_name(path), lower).alias("file"))
-    return named.where(~is_blank_name("file"))
+    return named.withColumn("file", F.when(~is_blank_name("file"), F.col("file")))
 
 
 def only_required(df: DataFrame, required: Sequence[str], column: str = "file") -> DataFrame:
@@ -31,7 +31,7 @@ def manifest_report(
     The listing is counted by name first, so a delivery or a name that floods it
     shrinks to one row per task before the shuffle. The deliveries are taken from
     those counts, each gets the required names, and both sides are added up; the
-    listing is read once.
+    listing is read once. A delivery of nothing but folder markers misses every file.
     """
     by = list(by)
     counted = present.groupBy(*by, "file").agg(F.count(F.lit(1)).alias("present"))
@@ -42,7 +42,8 @@ def manifest_report(
         deliveries = present.sparkSession.range(1)
     expected = F.explode(F.array(*[F.lit(name) for name in required])).alias("file")
     wanted = deliveries.select(*by, expected, F.lit(0).cast("bigint").alias("present"))
-    stacked = counted.withColumn("required", F.lit(0)).unionByName(
+    named = counted.where(F.col("file").isNotNull())
+    stacked = named.withColumn("required", F.lit(0)).unionByName(
         wanted.withColumn("required", F.lit(1))
     )
     counted = stacked.groupBy(*by, "file").agg(

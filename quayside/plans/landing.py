@@ -219,7 +219,7 @@ def _report(manifest: str) -> str:
     return f"""
 WITH {_CLEAN},
 wanted AS (
-  SELECT delivery, file FROM (SELECT DISTINCT delivery FROM counted), (VALUES {names}) AS v(file)
+  SELECT delivery, file FROM (SELECT DISTINCT CAST(delivery AS INTEGER) AS delivery FROM listing), (VALUES {names}) AS v(file)
 ),
 report AS (
   SELECT coalesce(c.delivery, w.delivery) AS delivery, coalesce(c.file, w.file) AS file,

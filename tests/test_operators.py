@@ -254,6 +254,12 @@ def test_manifest(spark, paths, exactly, at_least):
     assert manifest.complete_at_least(report).first().complete is at_least
 
 
+def test_a_delivery_of_markers_misses_everything(spark):
+    df = spark.createDataFrame([(1, "in/"), (2, "in/a.csv"), (2, None)], "d int, path string")
+    report = manifest.manifest_report(manifest.present_files(df, by=["d"]), ["a.csv"], ["d"])
+    assert rows(report) == [(1, "a.csv", 0, 1, "missing"), (2, "a.csv", 1, 1, "ok")]
+
+
 def test_manifest_equals_multiset_comparison(spark):
     random.seed(5)
     required = ["a.csv", "b.csv", "c.csv"]
