@@ -36,13 +36,13 @@ def manifest_report(
     by = list(by)
     counted = present.groupBy(*by, "file").agg(F.count(F.lit(1)).alias("present"))
     if by:
-        # Keeping the count in use lets both branches share the counted shuffle.
         deliveries = counted.groupBy(*by).agg(F.max("present").alias("most")).where("most > 0")
     else:
         deliveries = present.sparkSession.range(1)
     expected = F.explode(F.array(*[F.lit(name) for name in required])).alias("file")
     wanted = deliveries.select(*by, expected, F.lit(0).cast("bigint").alias("present"))
-    named = counted.where(F.col("file").isNotNull())
+    # Both branches use the count, so both keep the one counted shuffle.
+    named = counted.where(F.when(F.col("file").isNotNull(), F.col("present")) > 0)
     stacked = named.withColumn("required", F.lit(0)).unionByName(
         wanted.withColumn("required", F.lit(1))
     )
