@@ -31,7 +31,7 @@ CONFIG = {
 }
 ITEM_SCHEMA = (
     "id bigint, name string, who struct<user: bigint, tags: array<string>>, "
-    "marks array<struct<n: int, w: double>>"
+    "marks array<struct<n: string, w: double>>"
 )
 
 
@@ -162,9 +162,9 @@ SELECT id, name, user_id AS who_user,
        CASE WHEN k % 4 >= 1 THEN 'a' END AS who_tags_0,
        CASE WHEN k % 4 >= 2 THEN 'b' END AS who_tags_1,
        CASE WHEN k % 4 >= 3 THEN 'c' END AS who_tags_2,
-       CASE WHEN k % 3 >= 1 THEN 1 END AS marks_0_n,
+       CASE WHEN k % 3 >= 1 THEN '1' END AS marks_0_n,
        CASE WHEN k % 3 >= 1 THEN value END AS marks_0_w,
-       CASE WHEN k % 3 >= 2 THEN 2 END AS marks_1_n,
+       CASE WHEN k % 3 >= 2 THEN '2' END AS marks_1_n,
        CASE WHEN k % 3 >= 2 THEN value END AS marks_1_w
 FROM items"""
 _PATHS = (
