@@ -4,8 +4,8 @@ A document is the set of its five-word shingles; documents of one set are one
 class from the start. Each run splits all sets again and again: a bucket picks
 one or two positions of a min-hash signature, and sets that hold the same value
 there go on together. Buckets that are small enough are compared pair by pair;
-buckets that stay large to the last level are compared in square blocks, so
-that none is too large for a task and none is left out. Runs are repeated until
+buckets that hardly shrink, or stay large to the last level, are compared in
+square blocks, so that none is too large for a task and none is left out. Runs are repeated until
 the links seen once and twice say that the target recall is reached.
 
 A pair may meet in several buckets. It counts in the first of them only, which
@@ -34,8 +34,10 @@ TENTHS = 8
 SIGNATURE = 64
 #: Buckets up to this many sets are compared at once; larger ones are split, at the last level into blocks.
 SMALL = 128
-BLOCK = 256
+BLOCK = 1024
 DEPTH = 4
+#: A bucket that keeps more than this share of the one it came from holds sets that are alike; it is not split again.
+ALIKE = 0.5
 TARGET_RECALL = 0.999
 FIRST_RUNS, MORE_RUNS, MOST_RUNS = 6, 3, 60
 
@@ -141,18 +143,20 @@ def _children(node: Column, sig: Column) -> Column:
 def buckets(spark: SparkSession, sets: DataFrame, runs: range) -> DataFrame:
     """``(node, k, n)``: the buckets of two sets or more that these runs end in, with their sizes."""
     roots = F.explode(F.array(*[F.lit(run << 56).cast("long") for run in runs]))
-    rows = sets.select("k", "sig", roots.alias("node"))
+    rows = sets.select("k", "sig", F.lit(None).cast("long").alias("up"), roots.alias("node"))
     ended: DataFrame | None = None
     for depth in range(1, DEPTH + 1):
-        rows = staged(spark, rows.select("k", F.explode(_children(F.col("node"), F.col("sig"))).alias("node")), "paths")
+        rows = staged(spark, rows.select("k", "up", F.explode(_children(F.col("node"), F.col("sig"))).alias("node")), "paths")
         sizes = staged(spark, rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
-        told = staged(spark, rows.join(sizes, "node").select("node", "k", "n"), "told")
-        done = told if depth == DEPTH else told.where(F.col("n") <= SMALL)
+        told = staged(spark, rows.join(sizes, "node").select("node", "k", "n", "up"), "told")
+        alike = F.coalesce(F.col("n") > ALIKE * F.col("up"), F.lit(False))
+        ends = F.lit(True) if depth == DEPTH else (F.col("n") <= SMALL) | alike
+        done = told.where(ends).select("node", "k", "n")
         ended = done if ended is None else ended.unionByName(done)
-        large = told.where(F.col("n") > SMALL)
+        large = told.where(~ends)
         if depth == DEPTH or large.isEmpty():
             break
-        rows = large.select("node", "k").join(sets.select("k", "sig"), "k")
+        rows = large.select("node", "k", F.col("n").alias("up")).join(sets.select("k", "sig"), "k")
     return ended
 
 
