@@ -97,21 +97,27 @@ def mixed(docs: DataFrame, weight: Column | None = None, seed: str = SEED) -> Da
         size_of(text).alias("size"),
         sampling_key(identity, weight if weight is not None else quality_weight(text), seed).alias("key"),
     ), "mix-sizes")
+    spark = docs.sparkSession
     summed = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    # Small tables are written out, so that what joins them is planned by their real size: one side
+    # is broadcast if it is small, and otherwise both are plain shuffles whose hot sources Spark splits.
     targets = budgets(summed).withColumn(
         "epochs", F.floor(F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0)).cast("long")
     ).withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size"))
+    targets = staged(spark, targets, "mix-targets")
     fine = F.floor(F.col("key") * (GRID * GRID)).cast("long")
     placed = rows.withColumn("coarse", F.floor(fine / GRID).cast("long")).withColumn("fine", fine)
 
     # Where the budget ends: first among the coarse ranges, then among the fine ones of that range.
     named = targets.select(F.col("source").alias("s"), "budget")
     coarse = _ending(placed.groupBy("source", "coarse").agg(F.sum("size").alias("size")), "coarse", named)
+    coarse = staged(spark, coarse, "mix-coarse")
     inside = placed.join(coarse, placed["source"].eqNullSafe(coarse["s"]) & (placed["coarse"] == coarse["at"]), "left_semi")
     fine_sums = inside.groupBy("source", "fine").agg(F.sum("size").alias("size"))
     fine_end = _ending(fine_sums, "fine", coarse.select("s", (F.col("budget") - F.col("before")).alias("budget")))
     ends = targets.join(fine_end.select(F.col("s").alias("s1"), F.col("at"), F.col("before"), F.col("budget").alias("left")), F.col("source").eqNullSafe(F.col("s1")), "left")
     ends = ends.select(F.col("source").alias("s"), "source_size", "target", "epochs", "at", (F.col("left") - F.col("before")).alias("left"))
+    ends = staged(spark, ends, "mix-ends")
 
     whole = placed.join(ends, placed["source"].eqNullSafe(ends["s"]), "left")
     last = F.col("fine") == F.col("at")
