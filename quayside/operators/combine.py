@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -32,21 +33,29 @@ def cast_to_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def union_outer(frames: Sequence[DataFrame]) -> DataFrame:
     """Stack by name: the columns of all frames, nulls where one lacks them, copies kept.
 
-    A column whose type differs between frames becomes text.
+    A column whose type differs between frames gets the wider number type if all are
+    numbers, and becomes text otherwise.
     """
-    kinds: dict[str, set[str]] = {}
+    kinds: dict[str, dict[str, T.DataType]] = {}
     for frame in frames:
         for field in frame.schema.fields:
             if field.dataType.typeName() != "void":
-                kinds.setdefault(field.name, set()).add(field.dataType.simpleString())
-    mixed = {name for name, found in kinds.items() if len(found) > 1}
+                kinds.setdefault(field.name, {})[field.dataType.simpleString()] = field.dataType
+    mixed = {name: _common(list(found.values())) for name, found in kinds.items() if len(found) > 1}
     alike = [
-        frame.withColumns({n: F.col(f"`{n}`").cast("string") for n in frame.columns if n in mixed})
+        frame.withColumns({n: F.col(f"`{n}`").cast(mixed[n]) for n in frame.columns if n in mixed})
         for frame in frames
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), alike)
 
 
+def _common(kinds: list[T.DataType]) -> str:
+    """Integers widen to ``bigint``, any other mix of numbers to ``double``, the rest to text."""
+    if all(isinstance(kind, T.IntegralType) for kind in kinds):
+        return "bigint"
+    return "double" if all(isinstance(kind, T.NumericType) for kind in kinds) else "string"
+
+
 def union_strict(frames: Sequence[DataFrame]) -> DataFrame:
     """Stack frames of one schema; a different name or type is an error."""
     first = dict(frames[0].dtypes)

@@ -41,8 +41,9 @@ def flatten(df: DataFrame, max_columns: int = 4000) -> DataFrame:
     Objects are opened first; the widths of all lists then in sight come from one
     aggregate over the data, so the number of passes is how deep lists lie within
     lists. Empty lists and empty objects give no column. Where two paths give one
-    name, the later path that has a value wins. Data too wide for columns goes
-    through ``flatten_entries``.
+    name, the later path that has a value wins. Where lists would make more than
+    ``max_columns`` columns, the widest of them stay one column each: a map from the
+    rest of the path to the value as text.
     """
     while True:
         kinds = {type(f.dataType) for f in df.schema.fields}
@@ -58,20 +59,26 @@ def flatten(df: DataFrame, max_columns: int = 4000) -> DataFrame:
 def _open(df: DataFrame, widths: dict[str, int], max_columns: int) -> DataFrame:
     """One level: every object into its fields, every list of known width into its elements."""
     parts: dict[str, list[tuple[Column, T.DataType]]] = {}
+    widths, mapped = dict(widths), set()
+    while widths and sum(widths.values()) + len(df.columns) - len(widths) > max_columns:
+        mapped.add(max(widths, key=lambda name: (widths[name], name)))
+        del widths[max(widths, key=lambda name: (widths[name], name))]
     for field in df.schema.fields:
         value, kind = F.col(f"`{field.name}`"), field.dataType
         if isinstance(kind, T.StructType):
             for sub in kind.fields:
                 item = (value.getField(sub.name), sub.dataType)
                 parts.setdefault(f"{field.name}_{sub.name}", []).append(item)
+        elif field.name in mapped:
+            entries = _entries(value, kind, F.lit(""))
+            cut = F.transform(entries, lambda e: F.struct(F.substring(e["path"], 2, 2**31 - 1), e["value"]))
+            parts.setdefault(field.name, []).append((F.map_from_entries(cut), T.MapType(T.StringType(), T.StringType())))
         elif field.name in widths:
             for at in range(widths[field.name]):
                 item = (F.get(value, F.lit(at)), kind.elementType)
                 parts.setdefault(f"{field.name}_{at}", []).append(item)
         else:
             parts.setdefault(field.name, []).append((value, kind))
-    if len(parts) > max_columns:
-        raise ValueError(f"{len(parts)} columns after flattening; use flatten_entries")
     return df.select(*[_merge(values).alias(name) for name, values in parts.items()])
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions.patterns import CATEGORIES, ENTITIES, Entity, card_numbers, has_entity
-from quayside.operators.spread import fill_cores
 
 THRESHOLD = 0.1
 REPORT_SCHEMA = (
@@ -34,13 +33,22 @@ def entities_of(
     return chosen
 
 
-def text_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+def scalar_columns(df: DataFrame) -> list[str]:
+    """Columns that are looked at unless told: a card number may be stored as a number."""
+    nested = (T.StructType, T.ArrayType, T.MapType, T.BinaryType)
+    return [f.name for f in df.schema.fields if not isinstance(f.dataType, nested)]
 
 
-def sampled(df: DataFrame, portion: float = 1.0, seed: int = 5) -> DataFrame:
-    """Rows looked at by detection; the full portion is the frame itself."""
-    return df if portion >= 1.0 else df.sample(fraction=portion, seed=seed)
+def sampled(df: DataFrame, key: str, portion: float = 1.0) -> DataFrame:
+    """Rows looked at by detection, chosen by a hash of the key: the same in every run.
+
+    A row is in when the first 32 bits of the key's MD5 lie below the portion of their
+    range; rows without a key are out of every true portion.
+    """
+    if portion >= 1.0:
+        return df
+    bits = F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return df.where(bits < F.lit(int(portion * 2**32)))
 
 
 def column_report(
@@ -53,7 +61,7 @@ def column_report(
 
     All pairs are counted in one aggregate: one scan, one row per task shuffled.
     """
-    columns = list(columns) if columns is not None else text_columns(df)
+    columns = list(columns) if columns is not None else scalar_columns(df)
     totals = [F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(columns)]
     hits, rows = [], []
     for i, column in enumerate(columns):
@@ -77,7 +85,7 @@ def column_report(
     cells = df.select(*[F.col(f"`{c}`") for c in columns])
     if not rows:
         return df.sparkSession.createDataFrame([], REPORT_SCHEMA)
-    counted = fill_cores(cells).agg(*totals, *hits)
+    counted = cells.agg(*totals, *hits)
     report = counted.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
     rate = F.when(F.col("non_null") > 0, F.col("matched") / F.col("non_null")).otherwise(F.lit(0.0))
     return report.withColumn("rate", rate).withColumn(
@@ -122,7 +130,7 @@ def _mask_cards(text: Column, entity: Entity) -> Column:
 
 
 def mask_columns(df: DataFrame, columns: Sequence[str], entities: Sequence[Entity]) -> DataFrame:
-    return fill_cores(df).withColumns({c: mask(F.col(f"`{c}`"), entities) for c in columns})
+    return df.withColumns({c: mask(F.col(f"`{c}`"), entities) for c in columns})
 
 
 def hash_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -146,7 +154,7 @@ def holds_personal_data(columns: Sequence[str], entities: Sequence[Entity]) -> C
 def zoned(df: DataFrame, columns: Sequence[str], entities: Sequence[Entity]) -> DataFrame:
     """Mark each row ``quarantine`` or ``clean``."""
     hit = holds_personal_data(columns, entities)
-    return fill_cores(df).withColumn("zone", F.when(hit, "quarantine").otherwise("clean"))
+    return df.withColumn("zone", F.when(hit, "quarantine").otherwise("clean"))
 
 
 def write_zones(df: DataFrame, path: str) -> None:

@@ -6,11 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside import workspace
 from quayside.functions.text import col, fill_template
-from quayside.operators.skew import filter_join
-from quayside.operators.spread import fill_cores
 
 # What separates tokens, and the usual BM25 parameters.
 SEPARATOR = r"[^\p{L}\p{N}]+"
@@ -43,7 +42,7 @@ def term_index(documents: DataFrame, doc_id: str = "doc_id", text: str = "text")
     A document's words are sorted inside its row, and each run of equal words
     becomes one posting whose length is the count. Nothing is shuffled.
     """
-    sorted_words = fill_cores(documents.select(doc_id, text)).select(
+    sorted_words = documents.select(doc_id, text).select(
         F.col(doc_id).alias("doc_id"), F.sort_array(tokens(text)).alias("words")
     )
     last = F.size("words") - 1
@@ -117,7 +116,7 @@ def retrieve(
         asked = index.postings.join(F.broadcast(wanted.select("term").distinct()), "term", "left_semi")
         met = asked.repartition("doc_id").join(F.broadcast(_weights(index, wanted, asked)), "term")
     else:
-        asked = filter_join(index.postings, wanted, ["term"], "left_semi")
+        asked = index.postings.join(wanted.select("term"), "term", "left_semi")
         met = _meet_by_term(asked, _weights(index, wanted, asked))
     length = F.col("doc_len") / F.lit(max(index.average_length, 1e-9))
     saturation = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * length))
@@ -181,6 +180,6 @@ def assemble_prompts(
         "query_id",
         fill_template(template, {"context": context, "question": F.col("question")}).alias("prompt"),
         F.coalesce(
-            F.transform("hits", lambda h: h["doc_id"]), F.array().cast("array<bigint>")
+            F.transform("hits", lambda h: h["doc_id"]), F.array().cast(T.ArrayType(ranked.schema["doc_id"].dataType))
         ).alias("source_documents"),
     )

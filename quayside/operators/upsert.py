@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 
 from quayside.operators.combine import union_strict
 from quayside.operators.latest import latest_per_key
-from quayside.operators.skew import filter_join
 
 
 def upsert(
@@ -22,5 +21,5 @@ def upsert(
     With an order the staged side is first cut to the newest row of each key.
     """
     fresh = latest_per_key(staged, keys, newest_first) if newest_first else staged
-    kept = filter_join(target, staged, keys, "left_anti")
+    kept = target.join(staged.select(*keys), list(keys), "left_anti").select(*target.columns)
     return union_strict([kept, fresh.select(*target.columns)])

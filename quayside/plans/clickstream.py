@@ -11,7 +11,6 @@ from quayside import workspace
 from quayside.plans.tables import EVENT_K, event_k, table
 from quayside.sources.clickstream import read_hive_hours, read_hours, stream_records, to_records
 from quayside.streaming.clickstream import (
-    FLUSH_BYTES,
     deliver,
     deliver_hive,
     transform_records,
@@ -64,9 +63,9 @@ def clickstream_hour_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clickstream_hive_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same six hours through partition folders, delivered in bounded micro-batches."""
+    """The same six hours through partition folders, the whole backlog in one delivery."""
     root = workspace.scratch(spark, "clickstream-hive")
-    stream = _stream(spark, sf_dir, root, FLUSH_BYTES)
+    stream = _stream(spark, sf_dir, root)
     deliver_hive(stream, f"{root}/hours", f"{root}/checkpoint", interval=None)
     return read_hive_hours(spark, f"{root}/hours", *RANGE)
 

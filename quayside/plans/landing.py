@@ -135,7 +135,7 @@ def file_arrival_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = workspace.scratch(spark, "arrivals")
     files = stream_arrivals(spark, _land_customers(spark, sf_dir, root), CUSTOMER_FILE)
     to_dated_parquet(files, f"{root}/output", DAY, f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/output/{DAY:%Y-%m-%d}")
+    return spark.read.parquet(f"{root}/output/{DAY:%Y-%m-%d}/*")
 
 
 def file_arrival_to_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -86,8 +86,8 @@ def api_array_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
 def api_parent_child(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items of finished orders, from two pages with different columns."""
     lines = table(spark, sf_dir, "lineitem")
-    returned = lines.where(F.col("l_returnflag") == "R").drop("l_discount")
-    others = lines.where(F.col("l_returnflag") != "R").drop("l_tax")
+    returned = lines.where(F.col("l_returnflag").eqNullSafe("R")).drop("l_discount")
+    others = lines.where(~F.col("l_returnflag").eqNullSafe("R")).drop("l_tax")
     finished = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
     children = of_parents(union_outer([returned, others]), finished, "l_orderkey", "o_orderkey")
     return project(children, endpoint_columns(CONFIG, "DEMO", "Registration_Line_Items"))
@@ -185,11 +185,10 @@ SELECT 'marks' AS column_name, coalesce(max(k % 3), 0) AS width FROM items
 UNION ALL SELECT 'tags', coalesce(max(k % 4), 0) FROM items""",
     "api_parent_child": """
 SELECT l_orderkey, l_linenumber, l_quantity,
-       CASE WHEN l_returnflag <> 'R' THEN l_discount END AS l_discount,
+       CASE WHEN l_returnflag IS DISTINCT FROM 'R' THEN l_discount END AS l_discount,
        CAST(NULL AS VARCHAR) AS l_comment, l_shipdate
 FROM lineitem
-WHERE l_returnflag IS NOT NULL
-  AND l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""",
+WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""",
     "user_child_union_strict": """
 SELECT o_orderkey AS "Id", o_custkey AS "UserId",
        strftime(o_orderdate, '%Y%m') AS "DateCompleted",

@@ -13,7 +13,6 @@ from quayside.functions import patterns
 from quayside.functions.patterns import CARD, Entity
 from quayside.operators import privacy
 from quayside.operators.combine import union_strict
-from quayside.operators.spread import fill_cores
 from quayside.plans.tables import table
 from quayside.sinks.delimited import write_csv
 from quayside.sources.delimited import read_typed_csv
@@ -25,7 +24,7 @@ SCANNED = {
     "conversations": ("role", "text"),
     "customer": ("c_name", "c_mktsegment"),
 }
-MASKED = privacy.entities_of("universal,networking,united_states")
+MASKED = ENTITIES
 
 
 def pii_column_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +76,7 @@ def pii_health_table_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         name: F.nullif(F.regexp_extract("text", pattern, 0), F.lit(""))
         for name, pattern in HEALTH_COLUMNS.items()
     }
-    documents = fill_cores(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     write_csv(documents.select(*[values[name].alias(name) for name in columns]), root)
     loaded = read_typed_csv(spark, root, PERSONAL_HEALTH_SCHEMA)
     return privacy.column_report(loaded, ENTITIES)
@@ -92,8 +91,8 @@ def pii_quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pii_sampled_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Detection on a random portion of the rows, as the sampling option asks."""
-    documents = privacy.sampled(table(spark, sf_dir, "documents"), 0.5)
+    """Detection on a portion of the rows, as the sampling option asks."""
+    documents = privacy.sampled(table(spark, sf_dir, "documents"), "doc_id", 0.5)
     return privacy.column_report(documents, ENTITIES, ["text"])
 
 
@@ -201,6 +200,9 @@ _ANY_HIT = " OR ".join(
 ORACLE = {
     "pii_column_report": _report_sql(),
     "pii_health_table_report": _health_sql(),
+    "pii_sampled_report": "WITH sampled AS (SELECT * FROM documents WHERE "
+    "CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) < 2147483648) "
+    + _rates_sql(_counts_sql("sampled", ("text",))),
     "pii_mask": f"SELECT doc_id, {_mask_sql('text')} AS text FROM documents",
     "pii_mask_conversations": f"SELECT conv_id, turn, {_mask_sql('text')} AS text FROM conversations",
     "pii_hash_flagged": "SELECT c_custkey, sha256(c_name) AS c_name, c_mktsegment FROM customer",

@@ -12,16 +12,14 @@ from pyspark.sql import functions as F
 
 from quayside import workspace
 from quayside.functions.names import clean_file_name, is_blank_name
-from quayside.operators.combine import union_outer
 from quayside.operators.manifest import (
     complete_at_least,
     complete_exactly,
     manifest_report,
     only_required,
 )
-from quayside.sinks.delimited import ROWS_PER_GZIP, write_csv
 from quayside.sinks.runlog import mark_run
-from quayside.sources.delimited import read_header_csv
+from quayside.sources.delimited import read_typed_csv
 from quayside.sources.landing import list_files
 
 
@@ -51,6 +49,16 @@ def arrivals(spark: SparkSession, landing: str, lower: bool = True) -> DataFrame
     )
 
 
+def landed(spark: SparkSession, landing: str, moved: dict[str, list[str]]) -> dict[str, list]:
+    """The files below each file's arrivals, as ``(path, size, modified)``, in path order."""
+    return {
+        name: sorted(
+            (tuple(row) for path in paths for row in list_files(spark, f"{landing}/{path}").collect()),
+        )
+        for name, paths in moved.items()
+    }
+
+
 def repack(
     spark: SparkSession,
     landing: str,
@@ -61,13 +69,16 @@ def repack(
     log: str,
     exact: bool = True,
     lower: bool = True,
-    multi_line: bool | None = None,
+    multi_line: bool = True,
 ) -> Repacked:
-    """Gate a delivery, write each required file to ``{destination}/{yyyyMMdd}/{file}.gz``,
-    record the run, and only then delete what was moved.
-
-    Files that are not required stay where they are. A rerun after a failure
-    writes the same folders again; nothing is deleted before the record exists.
+    """Gate a delivery, copy each required file to ``{destination}/{yyyyMMdd}/{file}.gz``
+    line by line, record the run, and only then delete what was copied.
+
+    A copy is one gzip part for each landed part, header and all; cells are not
+    looked at. Only files that were listed, copied in full and have not changed
+    since are deleted; what arrives meanwhile stays, as do files that are not
+    required. A rerun after a failure writes the same folders again; nothing is
+    deleted before the record exists.
     """
     present = arrivals(spark, landing, lower)
     report = manifest_report(present.select("file"), required)
@@ -76,20 +87,30 @@ def repack(
         raise IncompleteDelivery(f"{source} on {day:%Y-%m-%d}: {verdict.asDict()}")
     moved: dict[str, list[str]] = {}
     for row in only_required(present, required).orderBy("arrival").collect():
-        moved.setdefault(row.file, []).append(f"{landing}/{row.arrival}")
+        moved.setdefault(row.file, []).append(row.arrival)
     folder = f"{destination}/{day:%Y%m%d}"
+    files = landed(spark, landing, moved)
 
     def write(name: str) -> int:
-        rows = union_outer([read_header_csv(spark, p, multi_line=multi_line) for p in moved[name]])
-        seen = Observation()
-        observed = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-        write_csv(observed, f"{folder}/{name}.gz", ",", "gzip", ROWS_PER_GZIP)
-        return int(seen.get["rows"])
+        out, lines = f"{folder}/{name}.gz", 0
+        for at, (path, _, _) in enumerate(files[name]):
+            # One task a part, so that its lines stay in order and its header comes first.
+            seen = Observation()
+            part = spark.read.option("lineSep", "\n").text(path).coalesce(1)
+            part = part.observe(seen, F.count(F.lit(1)).alias("lines"))
+            writer = part.write.mode("append" if at else "overwrite")
+            writer.option("compression", "gzip").option("lineSep", "\n").text(out)
+            lines += seen.get["lines"]
+        copied = spark.read.option("lineSep", "\n").text(out).count()
+        if copied != lines:
+            raise IOError(f"{out}: {copied} lines of {lines}")
+        return read_typed_csv(spark, out, "first string", mode="PERMISSIVE", multi_line=multi_line).count()
 
     with ThreadPoolExecutor(max_workers=FILES_AT_ONCE) as pool:
         counts = dict(zip(sorted(moved), pool.map(write, sorted(moved))))
     mark_run(spark, log, source, day, counts)
-    for paths in moved.values():
-        for path in paths:
-            workspace.delete(spark, path)
+    now = {entry for entries in landed(spark, landing, moved).values() for entry in entries}
+    for entry in sorted(entry for entries in files.values() for entry in entries):
+        if entry in now:
+            workspace.delete(spark, entry[0])
     return Repacked(counts, folder)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -33,8 +34,41 @@ def refresh_table(df: DataFrame, name: str) -> None:
     df.select(*columns).write.mode("overwrite").insertInto(name)
 
 
-def version_path(root: str, number: int) -> str:
-    return f"{root}/version={number:08d}"
+KEPT_VERSIONS = 3
+
+
+def version_path(root: str, number: int, batch: str = "") -> str:
+    return f"{root}/version={number:08d}" + (f"-{batch}" if batch else "")
+
+
+def _number(path: str) -> int:
+    return int(path.rsplit("version=", 1)[1].split("-")[0])
+
+
+def publish_batch(
+    spark: SparkSession,
+    root: str,
+    checkpoint: str,
+    batch_id: int,
+    state: Callable[[DataFrame | None], DataFrame],
+    keep: int = KEPT_VERSIONS,
+) -> None:
+    """Publish the state after a streamed batch as the version after the newest one.
+
+    ``state`` makes it from the newest version, if there is one. The version carries
+    the stream and the batch in its name: a batch that is already published is done,
+    and a stream with a new checkpoint goes on from what is there. Versions older
+    than the ``keep`` newest are removed.
+    """
+    batch = f"{hashlib.md5(checkpoint.encode()).hexdigest()[:12]}-{batch_id}"
+    done = versions(spark, root)
+    if any(path.endswith(f"-{batch}") for path in done):
+        return
+    before = spark.read.parquet(done[-1]) if done else None
+    path = version_path(root, _number(done[-1]) + 1 if done else 1, batch)
+    state(before).write.mode("overwrite").parquet(path)
+    for old in versions(spark, root)[:-keep]:
+        workspace.delete(spark, old)
 
 
 def versions(spark: SparkSession, root: str) -> list[str]:
@@ -50,7 +84,7 @@ def publish(df: DataFrame, root: str) -> str:
     in one step and a lost attempt is simply written again.
     """
     done = versions(df.sparkSession, root)
-    number = int(done[-1].rsplit("=", 1)[1]) + 1 if done else 1
+    number = _number(done[-1]) + 1 if done else 1
     path = version_path(root, number)
     df.write.mode("overwrite").parquet(path)
     return path

@@ -11,26 +11,16 @@ from pyspark.sql import types as T
 BEL = "\u0007"
 
 
-def cells_span_lines(spark: SparkSession, path: str | list[str]) -> bool:
-    """True when a quoted cell may run over a line end.
-
-    A cell that does leaves an odd number of quotes on its first line. Counting them
-    reads the files as plain lines, split over all tasks.
-    """
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return spark.read.text(path).agg(F.max(quotes % 2).alias("odd")).first().odd == 1
-
-
-def _reader(spark: SparkSession, path: str | list[str], sep: str, multi_line: bool | None):
-    """CSV reader; unless told, files are read whole only if their cells span lines."""
-    if multi_line is None:
-        multi_line = cells_span_lines(spark, path)
+def _reader(spark: SparkSession, sep: str, multi_line: bool, mode: str):
+    """CSV reader. Cells are counted against the header, so every column is parsed."""
     return (
         spark.read.option("header", True)
         .option("sep", sep)
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multi_line)
+        .option("mode", mode)
+        .option("columnPruning", False)
     )
 
 
@@ -39,14 +29,20 @@ def as_schema(schema: str | T.StructType) -> T.StructType:
 
 
 def read_header_csv(
-    spark: SparkSession, path: str | list[str], sep: str = ",", multi_line: bool | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    sep: str = ",",
+    multi_line: bool = True,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """Every column as text, named by the header line; blank cells are null.
 
-    Large files are split over many tasks unless a quoted cell holds a line break,
-    which ``multi_line`` states and is otherwise looked up in the files.
+    Quoted cells may hold line breaks, for which a file is read by one task; with
+    ``multi_line`` off large files are split. ``mode`` decides on rows with too many
+    or too few cells: ``FAILFAST`` stops, ``PERMISSIVE`` cuts them or fills them with
+    nulls. A part whose header differs from the first one's stops the read.
     """
-    return _reader(spark, path, sep, multi_line).csv(path)
+    return _reader(spark, sep, multi_line, mode).option("enforceSchema", False).csv(path)
 
 
 def read_typed_csv(
@@ -55,32 +51,34 @@ def read_typed_csv(
     schema: str | T.StructType,
     sep: str = ",",
     mode: str = "FAILFAST",
-    multi_line: bool | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Load with a declared schema by position, skipping the header line.
 
-    Quoted cells may hold line breaks, as in the bulk load.
+    Quoted cells may hold line breaks, as in the bulk load, unless ``multi_line`` is off.
     ``mode`` decides on rows that do not fit: ``FAILFAST`` stops the load,
     ``PERMISSIVE`` keeps them with nulls, ``DROPMALFORMED`` leaves them out.
     """
     return (
-        _reader(spark, path, sep, multi_line)
+        _reader(spark, sep, multi_line, mode)
         .schema(as_schema(schema))
         .option("enforceSchema", True)
-        .option("mode", mode)
         .csv(path)
     )
 
 
 def read_bel_csv(
-    spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    columns: Sequence[str] | None = None,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """BEL-delimited, quoted, gzip by extension; an explicit column list names the fields.
 
     A gzip part is read by one task in any case, so line breaks inside quotes are
-    always honoured here.
+    always honoured here. A row with an extra or a missing cell stops the load.
     """
-    reader = _reader(spark, path, BEL, True)
+    reader = _reader(spark, BEL, True, mode)
     if columns:
         schema = T.StructType([T.StructField(name.lower(), T.StringType()) for name in columns])
         reader = reader.schema(schema).option("enforceSchema", True)
@@ -92,12 +90,12 @@ def import_mapped_csv(
     path: str | list[str],
     schema: str | T.StructType,
     mapping: Mapping[str, str] | None = None,
-    multi_line: bool | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Bring a header CSV into a declared table: match by lower-cased name, then cast.
 
     ``mapping`` gives the header name of a table column where the two differ.
-    A value that does not fit its type stops the import.
+    A value that does not fit its type, or a cell too many, stops the import.
     """
     raw = read_header_csv(spark, path, multi_line=multi_line)
     by_name = {name.lower(): name for name in raw.columns}

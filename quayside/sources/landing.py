@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 from quayside.sources.delimited import as_schema
 
 
+SOURCE = "__source_file"
+
+
 def list_files(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
     """``(path, size, modified)`` of every file below a folder.
 
@@ -34,12 +37,16 @@ def stream_arrivals(
     pattern: str = "*.csv",
     delete_after: bool = False,
     sep: str = ",",
-    multi_line: bool = False,
+    multi_line: bool = True,
     max_files: int | None = None,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """Stream of newly arrived header CSV files matching a suffix.
 
-    ``delete_after`` removes a file once the batch that read it is committed.
+    Quoted cells may hold line breaks, and a row that does not fit the schema stops
+    the stream unless ``mode`` says otherwise. ``delete_after`` removes a file once
+    the batch that read it is committed; each row then names its file in ``SOURCE``,
+    by which the sink removes what the last batch read.
     """
     reader = (
         spark.readStream.schema(as_schema(schema))
@@ -48,6 +55,8 @@ def stream_arrivals(
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multi_line)
+        .option("mode", mode)
+        .option("columnPruning", False)
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True)
     )
@@ -55,7 +64,8 @@ def stream_arrivals(
         reader = reader.option("cleanSource", "delete")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(folder)
+    files = reader.csv(folder)
+    return files.withColumn(SOURCE, F.col("_metadata.file_path")) if delete_after else files
 
 
 def read_documents(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:

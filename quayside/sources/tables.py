@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,11 +52,33 @@ def run_query(spark: SparkSession, query: str, **args) -> DataFrame:
     return spark.sql(query, args=args or None)
 
 
+#: What a script is cut by: quoted text and comments stay whole, a semicolon ends a statement.
+_SCRIPT_PARTS = re.compile(r"""'(?:[^']|'')*'|"[^"]*"|`[^`]*`|(--[^\n]*|/\*.*?\*/)|(;)""", re.DOTALL)
+
+
+def statements(script: str) -> list[str]:
+    """The statements of a script without its comments; a lone comment has none."""
+    plain = _SCRIPT_PARTS.sub(lambda m: " " if m[1] else "\0" if m[2] else m[0], script)
+    return [part.strip() for part in plain.split("\0") if part.strip()]
+
+
 def run_scripts(
-    spark: SparkSession, scripts: Iterable[str], args: Mapping | None = None
+    spark: SparkSession,
+    scripts: Iterable[str],
+    args: Mapping | None = None,
+    folders: Mapping[str, str] | None = None,
 ) -> list[DataFrame]:
-    """Run a customer's scripts one after another, e.g. load and then upsert."""
-    return [spark.sql(script, args=dict(args) if args else None) for script in scripts]
+    """Run a customer's scripts one after another, e.g. load and then upsert.
+
+    A script may hold several statements, or only a comment. ``{name}`` is replaced by
+    the folder of that name before a statement runs; ``args`` are bound as values.
+    """
+    found = []
+    for script in scripts:
+        for name, folder in (folders or {}).items():
+            script = script.replace("{" + name + "}", folder)
+        found += [spark.sql(one, args=dict(args) if args else None) for one in statements(script)]
+    return found
 
 
 def table_list(spark: SparkSession, path: str) -> list[str]:

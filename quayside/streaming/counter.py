@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from quayside.operators.profile import visit_counts
-from quayside.sinks.tables import version_path
+from quayside.sinks.tables import publish_batch
 from quayside.streaming.jobs import start
 
 
@@ -20,7 +20,7 @@ def count_visits(
     """
 
     def publish_totals(totals: DataFrame, batch_id: int) -> None:
-        totals.write.mode("overwrite").parquet(version_path(root, batch_id + 1))
+        publish_batch(totals.sparkSession, root, checkpoint, batch_id, lambda before: totals)
 
     counted = visit_counts(visits, page)
     writer = counted.writeStream.outputMode("complete").foreachBatch(publish_totals)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from quayside.operators.latest import latest_items
-from quayside.sinks.tables import version_path, versions
+from quayside.sinks.tables import publish_batch
 from quayside.streaming.jobs import start
 
 
@@ -22,15 +22,14 @@ def put_items(
 ) -> StreamingQuery:
     """Merge each batch into the state and publish it as a new version.
 
-    ``newest`` lists the write time and its tie-breaks. The version number is the
-    batch's, and a batch starts from the versions before its own, so running it
-    again gives the same state.
+    ``newest`` lists the write time and its tie-breaks. A batch goes on from the
+    newest version, whoever published it; one that runs again finds itself done.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        spark, path = batch.sparkSession, version_path(root, batch_id + 1)
-        before = [v for v in versions(spark, root) if v.rsplit("/", 1)[1] < path.rsplit("/", 1)[1]]
-        rows = spark.read.parquet(before[-1]).unionByName(batch) if before else batch
-        latest_items(rows, keys, *newest).write.mode("overwrite").parquet(path)
+        def state(before: DataFrame | None) -> DataFrame:
+            return latest_items(batch if before is None else before.unionByName(batch), keys, *newest)
+
+        publish_batch(batch.sparkSession, root, checkpoint, batch_id, state)
 
     return start(puts.writeStream.foreachBatch(merge), checkpoint, interval)

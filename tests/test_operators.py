@@ -22,7 +22,6 @@ from quayside.operators import (
     privacy,
     profile,
     retrieval,
-    skew,
     upsert,
 )
 
@@ -106,6 +105,8 @@ def test_union_outer_mixes_types_as_text(spark):
     a = spark.createDataFrame([(1,)], "a int")
     b = spark.createDataFrame([("x",)], "a string")
     assert rows(combine.union_outer([a, b])) == [("1",), ("x",)]
+    c = spark.createDataFrame([(2.5,)], "a double")
+    assert combine.union_outer([a, c]).dtypes == [("a", "double")]
 
 
 def test_union_strict_refuses_other_schemas(spark):
@@ -162,8 +163,8 @@ def test_flatten_merges_colliding_paths(spark):
 
 def test_flatten_refuses_too_many_columns(spark):
     df = spark.createDataFrame([(list(range(30)),)], "a array<int>")
-    with pytest.raises(ValueError, match="flatten_entries"):
-        flatten.flatten(df, max_columns=20)
+    wide = flatten.flatten(df, max_columns=20)
+    assert len(wide.columns) <= 20 and any(kind.startswith("map") for _, kind in wide.dtypes)
 
 
 def test_array_widths(spark):
@@ -185,48 +186,6 @@ def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-@pytest.mark.parametrize("how", ["left_semi", "left_anti"])
-def test_salted_join_equals_the_plain_one(spark, no_broadcast, how):
-    random.seed(3)
-    left = [(7 if i % 3 == 0 else None if i % 11 == 0 else random.randrange(40), i % 5, i) for i in range(3000)]
-    right = [(7, 0), (7, 0), (7, 1), (None, 2)] + [(random.randrange(60), random.randrange(5)) for _ in range(200)]
-    a = spark.createDataFrame(left, "k int, j int, v int")
-    b = spark.createDataFrame(right, "k int, j int")
-    for keys in (["k"], ["k", "j"]):
-        got = skew.filter_join(a, b, keys, how, salts=8, fraction=1.0)
-        assert rows(got) == rows(a.join(b, keys, how).select("k", "j", "v"))
-        assert "__salt" in plan_of(got)
-
-
-def test_salted_join_spreads_the_hot_key(spark, no_broadcast):
-    a = spark.range(20000).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"))
-    b = spark.range(0, 20000, 2).select(F.col("id").alias("k")).unionByName(spark.sql("SELECT 7L AS k"))
-    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        joined = skew.filter_join(a, b, ["k"], "left_semi", fraction=1.0)
-        parts = joined.groupBy(F.spark_partition_id()).count().collect()
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
-    counts = sorted(r["count"] for r in parts)
-    assert len(counts) == 4 and counts[-1] < 0.5 * sum(counts)
-
-
-def test_frequent_keys_of_nothing(spark):
-    df = spark.range(0).select("id", F.col("id").alias("b"))
-    assert skew.frequent_keys(df, ["id", "b"]) == []
-
-
-def test_frequent_keys_are_few(spark):
-    df = spark.range(1000).select(F.when(F.col("id") < 400, 1).otherwise(F.col("id")).alias("k"))
-    assert skew.frequent_keys(df, ["k"], fraction=1.0) == [(1,)]
-
-
-def test_small_match_sides_are_broadcast(spark):
-    a = spark.range(100).select(F.col("id").alias("k"))
-    assert "BroadcastHashJoin" in plan_of(skew.filter_join(a, a.limit(3), ["k"], "left_semi"))
-
-
 def test_upsert(spark):
     target = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, v string")
     staged = spark.createDataFrame([("c", 2, 1), ("d", 2, 2), ("e", 3, 1)], "v string, k int, at int")
@@ -346,9 +305,9 @@ def test_zones_split_every_row_once(spark, tmp_path):
 
 def test_sampling(spark):
     df = spark.range(1000)
-    assert privacy.sampled(df) is df
-    part = privacy.sampled(df, 0.5, seed=1)
-    assert 300 < part.count() < 700 and rows(part) == rows(privacy.sampled(df, 0.5, seed=1))
+    assert privacy.sampled(df, "id") is df
+    part = privacy.sampled(df, "id", 0.5)
+    assert 300 < part.count() < 700 and rows(part) == rows(privacy.sampled(df, "id", 0.5))
 
 
 WORDS = "the of apple pear plum fig Äpfel 42 kiwi lemon".split()

@@ -154,8 +154,25 @@ def test_repack_joins_parts_of_one_file(spark, tmp_path):
     land(tmp_path, {"Users - 1.csv": "Id,Note\n1,a\n", "Users - 2.csv": "Id,More\n2,b\n"})
     done = run(spark, tmp_path, exact=False, required=("users.csv",))
     assert done.files == {"users.csv": 2}
-    got = read_header_csv(spark, f"{tmp_path}/out/20240131/users.csv.gz")
-    assert rows(got.select("Id", "Note", "More")) == [("1", "a", None), ("2", None, "b")]
+    parts = [gzip.open(p, "rt").read() for p in sorted(Path(f"{tmp_path}/out/20240131/users.csv.gz").glob("*.gz"))]
+    assert sorted(parts) == ["Id,More\n2,b\n", "Id,Note\n1,a\n"]
+
+
+def test_repack_copies_what_does_not_fit_and_keeps_late_parts(spark, tmp_path, monkeypatch):
+    landing = land(tmp_path, {"users.csv": 'Id,Note\n1,x,EXTRA\n2,"a\nb"\n'})
+    mark = repack.mark_run
+
+    def slow(*args):
+        (Path(landing) / "Users - 2.csv").write_text("Id,Note\n3,late\n")
+        return mark(*args)
+
+    monkeypatch.setattr(repack, "mark_run", slow)
+    run(spark, tmp_path, exact=False, required=("users.csv",))
+    parts = [gzip.open(p, "rt").read() for p in Path(f"{tmp_path}/out/20240131/users.csv.gz").glob("*.gz")]
+    assert parts == ['Id,Note\n1,x,EXTRA\n2,"a\nb"\n']
+    assert [p.rsplit("/", 1)[1] for p in workspace.children(spark, landing)] == ["Users%20-%202.csv"] or [
+        p.rsplit("/", 1)[1] for p in workspace.children(spark, landing)
+    ] == ["Users - 2.csv"]
 
 
 def lines_of(spark, items):

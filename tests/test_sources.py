@@ -40,23 +40,53 @@ def test_typed_csv_keeps_line_breaks(spark, tmp_path):
     assert rows(delimited.read_typed_csv(spark, path, "x int, y string")) == [(1, "a\nb")]
 
 
-def test_only_files_with_broken_lines_are_read_whole(spark, tmp_path):
+def test_split_files_where_cells_stay_on_a_line(spark, tmp_path):
     plain = put(tmp_path / "plain.csv", "x,y\n" + "".join(f'{i},"a ""{i}"""\n' for i in range(2000)))
     broken = put(tmp_path / "broken.csv", 'x,y\n1,"a\n\nb"\n2,c\n')
-    assert not delimited.cells_span_lines(spark, plain) and delimited.cells_span_lines(spark, [plain, broken])
     assert rows(delimited.read_header_csv(spark, broken)) == [("1", "a\n\nb"), ("2", "c")]
     before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
     try:
         for key in before:
             spark.conf.set(key, "4096")
-        split = delimited.read_typed_csv(spark, plain, "x int, y string")
+        split = delimited.read_typed_csv(spark, plain, "x int, y string", multi_line=False)
         assert split.rdd.getNumPartitions() > 3 and split.count() == 2000
-        assert split.where("y = concat('a \"', x, '\"')").count() == 2000
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
 
 
+def test_misfit_rows_and_headers_stop_the_read(spark, tmp_path):
+    extra = put(tmp_path / "extra.csv", "id,name\n1,x,EXTRA\n")
+    with pytest.raises(Exception, match="MALFORMED_RECORD|Malformed"):
+        delimited.read_header_csv(spark, extra).select("id").collect()
+    assert rows(delimited.read_header_csv(spark, extra, mode="PERMISSIVE")) == [("1", "x")]
+    with pytest.raises(Exception, match="MALFORMED_RECORD|Malformed"):
+        delimited.import_mapped_csv(spark, extra, "id int").collect()
+    put(tmp_path / "parts" / "a.csv", "id,name\n1,x\n")
+    put(tmp_path / "parts" / "b.csv", "name,id\ny,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        delimited.read_header_csv(spark, str(tmp_path / "parts")).collect()
+
+
+def test_broken_items_stop_the_read(spark, tmp_path):
+    path = put(tmp_path / "items.json", '{"id":{"N":"7"},"ok":{"NULL":true}}\n')
+    assert rows(items.read_items_export(spark, path, {"id": "int", "ok": "boolean"})) == [(7, None)]
+    for line in ('{"id":{"N":"abc"}}', "no json"):
+        broken = put(tmp_path / "broken.json", line + "\n")
+        with pytest.raises(Exception):
+            items.read_items_export(spark, broken, {"id": "int"}).collect()
+        assert rows(items.read_items_export(spark, broken, {"id": "int"}, "PERMISSIVE")) == [(None,)]
+    envelope = put(tmp_path / "env.json", '{"items":[{"id":1}]}\n{"items":[{"id":\n')
+    with pytest.raises(Exception):
+        payloads.read_items(spark, envelope, "id bigint").collect()
+
+
+def test_scripts_of_several_statements(spark, tmp_path):
+    script = "-- load; this\nCREATE OR REPLACE TEMP VIEW s2 AS SELECT '{day};' AS a; SELECT a FROM s2;"
+    found = tables.run_scripts(spark, [script, "/* nothing; yet */"], folders={"day": "2024/01"})
+    assert rows(found[-1]) == [("2024/01;",)] and len(found) == 2
+
+
 def test_mapped_import(spark, tmp_path):
     path = put(tmp_path / "a.csv", "NAME,Number,Id,extra\nann,5,1,z\n,,2,z\n")
     df = delimited.import_mapped_csv(spark, path, "id int, name string, phone int", {"phone": "Number"})
@@ -121,7 +151,10 @@ def test_envelope_without_any_items(spark, tmp_path):
 
 def test_items_of_column_and_single_quotes(spark):
     df = spark.createDataFrame([(1, "{'items': [{'id': 7}]}"), (2, "{}"), (3, "broken"), (4, None)], "k int, body string")
-    assert rows(payloads.items_of(df, "body", "id bigint")) == [(1, 7)]
+    assert rows(payloads.items_of(df, "body", "id bigint", "PERMISSIVE")) == [(1, 7)]
+    assert rows(payloads.items_of(df.where("k <> 3"), "body", "id bigint")) == [(1, 7)]
+    with pytest.raises(Exception):
+        payloads.items_of(df, "body", "id bigint").collect()
 
 
 def test_bare_array(spark, tmp_path):
