@@ -5,7 +5,7 @@ that hold the line and the largest of their ids. Each batch of documents is
 merge-anti-joined with the runs: lines they do not hold yet go into the run
 that the batch adds as new, lines they do hold go in as increments. ``FANOUT``
 runs of one level are merged into one run of the next level. Runs are bucketed
-alike, so joining and merging them moves no row.
+as a counted batch lies, so joining a batch with them moves no row of a run.
 """
 
 from __future__ import annotations
@@ -83,24 +83,25 @@ class LineRuns:
 
     def _compact(self, level: int) -> None:
         names, self.levels[level] = self.levels[level], []
-        self._write(merged([self.spark.table(name) for name in names]), level + 1)
+        self._write(merged([self.spark.table(name) for name in names], self.buckets), level + 1)
         for name in names:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
     def totals(self) -> DataFrame:
         """Every key with the number of documents that hold it and the largest of their ids."""
-        return merged(self.runs())
+        return merged(self.runs(), self.buckets)
 
 
 def _keys(run: DataFrame) -> DataFrame:
     return run.where("fresh").select("h1", "h2")
 
 
-def merged(runs: list[DataFrame]) -> DataFrame:
+def merged(runs: list[DataFrame], buckets: int) -> DataFrame:
+    """One row a key. The union of bucketed tables is dealt anew: it does not lie as its parts do."""
     found = runs[0]
     for run in runs[1:]:
         found = found.unionByName(run)
-    return found.groupBy("h1", "h2").agg(
+    return found.repartition(buckets, "h1", "h2").groupBy("h1", "h2").agg(
         F.sum("n_docs").alias("n_docs"), F.max("owner").alias("owner"), F.max("fresh").alias("fresh")
     )
 
