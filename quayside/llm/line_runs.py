@@ -83,25 +83,25 @@ class LineRuns:
 
     def _compact(self, level: int) -> None:
         names, self.levels[level] = self.levels[level], []
-        self._write(merged([self.spark.table(name) for name in names], self.buckets), level + 1)
+        self._write(merged([self.spark.table(name) for name in names]), level + 1)
         for name in names:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
     def totals(self) -> DataFrame:
         """Every key with the number of documents that hold it and the largest of their ids."""
-        return merged(self.runs(), self.buckets)
+        return merged(self.runs())
 
 
 def _keys(run: DataFrame) -> DataFrame:
     return run.where("fresh").select("h1", "h2")
 
 
-def merged(runs: list[DataFrame], buckets: int) -> DataFrame:
-    """One row a key. The union of bucketed tables is dealt anew: it does not lie as its parts do."""
+def merged(runs: list[DataFrame]) -> DataFrame:
+    """One row a key. The union of bucketed tables is written plainly first: it does not lie as its parts do."""
     found = runs[0]
     for run in runs[1:]:
         found = found.unionByName(run)
-    return found.repartition(buckets, "h1", "h2").groupBy("h1", "h2").agg(
+    return staged(found.sparkSession, found, "runs-together").groupBy("h1", "h2").agg(
         F.sum("n_docs").alias("n_docs"), F.max("owner").alias("owner"), F.max("fresh").alias("fresh")
     )
 
