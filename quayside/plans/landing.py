@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quayside import workspace
 from quayside.config import required_files
 from quayside.functions.names import base_name
-from quayside.operators.combine import union_strict
+from quayside.operators.combine import union_outer, union_strict
 from quayside.operators.manifest import (
     complete_at_least,
     complete_exactly,
@@ -78,9 +78,10 @@ FILE_SCHEMA = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orde
 
 
 def _land_orders(spark: SparkSession, sf_dir: str, root: str) -> str:
-    """One landed file per order status, as a folder of parts under the file's name."""
-    rows = table(spark, sf_dir, "orders").where(F.col("o_orderstatus").isin("F", "O", "P"))
-    arrival = F.concat(F.lit("Orders"), F.col("o_orderstatus"), F.lit(" - 01-31-2024.csv"))
+    """A landed file each for finished, partial and all other orders, as a folder of parts under the file's name."""
+    rows = table(spark, sf_dir, "orders")
+    letter = F.when(F.col("o_orderstatus").isin("F", "P"), F.col("o_orderstatus")).otherwise("O")
+    arrival = F.concat(F.lit("Orders"), letter, F.lit(" - 01-31-2024.csv"))
     rows = rows.select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", arrival.alias("arrival")
     )
@@ -146,32 +147,18 @@ def file_arrival_to_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_typed_csv(spark, f"{root}/dated/{DAY:%Y%m%d}/*", CUSTOMER_FILE)
 
 
-EXPORTED = {
-    "region": ("r_regionkey", "r_name"),
-    "nation": ("n_nationkey", "n_name"),
-    "supplier": ("s_suppkey", "s_name"),
-    "customer": ("c_custkey", "c_name"),
-    "part": ("p_partkey", "p_name"),
-    "orders": ("o_orderkey", "o_orderpriority"),
-}
+EXPORTED = ("region", "nation", "supplier", "customer", "part", "orders")
 
 
 def table_export_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Snapshot every listed table, then read all copies back."""
+    """Snapshot every listed table, then read every column of all copies back."""
     root = workspace.scratch(spark, "export")
     listed = spark.createDataFrame([(name,) for name in EXPORTED], "tables string").coalesce(1)
     write_csv(listed, f"{root}/tables")
     names = table_list(spark, f"{root}/tables")
     copies = export_tables(spark, names, lambda n: table(spark, sf_dir, n), f"{root}/out")
-    frames = [
-        spark.read.parquet(path).select(
-            F.lit(name).alias("table_name"),
-            F.col(EXPORTED[name][0]).cast("bigint").alias("key"),
-            F.col(EXPORTED[name][1]).alias("label"),
-        )
-        for name, path in copies.items()
-    ]
-    return union_strict(frames)
+    frames = [spark.read.parquet(path).withColumn("table_name", F.lit(name)) for name, path in copies.items()]
+    return union_outer(frames)
 
 
 def header_csv_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,7 +215,8 @@ report AS (
 )"""
 
 
-_LANDED = "SELECT {cols} FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')"
+_LANDED = """
+SELECT {cols} FROM (SELECT *, CASE WHEN o_orderstatus IN ('F', 'P') THEN o_orderstatus ELSE 'O' END AS letter FROM orders)"""
 _CUSTOMERS = """
 SELECT c_custkey, nullif(c_name, '') AS c_name, c_nationkey,
        nullif(c_mktsegment, '') AS c_mktsegment FROM customer"""
@@ -253,21 +241,19 @@ WITH {_CLEAN}
 SELECT CAST(delivery AS INTEGER) AS delivery, bool_or(coalesce(name <> '', false)) AS found
 FROM listing GROUP BY 1""",
     "landing_repack": _LANDED.format(
-        cols="o_orderkey, o_custkey, o_orderstatus, nullif(o_orderpriority, '') AS o_orderpriority, "
-        "'orders' || lower(o_orderstatus) || '.csv' AS file"
+        cols="o_orderkey, o_custkey, nullif(o_orderstatus, '') AS o_orderstatus, "
+        "nullif(o_orderpriority, '') AS o_orderpriority, 'orders' || lower(letter) || '.csv' AS file"
     ),
-    "landing_run_log": """
-SELECT 'orders' || lower(o_orderstatus) || '.csv' AS file, count(*) AS rows,
-       'orders' AS source, '20240131' AS load_date
-FROM orders WHERE o_orderstatus IN ('F', 'O', 'P') GROUP BY o_orderstatus""",
+    "landing_run_log": _LANDED.format(
+        cols="'orders' || lower(letter) || '.csv' AS file, count(*) AS rows, 'orders' AS source, '20240131' AS load_date"
+    ) + " GROUP BY letter",
     "landing_file_names": _LANDED.format(
         cols="CAST(o_orderkey AS VARCHAR) AS o_orderkey, "
-        "'Orders' || o_orderstatus || ' - 01-31-2024.csv' AS arrival"
+        "'Orders' || letter || ' - 01-31-2024.csv' AS arrival"
     ),
     "file_arrival_to_parquet": _CUSTOMERS,
     "file_arrival_to_gzip": _CUSTOMERS,
-    "table_export_all": " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, CAST({key} AS BIGINT) AS key, {label} AS label FROM {name}"
-        for name, (key, label) in EXPORTED.items()
+    "table_export_all": " UNION ALL BY NAME ".join(
+        f"SELECT '{name}' AS table_name, * FROM {name}" for name in EXPORTED
     ),
 }
