@@ -67,16 +67,21 @@ HEALTH_COLUMNS = {
 
 
 def pii_health_table_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The declared personal-health table loaded from CSV and profiled, all 13 columns."""
+    """The declared personal-health table loaded from CSV and profiled, all 13 columns.
+
+    A document gives as many rows as its most frequent kind has matches, and one if it has none.
+    """
     root = workspace.scratch(spark, "health")
     columns = HEALTH_NAMES
     values = {name: F.lit(None).cast("string") for name in columns}
     values |= {"mpi": F.col("doc_id").cast("string"), "firstName": F.col("lang"), "lastName": F.col("source")}
-    values |= {
-        name: F.nullif(F.regexp_extract("text", pattern, 0), F.lit(""))
-        for name, pattern in HEALTH_COLUMNS.items()
-    }
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    values |= {name: F.col(f"found.{name}") for name in HEALTH_COLUMNS}
+    searched = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", *[
+        F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias(name) for name, pattern in HEALTH_COLUMNS.items()
+    ])
+    documents = searched.select(
+        "doc_id", "lang", "source", F.explode_outer(F.arrays_zip(*HEALTH_COLUMNS)).alias("found")
+    )
     write_csv(documents.select(*[values[name].alias(name) for name in columns]), root)
     loaded = read_typed_csv(spark, root, PERSONAL_HEALTH_SCHEMA)
     return privacy.column_report(loaded, ENTITIES)
@@ -166,12 +171,16 @@ def _health_sql() -> str:
     columns = HEALTH_NAMES
     values = {name: "CAST(NULL AS VARCHAR)" for name in columns}
     values |= {"mpi": "CAST(doc_id AS VARCHAR)", "firstName": "nullif(lang, '')", "lastName": "nullif(source, '')"}
-    values |= {
-        name: f"nullif(regexp_extract(text, {_quoted(pattern)}, 0), '')"
-        for name, pattern in HEALTH_COLUMNS.items()
-    }
+    values |= {name: f"found_{name}[place]" for name in HEALTH_COLUMNS}
     picked = ", ".join(f'{values[name]} AS "{name}"' for name in columns)
-    return f"WITH health AS (SELECT {picked} FROM documents) " + _rates_sql(_counts_sql("health", columns))
+    found = ", ".join(
+        f"regexp_extract_all(text, {_quoted(pattern)}) AS found_{name}" for name, pattern in HEALTH_COLUMNS.items()
+    )
+    most = ", ".join(f"len(found_{name})" for name in HEALTH_COLUMNS)
+    return (
+        f"WITH searched AS (SELECT doc_id, lang, source, {found} FROM documents), "
+        f"health AS (SELECT {picked} FROM (SELECT *, unnest(range(1, greatest(1, {most}) + 1)) AS place FROM searched)) "
+    ) + _rates_sql(_counts_sql("health", columns))
 
 
 def _mask_sql(column: str) -> str:
