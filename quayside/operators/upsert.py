@@ -14,12 +14,12 @@ def upsert(
     target: DataFrame,
     staged: DataFrame,
     keys: Sequence[str],
-    newest_first: Sequence[Column] | None = None,
+    newest_first: Sequence[Column],
 ) -> DataFrame:
-    """Target rows whose key is not staged, and every staged row.
+    """Target rows whose key is not staged, and the newest staged row of each key.
 
-    With an order the staged side is first cut to the newest row of each key.
+    Staged rows without a key count as one key, and replace no target row.
     """
-    fresh = latest_per_key(staged, keys, newest_first) if newest_first else staged
+    fresh = latest_per_key(staged, keys, newest_first)
     kept = target.join(staged.select(*keys), list(keys), "left_anti").select(*target.columns)
     return union_strict([kept, fresh.select(*target.columns)])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -182,6 +182,12 @@ def latest_item_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_published(spark, f"{root}/state")
 
 
+def _newest() -> list[Column]:
+    """The latest order date first; ties go by the other columns."""
+    names = ("o_orderdate", "o_custkey", "o_orderstatus", "o_totalprice")
+    return [F.col(name).desc_nulls_last() for name in names]
+
+
 def staged_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed orders as target; urgent orders, closed or not, staged with a new price."""
     orders = table(spark, sf_dir, "orders")
@@ -190,7 +196,7 @@ def staged_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = orders.where(F.col("o_orderpriority") == "1-URGENT").withColumn(
         "o_totalprice", F.col("o_totalprice") + 1
     )
-    publish(upsert(read_published(spark, root), staged, ["o_orderkey"]), root)
+    publish(upsert(read_published(spark, root), staged, ["o_orderkey"], _newest()), root)
     return read_published(spark, root)
 
 
@@ -349,5 +355,7 @@ SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM orders WHERE o_orderpri
 SELECT * FROM orders t WHERE o_orderstatus <> 'O'
   AND NOT EXISTS (SELECT 1 FROM orders s WHERE s.o_orderpriority = '1-URGENT' AND s.o_orderkey = t.o_orderkey)
 UNION ALL
-SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM orders WHERE o_orderpriority = '1-URGENT'""",
+SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM orders WHERE o_orderpriority = '1-URGENT'
+QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate DESC NULLS LAST, o_custkey DESC NULLS LAST,
+  o_orderstatus DESC NULLS LAST, o_totalprice DESC NULLS LAST) = 1""",
 }

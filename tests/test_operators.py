@@ -189,10 +189,11 @@ def no_broadcast(spark):
 def test_upsert(spark):
     target = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, v string")
     staged = spark.createDataFrame([("c", 2, 1), ("d", 2, 2), ("e", 3, 1)], "v string, k int, at int")
-    assert rows(upsert.upsert(target, staged, ["k"])) == sorted(
-        [(1, "a"), (None, "n"), (2, "c"), (2, "d"), (3, "e")], key=repr)
     newest = upsert.upsert(target, staged, ["k"], [F.col("at").desc()])
     assert rows(newest) == sorted([(1, "a"), (None, "n"), (2, "d"), (3, "e")], key=repr)
+    keyless = spark.createDataFrame([("x", None, 1), ("y", None, 2)], "v string, k int, at int")
+    again = upsert.upsert(target, keyless, ["k"], [F.col("at").desc()])
+    assert rows(again) == sorted([(1, "a"), (2, "b"), (None, "n"), (None, "y")], key=repr)
 
 
 def names(spark, paths):
