@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quayside import workspace
 from quayside.plans.tables import EVENT_K, event_k, table
-from quayside.sources.clickstream import read_hive_hours, read_hours, stream_records, to_records
+from quayside.sources.clickstream import read_hive_hours, read_hours, read_json_table, stream_records, to_records
 from quayside.streaming.clickstream import (
     deliver,
     deliver_hive,
@@ -21,8 +21,8 @@ LAST = dt.datetime(2024, 1, 31, 23)
 RANGE = (dt.datetime(2024, 1, 10, 6), dt.datetime(2024, 1, 10, 11))
 
 
-def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event as a base64 record with its arrival time."""
+def _bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event with the JSON text that its page sends."""
     body = F.to_json(
         F.struct(
             F.col("event_type").alias("element_clicked"),
@@ -32,8 +32,12 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("user_id").alias("not_in_the_table"),
         )
     )
-    bodies = table(spark, sf_dir, "events").withColumn("body", body)
-    return to_records(bodies, "event_id", "body", "ts")
+    return table(spark, sf_dir, "events").withColumn("body", body)
+
+
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a base64 record with its arrival time."""
+    return to_records(_bodies(spark, sf_dir), "event_id", "body", "ts")
 
 
 def _stream(spark: SparkSession, sf_dir: str, root: str, max_bytes: int | None = None) -> DataFrame:
@@ -70,8 +74,16 @@ def clickstream_hive_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_hive_hours(spark, f"{root}/hours", *RANGE)
 
 
+def clickstream_json_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as JSON lines, read back on the declared columns."""
+    path = f"{workspace.scratch(spark, 'clickstream-json')}/lines"
+    _bodies(spark, sf_dir).select("body").write.text(path)
+    return read_json_table(spark, path, mode="FAILFAST")
+
+
 QUERIES = {
     "record_transform": record_transform,
+    "clickstream_json_table": clickstream_json_table,
     "clickstream_hourly": clickstream_hourly,
     "clickstream_hour_range": clickstream_hour_range,
     "clickstream_hive_range": clickstream_hive_range,
@@ -97,6 +109,7 @@ ORACLE = {
 SELECT CAST(event_id AS VARCHAR) AS "recordId", 'Ok' AS result,
        base64(encode({_BODY} || chr(10))) AS data
 FROM events""",
+    "clickstream_json_table": f"SELECT * EXCLUDE (datehour) FROM ({_CLICKS})",
     "clickstream_hourly": f"""
 SELECT datehour, count(*) AS records, CAST(sum(time_spent) AS BIGINT) AS time_spent
 FROM ({_CLICKS}) WHERE datehour BETWEEN '2024/01/01/00' AND '2024/01/31/23' GROUP BY datehour""",
