@@ -23,7 +23,10 @@ def read_json_table(
     schema: str | T.StructType = CLICKSTREAM_SCHEMA,
     mode: str = "PERMISSIVE",
 ) -> DataFrame:
-    """JSON lines projected on the declared columns; other keys are not kept."""
+    """JSON lines projected on the declared columns; other keys are not kept.
+
+    A line that does not fit gives nulls, or stops the read with ``FAILFAST``.
+    """
     return spark.read.schema(as_schema(schema)).option("mode", mode).json(path)
 
 
@@ -67,8 +70,12 @@ def read_hours(
     start: dt.datetime,
     end: dt.datetime | None = None,
     schema: str | T.StructType = CLICKSTREAM_SCHEMA,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
-    """Rows of the hours in range with their ``datehour``, reading only those folders."""
+    """Rows of the hours in range with their ``datehour``, reading only those folders.
+
+    A line that does not fit stops the read; ``mode="PERMISSIVE"`` keeps it as nulls.
+    """
     schema = as_schema(schema)
     paths = hour_paths(spark, root, start, end)
     if not paths:
@@ -76,6 +83,7 @@ def read_hours(
         return empty.withColumn("datehour", F.lit(None).cast("string"))
     rows = (
         spark.read.schema(schema)
+        .option("mode", mode)
         .option("recursiveFileLookup", True)
         .json(paths)
     )
@@ -89,11 +97,12 @@ def read_hive_hours(
     start: dt.datetime,
     end: dt.datetime | None = None,
     schema: str | T.StructType = CLICKSTREAM_SCHEMA,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
-    """The same range over ``datehour=`` folders, pruned by Spark's partition filter."""
+    """The same range over ``datehour=`` folders, pruned by Spark's partition filter; ``mode`` is as in ``read_hours``."""
     schema = as_schema(schema).add("datehour", T.StringType())
     hours = hours_between(start, end)
-    rows = spark.read.schema(schema).json(root)
+    rows = spark.read.schema(schema).option("mode", mode).json(root)
     return rows.where(F.col("datehour").between(hours[0], hours[-1]) if hours else F.lit(False))
 
 

@@ -110,6 +110,16 @@ def hour_tree(tmp_path):
     return str(tmp_path)
 
 
+def test_a_broken_line_stops_the_hours(spark, tmp_path):
+    root = hour_tree(tmp_path)
+    put(tmp_path / "2024/01/02/00" / "batch-1" / "part-1.json", "not json\n")
+    day = (dt.datetime(2024, 1, 2, 0), dt.datetime(2024, 1, 2, 1))
+    with pytest.raises(Exception, match="(?i)malformed"):
+        clickstream.read_hours(spark, root, *day).collect()
+    kept = clickstream.read_hours(spark, root, *day, mode="PERMISSIVE").select("element_clicked")
+    assert rows(kept) == sorted([("2024/01/02/00",), (None,)], key=repr)
+
+
 def test_hours_are_found_by_range(spark, tmp_path):
     root = hour_tree(tmp_path)
     day = dt.datetime(2024, 1, 1, 23, 30)
