@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quayside import workspace
 from quayside.plans.tables import EVENT_K, event_k, table
-from quayside.sources.clickstream import read_hive_hours, read_hours, read_json_table, stream_records, to_records
+from quayside.sources.clickstream import DELIVERED, read_hive_hours, read_hours, read_json_table, stream_records, to_records
 from quayside.streaming.clickstream import (
     deliver,
     deliver_hive,
@@ -53,7 +53,7 @@ def clickstream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records streamed to hour folders, read back and counted by hour."""
     root = workspace.scratch(spark, "clickstream")
     deliver(_stream(spark, sf_dir, root), f"{root}/hours", f"{root}/checkpoint", interval=None)
-    rows = read_hours(spark, f"{root}/hours", FIRST, LAST)
+    rows = read_hours(spark, f"{root}/hours", FIRST, LAST, layout=DELIVERED)
     return rows.groupBy("datehour").agg(
         F.count(F.lit(1)).alias("records"), F.sum("time_spent").alias("time_spent")
     )
@@ -63,7 +63,7 @@ def clickstream_hour_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six hours of the hour folders, every column."""
     root = workspace.scratch(spark, "clickstream")
     deliver(_stream(spark, sf_dir, root), f"{root}/hours", f"{root}/checkpoint", interval=None)
-    return read_hours(spark, f"{root}/hours", *RANGE).select("*")
+    return read_hours(spark, f"{root}/hours", *RANGE, layout=DELIVERED).select("*")
 
 
 def clickstream_hive_range(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,8 +14,11 @@ from quayside.config import CLICKSTREAM_SCHEMA, RECORD_SCHEMA
 from quayside.functions.text import encode_base64
 from quayside.sources.delimited import as_schema
 
+#: Folder of an hour below the root of a table: as plain names, or as ``deliver`` and ``deliver_hive`` write them.
 HOUR_FORMAT = "%Y/%m/%d/%H"
-_HOUR_IN_PATH = r"^.*/([0-9]{4}/[0-9]{2}/[0-9]{2}/[0-9]{2})/"
+DELIVERED = "result=Ok/year=%Y/month=%m/day=%d/hour=%H"
+HIVE = "result=Ok/datehour=%Y-%m-%d-%H"
+CHECKS_AT_ONCE = 16
 
 
 def read_json_table(
@@ -42,26 +46,37 @@ def hours_between(start: dt.datetime, end: dt.datetime | None = None) -> list[st
 
 
 def hour_paths(
-    spark: SparkSession, root: str, start: dt.datetime, end: dt.datetime | None = None
+    spark: SparkSession,
+    root: str,
+    start: dt.datetime,
+    end: dt.datetime | None = None,
+    layout: str = HOUR_FORMAT,
 ) -> list[str]:
-    """Existing folders of a range: a day that is wanted whole is one folder.
+    """Existing folders of a range: a day that is wanted whole is one folder, if the layout has day folders.
 
-    Days are found by one listing per month and hours by one per cut day, so the
-    tree is never crawled.
+    The paths are computed from the range and the layout, and each is looked up; nothing is listed.
     """
-    hours: dict[str, set[str]] = {}
+    days: dict[str, list[dt.datetime]] = {}
     for hour in hours_between(start, end):
-        hours.setdefault(hour[:10], set()).add(hour[11:])
-    paths = []
-    for month in sorted({day[:7] for day in hours}):
-        for day_path in workspace.glob(spark, f"{root}/{month}/*"):
-            wanted = hours.get(f"{month}/{day_path.rsplit('/', 1)[1]}", set())
-            if len(wanted) == 24:
-                paths.append(day_path)
-            elif wanted:
-                found = workspace.glob(spark, f"{day_path}/*")
-                paths += [path for path in found if path.rsplit("/", 1)[1] in wanted]
-    return paths
+        moment = dt.datetime.strptime(hour, HOUR_FORMAT)
+        days.setdefault(hour[:10], []).append(moment)
+    above = layout.rsplit("/", 1)[0]
+    wanted = []
+    for hours in days.values():
+        whole = len(hours) == 24 and "%d" in above
+        wanted += [hours[0].strftime(above)] if whole else [hour.strftime(layout) for hour in hours]
+    paths = [f"{root}/{path}" for path in wanted]
+    with ThreadPoolExecutor(max_workers=CHECKS_AT_ONCE) as pool:
+        there = pool.map(lambda path: workspace.exists(spark, path), paths)
+        return [path for path, found in zip(paths, there) if found]
+
+
+def hour_of(path: Column, layout: str = HOUR_FORMAT) -> Column:
+    """``yyyy/MM/dd/HH`` out of the path of a file, whatever folders the layout makes of it."""
+    folder = layout.replace("%Y", "([0-9]{4})")
+    for part in ("%m", "%d", "%H"):
+        folder = folder.replace(part, "([0-9]{2})")
+    return F.regexp_replace(path, f"^.*/{folder}/.*$", "$1/$2/$3/$4")
 
 
 def read_hours(
@@ -71,13 +86,14 @@ def read_hours(
     end: dt.datetime | None = None,
     schema: str | T.StructType = CLICKSTREAM_SCHEMA,
     mode: str = "FAILFAST",
+    layout: str = HOUR_FORMAT,
 ) -> DataFrame:
     """Rows of the hours in range with their ``datehour``, reading only those folders.
 
     A line that does not fit stops the read; ``mode="PERMISSIVE"`` keeps it as nulls.
     """
     schema = as_schema(schema)
-    paths = hour_paths(spark, root, start, end)
+    paths = hour_paths(spark, root, start, end, layout)
     if not paths:
         empty = spark.createDataFrame([], schema)
         return empty.withColumn("datehour", F.lit(None).cast("string"))
@@ -87,8 +103,7 @@ def read_hours(
         .option("recursiveFileLookup", True)
         .json(paths)
     )
-    hour = F.regexp_extract(F.col("_metadata.file_path"), _HOUR_IN_PATH, 1)
-    return rows.select("*", hour.alias("datehour"))
+    return rows.select("*", hour_of(F.col("_metadata.file_path"), layout).alias("datehour"))
 
 
 def read_hive_hours(
@@ -99,11 +114,8 @@ def read_hive_hours(
     schema: str | T.StructType = CLICKSTREAM_SCHEMA,
     mode: str = "FAILFAST",
 ) -> DataFrame:
-    """The same range over ``datehour=`` folders, pruned by Spark's partition filter; ``mode`` is as in ``read_hours``."""
-    schema = as_schema(schema).add("datehour", T.StringType())
-    hours = hours_between(start, end)
-    rows = spark.read.schema(schema).option("mode", mode).json(root)
-    return rows.where(F.col("datehour").between(hours[0], hours[-1]) if hours else F.lit(False))
+    """The same range over the ``datehour=`` folders of ``deliver_hive``."""
+    return read_hours(spark, root, start, end, schema, mode, HIVE)
 
 
 def to_records(bodies: DataFrame, record_id: str, body: str, arrival: str) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +10,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quayside import workspace
 from quayside.functions.text import decode_base64, encode_base64, with_newline
-from quayside.functions.times import hour_folder
 from quayside.streaming.jobs import start
 
 # Flush interval and size of the delivery, and the record results.
@@ -19,7 +17,11 @@ FLUSH_INTERVAL = "60 seconds"
 FLUSH_BYTES = 1_048_576
 OK = "Ok"
 FAILED = "ProcessingFailed"
-FAILED_PREFIX = "processing-failed/"
+
+#: Folder levels of an hour below its result, with the piece of ``yyyy-MM-dd-HH`` that each one names.
+BY_PARTS = {"year": (1, 4), "month": (6, 2), "day": (9, 2), "hour": (12, 2)}
+BY_HOUR = {"datehour": (1, 13)}
+MERGE_SMALL = "spark.sql.adaptive.coalescePartitions.enabled"
 
 
 def transform_records(records: DataFrame) -> DataFrame:
@@ -38,39 +40,57 @@ def transform_records(records: DataFrame) -> DataFrame:
 
 
 def hourly_lines(transformed: DataFrame, arrival: str = "arrival_ts") -> DataFrame:
-    """``(value, datehour)``: the text to write and the hour it arrived.
+    """``(value, result, datehour)``: the text to write, the record's result and the hour it arrived.
 
     The hour is that of arrival, so nothing is ever late. The text sink ends each
     line, so the newline the transform added is taken off again.
     """
-    ok = F.col("result") == OK
     text = F.rtrim(decode_base64("data"), F.lit("\n"))
-    hour = hour_folder(F.coalesce(F.col(arrival), F.localtimestamp()))
+    hour = F.date_format(F.coalesce(F.col(arrival), F.localtimestamp()), "yyyy-MM-dd-HH")
     return transformed.select(
-        F.when(ok, text).otherwise(F.col("data")).alias("value"),
-        F.when(ok, hour).otherwise(F.concat(F.lit(FAILED_PREFIX), hour)).alias("datehour"),
+        F.when(F.col("result") == OK, text).otherwise(F.col("data")).alias("value"),
+        F.coalesce(F.col("result"), F.lit(FAILED)).alias("result"),
+        hour.alias("datehour"),
     )
 
 
-def write_hour_folders(batch: DataFrame, batch_id: int, root: str) -> None:
-    """Write one micro-batch below ``yyyy/MM/dd/HH/batch-<id>``.
+def _below(root: str, levels: dict, result: str, hour: str, batch_id: int) -> str:
+    folders = [f"{name}={hour[at - 1 : at - 1 + n]}" for name, (at, n) in levels.items()]
+    return "/".join([root, f"result={result}", *folders, f"batch={batch_id}"])
+
+
+def write_hour_folders(batch: DataFrame, batch_id: int, root: str, levels: dict = BY_PARTS) -> None:
+    """Append one micro-batch below ``result=/year=/month=/day=/hour=/batch=``, in one write.
+
+    Spark's committer puts the files in place; the driver moves nothing. Rows are
+    gathered by hour first, so a backlog does not leave a file per task and hour; the
+    rebalance splits an hour that holds much of the batch.
 
-    One job writes all hours to a staging folder; each hour's folder is then moved
-    into place. Rows are gathered by hour first, so a backlog does not leave a file
-    per task and hour; the rebalance splits an hour that holds much of the batch.
-    The batch number is part of the name, so a batch that is run again after a
-    failure replaces what it wrote before.
+    A marker is set before the write. A batch that finds its own was cut off or not
+    recorded: what it left in its hours, and unfinished work below the root, goes first,
+    so it replaces itself. A root belongs to one stream.
     """
     spark = batch.sparkSession
-    staging = f"{root}/_staging/batch-{batch_id:08d}"
-    gathered = batch.hint("rebalance", "datehour")
-    gathered.write.mode("overwrite").partitionBy("datehour").text(staging)
-    moves = {
-        path: f"{root}/{unquote(path.rsplit('datehour=', 1)[1])}/batch-{batch_id:08d}"
-        for path in workspace.children(spark, staging)
-    }
-    workspace.move_all(spark, moves)
-    workspace.delete(spark, staging)
+    marker = f"{root}/_begun/{batch_id}"
+    if workspace.exists(spark, marker):
+        workspace.delete(spark, f"{root}/_temporary")
+        for row in batch.select("result", "datehour").distinct().toLocalIterator():
+            workspace.delete(spark, _below(root, levels, row.result, row.datehour, batch_id))
+    else:
+        workspace.make_folder(spark, marker)
+    folders = {name: F.substring("datehour", at, n) for name, (at, n) in levels.items()}
+    gathered = batch.hint("rebalance", "result", "datehour")
+    rows = gathered.select(
+        "value", "result", *[part.alias(name) for name, part in folders.items()], F.lit(batch_id).alias("batch")
+    )
+    # Opening a folder costs more than its bytes, so small shares of the hours are not merged into one task.
+    before = spark.conf.get(MERGE_SMALL)
+    spark.conf.set(MERGE_SMALL, "false")
+    try:
+        rows.write.mode("append").partitionBy("result", *folders, "batch").text(root)
+    finally:
+        spark.conf.set(MERGE_SMALL, before)
+    workspace.delete(spark, f"{root}/_begun/{batch_id - 1}")
 
 
 def deliver(
@@ -79,10 +99,11 @@ def deliver(
     checkpoint: str,
     interval: str | None = FLUSH_INTERVAL,
     hook: Callable[[DataFrame], DataFrame] = transform_records,
+    levels: dict = BY_PARTS,
 ) -> StreamingQuery:
     """Deliver a record stream to hour folders; ``hook`` is the record transform."""
     lines = hourly_lines(records.transform(hook))
-    writer = lines.writeStream.foreachBatch(lambda b, i: write_hour_folders(b, i, root))
+    writer = lines.writeStream.foreachBatch(lambda b, i: write_hour_folders(b, i, root, levels))
     return start(writer, checkpoint, interval)
 
 
@@ -93,7 +114,5 @@ def deliver_hive(
     interval: str | None = FLUSH_INTERVAL,
     hook: Callable[[DataFrame], DataFrame] = transform_records,
 ) -> StreamingQuery:
-    """The same delivery to ``datehour=`` folders through the file sink."""
-    lines = hourly_lines(records.transform(hook))
-    writer = lines.writeStream.format("text").partitionBy("datehour").option("path", root)
-    return start(writer, checkpoint, interval)
+    """The same delivery with one ``datehour=`` folder an hour."""
+    return deliver(records, root, checkpoint, interval, hook, BY_HOUR)

@@ -77,6 +77,10 @@ def delete(spark: SparkSession, path: str) -> bool:
     return _fs(spark, path).delete(_path(spark, path), True)
 
 
+def make_folder(spark: SparkSession, path: str) -> bool:
+    return _fs(spark, path).mkdirs(_path(spark, path))
+
+
 def move_all(spark: SparkSession, moves: dict[str, str], at_once: int = 8) -> None:
     """Rename each source to its target, replacing what a failed attempt left there."""
     if not moves:
