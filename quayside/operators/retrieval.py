@@ -27,8 +27,8 @@ PROMPT = (
 
 # Scores are added up in units of one hundred-millionth.
 UNITS = 100_000_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-TERM_PARTS = 64
+#: Folders of an index: a search reads those that hold its terms.
+PARTS = 64
 
 
 def tokens(text: Column | str) -> Column:
@@ -73,23 +73,52 @@ def term_stats(index: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Index:
-    """A written term index and the two totals that ranking needs."""
+    """A written term index: its postings in folders of terms, the documents of each term, and the totals."""
 
     postings: DataFrame
+    terms: DataFrame
     documents: int
     average_length: float
+    parts: int
 
 
-def write_index(documents: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> None:
-    term_index(documents, doc_id, text).write.mode("overwrite").parquet(path)
+def _part(parts: int) -> Column:
+    """The folder that holds a term's postings."""
+    return F.pmod(F.xxhash64("term"), F.lit(parts)).cast("int")
 
 
-def open_index(spark: SparkSession, path: str, documents: DataFrame) -> Index:
-    """Read a written index; its totals cost a count and a one-column sum."""
-    postings = spark.read.parquet(path)
-    n = documents.count()
-    total = postings.agg(F.sum("tf").alias("t")).first().t or 0
-    return Index(postings, n, total / n if n else 0.0)
+def write_index(
+    documents: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", parts: int = PARTS
+) -> None:
+    """Write postings in ``parts`` folders by term, sorted, with their term counts and totals beside them.
+
+    Texts are split once: postings are written as they lie first, and those rows are
+    dealt by folder. The rebalance splits a folder whose term most documents hold.
+    """
+    spark = documents.sparkSession
+    plain = workspace.scratch(spark, "postings")
+    term_index(documents, doc_id, text).write.parquet(plain)
+    postings = spark.read.parquet(plain)
+    dealt = postings.withColumn("part", _part(parts)).hint("rebalance", "part")
+    dealt.sortWithinPartitions("part", "term", "doc_id").write.mode("overwrite").partitionBy("part").parquet(
+        f"{path}/postings"
+    )
+    term_stats(postings).write.mode("overwrite").parquet(f"{path}/terms")
+    words = spark.read.parquet(f"{path}/terms").agg(F.coalesce(F.sum("occurrences"), F.lit(0)).alias("words"))
+    totals = words.withColumns({"documents": F.lit(documents.count()), "parts": F.lit(parts)})
+    totals.write.mode("overwrite").parquet(f"{path}/totals")
+
+
+def open_index(spark: SparkSession, path: str) -> Index:
+    """Read a written index; its totals were counted when it was written."""
+    totals = spark.read.parquet(f"{path}/totals").first()
+    average = totals.words / totals.documents if totals.documents else 0.0
+    terms = spark.read.parquet(f"{path}/terms")
+    # An index without a posting has no folder to read.
+    postings = spark.read.parquet(f"{path}/postings") if totals.words else terms.select(
+        "term", F.lit(None).alias("doc_id"), F.lit(0).alias("tf"), F.lit(0).alias("doc_len"), F.lit(0).alias("part")
+    )
+    return Index(postings, terms, totals.documents, average, totals.parts)
 
 
 def retrieve(
@@ -97,27 +126,29 @@ def retrieve(
 ) -> DataFrame:
     """The ``k`` best documents of each question: ``(query_id, rank, doc_id, score)``.
 
-    Only postings of question terms move, once, to the task that owns their
-    document. There they meet the question weights, which are sent to every task
-    while their measured size allows, and the scores are added up in place, so a
-    pair of question and document is never shuffled: a question's candidates are
-    cut to ``k`` in every task before they meet (WindowGroupLimit). A common term
-    is spread over its documents and loads no single task.
+    The question terms are weighed by the stored counts and written; only folders that
+    hold one of them are read. Their size is known then: while Spark may broadcast them, the postings of question terms move
+    once, to the task that owns their document, and scores are added up in place. A
+    question's candidates are cut to ``k`` in every task before they meet
+    (WindowGroupLimit). Beyond that size both sides meet by term, where adaptive
+    execution splits a common term.
 
     Contributions are added as whole numbers, so the sum does not depend on the
     order of rows, and equal scores rank by document.
     """
+    spark = questions.sparkSession
     wanted = (
         questions.select(F.col(query_id).alias("query_id"), F.explode(tokens(question)).alias("term"))
         .distinct()
     )
-    size = wanted.agg(F.sum(F.octet_length("term") + 32).alias("bytes")).first().bytes or 0
-    if size <= BROADCAST_BYTES:
-        asked = index.postings.join(F.broadcast(wanted.select("term").distinct()), "term", "left_semi")
-        met = asked.repartition("doc_id").join(F.broadcast(_weights(index, wanted, asked)), "term")
-    else:
-        asked = index.postings.join(wanted.select("term"), "term", "left_semi")
-        met = _meet_by_term(asked, _weights(index, wanted, asked))
+    rarity = F.log(1 + (F.lit(index.documents) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    path = workspace.scratch(spark, "asked-terms")
+    wanted.join(index.terms, "term").select("query_id", "term", rarity.alias("idf")).write.parquet(path)
+    weights = spark.read.parquet(path)
+    parts = [row.part for row in weights.select(_part(index.parts).alias("part")).distinct().collect()]
+    held = index.postings.where(F.col("part").isin(parts)).drop("part")
+    asked = held.join(weights.select("term").distinct(), "term", "left_semi")
+    met = asked.repartition("doc_id").join(weights, "term")
     length = F.col("doc_len") / F.lit(max(index.average_length, 1e-9))
     saturation = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * length))
     contribution = F.floor(F.col("idf") * saturation * UNITS + 0.5)
@@ -131,24 +162,6 @@ def retrieve(
     )
 
 
-def _weights(index: Index, wanted: DataFrame, asked: DataFrame) -> DataFrame:
-    """Rarity of each question's terms."""
-    frequency = asked.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    rarity = F.log(1 + (F.lit(index.documents) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    return wanted.join(frequency, "term").select("query_id", "term", rarity.alias("idf"))
-
-
-def _meet_by_term(asked: DataFrame, weights: DataFrame) -> DataFrame:
-    """Postings and weights of more questions than a task can hold, joined by term.
-
-    Every term is dealt over a fixed number of parts by document, so a term that
-    most documents hold is no single task's work; the weights are repeated per part.
-    """
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(TERM_PARTS)).cast("int")
-    parts = F.explode(F.sequence(F.lit(0), F.lit(TERM_PARTS - 1)))
-    return asked.withColumn("part", part).join(weights.withColumn("part", parts), ["term", "part"])
-
-
 def assemble_prompts(
     ranked: DataFrame,
     documents: DataFrame,

@@ -22,7 +22,7 @@ def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = workspace.scratch(spark, "term-index")
     retrieval.write_index(documents, path)
-    index = retrieval.open_index(spark, path, documents)
+    index = retrieval.open_index(spark, path)
     return retrieval.retrieve(index, _questions(spark, sf_dir), TOP_K)
 
 

@@ -342,14 +342,22 @@ def brute_force(texts, questions, k):
     return ranked
 
 
-@pytest.mark.parametrize("broadcast_bytes", [retrieval.BROADCAST_BYTES, 0])
-def test_retrieval_against_brute_force(spark, tmp_path, monkeypatch, broadcast_bytes):
-    monkeypatch.setattr(retrieval, "BROADCAST_BYTES", broadcast_bytes)
+@pytest.mark.parametrize("broadcast_bytes", ["10MB", "-1"])
+def test_retrieval_against_brute_force(spark, tmp_path, broadcast_bytes):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast_bytes)
+    try:
+        _retrieval_agrees(spark, tmp_path)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _retrieval_agrees(spark, tmp_path):
     texts, questions = corpus()
     documents = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
     asked = spark.createDataFrame(list(questions.items()), "query_id bigint, question string")
     retrieval.write_index(documents, f"{tmp_path}/ix")
-    index = retrieval.open_index(spark, f"{tmp_path}/ix", documents)
+    index = retrieval.open_index(spark, f"{tmp_path}/ix")
     got = retrieval.retrieve(index, asked, 6)
     assert rows(got.select("query_id", "rank", "doc_id")) == sorted(brute_force(texts, questions, 6), key=repr)
     prompts = {r.query_id: r for r in retrieval.assemble_prompts(got, documents, asked).collect()}
@@ -358,6 +366,42 @@ def test_retrieval_against_brute_force(spark, tmp_path, monkeypatch, broadcast_b
     assert len(prompts) == 4
 
 
+def test_a_search_reads_the_folders_of_its_terms(spark, tmp_path):
+    texts, _ = corpus()
+    documents = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    retrieval.write_index(documents, f"{tmp_path}/ix")
+    asked = spark.createDataFrame([(1, "fig")], "query_id bigint, question string")
+    found = retrieval.retrieve(retrieval.open_index(spark, f"{tmp_path}/ix"), asked, 6)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 6
+    assert re.search(r"PartitionFilters: \[(isnotnull\(part#\d+\), )?\(?part#\d+ (IN|=)", plan)
+
+
+def test_an_index_of_nothing(spark, tmp_path):
+    documents = spark.createDataFrame([(1, None), (2, "...")], "doc_id bigint, text string")
+    asked = spark.createDataFrame([(1, "fig")], "query_id bigint, question string")
+    for number, docs in enumerate((documents, documents.limit(0))):
+        retrieval.write_index(docs, f"{tmp_path}/ix{number}")
+        index = retrieval.open_index(spark, f"{tmp_path}/ix{number}")
+        assert rows(retrieval.retrieve(index, asked, 6)) == []
+        assert len(retrieval.assemble_prompts(retrieval.retrieve(index, asked, 6), docs, asked).collect()) == 1
+
+
+def test_documents_of_a_folder_are_found_by_path(spark, tmp_path):
+    from quayside.sources.landing import read_documents
+
+    (tmp_path / "docs").mkdir()
+    for name, text in (("a.txt", "fig plum"), ("b.txt", "kiwi")):
+        (tmp_path / "docs" / name).write_text(text)
+    docs = read_documents(spark, f"{tmp_path}/docs")
+    key = docs.columns[0]
+    asked = spark.createDataFrame([(1, "a fig"), (2, "nothing")], "query_id bigint, question string")
+    retrieval.write_index(docs, f"{tmp_path}/ix", key)
+    found = retrieval.retrieve(retrieval.open_index(spark, f"{tmp_path}/ix"), asked, 3)
+    prompts = {r.query_id: r for r in retrieval.assemble_prompts(found, docs, asked, doc_id=key).collect()}
+    assert prompts[1].source_documents[0].endswith("a.txt") and prompts[2].source_documents == []
+
+
 def test_term_index_counts(spark):
     df = spark.createDataFrame([(1, "b a, B! a a"), (2, ""), (3, None), (4, "...")], "doc_id bigint, text string")
     assert rows(retrieval.term_index(df)) == [("a", 1, 3, 5), ("b", 1, 2, 5)]
