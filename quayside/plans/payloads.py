@@ -29,6 +29,7 @@ CONFIG = {
         }
     }
 }
+PAGE = 100
 ITEM_SCHEMA = (
     "id bigint, name string, who struct<user: bigint, tags: array<string>>, "
     "marks array<struct<n: string, w: double>>"
@@ -67,6 +68,12 @@ def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_items(spark, _land_envelopes(spark, sf_dir), ITEM_SCHEMA)
 
 
+def api_first_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of one page request, which are any ``PAGE`` of them: how many came, and how many ids."""
+    items = read_items(spark, _land_envelopes(spark, sf_dir), ITEM_SCHEMA, limit=PAGE)
+    return items.agg(F.count(F.lit(1)).alias("items"), F.count_distinct("id").alias("ids"))
+
+
 def api_items_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Envelope items flattened to the configured columns."""
     flat = drop_nested(flatten(_items(spark, sf_dir)))
@@ -158,6 +165,7 @@ def schema_crawl_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "api_items_flatten": api_items_flatten,
     "api_items_entries": api_items_entries,
+    "api_first_page": api_first_page,
     "api_array_widths": api_array_widths,
     "api_lenient_items": api_lenient_items,
     "api_parent_child": api_parent_child,
@@ -189,6 +197,9 @@ _PATHS = (
 ORACLE = {
     "api_lenient_items": "SELECT CAST(o_orderkey AS BIGINT) AS id, CAST(o_custkey AS BIGINT) AS customer FROM orders",
     "api_items_flatten": f"WITH {_ITEMS} {_FLAT}",
+    "api_first_page": f"""
+WITH {_ITEMS}, page AS (SELECT id FROM items ORDER BY id LIMIT {PAGE})
+SELECT count(*) AS items, count(DISTINCT id) AS ids FROM page""",
     "api_items_entries": f"WITH {_ITEMS}, flat AS ({_FLAT})"
     + " UNION ALL ".join(
         f"SELECT id, '{p}' AS path, CAST({p} AS VARCHAR) AS value FROM flat WHERE {p} IS NOT NULL"

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from quayside import workspace
 from quayside.operators import retrieval
 from quayside.plans.tables import table
+from quayside.sinks.runlog import require_samples
+from quayside.sources.landing import read_documents
 
 TOP_K = 5
 
@@ -46,7 +48,19 @@ def prompt_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prompts.withColumn("source_documents", sources)
 
 
+def doc_folder_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document landed as a text file of its own, gated on samples, then scanned below a prefix."""
+    root = workspace.scratch(spark, "document-files")
+    texts = table(spark, sf_dir, "documents").select(F.coalesce("text", F.lit("")).alias("value"), "doc_id")
+    texts.write.partitionBy("doc_id").text(f"{root}/landed")
+    found = read_documents(spark, root, "landed")
+    require_samples(found)
+    number = F.regexp_extract("doc_id", "/doc_id=([0-9]+)/", 1).cast("bigint")
+    return found.select(number.alias("doc_id"), F.sha2(F.col("text").cast("binary"), 256).alias("sha256"))
+
+
 QUERIES = {
+    "doc_folder_scan": doc_folder_scan,
     "doc_term_index": doc_term_index,
     "doc_term_stats": doc_term_stats,
     "doc_retrieve_topk": doc_retrieve_topk,
@@ -92,6 +106,7 @@ def _text(value: str) -> str:
 
 
 ORACLE = {
+    "doc_folder_scan": "SELECT doc_id, sha256(coalesce(text, '') || chr(10)) AS sha256 FROM documents",
     "doc_term_index": f"WITH {_INDEX} SELECT term, doc_id, CAST(doc_len AS INTEGER) AS doc_len, tf FROM postings",
     "doc_term_stats": (
         f"WITH {_INDEX} SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS occurrences FROM postings GROUP BY term"
