@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from html import unescape
 
 BLOCK_TAGS = frozenset(
@@ -14,6 +14,8 @@ BLOCK_TAGS = frozenset(
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is never shown as text.
 HIDDEN_TAGS = frozenset("script style template noscript svg math iframe object canvas textarea select".split())
+#: Those whose content is no markup.
+RAW_TAGS = frozenset("script style iframe textarea".split())
 #: A start tag of the key closes an open element of these names.
 CLOSES = {
     "li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -28,13 +30,22 @@ _TAG = re.compile(r"""<(?:(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')
 _ATTRIBUTE = re.compile(r"""([^\s/=>"']++)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
 
 
+def _attributes(written: str) -> list[tuple[str, str]]:
+    return [(m[1].lower(), m[2] if m[2] is not None else m[3] if m[3] is not None else m[4] or "")
+            for m in _ATTRIBUTE.finditer(written)]
+
+
+def _targets(attributes: list[tuple[str, str]]) -> list[str]:
+    """The target of an anchor, if it has one."""
+    return [unescape(value) for name, value in attributes if name in ("href", "xlink:href") and value][:1]
+
+
 @dataclass
 class Block:
     text: str
     tags: tuple[str, ...]
     names: frozenset[str]
     link_chars: int = 0
-    links: list[str] = field(default_factory=list)
 
 
 class _Reader:
@@ -54,8 +65,7 @@ class _Reader:
             text = " ".join("".join(self.parts).split())
             if text:
                 names = frozenset().union(*self.names)
-                self.blocks.append(Block(text, tuple(self.tags), names, self.linked, self.links))
-                self.links = []
+                self.blocks.append(Block(text, tuple(self.tags), names, self.linked))
             self.parts, self.linked = [], 0
 
     def drop_to(self, at: int) -> None:
@@ -85,13 +95,12 @@ class _Reader:
             return
         names = NO_NAMES
         if attributes:
-            found = [(m[1].lower(), m[2] if m[2] is not None else m[3] if m[3] is not None else m[4] or "")
-                     for m in _ATTRIBUTE.finditer(attributes)]
+            found = _attributes(attributes)
             named = " ".join(value for name, value in found if name in ("class", "id", "role"))
             if named:
                 names = frozenset(_PART.findall(named.lower()))
             if tag == "a":
-                self.links += [unescape(value) for name, value in found if name == "href" and value][:1]
+                self.links += _targets(found)
         self.tags.append(tag)
         self.names.append(names)
 
@@ -109,10 +118,31 @@ class _Reader:
             self.linked += len(data)
 
 
+def _hidden_targets(html: str, at: int, end: int) -> list[str]:
+    """The targets of the anchors between two places, comments left out."""
+    found = []
+    while 0 <= (at := html.find("<", at, end)):
+        if html.startswith("<!--", at):
+            close = html.find("-->", at + 2, end)
+            at = close + 3 if close >= 0 else end
+            continue
+        tag = _TAG.match(html, at, end)
+        if tag and not tag[1] and tag[2] and tag[2].lower() == "a":
+            found += _targets(_attributes(tag[3]))
+        at = tag.end() if tag else at + 1
+    return found
+
+
 def blocks(html: str | None) -> list[Block]:
-    """The blocks of a page in order; none of a null, an empty or a textless page.
+    """The blocks of a page, as ``read_page`` finds them."""
+    return read_page(html)[0]
+
+
+def read_page(html: str | None) -> tuple[list[Block], list[str]]:
+    """The blocks of a page in order, and the targets of all its anchors, with text or without.
 
-    Character references are decoded, white space is one space, and elements
+    A null, an empty or a textless page has no blocks. Anchors count inside
+    elements that hide their text too, where these hold markup. Character references are decoded, white space is one space, and elements
     that the page leaves open end with their parent or with the page. A tag or
     comment that never ends hides the rest of the page, as it does in a browser.
     """
@@ -145,8 +175,10 @@ def blocks(html: str | None) -> list[Block]:
         elif tag in HIDDEN_TAGS:
             if not found[3].endswith("/") or tag in ("script", "style", "textarea"):
                 close = re.compile(f"</{tag}[^>]*>", re.IGNORECASE).search(html, at)
+                if tag not in RAW_TAGS:
+                    reader.links += _hidden_targets(html, at, close.start() if close else len(html))
                 at = close.end() if close else len(html)
         else:
             reader.start(tag, found[3])
     reader.flush()
-    return reader.blocks
+    return reader.blocks, reader.links

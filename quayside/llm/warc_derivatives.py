@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm.page_blocks import blocks
+from quayside.llm.page_blocks import read_page
 
 #: Capture time where a table of pages has none.
 DATE = "2024-01-01T00:00:00Z"
@@ -192,8 +192,8 @@ def derivatives(source: dict[str, str], block: bytes) -> list[dict]:
         html = body.decode(charset[1] if charset else "utf-8", "replace")
     except LookupError:
         html = body.decode("utf-8", "replace")
-    found = blocks(html)
-    links = list(dict.fromkeys(link for b in found for link in b.links))
+    found, targets = read_page(html)
+    links = list(dict.fromkeys(targets))
     source_id = source.get("warc-record-id") or ""
     payload = source.get("warc-payload-digest") or _digest(body)
     told = [("status", status)] + [(f"http-{name}", value) for name, value in http.items()]

@@ -1,5 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -169,6 +171,19 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc_derivatives.derived(read.where("false")).collect() == []
 
 
+@pytest.mark.parametrize("html, links", [
+    ("<a href='/a'><img></a><a href=/b><img></a>", ["/a", "/b"]),
+    ("<p>text <a href='/a'>one</a></p><footer><a href='/b?x&amp;y'><img></a></footer>", ["/a", "/b?x&y"]),
+    ("<noscript><a href='/n'>n</a></noscript><svg><a xlink:href='/s'/></svg><object><!--<a href='/no'>--><a href='/o'></object>", ["/n", "/s", "/o"]),
+    ("<p>x</p><script>'<a href=\"/no\">'</script><textarea><a href='/no'></textarea><noscript><a href='/n'>", ["/n"]),
+])
+def test_every_anchor_is_an_outlink(html, links):
+    block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + html.encode()
+    told = warc_derivatives.derivatives({"warc-record-id": "<urn:x>"}, block)
+    assert [r["n_links"] for r in told] == [len(links)] * 2
+    assert re.findall("outlink: (.*) L a/@href", told[0]["block"]) == links
+
+
 def test_chat(spark):
     rows = [(1, 0, "user", "a"), (2, 5, "user", "a"), (2, 6, "x", None), (2, 6, "x", None), (3, 0, "user", "a"), (4, 0, None, "a"),
             (5, 1, "user", "a"), (5, 2, "x", ""), (None, None, None, None)]
