@@ -2,10 +2,11 @@
 
 Base patterns find emails, addresses, cards and phones. They are the seeds: the
 words around them are lexical patterns. Spark builds the graph of patterns and
-of the things found in them - seeds, and tokens that look like identifiers but
-that no base pattern takes - and scores both in turn: a pattern by the share of
-its things that are of a kind, a thing by its patterns. In the end, tokens in
-patterns of high confidence are personal data of the pattern's kind too.
+of the things found in them - seeds, and tokens and runs of tokens that look
+like identifiers but that no base pattern takes - and scores both in turn: a
+pattern by the share of its things that are of a kind, a thing by its patterns.
+What scores high supports further patterns. In the end, things in patterns of
+high confidence are personal data of the pattern's kind too.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import re
 from bisect import bisect_right
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,11 +31,13 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _DIGIT = re.compile(r"[0-9]")
+_EDGES = ".,;:!?\"'()[]<>"
 
-#: A token is looked at as an identifier from this length on, with this many digits or an at sign.
+#: A token or a run of tokens is looked at as an identifier from this length on, with this many digits or an at sign.
 TOKEN_CHARS, TOKEN_DIGITS = 6, 4
+#: Rounds at the least.
 ROUNDS = 3
-#: A pattern is trusted from so many different seeds on, and at this confidence.
+#: A pattern is trusted from so many different seeds and confident instances on, and at this confidence.
 SUPPORT, CONFIDENCE = 5, 0.8
 
 
@@ -83,7 +86,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _plain(word: str) -> str:
-    return _DIGIT.sub("", word).lower().strip(".,;:!?\"'()[]<>")
+    return _DIGIT.sub("", word).lower().strip(_EDGES)
 
 
 def contexts(words: list[tuple[int, int, str]], first: int, last: int) -> list[str]:
@@ -97,8 +100,31 @@ def contexts(words: list[tuple[int, int, str]], first: int, last: int) -> list[s
     ]
 
 
+def digit_runs(text: str, words: list[tuple[int, int, str]], taken: set[int]) -> list[tuple[int, int]]:
+    """First and last words of the runs of two or more words with digits, and of their parts.
+
+    A part ends with its line or with a punctuation mark, so that numbers in a
+    list or a table are told apart; of every word there are one run and one part.
+    """
+    found: set[tuple[int, int]] = set()
+    run = part = None
+    for i, (_, end, word) in enumerate(words):
+        if i in taken or _DIGIT.search(word) is None:
+            run = part = None
+            continue
+        run, part = i if run is None else run, i if part is None else part
+        after = words[i + 1] if i + 1 < len(words) and i + 1 not in taken else None
+        last = after is None or _DIGIT.search(after[2]) is None
+        if last or word[-1] in ".,;:!?" or "\n" in text[end : after[0]]:
+            found.add((part, i))
+            part = None
+        if last:
+            found.add((run, i))
+    return sorted(pair for pair in found if pair[0] < pair[1])
+
+
 def looked_at(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple]]:
-    """The base spans of a text, and ``(kind or None, start, end, instance, patterns)`` of seeds and other tokens."""
+    """The base spans of a text, and ``(kind or None, start, end, instance, patterns)`` of seeds, other tokens and runs of them."""
     text = text or ""
     base = base_spans(text)
     if not base and _DIGIT.search(text) is None and "@" not in text:
@@ -113,11 +139,20 @@ def looked_at(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple]
     for i, (start, end, word) in enumerate(words):
         if i in taken:
             continue
-        bare = word.strip(".,;:!?\"'()[]<>")
+        bare = word.strip(_EDGES)
         if len(bare) < TOKEN_CHARS or ("@" not in bare and len(_DIGIT.findall(bare)) < TOKEN_DIGITS):
             continue
         low = start + word.index(bare)
         found.append((None, low, low + len(bare), bare.lower(), contexts(words, i, i)))
+    for first, last in digit_runs(text, words, taken):
+        whole = text[words[first][0] : words[last][1]]
+        low = words[first][0] + len(whole) - len(whole.lstrip(_EDGES))
+        high = low + len(whole.strip(_EDGES))
+        if text.count(")", low, high) > text.count("(", low, high) and low > 0 and text[low - 1] == "(":
+            low -= 1
+        if high - low >= TOKEN_CHARS and len(_DIGIT.findall(text, low, high)) >= TOKEN_DIGITS:
+            instance = " ".join(_WORD.findall(text, low, high)).lower()
+            found.append((None, low, high, instance, contexts(words, first, last)))
     return base, found
 
 
@@ -149,7 +184,9 @@ def trusted_patterns(spark: SparkSession, things: DataFrame, rounds: int = ROUND
     The graph has one edge for every pattern and different instance. A seed
     scores 1 for its kind; another instance scores by the patterns it is in:
     one minus the product of their doubts. A pattern's confidence in a kind is
-    the sum of its instances' scores over their number, plus one.
+    the sum of its instances' scores over their number, plus one. Every round
+    counts anew which patterns are supported: by seeds, and by what scores as
+    high as a trusted pattern. Rounds go on while they support further patterns.
     """
     edges = staged(
         spark,
@@ -157,29 +194,32 @@ def trusted_patterns(spark: SparkSession, things: DataFrame, rounds: int = ROUND
         .groupBy("pattern", "instance").agg(F.max("kind").alias("seed")),
         "pattern-edges",
     )
-    supported = edges.where("seed is not null").groupBy("pattern", F.col("seed").alias("kind")).agg(
-        F.count(F.lit(1)).alias("support")
-    ).where(F.col("support") >= SUPPORT)
-    supported = staged(spark, supported, "supported-patterns")
-    # Only patterns with enough seeds can ever be trusted; the rest of the graph is not scored.
-    near = staged(spark, edges.join(supported.select("pattern").distinct(), "pattern"), "near-edges")
-    sizes = near.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
-    scores = None
-    for _ in range(rounds):
-        given = near.where("seed is not null").select("pattern", F.col("seed").alias("kind"), F.lit(1.0).alias("score"))
+    # Support never exceeds the number of instances, so that smaller patterns need no scores.
+    sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= SUPPORT)
+    near = staged(spark, edges.join(sizes, "pattern"), "near-edges")
+    seeds = near.where("seed is not null").select("pattern", "n", F.col("seed").alias("kind"), F.lit(1.0).alias("score"))
+    others = near.where("seed is null")
+    scores, known, number = None, 0, 0
+    while True:
+        given = seeds
         if scores is not None:
-            others = near.where("seed is null").join(scores, "instance").select("pattern", "kind", "score")
-            given = given.unionByName(others)
-        summed = given.groupBy("pattern", "kind").agg(F.sum("score").alias("score"))
-        confident = summed.join(sizes, "pattern").select(
-            "pattern", "kind", (F.col("score") / (F.col("n") + 1)).alias("confidence")
+            given = seeds.unionByName(others.join(scores, "instance").select("pattern", "n", "kind", "score"))
+        summed = given.groupBy("pattern", "n", "kind").agg(
+            F.sum("score").alias("score"), F.count_if(F.col("score") >= CONFIDENCE).alias("support")
+        ).withColumn("most", F.max("support").over(Window.partitionBy("pattern")))
+        confident = summed.where(F.col("most") >= SUPPORT).select(
+            "pattern", "kind", "support", (F.col("score") / (F.col("n") + 1)).alias("confidence")
         )
         confident = staged(spark, confident, "pattern-scores")
-        doubts = near.where("seed is null").join(confident, "pattern").groupBy("instance", "kind").agg(
+        number += 1
+        before, known = known, confident.where(F.col("support") >= SUPPORT).count()
+        if not known or (number >= rounds and known == before):
+            break
+        doubts = others.join(confident, "pattern").groupBy("instance", "kind").agg(
             (1 - F.exp(F.sum(F.ln(1 - F.least("confidence", F.lit(0.999)))))).alias("score")
         )
         scores = staged(spark, doubts, "instance-scores")
-    return confident.join(supported, ["pattern", "kind"]).where(F.col("confidence") >= CONFIDENCE).select(
+    return confident.where((F.col("support") >= SUPPORT) & (F.col("confidence") >= CONFIDENCE)).select(
         "pattern", "kind", "confidence"
     )
 
@@ -189,8 +229,9 @@ def spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     Spans count code points. Null texts are empty. Rows that repeat have the
     same spans, and teach as one document does: the graph has each edge once.
-    A discovered token has the kind of the most confident pattern it is in, the
-    first kind of equals; base spans always stay.
+    A discovered token or run has the kind of the most confident pattern it is
+    in, the first kind of equals; inside a discovered run no part is told again.
+    Base spans always stay.
     """
     see = F.arrow_udf(_seen, SEEN).asNondeterministic()
     seen = staged(
@@ -206,6 +247,10 @@ def spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
     best = tokens.join(trusted, "pattern").groupBy("doc_id", "th", "start", "end").agg(
         F.max(F.struct("confidence", (-F.col("kind")).alias("k"))).alias("best")
     )
+    outer = F.max("end").over(
+        Window.partitionBy("doc_id", "th").orderBy("start", F.col("end").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    best = best.withColumn("upto", outer).where(F.col("upto").isNull() | (F.col("upto") < F.col("end")))
     new = best.select("doc_id", "th", F.struct((-F.col("best.k")).alias("kind"), "start", "end").alias("span"))
     new = new.groupBy("doc_id", "th").agg(F.collect_list("span").alias("new"))
     new = new.select(F.col("doc_id").alias("d"), F.col("th").alias("h"), "new")

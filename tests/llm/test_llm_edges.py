@@ -134,6 +134,31 @@ def test_private_contexts_discover(spark, nothing):
     assert private_data.report(spark, nothing).collect() == []
 
 
+def test_private_contexts_support_each_other(spark):
+    rows = [(i, f"please call me on +1 456 555 {1000 + i} now thanks") for i in range(12)]
+    rows += [(100 + i, f"please call me on 0456/555{7000 + i} now thanks") for i in range(6)]
+    rows += [(200 + i, f"their office fax is 0456/555{7000 + i} since then") for i in range(6)]
+    rows += [(300 + i, f"their office fax is +1 456 555 {2000 + i} since then") for i in range(4)]
+    rows += [(400, "their office fax is 0999/1234567 since then"), (401, "the version is 0999/1234567 of it")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.spans for r in private_data.report(spark, docs).collect()}
+    assert out[100] == "phone:18:30" and out[200] == out[400] == "phone:20:32" and out[401] == ""
+
+
+@pytest.mark.parametrize("told", ["(456) 555 2186", "4111 1111 1111 1112", "456  555\n2186"])
+def test_private_contexts_discover_several_words(spark, told):
+    rows = [(i, f"please call me on +1 456 555 {1000 + i} now thanks") for i in range(12)]
+    rows += [(50, f"please call me on {told} now thanks"), (51, f"the version is {told} of it")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.spans for r in private_data.report(spark, docs).collect()}
+    assert out[50] == f"phone:18:{18 + len(told)}" and out[51] == ""
+
+
+def test_runs_of_numbers_and_their_parts():
+    found = private_data.looked_at("a (12) 345 67, 89 1011 b 55 x1\n123456 7")[1]
+    assert [x[3] for x in found] == ["123456", "(12) 345 67", "(12) 345 67, 89 1011", "89 1011", "55 x1 123456 7", "123456 7"]
+
+
 def test_pages(spark):
     body = "<nav><a href='/a'>Home</a></nav><article><h1>Title&amp;</h1><p>First  one.<br>And <b>more</b>.<p>Second</article><footer>x</footer>"
     rows = [(1, "u", f"<html><body>{body}"), (1, "u", f"<html><body>{body}"), (None, None, None), (3, "u", ""), (4, "u", "<p class='"), (5, "u", "<div>" * 3000 + "x")]
