@@ -6,7 +6,8 @@ one or two positions of a min-hash signature, and sets that hold the same value
 there go on together. Buckets that are small enough are compared pair by pair;
 buckets that hardly shrink, or stay large to the last level, are compared in
 square blocks, so that none is too large for a task and none is left out. Runs are repeated until
-the links seen once and twice say that the target recall is reached.
+the links seen once and twice say that the target recall is reached: in every stratum of links by
+itself, so that many easy links do not outweigh missing hard ones.
 
 A pair may meet in several buckets. It counts in the first of them only, which
 every task can tell from the list of buckets a set is in, so no pair is ever
@@ -40,6 +41,11 @@ DEPTH = 4
 ALIKE = 0.5
 TARGET_RECALL = 0.999
 FIRST_RUNS, MORE_RUNS, MOST_RUNS = 6, 3, 60
+#: What ends a bucket, in the low bits of its number: its level where it is small, or one of these.
+ALIKE_END, BLOCK_END = DEPTH + 1, DEPTH + 2
+#: A link's stratum: the largest end in the first run that finds it, and whether its similarity is this many tenths.
+CLOSE_TENTHS = 9
+STRATA = 16
 
 _PRIME = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -151,7 +157,9 @@ def buckets(spark: SparkSession, sets: DataFrame, runs: range) -> DataFrame:
         told = staged(spark, rows.join(sizes, "node").select("node", "k", "n", "up"), "told")
         alike = F.coalesce(F.col("n") > ALIKE * F.col("up"), F.lit(False))
         ends = F.lit(True) if depth == DEPTH else (F.col("n") <= SMALL) | alike
-        done = told.where(ends).select("node", "k", "n")
+        end = F.when(F.col("n") <= SMALL, depth).when(alike, ALIKE_END).otherwise(BLOCK_END).cast("long")
+        named = F.shiftleft(F.shiftright("node", 3), 3).bitwiseOR(end)
+        done = told.where(ends).select(named.alias("node"), "k", "n")
         ended = done if ended is None else ended.unionByName(done)
         large = told.where(~ends)
         if depth == DEPTH or large.isEmpty():
@@ -161,7 +169,7 @@ def buckets(spark: SparkSession, sets: DataFrame, runs: range) -> DataFrame:
 
 
 def _pairs(group: list[tuple], square: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Which members of a group are linked, and which of these pairs a task may look at: a matrix each."""
+    """Which members of a group are linked, of the pairs a task may look at, and which are close: a matrix each."""
     m = len(group)
     sizes = np.array([len(g[2]) for g in group])
     every = np.concatenate([g[2] for g in group])
@@ -184,29 +192,35 @@ def _pairs(group: list[tuple], square: bool) -> tuple[np.ndarray, np.ndarray]:
     linked = 10 * common >= TENTHS * either
     side = np.array([g[0] for g in group])
     asked = ~np.eye(m, dtype=bool) if square else side[:, None] != side[None, :]
-    return linked & asked, asked
+    return linked & asked, 10 * common >= CLOSE_TENTHS * either
 
 
-def _meetings(group: list[tuple], node: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each pair whether it meets in an earlier bucket, and in how many runs it meets."""
+def _meetings(group: list[tuple], node: int, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each pair whether it meets in an earlier bucket of the runs from ``first`` on, in how many runs it meets
+    before these and in these, and the largest end in the first run of all."""
     m = len(group)
     owner = np.repeat(np.arange(m), [len(g[3]) for g in group])
     every = np.concatenate([g[3] for g in group])
-    times = np.zeros((m, m), dtype=np.int16)
-    for run in np.unique(every >> 56):
-        inside = (every >> 56) == run
+    _, at, times = np.unique(every, return_inverse=True, return_counts=True)
+    owner, every = owner[times[at] > 1], every[times[at] > 1]
+    run, end = every >> 56, every & 7
+
+    def together(inside: np.ndarray) -> np.ndarray:
         names, at = np.unique(every[inside], return_inverse=True)
         held = np.zeros((m, len(names)), dtype=np.float32)
         held[owner[inside], at] = 1
-        times += (held @ held.T) > 0
-    before = every < node
-    early = np.zeros((m, m), dtype=bool)
-    if before.any():
-        names, at = np.unique(every[before], return_inverse=True)
-        held = np.zeros((m, len(names)), dtype=np.float32)
-        held[owner[before], at] = 1
-        early = (held @ held.T) > 0
-    return early, times
+        return (held @ held.T) > 0
+
+    before, since = np.zeros((m, m), dtype=np.int16), np.zeros((m, m), dtype=np.int16)
+    kind = np.zeros((m, m), dtype=np.int8)
+    for number in np.unique(run):
+        largest = np.zeros((m, m), dtype=np.int8)
+        for last in np.unique(end[run == number]):
+            largest[together((run == number) & (end == last))] = last
+        kind = np.where(kind == 0, largest, kind)
+        times = before if number < first else since
+        times += largest > 0
+    return together((run >= first) & (every < node)), before, since, kind
 
 
 def _roots(linked: np.ndarray) -> np.ndarray:
@@ -221,11 +235,22 @@ def _roots(linked: np.ndarray) -> np.ndarray:
         label = low
 
 
-FOUND = "k binary, links long, once long, twice long, root binary"
+FOUND = "k binary, links long, strata array<long>, root binary"
+
+
+def _strata(pairs: np.ndarray, stratum: np.ndarray, before: np.ndarray, since: np.ndarray) -> list[int]:
+    """By stratum, how these pairs change the links found, those met in one run, and those met in two."""
+    at = np.nonzero(np.triu(pairs, 1))
+    was, now = before[at], before[at] + since[at]
+    changes = [was == 0] + [(now == n).astype(np.int64) - (was == n) for n in (1, 2)]
+    return np.concatenate([np.bincount(stratum[at], weights=c, minlength=STRATA) for c in changes]).astype(np.int64).tolist()
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of every group of rows ``(node, i, j, side, k, shingles, nodes)``, which come sorted by group."""
+def _compared(batches: Iterator[pa.RecordBatch], first_run: int) -> Iterator[pa.RecordBatch]:
+    """Links of every group of rows ``(node, i, j, side, k, shingles, nodes)``, which come sorted by group.
+
+    Links that an earlier run has found change what is known of their stratum only.
+    """
     names = [name.split()[0] for name in FOUND.split(", ")]
 
     def settled(key: tuple, group: list[tuple]) -> list[tuple]:
@@ -233,21 +258,21 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return []
         node, i, j = key
         group.sort(key=lambda g: g[1])
-        linked, _ = _pairs(group, i == j)
+        linked, close = _pairs(group, i == j)
         if not linked.any():
             return []
-        early, times = _meetings(group, node)
-        new = linked & ~early
-        roots = _roots(linked)
-        links, once, twice = new.sum(axis=1), (new & (times == 1)).sum(axis=1), (new & (times == 2)).sum(axis=1)
+        early, before, since, kind = _meetings(group, node, first_run)
+        here = linked & ~early
+        counts = _strata(here, 2 * kind.astype(np.int64) + close, before, since)
+        links, roots = (here & (before == 0)).sum(axis=1), _roots(linked)
+        found = np.flatnonzero(linked.any(axis=1))
         return [
-            (group[a][1], int(links[a]), int(once[a]), int(twice[a]), group[roots[a]][1])
-            for a in np.flatnonzero(linked.any(axis=1))
+            (group[a][1], int(links[a]), counts if a == found[0] else None, group[roots[a]][1]) for a in found
         ]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
-        kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        kinds = [pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
         return pa.RecordBatch.from_arrays(
             [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=names
         )
@@ -273,11 +298,11 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch_of(settled(key, group))
 
 
-def compared(spark: SparkSession, ends: DataFrame, nodes: DataFrame, held: DataFrame) -> DataFrame:
+def compared(spark: SparkSession, ends: DataFrame, nodes: DataFrame, held: DataFrame, first_run: int) -> DataFrame:
     """Compare the sets of every bucket: the links each set gains, and its root in the bucket.
 
-    ``ends`` has the buckets of the latest runs, ``nodes`` all buckets a set was
-    ever in. Of buckets with the same members the first is compared.
+    ``ends`` has the buckets of the runs from ``first_run`` on, ``nodes`` all
+    buckets a set was ever in. Of buckets with the same members the first is compared.
     """
     same_members = ends.groupBy("node").agg(
         F.max("n").alias("n"), F.bit_xor(F.xxhash64("k")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "k")).alias("y")
@@ -291,7 +316,7 @@ def compared(spark: SparkSession, ends: DataFrame, nodes: DataFrame, held: DataF
     )
     rows = dealt.join(nodes, "k").join(held, "k").select("node", "i", "j", "side", "k", "shingles", "nodes")
     sorted_rows = rows.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j")
-    return sorted_rows.mapInArrow(_compared, FOUND)
+    return sorted_rows.mapInArrow(lambda batches: _compared(batches, first_run), FOUND)
 
 
 def missing(once: int, twice: int, runs: int) -> float:
@@ -299,6 +324,12 @@ def missing(once: int, twice: int, runs: int) -> float:
     return (runs - 1) / runs * once * (once - 1) / (2 * (twice + 1))
 
 
+def reached(strata: dict[int, int], runs: int, target: float = TARGET_RECALL) -> bool:
+    """Whether the links of every stratum are found, as far as its own links met once and twice tell."""
+    links, once, twice = ([strata.get(n * STRATA + s, 0) for s in range(STRATA)] for n in range(3))
+    return all(x >= target * (x + missing(a, b, runs)) for x, a, b in zip(links, once, twice, strict=True))
+
+
 def joined(spark: SparkSession, docs: DataFrame, target: float = TARGET_RECALL) -> DataFrame:
     """One row per row of ``docs``: ``(doc_id, th, k, class_id, class_th, n_links, n_copies)``.
 
@@ -320,6 +351,7 @@ def joined(spark: SparkSession, docs: DataFrame, target: float = TARGET_RECALL)
     found: list[DataFrame] = []
     shingle = F.arrow_udf(_shingled, T.ArrayType(T.LongType(), False)).asNondeterministic()
     texts = docs.select(F.col("doc_id").alias("d"), F.col("text").alias("text"), F.xxhash64("text").alias("h"))
+    held: DataFrame | None = None
     done = 0
     while True:
         runs = range(done, done + (MORE_RUNS if done else FIRST_RUNS))
@@ -329,19 +361,22 @@ def joined(spark: SparkSession, docs: DataFrame, target: float = TARGET_RECALL)
         for more in ends[1:]:
             met = met.unionByName(more)
         nodes = staged(spark, met.groupBy("k").agg(F.collect_list("node").alias("nodes")), "nodes")
-        wanted = sets.join(nodes.select("k"), "k", "left_semi").select("k", "first.doc_id", "first.th")
+        new = nodes.select("k") if held is None else nodes.select("k").join(held.select("k"), "k", "left_anti")
+        wanted = sets.join(new, "k", "left_semi").select("k", "first.doc_id", "first.th")
         wanted = staged(spark, wanted, "wanted")
         # Rows that repeat give the same set again; one of them is enough.
-        held = texts.join(wanted, texts["d"].eqNullSafe(wanted["doc_id"]) & (texts["h"] == wanted["th"]))
-        held = staged(spark, held.select("k", shingle(F.col("text")).alias("shingles")), "shingles").dropDuplicates(["k"])
-        found.append(staged(spark, compared(spark, ends[-1], nodes, held), "links"))
+        given = texts.join(wanted, texts["d"].eqNullSafe(wanted["doc_id"]) & (texts["h"] == wanted["th"]))
+        given = staged(spark, given.select("k", shingle(F.col("text")).alias("shingles")), "shingles").dropDuplicates(["k"])
+        held = given if held is None else held.unionByName(given)
+        found.append(staged(spark, compared(spark, ends[-1], nodes, held, runs.start), "links"))
         links = found[0]
         for more in found[1:]:
             links = links.unionByName(more)
-        seen = links.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("links", "once", "twice")]).first()
-        total, unseen = seen["links"] / 2, missing(seen["once"] // 2, seen["twice"] // 2, done)
-        if total >= target * (total + unseen) or done >= MOST_RUNS:
+        told = links.select(F.posexplode("strata").alias("at", "n")).groupBy("at").agg(F.sum("n").alias("n"))
+        if reached({row["at"]: row["n"] for row in told.collect()}, done, target):
             break
+        if done >= MOST_RUNS:
+            raise RuntimeError(f"{done} runs do not find {target} of the links of every stratum")
     edges = links.select(F.col("k").alias("u"), F.col("root").alias("v"))
     roots = components(spark, edges)
     counted = links.groupBy("k").agg(F.sum("links").alias("n_links"))

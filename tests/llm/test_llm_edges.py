@@ -2,6 +2,7 @@
 
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,6 +87,30 @@ def test_large_group_of_near_copies_is_linked_whole(spark):
     assert {r.class_id for r in out} == {0} and {r.n_links for r in out} == {299}
 
 
+def test_hot_links_do_not_stand_for_missing_ones():
+    wide = chosen_path.STRATA
+    hot = {2 * chosen_path.BLOCK_END: 2_000_000}
+    hard = {8: 1000, wide + 8: 45, 2 * wide + 8: 157}
+    assert chosen_path.reached(hot, 6) and not chosen_path.reached({**hot, **hard}, 6)
+    assert chosen_path.reached({**hot, 8: 1000, wide + 8: 1, 2 * wide + 8: 5}, 12)
+
+
+def test_meetings_of_later_runs_change_the_strata():
+    def group(runs):  # two sets that share one bucket a run, ended at level 3
+        return [(0, k, np.arange(9, dtype=np.uint64), np.array([(r << 56) + 8 + 3 for r in runs])) for k in (b"a", b"b")]
+
+    def counts(runs, node, first):
+        linked, close = chosen_path._pairs(group(runs), True)
+        early, before, since, kind = chosen_path._meetings(group(runs), node, first)
+        told = chosen_path._strata(linked & ~early, 2 * kind.astype(int) + close, before, since)
+        return {at: n for at, n in enumerate(told) if n}
+
+    wide = chosen_path.STRATA
+    assert counts([4], (4 << 56) + 11, 0) == {7: 1, wide + 7: 1}
+    assert counts([4, 7], (7 << 56) + 11, 6) == {wide + 7: -1, 2 * wide + 7: 1}
+    assert counts([4, 7, 8], (8 << 56) + 11, 6) == {}
+
+
 def test_benchmark(spark, docs, nothing):
     items = spark.createDataFrame([(9, TEXT), (9, TEXT), (10, None), (11, "rest"), (None, "other")], "item_id long, text string")
     out = {r.doc_id: r for r in wu_manber.report(spark, docs, items).collect()}
