@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quayside.llm import (
-    block_crf, chat_collapse, chosen_path, line_runs, log_bilinear, private_data, quality_rules, warc_derivatives,
-    weighted_mix, wu_manber,
+    block_crf, chat_collapse, chosen_path, importance, line_runs, log_bilinear, permutation_index, piece_table, private_data,
+    quality_rules, warc_derivatives, weighted_mix, wu_manber,
 )
 from quayside.llm.common import table
 from quayside import workspace
@@ -55,11 +56,24 @@ def op10_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private_data.report(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_piece_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_table.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_quality_rules, op2_chat_collapse, op3_html_crf, op4_log_bilinear, op5_chosen_path, op6_warc_derivatives,
-        op7_line_runs, op8_wu_manber, op9_weighted_mix, op10_private_data,
+        op7_line_runs, op8_wu_manber, op9_weighted_mix, op10_private_data, op11_permutation_index,
+        op12_importance, op13_piece_table,
     )
 }
 
@@ -152,4 +166,28 @@ running AS (
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
   CAST(size * (epochs + CASE WHEN size > 0 AND upto - size / 2 <= target - epochs * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM running""",
+    "op13_piece_table": r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h FROM documents),
+drawn AS (
+  SELECT *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS lines, [CAST('0x' || substr(h, 1, 8) AS BIGINT),
+    CAST('0x' || substr(h, 9, 8) AS BIGINT), CAST('0x' || substr(h, 17, 8) AS BIGINT), CAST('0x' || substr(h, 25, 8) AS BIGINT)] AS d
+  FROM texts),
+placed AS (
+  SELECT *, CAST(len(lines) AS BIGINT) AS n, least(d[1] % (len(lines) + 1), d[2] % (len(lines) + 1)) AS a,
+    greatest(d[1] % (len(lines) + 1), d[2] % (len(lines) + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR d[3] % 100 >= 100
+      THEN 'plain' WHEN d[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn),
+parts AS (
+  SELECT doc_id, n, form, text, coalesce(array_to_string(list_slice(lines, 1, a), ''), '') AS p,
+    coalesce(array_to_string(list_slice(lines, a + 1, b), ''), '') AS m,
+    coalesce(array_to_string(list_slice(lines, b + 1, n), ''), '') AS s
+  FROM placed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts""",
 }
