@@ -15,11 +15,13 @@ from quayside.operators.combine import union_strict
 from quayside.operators.latest import latest_items
 from quayside.operators.load import clean_for_load
 from quayside.operators.profile import key_violations, width_profile
-from quayside.operators.upsert import upsert
+from quayside.operators.upsert import upsert_table
 from quayside.plans.tables import table
 from quayside.sinks.delimited import write_bel_gzip, write_csv, write_dated_parquet
+from quayside.sinks.keyed import detached, open_table
 from quayside.sinks.tables import (
     create_table_if_absent,
+    location_of,
     publish,
     read_published,
     refresh_table,
@@ -36,6 +38,8 @@ from quayside.sources.tables import run_scripts
 from quayside.streaming.items import put_items
 
 DAY = dt.date(2024, 1, 31)
+#: Buckets of the tables below, which are small.
+STATE_BUCKETS = 8
 
 
 def csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +126,7 @@ def bel_roundtrip_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = staging_table_name("", "extract", f"orders_{root.rsplit('-', 1)[1]}")
     create_table_if_absent(spark, name, staged.schema, f"{root}/warehouse")
     refresh_table(staged, name)
-    loaded = spark.read.schema(spark.table(name).schema).parquet(f"{root}/warehouse")
+    loaded = spark.read.schema(spark.table(name).schema).parquet(location_of(spark, name))
     spark.sql(f"DROP TABLE {name}")
     return loaded
 
@@ -173,13 +177,14 @@ def latest_item_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("updated_at"),
         F.col("event_id").alias("seq"),
     )
+    state = open_table(spark, f"items_{root.rsplit('-', 1)[1]}", puts.schema, ["id", "name"], f"{root}/state", STATE_BUCKETS)
     # Two landings, so that the second batch meets the state of the first.
     late = F.col("score").isNull() | (F.col("score") > 50)
     for half in (late, ~late):
         puts.where(half).write.mode("append").parquet(f"{root}/puts")
         stream = spark.readStream.schema(puts.schema).parquet(f"{root}/puts")
-        put_items(stream, ["id", "name"], ["updated_at", "seq"], f"{root}/state", f"{root}/checkpoint")
-    return read_published(spark, f"{root}/state")
+        put_items(stream, ["updated_at", "seq"], state, f"{root}/checkpoint")
+    return detached(spark, state)
 
 
 def _newest() -> list[Column]:
@@ -192,12 +197,13 @@ def staged_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed orders as target; urgent orders, closed or not, staged with a new price."""
     orders = table(spark, sf_dir, "orders")
     root = workspace.scratch(spark, "upsert")
-    publish(orders.where(F.col("o_orderstatus") != "O"), root)
+    target = open_table(spark, f"orders_{root.rsplit('-', 1)[1]}", orders.schema, ["o_orderkey"], root, STATE_BUCKETS)
+    upsert_table(target, orders.where(F.col("o_orderstatus") != "O"), _newest())
     staged = orders.where(F.col("o_orderpriority") == "1-URGENT").withColumn(
         "o_totalprice", F.col("o_totalprice") + 1
     )
-    publish(upsert(read_published(spark, root), staged, ["o_orderkey"], _newest()), root)
-    return read_published(spark, root)
+    upsert_table(target, staged, _newest())
+    return detached(spark, target)
 
 
 def sales_lead_import(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from quayside.config import STATUS_REPORT
 from quayside.operators import monitor, profile
 from quayside.plans.tables import STATUS_SQL, status_runs, table
 from quayside.sinks.report import TABLE_END, TABLE_START, report_lines
-from quayside.sinks.tables import read_published
+from quayside.sinks.keyed import detached, open_table
 from quayside.sources.tables import run_query
 from quayside.streaming.counter import count_visits
 
@@ -73,8 +73,10 @@ def visit_counter_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A pattern, since a stream takes a single file only by pattern.
     visits = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
     root = workspace.scratch(spark, "visits")
-    count_visits(visits, "event_type", f"{root}/totals", f"{root}/checkpoint")
-    return read_published(spark, f"{root}/totals")
+    schema = profile.visit_counts(table(spark, sf_dir, "events"), "event_type").schema
+    totals = open_table(spark, f"visits_{root.rsplit('-', 1)[1]}", schema, ["event_type"], f"{root}/totals", 8)
+    count_visits(visits, "event_type", totals, f"{root}/checkpoint")
+    return detached(spark, totals)
 
 
 QUERIES = {

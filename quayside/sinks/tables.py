@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
+import time
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -12,6 +13,8 @@ from pyspark.sql import types as T
 from quayside import workspace
 
 EXPORTS_AT_ONCE = 5
+#: What the folders of full loads begin with; their names sort by time.
+LOAD = "load="
 
 
 def staging_table_name(schema: str, source: str, file_stem: str) -> str:
@@ -28,47 +31,43 @@ def create_table_if_absent(
     return True
 
 
-def refresh_table(df: DataFrame, name: str) -> None:
-    """Truncate and load in one committed step, columns matched by name."""
-    columns = df.sparkSession.table(name).columns
-    df.select(*columns).write.mode("overwrite").insertInto(name)
-
-
-KEPT_VERSIONS = 3
-
-
-def version_path(root: str, number: int, batch: str = "") -> str:
-    return f"{root}/version={number:08d}" + (f"-{batch}" if batch else "")
+def location_of(spark: SparkSession, name: str) -> str:
+    """The folder that a table of the catalogue reads."""
+    told = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()
+    return told["data_type"].rstrip("/")
 
 
-def _number(path: str) -> int:
-    return int(path.rsplit("version=", 1)[1].split("-")[0])
-
+def refresh_table(df: DataFrame, name: str) -> None:
+    """Replace all rows of a table, columns matched by name.
 
-def publish_batch(
-    spark: SparkSession,
-    root: str,
-    checkpoint: str,
-    batch_id: int,
-    state: Callable[[DataFrame | None], DataFrame],
-    keep: int = KEPT_VERSIONS,
-) -> None:
-    """Publish the state after a streamed batch as the version after the newest one.
-
-    ``state`` makes it from the newest version, if there is one. The version carries
-    the stream and the batch in its name: a batch that is already published is done,
-    and a stream with a new checkpoint goes on from what is there. Versions older
-    than the ``keep`` newest are removed.
+    The rows are written to a folder beside the one that is read, and the table is then pointed
+    there: a load that fails half-way leaves the old rows, and a reader sees the old or the new
+    ones. The folder before stays for readers that have begun; older ones go. Types are reconciled as by an
+    insert: a value that does not fit stops the load. Partitioned tables keep a folder for each partition and are refused.
     """
-    batch = f"{hashlib.md5(checkpoint.encode()).hexdigest()[:12]}-{batch_id}"
-    done = versions(spark, root)
-    if any(path.endswith(f"-{batch}") for path in done):
-        return
-    before = spark.read.parquet(done[-1]) if done else None
-    path = version_path(root, _number(done[-1]) + 1 if done else 1, batch)
-    state(before).write.mode("overwrite").parquet(path)
-    for old in versions(spark, root)[:-keep]:
-        workspace.delete(spark, old)
+    spark = df.sparkSession
+    table = spark.table(name)
+    if any(column.isPartition for column in spark.catalog.listColumns(name)):
+        raise ValueError(f"{name} is partitioned")
+    absent = [column for column in table.columns if column not in df.columns]
+    if absent:
+        raise ValueError(f"no {', '.join(absent)} for {name}")
+    before, folder = location_of(spark, name).rsplit("/", 1)
+    base = before if folder.startswith(LOAD) else f"{before}/{folder}-loads"
+    path = f"{base}/{LOAD}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    try:
+        df.to(table.schema).write.parquet(path)
+    except BaseException:
+        workspace.delete(spark, path)
+        raise
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    for old in workspace.glob(spark, f"{base}/{LOAD}*"):
+        if folder.startswith(LOAD) and old.rsplit("/", 1)[1] < folder:
+            workspace.delete(spark, old)
+
+
+def version_path(root: str, number: int) -> str:
+    return f"{root}/version={number:08d}"
 
 
 def versions(spark: SparkSession, root: str) -> list[str]:
@@ -84,7 +83,7 @@ def publish(df: DataFrame, root: str) -> str:
     in one step and a lost attempt is simply written again.
     """
     done = versions(df.sparkSession, root)
-    number = _number(done[-1]) + 1 if done else 1
+    number = int(done[-1].rsplit("version=", 1)[1]) + 1 if done else 1
     path = version_path(root, number)
     df.write.mode("overwrite").parquet(path)
     return path

@@ -2,34 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quayside.operators.latest import latest_items
-from quayside.sinks.tables import publish_batch
+from quayside.sinks.keyed import KeyedTable, merge
 from quayside.streaming.jobs import start
 
 
 def put_items(
-    puts: DataFrame,
-    keys: Sequence[str],
-    newest: Sequence[str],
-    root: str,
-    checkpoint: str,
-    interval: str | None = None,
+    puts: DataFrame, newest: Sequence[str], state: KeyedTable, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
-    """Merge each batch into the state and publish it as a new version.
+    """Merge each batch into the keyed table, of which only the buckets of its keys are rewritten.
 
-    ``newest`` lists the write time and its tie-breaks. A batch goes on from the
-    newest version, whoever published it; one that runs again finds itself done.
+    ``newest`` lists the write time and its tie-breaks; an unknown time is the oldest. A put replaces the
+    row of its key unless that is newer, so a batch that runs again changes nothing.
     """
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        def state(before: DataFrame | None) -> DataFrame:
-            return latest_items(batch if before is None else before.unionByName(batch), keys, *newest)
+    def wins(old: Callable[[str], Column], new: Callable[[str], Column]) -> Column:
+        return F.struct(*[new(name) for name in newest]) >= F.struct(*[old(name) for name in newest])
 
-        publish_batch(batch.sparkSession, root, checkpoint, batch_id, state)
+    def put(batch: DataFrame, _: int) -> None:
+        merge(state, latest_items(batch, state.keys, *newest), wins)
 
-    return start(puts.writeStream.foreachBatch(merge), checkpoint, interval)
+    return start(puts.writeStream.foreachBatch(put), checkpoint, interval)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quayside.config import MIGRATION_FILES, NEW_CLIENT_FILES, endpoint_columns, required_files
 from quayside.functions.patterns import Entity
+from quayside.sinks import keyed
 from quayside.operators import (
     children,
     combine,
@@ -196,6 +197,29 @@ def test_upsert(spark):
     assert rows(again) == sorted([(1, "a"), (2, "b"), (None, "n"), (None, "y")], key=repr)
 
 
+def test_upsert_into_a_keyed_table(spark, tmp_path, no_broadcast):
+    schema = spark.createDataFrame([], "k int, v string").schema
+    target = keyed.open_table(spark, "upserted", schema, ["k"], str(tmp_path), 16)
+    keyed.merge(target, spark.createDataFrame([(None, "n"), *[(n, "a") for n in range(300)]], schema))
+    before = set(spark.table("upserted").inputFiles())
+    staged = spark.createDataFrame([("c", 2, 1), ("d", 2, 2), ("e", 999, 1), ("x", None, 1), ("y", None, 2)], "v string, k int, at int")
+    touched = upsert.upsert_table(target, staged, [F.col("at").desc()])
+    want = [(None, "n"), (None, "y"), (2, "d"), (999, "e"), *[(n, "a") for n in range(300) if n != 2]]
+    assert rows(target.rows(spark)) == sorted(want, key=repr)
+    left = {path for path in before if int(path.split(f"{keyed.BUCKET}=")[1].split("/")[0]) not in touched}
+    assert len(touched) <= 3 and left == before & set(spark.table("upserted").inputFiles())
+
+
+def test_the_target_of_an_upsert_is_not_shuffled(spark, tmp_path, no_broadcast):
+    schema = spark.createDataFrame([], "k int, v string").schema
+    target = keyed.open_table(spark, "not_shuffled", schema, ["k"], str(tmp_path), 16)
+    keyed.merge(target, spark.createDataFrame([(n, "a") for n in range(300)], schema))
+    fresh = spark.createDataFrame([(2, "d")], schema)
+    plan = keyed.merged(spark, target, fresh, [3, 5])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan
+    assert "Bucketed: true" in plan and "IN (3,5)" in plan.replace(" IN (3, 5)", " IN (3,5)")
+
+
 def names(spark, paths):
     return manifest.present_files(spark.createDataFrame([(p,) for p in paths], "path string"))
 

@@ -58,6 +58,30 @@ def test_create_and_refresh(spark, tmp_path):
     assert tables.staging_table_name("source", "lms", "users") == "source.lms_users"
 
 
+def test_a_refresh_that_fails_leaves_the_old_rows(spark, tmp_path):
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    tables.create_table_if_absent(spark, "refreshed", schema, f"{tmp_path}/t")
+    tables.refresh_table(spark.range(5).select(F.col("id").alias("a"), F.lit("x").alias("b")), "refreshed")
+    begun = spark.table("refreshed")
+    assert begun.count() == 5
+    torn = spark.range(100).select(
+        F.when(F.col("id") == 99, F.raise_error(F.lit("torn")).cast("long")).otherwise(F.col("id")).alias("a"), F.lit("y").alias("b"))
+    with pytest.raises(Exception, match="torn"):
+        tables.refresh_table(torn, "refreshed")
+    assert rows(spark.table("refreshed")) == [(n, "x") for n in range(5)]
+    with pytest.raises(Exception):
+        tables.refresh_table(spark.createDataFrame([("no number", "x")], "a string, b string"), "refreshed")
+    with pytest.raises(ValueError, match="no b"):
+        tables.refresh_table(spark.range(3).select(F.col("id").alias("a")), "refreshed")
+    # A reader that has begun goes on with the rows it found; from then on the new ones are read.
+    tables.refresh_table(spark.range(2).select(F.col("id").alias("a"), F.lit("z").alias("b")), "refreshed")
+    assert begun.count() == 5 and rows(spark.table("refreshed")) == [(0, "z"), (1, "z")]
+    # A table's own rows may be what it is refreshed with.
+    tables.refresh_table(spark.table("refreshed").where("a = 1"), "refreshed")
+    assert rows(spark.table("refreshed")) == [(1, "z")]
+    assert len(list(Path(f"{tmp_path}/t-loads").glob("load=*"))) == 2
+
+
 def test_versions_can_be_read_while_written(spark, tmp_path):
     root = str(tmp_path / "v")
     with pytest.raises(FileNotFoundError):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import pytest
 from quayside.functions.text import decode_base64, encode_base64
-from quayside.sinks.tables import publish, read_published, versions
+from quayside.sinks import keyed
 from quayside.streaming.items import put_items
 from quayside.sources.clickstream import DELIVERED, read_hive_hours, read_hours, stream_records, to_records
 from quayside.sources.delimited import read_header_csv
@@ -138,23 +138,59 @@ def test_hive_folders_hold_the_same(spark, tmp_path):
     assert {f.split("datehour=")[1][:13] for f in got.inputFiles()} == {"2024-01-01-00", "2024-01-01-01"}
 
 
+ITEM = "id string, at int, v string"
+
+
+def state_of(spark, tmp_path, name, columns, keys, buckets=8):
+    return keyed.open_table(spark, name, spark.createDataFrame([], columns).schema, keys, f"{tmp_path}/state", buckets)
+
+
 def test_puts_merge_and_replay(spark, tmp_path):
-    schema = "id string, at int, v string"
+    state = state_of(spark, tmp_path, "puts_replayed", ITEM, ["id"])
 
     def put(items):
-        spark.createDataFrame(items, schema).write.mode("append").json(f"{tmp_path}/in")
-        stream = spark.readStream.schema(schema).json(f"{tmp_path}/in")
-        items_stream.put_items(stream, ["id"], ["at"], f"{tmp_path}/state", f"{tmp_path}/checkpoint")
-
-    put([("a", 5, "x"), ("b", 1, "y")])
-    put([("a", 4, "late"), ("b", 2, "z"), ("c", 1, "w")])
-    wanted = [("a", 5, "x"), ("b", 2, "z"), ("c", 1, "w")]
-    assert rows(read_published(spark, f"{tmp_path}/state")) == wanted
+        spark.createDataFrame(items, ITEM).write.mode("append").json(f"{tmp_path}/in")
+        stream = spark.readStream.schema(ITEM).json(f"{tmp_path}/in")
+        items_stream.put_items(stream, ["at"], state, f"{tmp_path}/checkpoint")
+
+    put([("a", 5, "x"), ("b", 1, "y"), (None, 1, "n"), ("d", None, "t")])
+    put([("a", 4, "late"), ("b", 2, "z"), ("c", 1, "w"), (None, 2, "m"), ("d", None, "u")])
+    wanted = sorted([("a", 5, "x"), ("b", 2, "z"), ("c", 1, "w"), (None, 2, "m"), ("d", None, "u")], key=repr)
+    assert rows(state.rows(spark)) == wanted
     commits = sorted(Path(tmp_path, "checkpoint", "commits").glob("[0-9]*"))
     commits[-1].unlink()
     commits[-1].with_name(f".{commits[-1].name}.crc").unlink(missing_ok=True)
     put([])
-    assert rows(read_published(spark, f"{tmp_path}/state")) == wanted
+    assert rows(state.rows(spark)) == wanted
+
+
+def files_of(table, spark):
+    return {(path, Path(path.removeprefix("file:")).stat().st_mtime_ns) for path in spark.table(table.name).inputFiles()}
+
+
+def test_a_batch_rewrites_only_the_buckets_of_its_keys(spark, tmp_path):
+    state = state_of(spark, tmp_path, "puts_touched", ITEM, ["id"], 16)
+    items_stream.put_items(landed(spark, tmp_path, [(f"k{n}", 1, "old") for n in range(400)]), ["at"], state, f"{tmp_path}/c")
+    before = files_of(state, spark)
+    assert len(before) == 16
+    items_stream.put_items(landed(spark, tmp_path, [("k7", 2, "new")]), ["at"], state, f"{tmp_path}/c")
+    after = files_of(state, spark)
+    assert len(before - after) == len(after - before) == 1
+    assert rows(state.rows(spark).where("at = 2")) == [("k7", 2, "new")] and state.rows(spark).count() == 400
+
+
+def landed(spark, tmp_path, items):
+    spark.createDataFrame(items, ITEM).write.mode("append").json(f"{tmp_path}/in")
+    return spark.readStream.schema(ITEM).json(f"{tmp_path}/in")
+
+
+def test_a_merge_that_fails_changes_nothing(spark, tmp_path):
+    state = state_of(spark, tmp_path, "puts_failed", ITEM, ["id"])
+    keyed.merge(state, spark.createDataFrame([("a", 1, "x"), ("b", 1, "y")], ITEM))
+    bad = spark.range(1).select(F.lit("a").alias("id"), F.lit(2).alias("at"), F.raise_error(F.lit("torn")).cast("string").alias("v"))
+    with pytest.raises(Exception, match="torn"):
+        keyed.merge(state, bad)
+    assert rows(state.rows(spark)) == [("a", 1, "x"), ("b", 1, "y")]
 
 
 def csv_file(root, name, lines):
@@ -203,21 +239,33 @@ def test_torn_rows_stop_the_stream_and_keep_the_source(spark, tmp_path):
     assert broken.exists()
 
 
-def test_puts_go_on_from_what_is_published(spark, tmp_path):
-    old = spark.createDataFrame([("a", 1, "old"), ("b", 1, "old")], "k string, at int, v string")
-    publish(old, f"{tmp_path}/state")
-    for n, row in enumerate([("a", 2, "new"), ("c", 2, "new"), ("d", 3, "new"), ("e", 4, "new")]):
-        spark.createDataFrame([row], "k string, at int, v string").write.mode("append").json(f"{tmp_path}/in{n > 2}")
-        puts = spark.readStream.schema("k string, at int, v string").json(f"{tmp_path}/in{n > 2}")
-        put_items(puts, ["k"], ["at"], f"{tmp_path}/state", f"{tmp_path}/checkpoint{n > 2}")
-    want = [("a", 2, "new"), ("b", 1, "old"), ("c", 2, "new"), ("d", 3, "new"), ("e", 4, "new")]
-    assert rows(read_published(spark, f"{tmp_path}/state")) == want
-    assert len(versions(spark, f"{tmp_path}/state")) == 3
+def test_a_table_that_the_catalogue_lost_goes_on_from_its_folders(spark, tmp_path):
+    schema = "k string, at int, v string"
+    state = state_of(spark, tmp_path, "puts_lost", schema, ["k"], 4)
+    keyed.merge(state, spark.createDataFrame([("a", 1, "old"), ("b", 1, "old")], schema))
+    keyed.merge(state, spark.createDataFrame([("a", 2, "new"), ("c", 2, "new")], schema))
+    unfinished = Path(tmp_path, "state", "load=99999999999999999999-x", f"{keyed.BUCKET}=0")
+    unfinished.mkdir(parents=True)
+    spark.sql("DROP TABLE puts_lost")
+    state = state_of(spark, tmp_path, "puts_lost", schema, ["k"], 4)
+    want = [("a", 2, "new"), ("b", 1, "old"), ("c", 2, "new")]
+    assert rows(state.rows(spark)) == want
+    with pytest.raises(keyed.BucketsDiffer):
+        state_of(spark, tmp_path, "puts_lost", schema, ["k"], 5)
+    assert rows(keyed.detached(spark, state)) == want and not spark.catalog.tableExists("puts_lost")
 
 
 def test_counter_keeps_its_total_over_restarts(spark, tmp_path):
+    totals = state_of(spark, tmp_path, "totals_kept", "page string, views long", ["page"])
     for n in range(3):
-        spark.createDataFrame([("home",)] * (n + 1) + [(None,)], "page string").write.mode("append").json(f"{tmp_path}/in")
+        before = files_of(totals, spark) if n else set()
+        pages = [("home",)] * (n + 1) + ([(None,), ("rare",)] if n < 2 else [])
+        spark.createDataFrame(pages, "page string").write.mode("append").json(f"{tmp_path}/in")
         visits = spark.readStream.schema("page string").json(f"{tmp_path}/in")
-        counter.count_visits(visits, "page", f"{tmp_path}/totals", f"{tmp_path}/checkpoint")
-    assert rows(read_published(spark, f"{tmp_path}/totals")) == [("home", 6), (None, 3)]
+        query = counter.count_visits(visits, "page", totals, f"{tmp_path}/checkpoint")
+    assert rows(totals.rows(spark)) == [("home", 6), ("rare", 2), (None, 2)]
+    after = files_of(totals, spark)
+    assert len(before - after) == len(after - before) == 1
+    assert list(Path(tmp_path, "checkpoint", "state").rglob("*.changelog"))
+    assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 3
