@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from quayside.functions.text import WHITESPACE, col
 
 
+def plain_path(encoded: Column | str) -> Column:
+    """The path as listings spell it, of one that is written as a URI: ``_metadata.file_path``.
+
+    Only ``%`` introduces a code in such a path; a plus sign is itself.
+    """
+    return F.url_decode(F.replace(col(encoded), F.lit("+"), F.lit("%2B")))
+
+
 def base_name(path: Column | str) -> Column:
     return F.element_at(F.split(col(path), "/"), -1)
 

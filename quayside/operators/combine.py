@@ -49,10 +49,27 @@ def union_outer(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), alike)
 
 
+#: Digits that a value of an integer type may have.
+_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+_MOST_DIGITS = 38
+
+
 def _common(kinds: list[T.DataType]) -> str:
-    """Integers widen to ``bigint``, any other mix of numbers to ``double``, the rest to text."""
+    """The type that holds all values of these types.
+
+    Integers widen to ``bigint``, integers and decimals to a decimal with the digits of all before and
+    behind the point, or to text where 38 digits do not hold them; with ``float`` or ``double`` numbers
+    become ``double``, which rounds beyond 15 digits; the rest becomes text.
+    """
     if all(isinstance(kind, T.IntegralType) for kind in kinds):
         return "bigint"
+    if all(isinstance(kind, (T.IntegralType, T.DecimalType)) for kind in kinds):
+        scale = max(kind.scale if isinstance(kind, T.DecimalType) else 0 for kind in kinds)
+        whole = max(
+            kind.precision - kind.scale if isinstance(kind, T.DecimalType) else _DIGITS[kind.simpleString()]
+            for kind in kinds
+        )
+        return f"decimal({whole + scale},{scale})" if whole + scale <= _MOST_DIGITS else "string"
     return "double" if all(isinstance(kind, T.NumericType) for kind in kinds) else "string"
 
 

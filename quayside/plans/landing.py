@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quayside import workspace
 from quayside.config import required_files
-from quayside.functions.names import base_name
+from quayside.functions.names import base_name, plain_path
 from quayside.operators.combine import union_outer, union_strict
 from quayside.operators.manifest import (
     complete_at_least,
@@ -165,7 +165,7 @@ def header_csv_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed order files read by header, with the file name each row came from."""
     root = workspace.scratch(spark, "names")
     landing = _land_orders(spark, sf_dir, root)
-    below = F.element_at(F.split(F.url_decode(F.col("_metadata.file_path")), "/"), -2)
+    below = F.element_at(F.split(plain_path("_metadata.file_path"), "/"), -2)
     rows = read_header_csv(spark, workspace.children(spark, landing))
     return rows.select("o_orderkey", below.alias("arrival"))
 

@@ -15,7 +15,9 @@ from quayside.operators import privacy
 from quayside.operators.combine import union_strict
 from quayside.plans.tables import table
 from quayside.sinks.delimited import write_csv
+from quayside.sinks.tables import create_table_if_absent, refresh_table
 from quayside.sources.delimited import read_typed_csv
+from quayside.sources.tables import read_table
 
 CUSTOM = {"hex_token": "[0-9a-f]{40}"}
 ENTITIES = privacy.entities_of(custom=CUSTOM)
@@ -101,7 +103,20 @@ def pii_sampled_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return privacy.column_report(documents, ENTITIES, ["text"])
 
 
+def pii_catalog_table_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalogue table, named by catalogue, schema and table, profiled in every column but nested ones."""
+    root = workspace.scratch(spark, "catalog")
+    name = f"documents_{root.rsplit('-', 1)[1]}"
+    create_table_if_absent(spark, name, table(spark, sf_dir, "documents").schema, f"{root}/table")
+    refresh_table(table(spark, sf_dir, "documents"), name)
+    report = privacy.column_report(read_table(spark, "spark_catalog", spark.catalog.currentDatabase(), name), ENTITIES)
+    report.write.parquet(f"{root}/report")
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(f"{root}/report")
+
+
 QUERIES = {
+    "pii_catalog_table_report": pii_catalog_table_report,
     "pii_column_report": pii_column_report,
     "pii_mask": pii_mask,
     "pii_mask_conversations": pii_mask_conversations,
@@ -134,7 +149,7 @@ def _hit_sql(column: str, entity: Entity) -> str:
     return f"regexp_matches({column}, {_quoted(entity.pattern)})"
 
 
-def _counts_sql(source: str, columns, extra: str = "") -> list[str]:
+def _counts_sql(source: str, columns, extra: str = "", cast: bool = False) -> list[str]:
     parts = []
     for column in columns:
         for entity in ENTITIES:
@@ -142,7 +157,8 @@ def _counts_sql(source: str, columns, extra: str = "") -> list[str]:
                 named = re.search(entity.pattern, column, re.IGNORECASE)
                 matched = f'count("{column}")' if named else "0"
             else:
-                matched = f"count(*) FILTER (WHERE {_hit_sql(column, entity)})"
+                text = f"CAST({column} AS VARCHAR)" if cast else column
+                matched = f"count(*) FILTER (WHERE {_hit_sql(text, entity)})"
             parts.append(
                 f"SELECT {extra} '{column}' AS column_name, "
                 f"'{entity.category}' AS category, '{entity.name}' AS entity, "
@@ -207,6 +223,9 @@ _ANY_HIT = " OR ".join(
 )
 
 ORACLE = {
+    "pii_catalog_table_report": _rates_sql(
+        _counts_sql("documents", ("doc_id", "text", "lang", "source", "n_chars"), cast=True)
+    ),
     "pii_column_report": _report_sql(),
     "pii_health_table_report": _health_sql(),
     "pii_sampled_report": "WITH sampled AS (SELECT * FROM documents WHERE "

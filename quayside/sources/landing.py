@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.functions.names import plain_path
 from quayside.sources.delimited import as_schema
 
 
@@ -65,13 +66,13 @@ def stream_arrivals(
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     files = reader.csv(folder)
-    return files.withColumn(SOURCE, F.col("_metadata.file_path")) if delete_after else files
+    return files.withColumn(SOURCE, plain_path("_metadata.file_path")) if delete_after else files
 
 
 def read_documents(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
-    """One row per text file below an inclusion prefix: ``(doc_id, text)``."""
+    """One row per text file below an inclusion prefix: ``(doc_id, text)``; the id is the path that listings give."""
     return (
         spark.read.option("recursiveFileLookup", True)
         .text(f"{root}/{prefix}".rstrip("/"), wholetext=True)
-        .select(F.col("_metadata.file_path").alias("doc_id"), F.col("value").alias("text"))
+        .select(plain_path("_metadata.file_path").alias("doc_id"), F.col("value").alias("text"))
     )

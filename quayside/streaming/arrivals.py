@@ -12,6 +12,9 @@ from quayside.sinks.delimited import ROWS_PER_GZIP, write_csv
 from quayside.sources.landing import SOURCE
 from quayside.streaming.jobs import start
 
+#: Ends a file name in the list of what a batch read: a name may hold a line break.
+NAME_END = "\0"
+
 
 def batch_folder(spark: SparkSession, out: str, day: dt.date | None, form: str, batch_id: int) -> str:
     """Folder of a batch below its day: the given one, or the day on which the batch first ran."""
@@ -51,12 +54,14 @@ def to_gzip(
         folder = batch_folder(batch.sparkSession, out, day, "%Y%m%d", batch_id)
         write_csv(batch.drop(SOURCE), folder, ",", "gzip", ROWS_PER_GZIP)
         if SOURCE in batch.columns:
-            batch.select(SOURCE).distinct().write.mode("overwrite").text(f"{sources}/{batch_id}")
+            names = batch.select(SOURCE).distinct()
+            names.write.mode("overwrite").option("lineSep", NAME_END).text(f"{sources}/{batch_id}")
 
     query = start(files.writeStream.foreachBatch(write), checkpoint, interval)
     spark = files.sparkSession
     last = query.lastProgress
     if interval is None and last is not None and workspace.exists(spark, f"{sources}/{last['batchId']}"):
-        for row in spark.read.text(f"{sources}/{last['batchId']}").toLocalIterator():
-            workspace.delete(spark, row.value)
+        # One file name a row, however many rows the files hold.
+        names = spark.read.option("lineSep", NAME_END).text(f"{sources}/{last['batchId']}").toLocalIterator()
+        workspace.delete_all(spark, (row.value for row in names))
     return query

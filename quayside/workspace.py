@@ -7,8 +7,10 @@ gets a folder of its own.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
@@ -58,6 +60,11 @@ def qualified(spark: SparkSession, path: str) -> str:
     return _fs(spark, path).makeQualified(_path(spark, path)).toString().rstrip("/")
 
 
+def literal(path: str) -> str:
+    """The path for a reader, which takes brackets, braces and stars as patterns unless told otherwise."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def glob(spark: SparkSession, pattern: str) -> list[str]:
     """Paths matching a glob pattern; empty when nothing matches."""
     found = _fs(spark, pattern).globStatus(_path(spark, pattern))
@@ -77,6 +84,17 @@ def delete(spark: SparkSession, path: str) -> bool:
     return _fs(spark, path).delete(_path(spark, path), True)
 
 
+def delete_all(spark: SparkSession, paths: Iterable[str], at_once: int = 8) -> None:
+    """Delete files; one that is there and cannot be deleted is an error, one that is gone is not."""
+
+    def gone(path: str) -> None:
+        if not delete(spark, path) and exists(spark, path):
+            raise OSError(f"could not delete {path}")
+
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        list(pool.map(gone, paths))
+
+
 def make_folder(spark: SparkSession, path: str) -> bool:
     return _fs(spark, path).mkdirs(_path(spark, path))
 

@@ -102,6 +102,17 @@ def test_union_outer_ignores_column_order_and_keeps_copies(spark):
     assert rows(combine.union_outer([b, a]).select("a", "b", "c")) == wanted
 
 
+def test_union_outer_widens_without_losing_digits(spark):
+    wide = spark.sql("SELECT CAST('12345678901234567890.12' AS decimal(38,2)) AS a, CAST(1.5 AS decimal(5,3)) AS b, 9223372036854775807L AS c")
+    ints = spark.sql("SELECT CAST(7 AS int) AS a, 9223372036854775807L AS b, CAST(1 AS smallint) AS c")
+    both = combine.union_outer([wide, ints])
+    assert both.dtypes == [("a", "decimal(38,2)"), ("b", "decimal(22,3)"), ("c", "bigint")]
+    got = both.select(*[F.col(c).cast("string") for c in "abc"])
+    assert rows(got) == [("12345678901234567890.12", "1.500", "9223372036854775807"), ("7.00", "9223372036854775807.000", "1")]
+    full = spark.sql("SELECT CAST('1e-30' AS decimal(38,30)) AS a")
+    assert combine.union_outer([full, spark.sql("SELECT 9223372036854775807L AS a")]).dtypes == [("a", "string")]
+
+
 def test_union_outer_mixes_types_as_text(spark):
     a = spark.createDataFrame([(1,)], "a int")
     b = spark.createDataFrame([("x",)], "a string")

@@ -182,6 +182,50 @@ def test_repack_joins_parts_of_one_file(spark, tmp_path):
     assert sorted(parts) == ["Id,More\n2,b\n", "Id,Note\n1,a\n"]
 
 
+@pytest.fixture
+def small_splits(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
+    before = [spark.conf.get(name, None) for name in names]
+    for name, value in zip(names, ("200", "0", "1")):
+        spark.conf.set(name, value)
+    yield
+    for name, value in zip(names, before):
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_one_large_part_is_copied_by_many_tasks_in_byte_order(spark, tmp_path, small_splits):
+    lines = ["Id,Note"]
+    for n in range(300):
+        wide = "\n".join(f"part {i}" for i in range(60 if n in (40, 41) else n % 4))
+        lines.append(f'{n},"say ""x"" {wide}"' if n % 5 else f"{n},plain\r")
+    text = "\n".join(lines) + "\n"
+    names = ["Users - 1.csv", "Users % 20 - 2.csv", "Users é+[x] - 3.csv"]
+    land(tmp_path, {names[0]: text, names[1]: "Id,Other\n7,seven\n", names[2]: "Id,Other\n8,eight\n"})
+    files = repack.landed(spark, f"{tmp_path}/landing", {"a": [names[0]]})["a"]
+    members = -(-len(text.encode()) // 1000)
+    assert repack.copy_lines(spark, f"{tmp_path}/landing", files, f"{tmp_path}/copy", 1000) == text.count("\n")
+    parts = [gzip.open(p, "rt", newline="").read() for p in sorted(Path(f"{tmp_path}/copy").glob("*.gz"))]
+    assert members // 2 < len(parts) <= members and max(map(len, parts)) < 3000
+    assert all(part.startswith("Id,Note\n") for part in parts)
+    assert "Id,Note\n" + "".join(part.removeprefix("Id,Note\n") for part in parts) == text
+    assert all(part.count('"') % 2 == 0 for part in parts)
+    loaded = read_header_csv(spark, f"{tmp_path}/copy", multi_line=True)
+    assert [int(r.Id) for r in loaded.orderBy(F.col("Id").cast("int")).collect()] == list(range(300))
+    done = repack.repack(spark, f"{tmp_path}/landing", f"{tmp_path}/out", ["users.csv", "users % 20.csv", "users é+[x].csv"],
+                         DAY, "lms", f"{tmp_path}/log", member_bytes=1000)
+    assert done.files == {"users.csv": 300, "users % 20.csv": 1, "users é+[x].csv": 1}
+    assert list(Path(tmp_path, "landing").iterdir()) == []
+
+
+def test_a_copy_that_differs_is_an_error(spark, tmp_path, monkeypatch):
+    land(tmp_path, {"a.csv": "h\n1\n2\n"})
+    files = repack.landed(spark, f"{tmp_path}/landing", {"a": ["a.csv"]})["a"]
+    member = repack._member
+    monkeypatch.setattr(repack, "_member", lambda: F.when(F.col("value") != "2", member()).otherwise(F.raise_error(F.lit("lost")).cast("int")))
+    with pytest.raises(Exception, match="lost"):
+        repack.copy_lines(spark, f"{tmp_path}/landing", files, f"{tmp_path}/copy")
+
+
 def test_repack_copies_what_does_not_fit_and_keeps_late_parts(spark, tmp_path, monkeypatch):
     landing = land(tmp_path, {"users.csv": 'Id,Note\n1,x,EXTRA\n2,"a\nb"\n'})
     mark = repack.mark_run

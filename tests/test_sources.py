@@ -98,10 +98,10 @@ def test_mapped_import(spark, tmp_path):
 
 def test_json_table_modes(spark, tmp_path):
     path = put(tmp_path / "a.json", '{"element_clicked":"b","time_spent":3,"other":1}\nnot json\n')
-    df = clickstream.read_json_table(spark, path)
+    df = clickstream.read_json_table(spark, path, mode="PERMISSIVE")
     assert rows(df) == [("b", 3, None, None), (None, None, None, None)]
     with pytest.raises(Exception, match="(?i)malformed"):
-        clickstream.read_json_table(spark, path, mode="FAILFAST").collect()
+        clickstream.read_json_table(spark, path).collect()
 
 
 def hour_tree(tmp_path):
@@ -217,6 +217,25 @@ def test_table_list_skips_blanks(spark, tmp_path):
     assert tables.table_list(spark, path) == ["region", "nation"]
 
 
+def test_a_crawl_reads_all_parts(spark, tmp_path):
+    for n, name in enumerate(("only0", "only1", "only2")):
+        spark.range(3).select(F.col("id").alias("a"), F.lit(n).alias(name)).write.mode("append").parquet(f"{tmp_path}/one/t")
+    found = tables.crawl(spark, f"{tmp_path}/one").collect()
+    assert found[0].column_name == "a" and {r.column_name for r in found} == {"a", "only0", "only1", "only2"}
+    assert tables.crawl_changes(tables.crawl(spark, f"{tmp_path}/one"), tables.crawl(spark, f"{tmp_path}/one")).count() == 0
+    spark.createDataFrame([("x",)], "a string").write.mode("append").parquet(f"{tmp_path}/one/t")
+    with pytest.raises(Exception, match="MERGE_SCHEMA"):
+        tables.crawl(spark, f"{tmp_path}/one")
+
+
+def test_document_ids_are_the_paths_of_the_listing(spark, tmp_path):
+    (tmp_path / "docs").mkdir()
+    for name in ("a b.txt", "c%20d.txt", "e+é.txt"):
+        (tmp_path / "docs" / name).write_text("x")
+    ids = {r.doc_id for r in landing.read_documents(spark, f"{tmp_path}/docs").collect()}
+    assert ids == {r.path for r in landing.list_files(spark, f"{tmp_path}/docs").collect()} and len(ids) == 3
+
+
 def test_crawl_reports_and_alters_nothing(spark, tmp_path):
     spark.range(1).selectExpr("id", "cast(id as int) n").write.parquet(f"{tmp_path}/one/t")
     spark.range(1).selectExpr("cast(id as string) id", "1.5D as d").write.parquet(f"{tmp_path}/two/t")

@@ -227,6 +227,25 @@ def test_sources_are_deleted_only_after_their_batch(spark, tmp_path):
     assert not first.exists() and not second.exists() and not third.exists()
 
 
+def test_sources_with_odd_names_are_deleted(spark, tmp_path):
+    names = ["CertifiedUsers - 03-29-2023.csv", "plain.csv", "a%20b+c.csv", "é[1]#?.csv", "two\nlines.csv"]
+    paths = [csv_file(tmp_path, name, [f"{n},x"]) for n, name in enumerate(names)]
+    files = stream_arrivals(spark, f"{tmp_path}/raw", "id int, name string", delete_after=True)
+    arrivals.to_gzip(files, f"{tmp_path}/out", DAY, f"{tmp_path}/checkpoint")
+    assert [r.id for r in read_header_csv(spark, f"{tmp_path}/out/20240131/*").orderBy("id").collect()] == ["0", "1", "2", "3", "4"]
+    assert not any(path.exists() for path in paths)
+
+
+def test_a_delete_that_fails_is_loud(spark, tmp_path, monkeypatch):
+    from quayside import workspace
+
+    path = csv_file(tmp_path, "a.csv", ["1,x"])
+    monkeypatch.setattr(workspace, "delete", lambda *_: False)
+    with pytest.raises(OSError, match="a.csv"):
+        workspace.delete_all(spark, [str(path)])
+    workspace.delete_all(spark, [f"{path}.gone"])
+
+
 def test_torn_rows_stop_the_stream_and_keep_the_source(spark, tmp_path):
     path = csv_file(tmp_path, "a.csv", ['1,"x', 'y"'])
     files = stream_arrivals(spark, f"{tmp_path}/raw", "id int, name string", delete_after=True)
