@@ -6,6 +6,7 @@ no back-references, no word boundaries.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -17,6 +18,8 @@ class Entity:
     """A kind of personal data, found by its text or by the column's name.
 
     ``needs`` is a piece of text every match holds; cells without it skip the pattern.
+    ``sign`` is a pattern, cheap to look for, that matches in every text that holds the entity;
+    without one it is the entity's own.
     """
 
     name: str
@@ -25,6 +28,7 @@ class Entity:
     by_column_name: bool = False
     luhn: bool = False
     needs: str = ""
+    sign: str = ""
 
     @property
     def tag(self) -> str:
@@ -48,17 +52,21 @@ MBI = (
     f"[1-9]{_MBI_LETTER}{_MBI_ANY}[0-9]-?{_MBI_LETTER}{_MBI_ANY}[0-9]-?{_MBI_LETTER}{{2}}[0-9]{{2}}"
 )
 
+DIGIT = "[0-9]"
+#: Of addresses without a digit.
+MAC_SIGN = "[A-Fa-f]{2}[:-][A-Fa-f]{2}[:-]"
+
 # Entities of each detection category.
 ENTITIES = (
-    Entity("email", "universal", EMAIL, needs="@"),
-    Entity("card_number", "universal", CARD, luhn=True),
+    Entity("email", "universal", EMAIL, needs="@", sign="@"),
+    Entity("card_number", "universal", CARD, luhn=True, sign=DIGIT),
     Entity("person_name", "universal", PERSON_NAME_COLUMN, by_column_name=True),
-    Entity("ip_v4", "networking", IPV4),
-    Entity("mac_address", "networking", MAC),
-    Entity("us_ssn", "united_states", SSN),
-    Entity("us_phone", "united_states", US_PHONE),
-    Entity("us_driver_licence", "united_states", DRIVER_LICENCE),
-    Entity("medicare_beneficiary", "hippa", MBI),
+    Entity("ip_v4", "networking", IPV4, sign=DIGIT),
+    Entity("mac_address", "networking", MAC, sign=f"{DIGIT}|{MAC_SIGN}"),
+    Entity("us_ssn", "united_states", SSN, sign=DIGIT),
+    Entity("us_phone", "united_states", US_PHONE, sign=DIGIT),
+    Entity("us_driver_licence", "united_states", DRIVER_LICENCE, sign=DIGIT),
+    Entity("medicare_beneficiary", "hippa", MBI, sign=DIGIT),
 )
 CATEGORIES = "universal,hippa,networking,united_states,custom"
 CARD_DIGITS = (13, 16)
@@ -99,3 +107,19 @@ def has_entity(text: Column, entity: Entity) -> Column:
         return F.size(card_numbers(text)) > 0
     found = text.rlike(entity.pattern)
     return F.contains(text, F.lit(entity.needs)) & found if entity.needs else found
+
+
+def may_hold(text: Column, entities: Iterable[Entity]) -> Column:
+    """False for texts that hold none of the entities, told by two looks at the text however many there are.
+
+    The first look is for a sign, which most texts lack: a digit, an at sign. Only texts with one are
+    looked at again, by the patterns of all entities joined into one. Null for null text.
+    """
+    sought = [entity for entity in entities if not entity.by_column_name]
+    if not sought:
+        return F.when(text.isNotNull(), False)
+    signs = dict.fromkeys(part for e in sought for part in ([e.sign] if e.sign else [f"(?:{e.pattern})"]))
+    # A sign that is one of another's alternatives is looked for once.
+    plain = [s for s in signs if not any(s != other and s in other.split("|") for other in signs)]
+    joined = "|".join(f"(?:{CARD_HINT if e.luhn else e.pattern})" for e in sought)
+    return F.when(text.rlike("|".join(plain)), text.rlike(joined)).otherwise(F.when(text.isNotNull(), False))

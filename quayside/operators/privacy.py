@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.functions.patterns import CATEGORIES, ENTITIES, Entity, card_numbers, has_entity
+from quayside.functions.patterns import CATEGORIES, ENTITIES, Entity, card_numbers, has_entity, may_hold
 
 THRESHOLD = 0.1
 REPORT_SCHEMA = (
@@ -59,13 +59,14 @@ def column_report(
 ) -> DataFrame:
     """Per column and entity: cells that match, cells with a value, their rate, the flag.
 
-    All pairs are counted in one aggregate: one scan, one row per task shuffled.
+    All pairs are counted in one aggregate: one scan, one row per task shuffled. Cells in
+    which all patterns together find nothing are not looked at entity by entity.
     """
     columns = list(columns) if columns is not None else scalar_columns(df)
-    totals = [F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(columns)]
+    totals = [F.count(F.col(f"c{i}")).alias(f"n{i}") for i in range(len(columns))]
     hits, rows = [], []
     for i, column in enumerate(columns):
-        cell = F.col(f"`{column}`").cast("string")
+        cell = F.when(F.col(f"may{i}"), F.col(f"c{i}"))
         for j, entity in enumerate(entities):
             if entity.by_column_name:
                 named = re.search(entity.pattern, column, re.IGNORECASE) is not None
@@ -82,10 +83,11 @@ def column_report(
                     F.col(f"n{i}").alias("non_null"),
                 )
             )
-    cells = df.select(*[F.col(f"`{c}`") for c in columns])
     if not rows:
         return df.sparkSession.createDataFrame([], REPORT_SCHEMA)
-    counted = cells.agg(*totals, *hits)
+    cells = df.select(*[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(columns)])
+    marked = cells.select("*", *[may_hold(F.col(f"c{i}"), entities).alias(f"may{i}") for i in range(len(columns))])
+    counted = marked.agg(*totals, *hits)
     report = counted.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
     rate = F.when(F.col("non_null") > 0, F.col("matched") / F.col("non_null")).otherwise(F.lit(0.0))
     return report.withColumn("rate", rate).withColumn(
@@ -103,9 +105,9 @@ def mask(text: Column, entities: Iterable[Entity]) -> Column:
     """Replace every matched span by the entity's tag, in the order given.
 
     Card numbers go by their Luhn test, the longest first; the other entities are
-    plain replacements.
+    plain replacements. A text in which all patterns together find nothing stays as it is.
     """
-    masked = text
+    masked, entities = text, list(entities)
     for entity in entities:
         if entity.by_column_name:
             continue
@@ -116,7 +118,7 @@ def mask(text: Column, entities: Iterable[Entity]) -> Column:
             if entity.needs:
                 replaced = F.when(F.contains(masked, F.lit(entity.needs)), replaced).otherwise(masked)
             masked = replaced
-    return masked
+    return F.when(may_hold(text, entities), masked).otherwise(text)
 
 
 def _mask_cards(text: Column, entity: Entity) -> Column:
@@ -144,10 +146,11 @@ def holds_personal_data(columns: Sequence[str], entities: Sequence[Entity]) -> C
     """True when any listed column of the row holds any entity."""
     found = F.lit(False)
     for column in columns:
+        cell, hit = F.col(f"`{column}`").cast("string"), F.lit(False)
         for entity in entities:
             if not entity.by_column_name:
-                hit = has_entity(F.col(f"`{column}`").cast("string"), entity)
-                found = found | F.coalesce(hit, F.lit(False))
+                hit = hit | F.coalesce(has_entity(cell, entity), F.lit(False))
+        found = found | F.when(may_hold(cell, entities), hit).otherwise(False)
     return found
 
 

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from quayside import workspace
 from quayside.plans.tables import EVENT_K, event_k, table
-from quayside.sources.clickstream import DELIVERED, read_hive_hours, read_hours, read_json_table, stream_records, to_records
+from quayside.sources.clickstream import (
+    DELIVERED, hour_table, read_hive_hours, read_hours, read_json_table, stream_records, to_records,
+)
 from quayside.streaming.clickstream import (
     deliver,
     deliver_hive,
@@ -74,6 +76,14 @@ def clickstream_hive_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_hive_hours(spark, f"{root}/hours", *RANGE)
 
 
+def clickstream_where_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hour folders as a table, queried with a plain ``WHERE`` on the hour."""
+    root = workspace.scratch(spark, "clickstream-where")
+    deliver(_stream(spark, sf_dir, root), f"{root}/hours", f"{root}/checkpoint", interval=None)
+    hour_table(spark, f"{root}/hours", layout=DELIVERED).createOrReplaceTempView("click_hours")
+    return spark.sql("SELECT * FROM click_hours WHERE datehour BETWEEN '2024/01/10/06' AND '2024/01/10/11'")
+
+
 def clickstream_json_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events as JSON lines, read back on the declared columns."""
     path = f"{workspace.scratch(spark, 'clickstream-json')}/lines"
@@ -87,6 +97,7 @@ QUERIES = {
     "clickstream_hourly": clickstream_hourly,
     "clickstream_hour_range": clickstream_hour_range,
     "clickstream_hive_range": clickstream_hive_range,
+    "clickstream_where_range": clickstream_where_range,
 }
 
 _CLICKS = f"""
@@ -115,4 +126,5 @@ SELECT datehour, count(*) AS records, CAST(sum(time_spent) AS BIGINT) AS time_sp
 FROM ({_CLICKS}) WHERE datehour BETWEEN '2024/01/01/00' AND '2024/01/31/23' GROUP BY datehour""",
     "clickstream_hour_range": _SIX_HOURS,
     "clickstream_hive_range": _SIX_HOURS,
+    "clickstream_where_range": _SIX_HOURS,
 }

@@ -13,7 +13,7 @@ from quayside.functions import patterns
 from quayside.functions.patterns import CARD, Entity
 from quayside.operators import privacy
 from quayside.operators.combine import union_strict
-from quayside.plans.tables import table
+from quayside.plans.tables import spread, table
 from quayside.sinks.delimited import write_csv
 from quayside.sinks.tables import create_table_if_absent, refresh_table
 from quayside.sources.delimited import read_typed_csv
@@ -33,13 +33,13 @@ def pii_column_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text column of three tables against every entity of every category."""
     frames = []
     for name, columns in SCANNED.items():
-        report = privacy.column_report(table(spark, sf_dir, name), ENTITIES, columns)
+        report = privacy.column_report(spread(table(spark, sf_dir, name).select(*columns)), ENTITIES, columns)
         frames.append(report.withColumn("table_name", F.lit(name)))
     return union_strict(frames)
 
 
 def pii_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return privacy.mask_columns(documents, ["text"], MASKED)
 
 
@@ -92,7 +92,7 @@ def pii_health_table_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pii_quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write quarantine and clean rows in one pass and read both sides back."""
     root = workspace.scratch(spark, "zones")
-    documents = table(spark, sf_dir, "documents")
+    documents = spread(table(spark, sf_dir, "documents"))
     privacy.write_zones(privacy.zoned(documents, ["text"], ENTITIES), root)
     return spark.read.parquet(root).select("doc_id", F.col("zone").cast("string").alias("zone"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quayside import workspace
 from quayside.operators import retrieval
-from quayside.plans.tables import table
+from quayside.plans.tables import spread, table
 from quayside.sinks.runlog import require_samples
 from quayside.sources.landing import read_documents
 
@@ -21,7 +21,7 @@ def _questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     path = workspace.scratch(spark, "term-index")
     retrieval.write_index(documents, path)
     index = retrieval.open_index(spark, path)
@@ -29,7 +29,7 @@ def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_term_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.term_index(table(spark, sf_dir, "documents"))
+    return retrieval.term_index(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def doc_term_stats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: A session setting: how many partitions the texts of a table are dealt into before they are worked on. Unset, they
+#: are read as they lie. It is for tables whose one row group is one task, such as a small table on many cores.
+PARTITIONS = "quayside.partitions"
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows, dealt into as many partitions as the session asks for, if it does."""
+    partitions = rows.sparkSession.conf.get(PARTITIONS, None)
+    return rows.repartition(int(partitions)) if partitions else rows
+
+
 def event_k() -> Column:
     """The counter inside an event's ``props``."""
     return F.get_json_object("props", "$.k").try_cast("int")

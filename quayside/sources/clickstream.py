@@ -106,6 +106,30 @@ def read_hours(
     return rows.select("*", hour_of(F.col("_metadata.file_path"), layout).alias("datehour"))
 
 
+def hour_table(
+    spark: SparkSession,
+    root: str,
+    schema: str | T.StructType = CLICKSTREAM_SCHEMA,
+    mode: str = "FAILFAST",
+    layout: str = HOUR_FORMAT,
+) -> DataFrame:
+    """All hours of a tree as one table with its ``datehour`` (``yyyy/MM/dd/HH``), which prunes.
+
+    The hour is worked out of each file's path, so a plain filter on it is settled
+    before any file is opened: only files of wanted hours are read, however the filter is
+    said. Folders that are no hours of this layout are left out.
+    """
+    rows = (
+        spark.read.schema(as_schema(schema))
+        .option("mode", mode)
+        .option("recursiveFileLookup", True)
+        .json(root)
+    )
+    path = F.col("_metadata.file_path")
+    hour = hour_of(path, layout)
+    return rows.where(hour != path).select("*", hour.alias("datehour"))
+
+
 def read_hive_hours(
     spark: SparkSession,
     root: str,

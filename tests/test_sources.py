@@ -132,6 +132,24 @@ def test_hours_are_found_by_range(spark, tmp_path):
     assert clickstream.read_hours(spark, root, dt.datetime(2023, 1, 1), dt.datetime(2023, 1, 2)).count() == 0
 
 
+def files_read(df):
+    """Files that the scan opened, by its own count, once it has run."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    return plan.collectLeaves().head().metrics().apply("numFiles").value()
+
+
+@pytest.mark.parametrize("condition, hours", [
+    ("datehour BETWEEN '2024/01/01/23' AND '2024/01/02/00'", 2), ("datehour IN ('2024/02/01/05', '1999/01/01/00')", 1),
+    ("datehour LIKE '2024/01/%' AND time_spent > 0", 3), ("substr(datehour, 12) = '05' OR datehour < '2024/01/01/23'", 2), ("true", 4),
+])
+def test_a_filter_on_the_hour_opens_only_its_files(spark, tmp_path, condition, hours):
+    put(tmp_path / "other" / "part-9.json", '{"element_clicked":"no hour","time_spent":1}\n')
+    found = clickstream.hour_table(spark, hour_tree(tmp_path)).where(condition)
+    assert files_read(found) == hours
+    assert all(r.element_clicked == r.datehour for r in found.collect()) and found.count() == hours
+
+
 def test_open_range_ends_now(spark, tmp_path):
     hours = clickstream.hours_between(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - dt.timedelta(hours=2))
     assert len(hours) == 3
