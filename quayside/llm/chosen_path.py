@@ -5,9 +5,12 @@ class from the start. Each run splits all sets again and again: a bucket picks
 one or two positions of a min-hash signature, and sets that hold the same value
 there go on together. Buckets that are small enough are compared pair by pair;
 buckets that hardly shrink, or stay large to the last level, are compared in
-square blocks, so that none is too large for a task and none is left out. Runs are repeated until
-the links seen once and twice say that the target recall is reached: in every stratum of links by
-itself, so that many easy links do not outweigh missing hard ones.
+square blocks, so that none is too large for a task and none is left out. How likely a pair at the
+least similarity meets in a run is known from the way buckets branch, and runs are repeated until
+even a pair whose buckets go on to the last level is found with the target recall.
+
+Sets that are alike stay together run after run. Their buckets of all runs are put together, so that
+a large group of near copies is compared once instead of once a run.
 
 A pair may meet in several buckets. It counts in the first of them only, which
 every task can tell from the list of buckets a set is in, so no pair is ever
@@ -17,6 +20,7 @@ written out: tasks return counts of links and local components.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.llm.common import staged
+from quayside.llm.common import freed, staged
 from quayside.llm.components import components
 from quayside.llm.wu_manber import _WORDS
 
@@ -35,17 +39,15 @@ TENTHS = 8
 SIGNATURE = 64
 #: Buckets up to this many sets are compared at once; larger ones are split, at the last level into blocks.
 SMALL = 128
-BLOCK = 1024
+BLOCK = 2048
 DEPTH = 4
 #: A bucket that keeps more than this share of the one it came from holds sets that are alike; it is not split again.
 ALIKE = 0.5
+#: Alike buckets are put together if that makes them at most so many times as large as the largest of them.
+GROWN = 1.5
 TARGET_RECALL = 0.999
-FIRST_RUNS, MORE_RUNS, MOST_RUNS = 6, 3, 60
 #: What ends a bucket, in the low bits of its number: its level where it is small, or one of these.
 ALIKE_END, BLOCK_END = DEPTH + 1, DEPTH + 2
-#: A link's stratum: the largest end in the first run that finds it, and whether its similarity is this many tenths.
-CLOSE_TENTHS = 9
-STRATA = 16
 
 _PRIME = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -132,6 +134,33 @@ def sketches(docs: DataFrame) -> DataFrame:
     ).select("doc_id", "th", "s.k", "s.sig")
 
 
+def meets(agreeing: float, depth: int = DEPTH) -> float:
+    """How likely a pair that agrees in this share of its signature is together at a level of a run.
+
+    A bucket has one child, or two in a quarter of the cases, and the pair goes on in each child
+    whose position it agrees in: a branching process that dies out for a pair at the least
+    similarity only slowly, as it has one common child in the mean.
+    """
+    two = 10 / TENTHS - 1
+    share = 1.0
+    for _ in range(depth):
+        share = (1 - two) * agreeing * share + two * (1 - (1 - agreeing * share) ** 2)
+    return share
+
+
+def runs_for(target: float = TARGET_RECALL) -> int:
+    """Runs after which a pair at the least similarity is found with this recall, were all its buckets split to the end.
+
+    The signature is drawn once for all runs, so the mean is over how many of its positions agree.
+    """
+    similar = TENTHS / 10
+    agree = [math.comb(SIGNATURE, n) * similar**n * (1 - similar) ** (SIGNATURE - n) for n in range(SIGNATURE + 1)]
+    runs = 1
+    while sum(p * (1 - meets(n / SIGNATURE)) ** runs for n, p in enumerate(agree)) > 1 - target:
+        runs += 1
+    return runs
+
+
 def _children(node: Column, sig: Column) -> Column:
     """The buckets a set goes on to: one position of the signature, in a quarter of the buckets two."""
     first = F.pmod(F.xxhash64(node, F.lit(1)), F.lit(SIGNATURE))
@@ -142,19 +171,20 @@ def _children(node: Column, sig: Column) -> Column:
         run = F.shiftleft(F.shiftright(node, 56), 56)
         return run.bitwiseOR(F.shiftrightunsigned(F.xxhash64(node, at, value), 8))
 
-    two = F.pmod(F.xxhash64(node, F.lit(3)), F.lit(100)) < 100 / (TENTHS / 10) - 100
+    two = F.pmod(F.xxhash64(node, F.lit(3)), F.lit(100)) < 100 * (10 / TENTHS - 1)
     return F.when(two, F.array(child(first), child(second))).otherwise(F.array(child(first)))
 
 
-def buckets(spark: SparkSession, sets: DataFrame, runs: range) -> DataFrame:
+def buckets(spark: SparkSession, sets: DataFrame, runs: int) -> DataFrame:
     """``(node, k, n)``: the buckets of two sets or more that these runs end in, with their sizes."""
-    roots = F.explode(F.array(*[F.lit(run << 56).cast("long") for run in runs]))
+    roots = F.explode(F.array(*[F.lit(run << 56).cast("long") for run in range(runs)]))
     rows = sets.select("k", "sig", F.lit(None).cast("long").alias("up"), roots.alias("node"))
     ended: DataFrame | None = None
+    folders: list[str] = []
     for depth in range(1, DEPTH + 1):
-        rows = staged(spark, rows.select("k", "up", F.explode(_children(F.col("node"), F.col("sig"))).alias("node")), "paths")
-        sizes = staged(spark, rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
-        told = staged(spark, rows.join(sizes, "node").select("node", "k", "n", "up"), "told")
+        rows = staged(spark, rows.select("k", "up", F.explode(_children(F.col("node"), F.col("sig"))).alias("node")), "paths", folders)
+        sizes = staged(spark, rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes", folders)
+        told = staged(spark, rows.join(sizes, "node").select("node", "k", "n", "up"), "told", folders)
         alike = F.coalesce(F.col("n") > ALIKE * F.col("up"), F.lit(False))
         ends = F.lit(True) if depth == DEPTH else (F.col("n") <= SMALL) | alike
         end = F.when(F.col("n") <= SMALL, depth).when(alike, ALIKE_END).otherwise(BLOCK_END).cast("long")
@@ -165,11 +195,32 @@ def buckets(spark: SparkSession, sets: DataFrame, runs: range) -> DataFrame:
         if depth == DEPTH or large.isEmpty():
             break
         rows = large.select("node", "k", F.col("n").alias("up")).join(sets.select("k", "sig"), "k")
+    ended = staged(spark, ended, "ends")
+    freed(spark, folders)
     return ended
 
 
-def _pairs(group: list[tuple], square: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Which members of a group are linked, of the pairs a task may look at, and which are close: a matrix each."""
+def put_together(spark: SparkSession, ends: DataFrame) -> DataFrame:
+    """The same buckets, with those of one large group of alike sets made one.
+
+    Such buckets share most sets, and so mostly their least one, by which they are told. All pairs that met
+    still meet. Buckets whose union would be much larger than each of them are left alone.
+    """
+    is_alike = F.col("node").bitwiseAND(F.lit(7)) == ALIKE_END
+    alike = ends.where(is_alike)
+    labels = staged(spark, alike.groupBy("node").agg(F.min("k").alias("label"), F.max("n").alias("n")), "alike-labels")
+    together = staged(spark, alike.join(labels.select("node", "label"), "node").select("label", "k").distinct(), "alike-sets")
+    whole = together.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    largest = labels.groupBy("label").agg(F.max("n").alias("most"), F.min("node").alias("first"), F.count(F.lit(1)).alias("buckets"))
+    good = whole.join(largest, "label").where((F.col("n") <= GROWN * F.col("most")) & (F.col("buckets") > 1))
+    good = staged(spark, good.select("label", "n", F.col("first").alias("node")), "alike-groups")
+    gone = staged(spark, labels.join(good.select("label"), "label", "left_semi").select("node"), "alike-gone")
+    one = together.join(good, "label").select("node", "k", "n")
+    return staged(spark, ends.join(gone, "node", "left_anti").unionByName(one), "buckets")
+
+
+def _pairs(group: list[tuple], square: bool) -> np.ndarray:
+    """Which members of a group are linked, of the pairs a task may look at."""
     m = len(group)
     sizes = np.array([len(g[2]) for g in group])
     every = np.concatenate([g[2] for g in group])
@@ -189,38 +240,22 @@ def _pairs(group: list[tuple], square: bool) -> tuple[np.ndarray, np.ndarray]:
         held[owner[a:b], token[a:b] - low] = 1
         common += held @ held.T
     either = sizes[:, None] + sizes[None, :] - common
-    linked = 10 * common >= TENTHS * either
     side = np.array([g[0] for g in group])
     asked = ~np.eye(m, dtype=bool) if square else side[:, None] != side[None, :]
-    return linked & asked, 10 * common >= CLOSE_TENTHS * either
+    return (10 * common >= TENTHS * either) & asked
 
 
-def _meetings(group: list[tuple], node: int, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For each pair whether it meets in an earlier bucket of the runs from ``first`` on, in how many runs it meets
-    before these and in these, and the largest end in the first run of all."""
+def _met(group: list[tuple], node: int) -> np.ndarray:
+    """For each pair whether it meets in an earlier bucket."""
     m = len(group)
     owner = np.repeat(np.arange(m), [len(g[3]) for g in group])
     every = np.concatenate([g[3] for g in group])
-    _, at, times = np.unique(every, return_inverse=True, return_counts=True)
-    owner, every = owner[times[at] > 1], every[times[at] > 1]
-    run, end = every >> 56, every & 7
-
-    def together(inside: np.ndarray) -> np.ndarray:
-        names, at = np.unique(every[inside], return_inverse=True)
-        held = np.zeros((m, len(names)), dtype=np.float32)
-        held[owner[inside], at] = 1
-        return (held @ held.T) > 0
-
-    before, since = np.zeros((m, m), dtype=np.int16), np.zeros((m, m), dtype=np.int16)
-    kind = np.zeros((m, m), dtype=np.int8)
-    for number in np.unique(run):
-        largest = np.zeros((m, m), dtype=np.int8)
-        for last in np.unique(end[run == number]):
-            largest[together((run == number) & (end == last))] = last
-        kind = np.where(kind == 0, largest, kind)
-        times = before if number < first else since
-        times += largest > 0
-    return together((run >= first) & (every < node)), before, since, kind
+    names, at, times = np.unique(every, return_inverse=True, return_counts=True)
+    told = (times[at] > 1) & (every < node)
+    _, place = np.unique(at[told], return_inverse=True)
+    held = np.zeros((m, int(place.max()) + 1 if len(place) else 0), dtype=np.float32)
+    held[owner[told], place] = 1
+    return (held @ held.T) > 0
 
 
 def _roots(linked: np.ndarray) -> np.ndarray:
@@ -235,22 +270,11 @@ def _roots(linked: np.ndarray) -> np.ndarray:
         label = low
 
 
-FOUND = "k binary, links long, strata array<long>, root binary"
+FOUND = "k binary, links long, root binary"
 
 
-def _strata(pairs: np.ndarray, stratum: np.ndarray, before: np.ndarray, since: np.ndarray) -> list[int]:
-    """By stratum, how these pairs change the links found, those met in one run, and those met in two."""
-    at = np.nonzero(np.triu(pairs, 1))
-    was, now = before[at], before[at] + since[at]
-    changes = [was == 0] + [(now == n).astype(np.int64) - (was == n) for n in (1, 2)]
-    return np.concatenate([np.bincount(stratum[at], weights=c, minlength=STRATA) for c in changes]).astype(np.int64).tolist()
-
-
-def _compared(batches: Iterator[pa.RecordBatch], first_run: int) -> Iterator[pa.RecordBatch]:
-    """Links of every group of rows ``(node, i, j, side, k, shingles, nodes)``, which come sorted by group.
-
-    Links that an earlier run has found change what is known of their stratum only.
-    """
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of every group of rows ``(node, i, j, side, k, shingles, nodes)``, which come sorted by group."""
     names = [name.split()[0] for name in FOUND.split(", ")]
 
     def settled(key: tuple, group: list[tuple]) -> list[tuple]:
@@ -258,21 +282,15 @@ def _compared(batches: Iterator[pa.RecordBatch], first_run: int) -> Iterator[pa.
             return []
         node, i, j = key
         group.sort(key=lambda g: g[1])
-        linked, close = _pairs(group, i == j)
+        linked = _pairs(group, i == j)
         if not linked.any():
             return []
-        early, before, since, kind = _meetings(group, node, first_run)
-        here = linked & ~early
-        counts = _strata(here, 2 * kind.astype(np.int64) + close, before, since)
-        links, roots = (here & (before == 0)).sum(axis=1), _roots(linked)
-        found = np.flatnonzero(linked.any(axis=1))
-        return [
-            (group[a][1], int(links[a]), counts if a == found[0] else None, group[roots[a]][1]) for a in found
-        ]
+        links, roots = (linked & ~_met(group, node)).sum(axis=1), _roots(linked)
+        return [(group[a][1], int(links[a]), group[roots[a]][1]) for a in np.flatnonzero(linked.any(axis=1))]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
-        kinds = [pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+        kinds = [pa.binary(), pa.int64(), pa.binary()]
         return pa.RecordBatch.from_arrays(
             [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=names
         )
@@ -298,11 +316,10 @@ def _compared(batches: Iterator[pa.RecordBatch], first_run: int) -> Iterator[pa.
         yield batch_of(settled(key, group))
 
 
-def compared(spark: SparkSession, ends: DataFrame, nodes: DataFrame, held: DataFrame, first_run: int) -> DataFrame:
+def compared(spark: SparkSession, ends: DataFrame, held: DataFrame) -> DataFrame:
     """Compare the sets of every bucket: the links each set gains, and its root in the bucket.
 
-    ``ends`` has the buckets of the runs from ``first_run`` on, ``nodes`` all
-    buckets a set was ever in. Of buckets with the same members the first is compared.
+    ``held`` has the shingles of a set and all buckets it is in. Of buckets with the same members the first is compared.
     """
     same_members = ends.groupBy("node").agg(
         F.max("n").alias("n"), F.bit_xor(F.xxhash64("k")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "k")).alias("y")
@@ -314,20 +331,9 @@ def compared(spark: SparkSession, ends: DataFrame, nodes: DataFrame, held: DataF
     dealt = dealt.select(
         "node", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "k"
     )
-    rows = dealt.join(nodes, "k").join(held, "k").select("node", "i", "j", "side", "k", "shingles", "nodes")
+    rows = dealt.join(held, "k").select("node", "i", "j", "side", "k", "shingles", "nodes")
     sorted_rows = rows.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j")
-    return sorted_rows.mapInArrow(lambda batches: _compared(batches, first_run), FOUND)
-
-
-def missing(once: int, twice: int, runs: int) -> float:
-    """Links that no run has found, by how many were found in one run and in two (Chao)."""
-    return (runs - 1) / runs * once * (once - 1) / (2 * (twice + 1))
-
-
-def reached(strata: dict[int, int], runs: int, target: float = TARGET_RECALL) -> bool:
-    """Whether the links of every stratum are found, as far as its own links met once and twice tell."""
-    links, once, twice = ([strata.get(n * STRATA + s, 0) for s in range(STRATA)] for n in range(3))
-    return all(x >= target * (x + missing(a, b, runs)) for x, a, b in zip(links, once, twice, strict=True))
+    return sorted_rows.mapInArrow(_compared, FOUND)
 
 
 def joined(spark: SparkSession, docs: DataFrame, target: float = TARGET_RECALL) -> DataFrame:
@@ -347,36 +353,18 @@ def joined(spark: SparkSession, docs: DataFrame, target: float = TARGET_RECALL)
         some.groupBy("k").agg(first, F.count(F.lit(1)).alias("n_copies"), F.min("sig").alias("sig")),
         "sets",
     )
-    ends: list[DataFrame] = []
-    found: list[DataFrame] = []
+    ends = put_together(spark, buckets(spark, sets, runs_for(target)))
+    folders: list[str] = []
+    nodes = staged(spark, ends.groupBy("k").agg(F.collect_list("node").alias("nodes")), "nodes", folders)
+    wanted = nodes.join(sets, "k").select("k", "nodes", "first.doc_id", "first.th")
+    wanted = staged(spark, wanted, "wanted", folders)
     shingle = F.arrow_udf(_shingled, T.ArrayType(T.LongType(), False)).asNondeterministic()
     texts = docs.select(F.col("doc_id").alias("d"), F.col("text").alias("text"), F.xxhash64("text").alias("h"))
-    held: DataFrame | None = None
-    done = 0
-    while True:
-        runs = range(done, done + (MORE_RUNS if done else FIRST_RUNS))
-        done = runs.stop
-        ends.append(buckets(spark, sets, runs))
-        met = ends[0]
-        for more in ends[1:]:
-            met = met.unionByName(more)
-        nodes = staged(spark, met.groupBy("k").agg(F.collect_list("node").alias("nodes")), "nodes")
-        new = nodes.select("k") if held is None else nodes.select("k").join(held.select("k"), "k", "left_anti")
-        wanted = sets.join(new, "k", "left_semi").select("k", "first.doc_id", "first.th")
-        wanted = staged(spark, wanted, "wanted")
-        # Rows that repeat give the same set again; one of them is enough.
-        given = texts.join(wanted, texts["d"].eqNullSafe(wanted["doc_id"]) & (texts["h"] == wanted["th"]))
-        given = staged(spark, given.select("k", shingle(F.col("text")).alias("shingles")), "shingles").dropDuplicates(["k"])
-        held = given if held is None else held.unionByName(given)
-        found.append(staged(spark, compared(spark, ends[-1], nodes, held, runs.start), "links"))
-        links = found[0]
-        for more in found[1:]:
-            links = links.unionByName(more)
-        told = links.select(F.posexplode("strata").alias("at", "n")).groupBy("at").agg(F.sum("n").alias("n"))
-        if reached({row["at"]: row["n"] for row in told.collect()}, done, target):
-            break
-        if done >= MOST_RUNS:
-            raise RuntimeError(f"{done} runs do not find {target} of the links of every stratum")
+    # Rows that repeat give the same set again; one of them is enough.
+    given = texts.join(wanted, texts["d"].eqNullSafe(wanted["doc_id"]) & (texts["h"] == wanted["th"]))
+    given = staged(spark, given.select("k", "nodes", shingle(F.col("text")).alias("shingles")), "shingles", folders)
+    links = staged(spark, compared(spark, ends, given.dropDuplicates(["k"])), "links")
+    freed(spark, folders)
     edges = links.select(F.col("k").alias("u"), F.col("root").alias("v"))
     roots = components(spark, edges)
     counted = links.groupBy("k").agg(F.sum("links").alias("n_links"))
@@ -400,6 +388,7 @@ def joined(spark: SparkSession, docs: DataFrame, target: float = TARGET_RECALL)
 
 
 def report(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Per document its class, how many other sets it is linked to, and how many rows have its own set; see ``joined``."""
     return joined(spark, docs).select("doc_id", "class_id", "n_links", "n_copies")
 
 

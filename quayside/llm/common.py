@@ -17,13 +17,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
-    """The rows, written to the shared scratch folder and read from there."""
+def staged(spark: SparkSession, rows: DataFrame, label: str, folders: list[str] | None = None) -> DataFrame:
+    """The rows, written to the shared scratch folder and read from there; the folder joins ``folders``."""
     folder = workspace.scratch(spark, label)
     rows.write.parquet(folder)
+    if folders is not None:
+        folders.append(folder)
     return spark.read.schema(rows.schema).parquet(folder)
 
 
+def freed(spark: SparkSession, folders: list[str]) -> None:
+    """Delete staged folders once all that was made of them is written."""
+    while folders:
+        workspace.delete(spark, folders.pop())
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased, every other letter left alone."""
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)

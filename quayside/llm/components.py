@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm.common import staged
+from quayside.llm.common import freed, staged
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -30,14 +30,17 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     with the logarithm of the nodes. Only two sums come to the driver.
     """
     turned = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    turned = staged(spark, turned, "edges")
+    held: list[str] = []
+    turned = staged(spark, turned, "edges", held)
     before = None
     while True:
         sums = turned.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
         if before == (sums["n"], sums["x"]):
             break
         before = (sums["n"], sums["x"])
-        large = staged(spark, _large_star(turned).where("u <> v").distinct(), "large-star")
-        turned = staged(spark, _small_star(large).where("u <> v").distinct(), "small-star")
+        done, held = held, []
+        large = staged(spark, _large_star(turned).where("u <> v").distinct(), "large-star", done)
+        turned = staged(spark, _small_star(large).where("u <> v").distinct(), "small-star", held)
+        freed(spark, done)
     roots = turned.select("u", F.col("v").alias("root"))
     return roots.union(roots.select(F.col("root").alias("u"), "root").distinct())

@@ -87,28 +87,64 @@ def test_large_group_of_near_copies_is_linked_whole(spark):
     assert {r.class_id for r in out} == {0} and {r.n_links for r in out} == {299}
 
 
-def test_hot_links_do_not_stand_for_missing_ones():
-    wide = chosen_path.STRATA
-    hot = {2 * chosen_path.BLOCK_END: 2_000_000}
-    hard = {8: 1000, wide + 8: 45, 2 * wide + 8: 157}
-    assert chosen_path.reached(hot, 6) and not chosen_path.reached({**hot, **hard}, 6)
-    assert chosen_path.reached({**hot, 8: 1000, wide + 8: 1, 2 * wide + 8: 5}, 12)
-
-
-def test_meetings_of_later_runs_change_the_strata():
-    def group(runs):  # two sets that share one bucket a run, ended at level 3
-        return [(0, k, np.arange(9, dtype=np.uint64), np.array([(r << 56) + 8 + 3 for r in runs])) for k in (b"a", b"b")]
-
-    def counts(runs, node, first):
-        linked, close = chosen_path._pairs(group(runs), True)
-        early, before, since, kind = chosen_path._meetings(group(runs), node, first)
-        told = chosen_path._strata(linked & ~early, 2 * kind.astype(int) + close, before, since)
-        return {at: n for at, n in enumerate(told) if n}
-
-    wide = chosen_path.STRATA
-    assert counts([4], (4 << 56) + 11, 0) == {7: 1, wide + 7: 1}
-    assert counts([4, 7], (7 << 56) + 11, 6) == {wide + 7: -1, 2 * wide + 7: 1}
-    assert counts([4, 7, 8], (8 << 56) + 11, 6) == {}
+def test_runs_reach_the_recall_of_the_hardest_pairs():
+    runs = chosen_path.runs_for(0.999)
+    random = np.random.default_rng(6)
+
+    def together(agree, node, depth):
+        """Whether a pair with these equal positions is together at the last level, in one simulated run."""
+        if depth == chosen_path.DEPTH:
+            return True
+        picked = random.choice(len(agree), 2 if random.random() < 10 / chosen_path.TENTHS - 1 else 1, replace=False)
+        return any(agree[at] and together(agree, None, depth + 1) for at in picked)
+
+    missed = tried = 0
+    for _ in range(4000):
+        agree = random.random(chosen_path.SIGNATURE) < chosen_path.TENTHS / 10
+        tried += 1
+        missed += not any(together(agree, None, 0) for _ in range(runs))
+    assert missed <= 0.003 * tried and chosen_path.runs_for(0.9) < runs < chosen_path.runs_for(0.99999)
+
+
+def test_buckets_of_one_group_are_put_together(spark):
+    def bucket(run, members):
+        return [((run << 56) + 16 + chosen_path.ALIKE_END, bytes([m // 256, m % 256]), len(members)) for m in members]
+
+    rows = bucket(0, range(200)) + bucket(1, range(190)) + bucket(2, range(0, 200, 2))
+    rows += bucket(3, range(500, 700)) + bucket(4, [500, *range(900, 1100)])  # one set in common, else different
+    rows += [((5 << 56) + 1, bytes([0, m]), 2) for m in (1, 2)]
+    got = {}
+    for row in chosen_path.put_together(spark, spark.createDataFrame(rows, "node long, k binary, n long")).collect():
+        got.setdefault((row.node, row.n), set()).add(int.from_bytes(row.k, "big"))
+    end = 16 + chosen_path.ALIKE_END
+    assert got == {
+        (end, 200): set(range(200)), ((3 << 56) + end, 200): set(range(500, 700)),
+        ((4 << 56) + end, 201): {500, *range(900, 1100)}, ((5 << 56) + 1, 2): {1, 2}}
+
+
+def test_borderline_pairs_and_a_large_group_are_found(spark):
+    random = np.random.default_rng(8)
+    rows, want = [], {}
+    for pair in range(1500):  # 100 shingles each, of which 90 are common: 90 / 110 is just above 0.8
+        words = [f"p{pair}w{random.integers(10**9)}" for _ in range(104)]
+        rows.append((2 * pair, " ".join(words)))
+        rows.append((2 * pair + 1, " ".join(words[:94] + [f"q{pair}x{i}" for i in range(10)])))
+        want[2 * pair] = want[2 * pair + 1] = (2 * pair, 1)
+    common = [f"c{i}" for i in range(60)]
+    for copy in range(2500):
+        rows.append((10_000 + copy, " ".join([*common, f"tail{copy}"])))
+        want[10_000 + copy] = (10_000, 2499)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in chosen_path.report(spark, docs).collect()}
+    wrong = [i for i in want if got[i] != want[i]]
+    assert len(wrong) <= 2 * 0.002 * 1500 and not [i for i in wrong if i >= 10_000]
+
+
+def test_links_count_in_the_first_bucket_only():
+    group = [(0, k, np.arange(9, dtype=np.uint64), np.array(nodes)) for k, nodes in ((b"a", [8, 16]), (b"b", [8, 16]), (b"c", [16, 24]))]
+    assert chosen_path._pairs(group, True).sum() == 6
+    assert chosen_path._met(group, 16).tolist() == [[True, True, False], [True, True, False], [False, False, False]]
+    assert not chosen_path._met(group, 8).any()
 
 
 def test_benchmark(spark, docs, nothing):
