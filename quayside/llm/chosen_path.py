@@ -46,6 +46,9 @@ ALIKE = 0.5
 #: Alike buckets are put together if that makes them at most so many times as large as the largest of them.
 GROWN = 1.5
 TARGET_RECALL = 0.999
+#: Positions of the signature that a pair must agree in to be compared by shingles: a linked pair does with
+#: a probability of more than 1 - 1e-6, as it agrees in 51 of 64 in the mean.
+LEAST_AGREEING = 34
 #: What ends a bucket, in the low bits of its number: its level where it is small, or one of these.
 ALIKE_END, BLOCK_END = DEPTH + 1, DEPTH + 2
 
@@ -219,6 +222,47 @@ def put_together(spark: SparkSession, ends: DataFrame) -> DataFrame:
     return staged(spark, ends.join(gone, "node", "left_anti").unionByName(one), "buckets")
 
 
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows ``(node, k, sig)`` sorted by bucket, the members that agree well with another one, with their number."""
+    nodes, keys, signatures = np.empty(0, dtype=np.int64), [], np.empty((0, SIGNATURE), dtype=np.int32)
+
+    def settled(until: int) -> pa.RecordBatch:
+        out: list[tuple] = []
+        starts = np.flatnonzero(np.diff(nodes[:until], prepend=-1))
+        for low, high in zip(starts, [*starts[1:], until], strict=True):
+            group = signatures[low:high]
+            agree = (group[:, None, :] == group[None, :, :]).sum(axis=2)
+            np.fill_diagonal(agree, 0)
+            near = np.flatnonzero((agree >= LEAST_AGREEING).any(axis=1))
+            out += [(int(nodes[low]), keys[low + at], len(near)) for at in near]
+        columns = list(zip(*out, strict=True)) if out else [[], [], []]
+        kinds = (pa.int64(), pa.binary(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=["node", "k", "n"])
+
+    for batch in batches:
+        nodes = np.concatenate([nodes, batch.column("node").to_numpy()])
+        keys += batch.column("k").to_pylist()
+        flat = batch.column("sig").flatten().to_numpy(zero_copy_only=False)
+        signatures = np.concatenate([signatures, flat.reshape(-1, SIGNATURE)])
+        # The last bucket may go on in the next batch.
+        until = int(np.searchsorted(nodes, nodes[-1])) if len(nodes) else 0
+        yield settled(until)
+        nodes, keys, signatures = nodes[until:], keys[until:], signatures[until:]
+    yield settled(len(nodes))
+
+
+def likely(spark: SparkSession, ends: DataFrame, sets: DataFrame) -> DataFrame:
+    """The buckets without the sets that met no similar one there, as far as signatures tell.
+
+    Most sets meet others by one equal position only. They go before shingles are moved; large
+    buckets are left as they are.
+    """
+    small = F.col("n") <= SMALL
+    signed = ends.where(small).select("node", "k").join(sets.select("k", "sig"), "k").select("node", "k", "sig")
+    near = signed.repartition("node").sortWithinPartitions("node").mapInArrow(_agreeing, "node long, k binary, n long")
+    return staged(spark, near.unionByName(ends.where(~small)), "likely")
+
+
 def _pairs(group: list[tuple], square: bool) -> np.ndarray:
     """Which members of a group are linked, of the pairs a task may look at."""
     m = len(group)
@@ -353,7 +397,7 @@ def joined(spark: SparkSession, docs: DataFrame, target: float = TARGET_RECALL)
         some.groupBy("k").agg(first, F.count(F.lit(1)).alias("n_copies"), F.min("sig").alias("sig")),
         "sets",
     )
-    ends = put_together(spark, buckets(spark, sets, runs_for(target)))
+    ends = likely(spark, put_together(spark, buckets(spark, sets, runs_for(target))), sets)
     folders: list[str] = []
     nodes = staged(spark, ends.groupBy("k").agg(F.collect_list("node").alias("nodes")), "nodes", folders)
     wanted = nodes.join(sets, "k").select("k", "nodes", "first.doc_id", "first.th")

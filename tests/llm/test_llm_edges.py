@@ -122,6 +122,19 @@ def test_buckets_of_one_group_are_put_together(spark):
         ((4 << 56) + end, 201): {500, *range(900, 1100)}, ((5 << 56) + 1, 2): {1, 2}}
 
 
+def test_only_sets_that_agree_with_another_stay_in_a_bucket(spark):
+    base = list(range(chosen_path.SIGNATURE))
+    far = [-1 - x for x in base]
+    just = [x if at < chosen_path.LEAST_AGREEING else -9 for at, x in enumerate(base)]
+    sets = spark.createDataFrame([(b"a", base), (b"b", just), (b"c", far), (b"d", far[:-1] + [5])], "k binary, sig array<int>")
+    rows = [(1, k, 3) for k in (b"a", b"b", b"c")] + [(2, k, 2) for k in (b"b", b"c")] + [(3, k, 2) for k in (b"c", b"d")]
+    rows += [(4, k, chosen_path.SMALL + 1) for k in (b"a", b"c")]
+    ends = spark.createDataFrame(rows, "node long, k binary, n long")
+    got = sorted(map(tuple, chosen_path.likely(spark, ends, sets).collect()))
+    large = chosen_path.SMALL + 1
+    assert got == [(1, b"a", 2), (1, b"b", 2), (3, b"c", 2), (3, b"d", 2), (4, b"a", large), (4, b"c", large)]
+
+
 def test_borderline_pairs_and_a_large_group_are_found(spark):
     random = np.random.default_rng(8)
     rows, want = [], {}
