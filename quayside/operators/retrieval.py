@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside import workspace
+from quayside.functions.names import plain_path
 from quayside.functions.text import col, fill_template
 
 # What separates tokens, and the usual BM25 parameters.
@@ -27,8 +30,10 @@ PROMPT = (
 
 # Scores are added up in units of one hundred-millionth.
 UNITS = 100_000_000
-#: Folders of an index: a search reads those that hold its terms.
-PARTS = 64
+#: Characters of text whose postings are one folder of a segment: a search reads the folders of its terms.
+PART_CHARS = 64_000_000
+#: Segments of like size that are merged into one.
+FANOUT = 8
 
 
 def tokens(text: Column | str) -> Column:
@@ -71,15 +76,29 @@ def term_stats(index: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Segment:
+    """A part of the documents with postings of its own, in ``parts`` folders of terms."""
+
+    path: str
+    documents: int
+    words: int
+    parts: int
+
+    @property
+    def name(self) -> str:
+        return self.path.rsplit("=", 1)[1]
+
+
 @dataclass(frozen=True)
 class Index:
-    """A written term index: its postings in folders of terms, the documents of each term, and the totals."""
+    """The live segments, the documents of each term, the totals, and which documents of a segment are deleted."""
 
-    postings: DataFrame
+    segments: list[Segment]
     terms: DataFrame
     documents: int
     average_length: float
-    parts: int
+    deleted: DataFrame | None
 
 
 def _part(parts: int) -> Column:
@@ -87,38 +106,178 @@ def _part(parts: int) -> Column:
     return F.pmod(F.xxhash64("term"), F.lit(parts)).cast("int")
 
 
-def write_index(
-    documents: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", parts: int = PARTS
-) -> None:
-    """Write postings in ``parts`` folders by term, sorted, with their term counts and totals beside them.
+def _write_postings(postings: DataFrame, path: str, parts: int) -> DataFrame:
+    """Postings by folder, sorted, and the counts of their terms. The rebalance splits a folder whose term most documents hold."""
+    dealt = postings.withColumn("part", _part(parts)).hint("rebalance", "part")
+    dealt.sortWithinPartitions("part", "term", "doc_id").write.partitionBy("part").parquet(f"{path}/postings")
+    spark = postings.sparkSession
+    schema = T.StructType([*postings.schema.fields, T.StructField("part", T.IntegerType())])
+    # A segment without a posting has no folder to read.
+    written = spark.read.schema(schema).parquet(f"{path}/postings")
+    term_stats(written).write.parquet(f"{path}/terms")
+    return written
+
 
-    Texts are split once: postings are written as they lie first, and those rows are
-    dealt by folder. The rebalance splits a folder whose term most documents hold.
+def _finish(spark: SparkSession, path: str, documents: int, parts: int, replaced: list[str]) -> None:
+    """Write a segment's totals, which come last: it counts from then on, and what it replaces no longer does."""
+    words = spark.read.parquet(f"{path}/terms").agg(F.coalesce(F.sum("occurrences"), F.lit(0)).alias("words"))
+    told = {"documents": F.lit(documents).cast("bigint"), "parts": F.lit(parts), "replaced": F.lit(replaced).cast("array<string>")}
+    words.withColumns(told).write.parquet(f"{path}/totals")
+
+
+def _new(path: str, kind: str) -> str:
+    return f"{path}/{kind}={time.time_ns():020d}"
+
+
+def write_index(documents: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> None:
+    """Index all documents anew: one segment."""
+    if workspace.exists(documents.sparkSession, path):
+        workspace.delete(documents.sparkSession, path)
+    add_documents(documents, path, doc_id, text)
+
+
+def add_documents(documents: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> None:
+    """Index further documents as a segment of their own; the segments that are there stay as they are.
+
+    Texts are split once, and postings move once, to their folder. How many folders there are follows
+    the length of the texts. One writer at a time.
     """
     spark = documents.sparkSession
-    plain = workspace.scratch(spark, "postings")
-    term_index(documents, doc_id, text).write.parquet(plain)
-    postings = spark.read.parquet(plain)
-    dealt = postings.withColumn("part", _part(parts)).hint("rebalance", "part")
-    dealt.sortWithinPartitions("part", "term", "doc_id").write.mode("overwrite").partitionBy("part").parquet(
-        f"{path}/postings"
+    rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    told = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.char_length("text")), F.lit(0)).alias("chars")).first()
+    segment, parts = _new(path, "segment"), told["chars"] // PART_CHARS + 1
+    _write_postings(term_index(rows), segment, parts)
+    rows.select("doc_id").write.parquet(f"{segment}/documents")
+    _finish(spark, segment, told["n"], parts, [])
+
+
+def segments(spark: SparkSession, path: str) -> list[Segment]:
+    """The segments that count, oldest first."""
+    done = [found.rsplit("/", 2)[0] for found in workspace.glob(spark, f"{path}/segment=*/totals/_SUCCESS")]
+    if not done:
+        return []
+    totals = spark.read.parquet(*[f"{found}/totals" for found in done]).select(
+        F.regexp_extract(plain_path("_metadata.file_path"), "/segment=([0-9]+)/", 1).alias("name"), "*"
     )
-    term_stats(postings).write.mode("overwrite").parquet(f"{path}/terms")
-    words = spark.read.parquet(f"{path}/terms").agg(F.coalesce(F.sum("occurrences"), F.lit(0)).alias("words"))
-    totals = words.withColumns({"documents": F.lit(documents.count()), "parts": F.lit(parts)})
-    totals.write.mode("overwrite").parquet(f"{path}/totals")
+    told = {row["name"]: row for row in totals.collect()}
+    replaced = {name for row in told.values() for name in row["replaced"]}
+    live = [found for found in done if found.rsplit("=", 1)[1] not in replaced]
+    return [Segment(at, *[told[at.rsplit("=", 1)[1]][name] for name in ("documents", "words", "parts")]) for at in live]
+
+
+def _all(frames: list[DataFrame]) -> DataFrame:
+    found = frames[0]
+    for frame in frames[1:]:
+        found = found.unionByName(frame)
+    return found
+
+
+def _deletions(spark: SparkSession, path: str, live: list[Segment], what: str) -> DataFrame | None:
+    """``ids`` or ``terms`` of all deletions in live segments."""
+    done = [found.rsplit("/", 2)[0] for found in workspace.glob(spark, f"{path}/deleted=*/terms/_SUCCESS")]
+    if not done:
+        return None
+    found = spark.read.parquet(*[f"{at}/{what}" for at in done])
+    return found.where(F.col("segment").isin([segment.name for segment in live]))
 
 
 def open_index(spark: SparkSession, path: str) -> Index:
-    """Read a written index; its totals were counted when it was written."""
-    totals = spark.read.parquet(f"{path}/totals").first()
-    average = totals.words / totals.documents if totals.documents else 0.0
-    terms = spark.read.parquet(f"{path}/terms")
-    # An index without a posting has no folder to read.
-    postings = spark.read.parquet(f"{path}/postings") if totals.words else terms.select(
-        "term", F.lit(None).alias("doc_id"), F.lit(0).alias("tf"), F.lit(0).alias("doc_len"), F.lit(0).alias("part")
-    )
-    return Index(postings, terms, totals.documents, average, totals.parts)
+    """Read a written index: its counts are those of its segments, less the deleted documents."""
+    live = segments(spark, path)
+    if not live:
+        raise FileNotFoundError(f"no index below {path}")
+    terms = _all([spark.read.parquet(f"{segment.path}/terms") for segment in live])
+    documents, words = (sum(getattr(segment, name) for segment in live) for name in ("documents", "words"))
+    gone = _deletions(spark, path, live, "terms")
+    deleted = None
+    if gone is not None:
+        less = gone.select("term", (-F.col("df")).alias("df"), (-F.col("occurrences")).alias("occurrences"))
+        terms = terms.unionByName(less)
+        deleted = _deletions(spark, path, live, "ids")
+        words -= gone.agg(F.coalesce(F.sum("occurrences"), F.lit(0)).alias("n")).first()["n"]
+        documents -= deleted.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("n")).first()["n"]
+    if gone is not None or len(live) > 1:
+        terms = terms.groupBy("term").agg(F.sum("df").alias("df"), F.sum("occurrences").alias("occurrences")).where("df > 0")
+    return Index(live, terms, documents, words / documents if documents else 0.0, deleted)
+
+
+def _live_postings(spark: SparkSession, index: Index, parts: dict[int, list[int]] | None = None) -> DataFrame:
+    """``(term, doc_id, tf, doc_len)`` of documents that are not deleted, of some folders by how many a segment has."""
+    frames = []
+    for segment in index.segments:
+        held = spark.read.parquet(f"{segment.path}/postings") if segment.words else None
+        if held is not None:
+            held = held if parts is None else held.where(F.col("part").isin(parts[segment.parts]))
+            frames.append(held.drop("part").withColumn("segment", F.lit(segment.name)))
+    if not frames:
+        return index.terms.select("term", F.lit(None).alias("doc_id"), F.lit(0).cast("bigint").alias("tf"), F.lit(0).alias("doc_len"))
+    found = _all(frames)
+    if index.deleted is not None:
+        gone = index.deleted.select(F.col("segment").alias("in"), F.col("doc_id").alias("gone"))
+        found = found.join(gone, (F.col("segment") == F.col("in")) & F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
+    return found.drop("segment")
+
+
+def delete_documents(ids: DataFrame, path: str, doc_id: str = "doc_id") -> None:
+    """Take documents out of the index: a list of them by segment, and the counts they are to be less by.
+
+    No posting is written; they go when their segment is merged. Ids that the index does not hold change
+    nothing, and a document that is added again afterwards is found again. One writer at a time.
+    """
+    spark = ids.sparkSession
+    index = open_index(spark, path)
+    held = _all([
+        spark.read.parquet(f"{segment.path}/documents").withColumn("segment", F.lit(segment.name)) for segment in index.segments
+    ])
+    wanted = ids.select(F.col(doc_id).alias("wanted")).distinct()
+    found = held.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
+    if index.deleted is not None:
+        gone = index.deleted.select(F.col("segment").alias("in"), F.col("doc_id").alias("gone"))
+        found = found.join(gone, (F.col("segment") == F.col("in")) & F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
+    at = _new(path, "deleted")
+    found.groupBy("segment", "doc_id").agg(F.count(F.lit(1)).alias("copies")).write.parquet(f"{at}/ids")
+    listed = spark.read.parquet(f"{at}/ids").select(F.col("segment").alias("in"), F.col("doc_id").alias("gone"))
+    counts = []
+    for segment in index.segments:
+        if segment.words:
+            postings = spark.read.parquet(f"{segment.path}/postings").withColumn("segment", F.lit(segment.name))
+            mine = listed.where(F.col("in") == segment.name)
+            less = postings.join(mine, F.col("doc_id").eqNullSafe(F.col("gone")), "left_semi")
+            counts.append(less.groupBy("segment", "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("occurrences")))
+    none = spark.createDataFrame([], "segment string, term string, df bigint, occurrences bigint")
+    _all([none, *counts]).write.parquet(f"{at}/terms")
+
+
+def merge_segments(spark: SparkSession, path: str, fanout: int = FANOUT) -> bool:
+    """Merge segments of like size once ``fanout`` of them are there; whether any were.
+
+    Sizes are alike that have the same logarithm, so a document is written anew once for each power of ``fanout`` that the
+    index has grown by. Deleted documents are left out for good. The segments that were merged count until the new one
+    does, and are then deleted.
+    """
+    index = open_index(spark, path)
+    levels: dict[int, list[Segment]] = {}
+    for segment in index.segments:
+        levels.setdefault(int(math.log(max(segment.documents, 1), fanout)), []).append(segment)
+    full = [found for _, found in sorted(levels.items()) if len(found) >= fanout]
+    if not full:
+        return False
+    chosen = full[0]
+    part = Index(chosen, index.terms, 0, 0.0, index.deleted)
+    at, parts = _new(path, "segment"), max(sum(segment.parts for segment in chosen) - len(chosen), 0) + 1
+    _write_postings(_live_postings(spark, part), at, parts)
+    held = _all([
+        spark.read.parquet(f"{segment.path}/documents").withColumn("segment", F.lit(segment.name)) for segment in chosen
+    ])
+    if index.deleted is not None:
+        gone = index.deleted.select(F.col("segment").alias("in"), F.col("doc_id").alias("gone"))
+        held = held.join(gone, (F.col("segment") == F.col("in")) & F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
+    held.select("doc_id").write.parquet(f"{at}/documents")
+    documents = spark.read.parquet(f"{at}/documents").count()
+    _finish(spark, at, documents, parts, [segment.name for segment in chosen])
+    for segment in chosen:
+        workspace.delete(spark, segment.path)
+    return True
 
 
 def retrieve(
@@ -145,8 +304,11 @@ def retrieve(
     path = workspace.scratch(spark, "asked-terms")
     wanted.join(index.terms, "term").select("query_id", "term", rarity.alias("idf")).write.parquet(path)
     weights = spark.read.parquet(path)
-    parts = [row.part for row in weights.select(_part(index.parts).alias("part")).distinct().collect()]
-    held = index.postings.where(F.col("part").isin(parts)).drop("part")
+    parts = {
+        n: [row.part for row in weights.select(_part(n).alias("part")).distinct().collect()]
+        for n in {segment.parts for segment in index.segments}
+    }
+    held = _live_postings(spark, index, parts)
     asked = held.join(weights.select("term").distinct(), "term", "left_semi")
     met = asked.repartition("doc_id").join(weights, "term")
     length = F.col("doc_len") / F.lit(max(index.average_length, 1e-9))

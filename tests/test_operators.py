@@ -4,6 +4,7 @@ import datetime as dt
 import math
 import random
 import re
+from pathlib import Path
 from collections import Counter
 
 import pytest
@@ -412,6 +413,57 @@ def test_a_search_reads_the_folders_of_its_terms(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[(isnotnull\(part#\d+\), )?\(?part#\d+ (IN|=)", plan)
 
 
+def posting_bytes(path):
+    return {str(p): p.stat().st_size for p in Path(path).rglob("*.parquet") if "/postings/" in str(p)}
+
+
+def test_an_index_grows_by_segments_and_forgets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(retrieval, "PART_CHARS", 4000)
+    random_ = random.Random(3)
+    words = [f"w{int(random_.expovariate(0.02))}" for _ in range(30_000)]
+    texts = [(n, " ".join(words[20 * n : 20 * n + 20])) for n in range(1200)] + [(5000, None), (None, "w1 w2")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    asked = spark.createDataFrame([(q, " ".join(random_.choices(words, k=4))) for q in range(30)], "query_id bigint, question string")
+
+    def found(path):
+        index = retrieval.open_index(spark, path)
+        return index, rows(retrieval.retrieve(index, asked, 10))
+
+    def same(path, wanted):
+        retrieval.write_index(wanted, f"{tmp_path}/full")
+        (got, hits), (want, all_hits) = found(path), found(f"{tmp_path}/full")
+        assert hits == all_hits and len(hits) > 100
+        assert (got.documents, round(got.average_length, 9)) == (want.documents, round(want.average_length, 9))
+        assert rows(got.terms) == rows(want.terms)
+
+    path = f"{tmp_path}/ix"
+    first = docs.where("doc_id IS NULL OR doc_id >= 12")
+    retrieval.write_index(first, path)
+    assert retrieval.segments(spark, path)[0].parts > 10
+    before = posting_bytes(path)
+    retrieval.add_documents(docs.where("doc_id < 12"), path)
+    after = posting_bytes(path)
+    assert before.items() <= after.items()
+    count = lambda name: spark.read.parquet(f"{name}/postings").count()
+    old, new = retrieval.segments(spark, path)
+    assert count(new.path) < 0.02 * count(old.path)
+    same(path, docs)
+    gone = spark.createDataFrame([(3,), (700,), (5000,), (None,), (99999,)], "doc_id bigint")
+    retrieval.delete_documents(gone, path)
+    assert posting_bytes(path) == after
+    left = docs.where("doc_id NOT IN (3, 700, 5000)")
+    same(path, left)
+    retrieval.delete_documents(gone, path)
+    retrieval.add_documents(docs.where("doc_id = 700"), path)
+    same(path, left.unionByName(docs.where("doc_id = 700")))
+    assert not retrieval.merge_segments(spark, path, 5)
+    for n in range(3):
+        retrieval.add_documents(spark.createDataFrame([(7000 + n, "w1 w2 w3")], docs.schema), path)
+    more = spark.createDataFrame([(7000 + n, "w1 w2 w3") for n in range(3)], docs.schema)
+    assert retrieval.merge_segments(spark, path, 4) and len(retrieval.segments(spark, path)) == 3
+    same(path, left.unionByName(docs.where("doc_id = 700")).unionByName(more))
+
+
 def test_an_index_of_nothing(spark, tmp_path):
     documents = spark.createDataFrame([(1, None), (2, "...")], "doc_id bigint, text string")
     asked = spark.createDataFrame([(1, "fig")], "query_id bigint, question string")
