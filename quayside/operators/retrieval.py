@@ -30,8 +30,9 @@ PROMPT = (
 
 # Scores are added up in units of one hundred-millionth.
 UNITS = 100_000_000
-#: Characters of text whose postings are one folder of a segment: a search reads the folders of its terms.
-PART_CHARS = 64_000_000
+#: Characters of text whose postings are one folder of a segment: a search reads the folders of its terms. Up to so
+#: many folders the first number holds, so that a segment is sorted by as many tasks; beyond them the second.
+SMALL_CHARS, FEW_PARTS, PART_CHARS = 1_000_000, 64, 64_000_000
 #: Segments of like size that are merged into one.
 FANOUT = 8
 
@@ -145,7 +146,8 @@ def add_documents(documents: DataFrame, path: str, doc_id: str = "doc_id", text:
     spark = documents.sparkSession
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     told = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.char_length("text")), F.lit(0)).alias("chars")).first()
-    segment, parts = _new(path, "segment"), told["chars"] // PART_CHARS + 1
+    segment = _new(path, "segment")
+    parts = min(told["chars"] // SMALL_CHARS + 1, FEW_PARTS + told["chars"] // PART_CHARS)
     _write_postings(term_index(rows), segment, parts)
     rows.select("doc_id").write.parquet(f"{segment}/documents")
     _finish(spark, segment, told["n"], parts, [])

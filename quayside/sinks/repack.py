@@ -86,8 +86,10 @@ def _blocks(lines: DataFrame, parts: DataFrame, member_bytes: int, quoted: bool)
     quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit('"'), F.lit("")))
     odd = (quotes % 2) if quoted else F.lit(0)
     counted = lines.select("path", "block", "at", odd.alias("odd"), F.xxhash64("value").alias("h"))
-    in_split = Window.partitionBy("path", "block").orderBy("at")
-    inside = F.coalesce(F.sum("odd").over(in_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
+    inside = F.lit(0)
+    if quoted:
+        in_split = Window.partitionBy("path", "block").orderBy("at")
+        inside = F.coalesce(F.sum("odd").over(in_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
     blocks = counted.withColumn("inside", inside).groupBy("path", "block").agg(
         F.count(F.lit(1)).alias("lines"), F.bit_xor("h").alias("h"), (F.sum("odd") % 2).alias("odd"),
         F.min("at").alias("first_even"), F.min(F.when(F.col("inside") == 1, F.col("at"))).alias("first_odd"),
@@ -124,7 +126,8 @@ def copy_lines(
     parts = spark.createDataFrame(rows, "path string, first_member int")
     lines = _lines(spark, landing, parts)
     folder = workspace.scratch(spark, "blocks")
-    _blocks(lines, parts, member_bytes, quoted).write.parquet(folder)
+    # A file that is one member is not cut, wherever its records end.
+    _blocks(lines, parts, member_bytes, quoted and members > len(files)).write.parquet(folder)
     blocks = spark.read.parquet(folder)
     dealt = lines.join(blocks, ["path", "block"]).select(_member().alias("member"), "block", "at", "value")
     headers = lines.where("block = 0").groupBy("path").agg(F.min_by("value", "at").alias("value"))

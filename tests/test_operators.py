@@ -418,7 +418,7 @@ def posting_bytes(path):
 
 
 def test_an_index_grows_by_segments_and_forgets(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(retrieval, "PART_CHARS", 4000)
+    monkeypatch.setattr(retrieval, "SMALL_CHARS", 4000)
     random_ = random.Random(3)
     words = [f"w{int(random_.expovariate(0.02))}" for _ in range(30_000)]
     texts = [(n, " ".join(words[20 * n : 20 * n + 20])) for n in range(1200)] + [(5000, None), (None, "w1 w2")]
