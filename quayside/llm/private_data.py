@@ -33,10 +33,11 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _DIGIT = re.compile(r"[0-9]")
 _EDGES = ".,;:!?\"'()[]<>"
 
-#: A token or a run of tokens is looked at as an identifier from this length on, with this many digits or an at sign.
+#: A token or a run of tokens is looked at as an identifier from this length on, with this many digits or an at sign:
+#: every kind told here is written with one or the other.
 TOKEN_CHARS, TOKEN_DIGITS = 6, 4
-#: Rounds at the least.
-ROUNDS = 3
+#: Rounds end once no confidence moves by more than this.
+STEP = 0.001
 #: A pattern is trusted from so many different seeds and confident instances on, and at this confidence.
 SUPPORT, CONFIDENCE = 5, 0.8
 
@@ -178,7 +179,7 @@ def _seen(texts: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(base, pa.list_(span)), pa.array(things, pa.list_(thing))], names=SEEN.names)
 
 
-def trusted_patterns(spark: SparkSession, things: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def trusted_patterns(spark: SparkSession, things: DataFrame, step: float = STEP) -> DataFrame:
     """``(pattern, kind, confidence)`` of the patterns that may discover, from ``things`` of all documents.
 
     The graph has one edge for every pattern and different instance. A seed
@@ -186,7 +187,9 @@ def trusted_patterns(spark: SparkSession, things: DataFrame, rounds: int = ROUND
     one minus the product of their doubts. A pattern's confidence in a kind is
     the sum of its instances' scores over their number, plus one. Every round
     counts anew which patterns are supported: by seeds, and by what scores as
-    high as a trusted pattern. Rounds go on while they support further patterns.
+    high as a trusted pattern. Confidences only rise from round to round, as do
+    the scores and the support that follow from them; rounds go on until none
+    rises by more than ``step``.
     """
     edges = staged(
         spark,
@@ -199,7 +202,7 @@ def trusted_patterns(spark: SparkSession, things: DataFrame, rounds: int = ROUND
     near = staged(spark, edges.join(sizes, "pattern"), "near-edges")
     seeds = near.where("seed is not null").select("pattern", "n", F.col("seed").alias("kind"), F.lit(1.0).alias("score"))
     others = near.where("seed is null")
-    scores, known, number = None, 0, 0
+    scores = before = None
     while True:
         given = seeds
         if scores is not None:
@@ -211,10 +214,15 @@ def trusted_patterns(spark: SparkSession, things: DataFrame, rounds: int = ROUND
             "pattern", "kind", "support", (F.col("score") / (F.col("n") + 1)).alias("confidence")
         )
         confident = staged(spark, confident, "pattern-scores")
-        number += 1
-        before, known = known, confident.where(F.col("support") >= SUPPORT).count()
-        if not known or (number >= rounds and known == before):
+        rise = F.col("confidence")
+        moved = confident
+        if before is not None:
+            moved = confident.join(before, ["pattern", "kind"], "left")
+            rise = rise - F.coalesce("earlier", F.lit(0.0))
+        most = moved.agg(F.max(rise).alias("most")).first()["most"]
+        if most is None or most <= step:
             break
+        before = confident.select("pattern", "kind", F.col("confidence").alias("earlier"))
         doubts = others.join(confident, "pattern").groupBy("instance", "kind").agg(
             (1 - F.exp(F.sum(F.ln(1 - F.least("confidence", F.lit(0.999)))))).alias("score")
         )
@@ -270,6 +278,7 @@ def _told(spans_: str) -> Column:
 
 
 def report(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Per row of ``docs`` the number of base spans of each kind, their hash, and all spans as text; see ``spans``."""
     found = spans(spark, docs)
 
     def n(kind: int) -> Column:
