@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,6 +92,13 @@ class LineRuns:
         """Every key with the number of documents that hold it and the largest of their ids."""
         return merged(self.runs())
 
+    def drop(self) -> None:
+        """Take the runs out of the catalogue and delete their files."""
+        for level in self.levels:
+            while level:
+                self.spark.sql(f"DROP TABLE IF EXISTS {level.pop()}")
+        workspace.delete(self.spark, self.folder)
+
 
 def _keys(run: DataFrame) -> DataFrame:
     return run.where("fresh").select("h1", "h2")
@@ -124,20 +132,43 @@ def dropped_lines(spark: SparkSession, docs: DataFrame, batches: int = BATCHES)
         runs.add(held.where(batch == number))
     common = runs.totals().where(F.col("n_docs") >= DOCUMENTS).select("h1", "h2", F.col("owner").alias("holder"))
     common = staged(spark, common, "common-lines")
+    runs.drop()
     lost = held.join(common, ["h1", "h2"]).where(~F.col("owner").eqNullSafe(F.col("holder")))
     return lost.groupBy("owner").agg(F.collect_list(F.struct("h1", "h2")).alias("lost"))
 
 
+def _staying(held: pa.Array, lost: pa.Array) -> pa.Array:
+    """The places of the lines whose hashes are not among the lost ones; null where nothing is lost."""
+    found = []
+    for lines, gone in zip(held, lost, strict=True):
+        if not gone.is_valid:
+            found.append(None)
+            continue
+        first, second = (lines.values.field(n).to_pylist() for n in ("h1", "h2"))
+        away = set(zip(*(gone.values.field(n).to_pylist() for n in ("h1", "h2")), strict=True))
+        found.append([at for at, line in enumerate(zip(first, second, strict=True)) if line not in away])
+    return pa.array(found, pa.list_(pa.int32()))
+
+
 def without_lost(text: Column, lost: Column) -> Column:
-    """The lines of a text that are not lost, in their order."""
+    """The lines of a text that are not lost, in their order; short lines have no hashes and always stay.
+
+    The lost lines of a document are a set, so the time is linear in its lines.
+    """
 
-    def stays(line: Column) -> Column:
+    def hashes(line: Column) -> Column:
         key = line_key(line)
+        long = _long(key)
         h1, h2 = fingerprint(key)
-        return ~(_long(key) & F.array_contains(lost, F.struct(h1.alias("h1"), h2.alias("h2"))))
+        return F.struct(F.when(long, h1).alias("h1"), F.when(long, h2).alias("h2"))
 
+    staying = F.arrow_udf(_staying, "array<int>").asNondeterministic()
     lines = F.split(text, "\n", -1)
-    return F.when(lost.isNull(), lines).otherwise(F.filter(lines, stays))
+    places = staying(F.when(lost.isNotNull(), F.transform(lines, hashes)), lost)
+    # The struct holds the lines once: written into the inner lambda, the text would be split for every line.
+    both = F.array(F.struct(lines.alias("lines"), places.alias("places")))
+    kept = F.transform(both, lambda b: F.transform(b["places"], lambda at: b["lines"][at]))
+    return F.when(lost.isNull(), lines).otherwise(kept[0])
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, batches: int = BATCHES) -> DataFrame:
