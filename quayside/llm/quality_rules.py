@@ -222,19 +222,26 @@ def labelled_sample(labels: DataFrame, label: str, most: int = LABELLED) -> Data
         .select("doc_id", (F.col("mean") > 0.5).cast("int").alias("label"))
     )
     total = found.count()
-    share = min(1.0, most / max(total, 1))
-    return found.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    return found.where(F.xxhash64("doc_id") <= F.lit(hash_bound(most, total)))
+
+
+def hash_bound(most: int, total: int) -> int:
+    """The largest 64-bit hash of a sample of about ``most`` of ``total`` rows, whatever their number."""
+    return min((most << 64) // max(total, 1), (1 << 64) - 1) - (1 << 63)
 
 
 def learn_from(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> list[Rule]:
     """Rules learned from the labelled documents; what is collected is bounded by ``most`` rows.
 
-    A document that is absent from ``docs`` teaches nothing; repeated rows of
-    one document teach once each.
+    A document that is absent from ``docs`` teaches nothing, and an id teaches
+    once: of the rows of one id that with the smallest hash of its text is taken.
     """
     sample = labelled_sample(labels, "quality", most)
     texts = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
-    rows = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "label", counts(F.col("text")).alias("c"))
+    held = texts.join(F.broadcast(sample), "doc_id").select(
+        "doc_id", "label", F.xxhash64("text").alias("th"), counts(F.col("text")).alias("c")
+    )
+    rows = held.groupBy("doc_id", "label").agg(F.min_by("c", F.struct("th", "c")).alias("c"))
     found = features(F.col("c"))
     taught = rows.where(~base_failed(F.col("c"))).select(
         "label", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(FOLDS)).cast("int").alias("fold"),
