@@ -266,7 +266,7 @@ def test_warc_round_trip(spark, tmp_path):
     assert [r.block for r in out.where("page_id = 1 AND record_type = 'conversion'").collect()] == ["Link\né WARC/1.0"]
     warc_derivatives.write_warc(warc_derivatives.derivative_records(out), f"{tmp_path}/d")
     again = warc_derivatives.read_warc(spark, f"{tmp_path}/d").collect()
-    assert sorted(r.headers["warc-refers-to"] for r in again) == sorted([ids["1"]] * 2 + [ids["2"]] * 4)
+    assert sorted(dict(r.headers)["warc-refers-to"] for r in again) == sorted([ids["1"]] * 2 + [ids["2"]] * 4)
     assert warc_derivatives.derived(read.where("false")).collect() == []
 
 
@@ -278,7 +278,7 @@ def test_warc_round_trip(spark, tmp_path):
 ])
 def test_every_anchor_is_an_outlink(html, links):
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + html.encode()
-    told = warc_derivatives.derivatives({"warc-record-id": "<urn:x>"}, block)
+    told = warc_derivatives.derivatives([("warc-record-id", "<urn:x>")], block)
     assert [r["n_links"] for r in told] == [len(links)] * 2
     assert re.findall("outlink: (.*) L a/@href", told[0]["block"]) == links
 
