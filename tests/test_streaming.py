@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import time
 from pathlib import Path
 
 from pyspark.sql import functions as F
@@ -101,6 +102,65 @@ def test_delivery_keeps_running_at_an_interval(spark, tmp_path):
         query.stop()
 
 
+def values_below(spark, root):
+    if not list(Path(root).glob("result=*")):
+        return []
+    return sorted(r.value for r in spark.read.option("recursiveFileLookup", True).text(root).collect())
+
+
+def settled(query, ready, seconds=90):
+    """Wait until the query has done what is asked, and fail if it never does."""
+    end = time.time() + seconds
+    while not ready():
+        if query.exception() or time.time() > end:
+            raise AssertionError(query.exception() or "never came")
+        time.sleep(0.3)
+
+
+def test_a_full_buffer_is_written_before_its_time(spark, tmp_path):
+    def put(first, n):
+        items = [(str(i), click(i), ITEMS[0][2]) for i in range(first, first + n)]
+        record(spark, items).coalesce(1).write.mode("append").json(f"{tmp_path}/in")
+
+    def run(seconds):
+        stream = stream_records(spark, f"{tmp_path}/in")
+        return clickstream.deliver_buffered(
+            stream, f"{tmp_path}/hours", f"{tmp_path}/checkpoint", 200, seconds, "1 second", 1)
+
+    def there():
+        return len(values_below(spark, f"{tmp_path}/hours"))
+
+    put(0, 3)
+    query = run(3600)
+    try:
+        settled(query, lambda: sum(p.numInputRows for p in query.recentProgress) == 3)
+        assert there() == 0
+        # Lines of 51 or 52 bytes with their ends: four fill a buffer of 200, the others are held back.
+        put(3, 3)
+        settled(query, lambda: there() == 4)
+    finally:
+        query.stop()
+    # What is held back outlives a restart, and a big delivery leaves in buffers of bounded size.
+    put(6, 20)
+    query = run(3600)
+    try:
+        settled(query, lambda: there() == 24)
+    finally:
+        query.stop()
+    assert set(values_below(spark, f"{tmp_path}/hours")) <= {click(i) for i in range(26)}
+
+
+def test_lines_that_wait_long_enough_are_written(spark, tmp_path):
+    record(spark, ITEMS).write.json(f"{tmp_path}/in")
+    stream = stream_records(spark, f"{tmp_path}/in")
+    query = clickstream.deliver_buffered(stream, f"{tmp_path}/hours", f"{tmp_path}/checkpoint", 10**9, 2, "1 second", 2)
+    try:
+        settled(query, lambda: len(values_below(spark, f"{tmp_path}/hours")) == 3)
+        assert delivered(spark, tmp_path) == HOURS
+    finally:
+        query.stop()
+
+
 def test_failed_records_are_kept_apart(spark, tmp_path):
     bad = spark.createDataFrame([("9", "***", ITEMS[0][2])], "recordId string, data string, arrival_ts timestamp_ntz")
     record(spark, ITEMS[:1]).unionByName(bad).write.json(f"{tmp_path}/in")
