@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import uuid
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,60 +114,42 @@ def merged(runs: list[DataFrame]) -> DataFrame:
 
 
 def held_lines(docs: DataFrame) -> DataFrame:
-    """``(h1, h2, owner)`` once for each document and long line it holds."""
+    """``(h1, h2, owner, th, at)``: every long line of every document, by the hash of its text and its place there."""
     lines = docs.select(
-        F.col("doc_id").alias("owner"), F.explode(F.split(F.col("text"), "\n", -1)).alias("line")
-    ).select("owner", line_key(F.col("line")).alias("key")).where(_long(F.col("key")))
+        F.col("doc_id").alias("owner"), F.xxhash64("text").alias("th"),
+        F.posexplode(F.split(F.col("text"), "\n", -1)).alias("at", "line"),
+    ).select("owner", "th", "at", line_key(F.col("line")).alias("key")).where(_long(F.col("key")))
     h1, h2 = fingerprint(F.col("key"))
-    return lines.select(h1.alias("h1"), h2.alias("h2"), "owner").distinct()
+    return lines.select(h1.alias("h1"), h2.alias("h2"), "owner", "th", "at")
 
 
 def dropped_lines(spark: SparkSession, docs: DataFrame, batches: int = BATCHES) -> DataFrame:
-    """Per document the hashes of the lines it loses, as ``(owner, lost)``."""
+    """The places of the lines that a text loses, as ``(owner, th, lost)``."""
     batch = F.pmod(F.xxhash64("owner"), F.lit(batches))
     held = staged(spark, held_lines(docs), "held-lines")
     runs = LineRuns(spark)
     for number in range(batches):
-        runs.add(held.where(batch == number))
+        runs.add(held.where(batch == number).select("h1", "h2", "owner").distinct())
     common = runs.totals().where(F.col("n_docs") >= DOCUMENTS).select("h1", "h2", F.col("owner").alias("holder"))
     common = staged(spark, common, "common-lines")
     runs.drop()
     lost = held.join(common, ["h1", "h2"]).where(~F.col("owner").eqNullSafe(F.col("holder")))
-    return lost.groupBy("owner").agg(F.collect_list(F.struct("h1", "h2")).alias("lost"))
-
-
-def _staying(held: pa.Array, lost: pa.Array) -> pa.Array:
-    """The places of the lines whose hashes are not among the lost ones; null where nothing is lost."""
-    found = []
-    for lines, gone in zip(held, lost, strict=True):
-        if not gone.is_valid:
-            found.append(None)
-            continue
-        first, second = (lines.values.field(n).to_pylist() for n in ("h1", "h2"))
-        away = set(zip(*(gone.values.field(n).to_pylist() for n in ("h1", "h2")), strict=True))
-        found.append([at for at, line in enumerate(zip(first, second, strict=True)) if line not in away])
-    return pa.array(found, pa.list_(pa.int32()))
+    return lost.groupBy("owner", "th").agg(F.collect_list("at").alias("lost"))
 
 
 def without_lost(text: Column, lost: Column) -> Column:
-    """The lines of a text that are not lost, in their order; short lines have no hashes and always stay.
+    """The lines of a text whose places are not lost, in their order.
 
-    The lost lines of a document are a set, so the time is linear in its lines.
+    The lost places are taken away as a set, so the time is linear in the lines.
     """
+    # The struct holds the lines once: written into the inner lambda, the text would be split for every line.
+    lines = F.array(F.struct(F.split(text, "\n", -1).alias("lines"), lost.alias("lost")))
 
-    def hashes(line: Column) -> Column:
-        key = line_key(line)
-        long = _long(key)
-        h1, h2 = fingerprint(key)
-        return F.struct(F.when(long, h1).alias("h1"), F.when(long, h2).alias("h2"))
+    def staying(both: Column) -> Column:
+        places = F.array_except(F.sequence(F.lit(0), F.size(both["lines"]) - 1), both["lost"])
+        return F.transform(places, lambda at: F.get(both["lines"], at))
 
-    staying = F.arrow_udf(_staying, "array<int>").asNondeterministic()
-    lines = F.split(text, "\n", -1)
-    places = staying(F.when(lost.isNotNull(), F.transform(lines, hashes)), lost)
-    # The struct holds the lines once: written into the inner lambda, the text would be split for every line.
-    both = F.array(F.struct(lines.alias("lines"), places.alias("places")))
-    kept = F.transform(both, lambda b: F.transform(b["places"], lambda at: b["lines"][at]))
-    return F.when(lost.isNull(), lines).otherwise(kept[0])
+    return F.when(lost.isNull(), F.split(text, "\n", -1)).otherwise(F.transform(lines, staying)[0])
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, batches: int = BATCHES) -> DataFrame:
@@ -179,11 +160,12 @@ def deduplicated(spark: SparkSession, docs: DataFrame, batches: int = BATCHES) -
     them. Rows of one id are one document, rows without an id together are one
     too and lower than all others. Null texts hold no line.
     """
-    lost = dropped_lines(spark, docs, batches).withColumnRenamed("owner", "__owner").withColumnRenamed("lost", "__lost")
-    return docs.join(lost, docs["doc_id"].eqNullSafe(lost["__owner"]), "left").select(
+    lost = dropped_lines(spark, docs, batches)
+    mine = docs["doc_id"].eqNullSafe(lost["owner"]) & (F.xxhash64(docs["text"]) == lost["th"])
+    return docs.join(lost, mine, "left").select(
         *[docs[c] for c in docs.columns],
         F.size(F.split(F.coalesce(docs["text"], F.lit("")), "\n", -1)).cast("long").alias("__lines"),
-        without_lost(docs["text"], F.col("__lost")).alias("__kept"),
+        without_lost(docs["text"], lost["lost"]).alias("__kept"),
     )
 
 

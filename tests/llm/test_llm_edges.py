@@ -68,6 +68,8 @@ def test_runs_are_compacted_and_count_all_batches(spark):
     assert got == {k: (min(k, 4) + 1, min(k, 4)) for k in range(8)}
     fresh = [r.h1 for run in runs.runs() for r in run.where("fresh").collect()]
     assert sorted(fresh) == list(range(8))
+    runs.drop()
+    assert runs.runs() == []
 
 
 def test_similar(spark, docs, nothing):

@@ -199,6 +199,16 @@ def test_lost_lines_of_long_documents_in_linear_time(spark):
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("line_run_")]
 
 
+def test_one_id_of_several_texts_is_one_document(spark):
+    line = "this line is long enough to be lost"
+    docs = [(1, f"{line}\na"), (1, f"b\n{line}"), (1, f"{line}\na"), (None, f"c\n{line}\n{line}"), (None, line), (2, line)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.text) for r in line_runs.cleaned_documents(spark, rows).collect())
+    assert got == [(0, ""), (0, "c"), (1, "a"), (1, "a"), (1, "b"), (2, line)]
+    two = rows.where("doc_id is not null")
+    assert sorted(r.text for r in line_runs.cleaned_documents(spark, two).collect()) == sorted(t for d, t in docs if d)
+
+
 def test_a_repeated_id_teaches_the_rules_once(spark, monkeypatch):
     words = " ".join(f"w{i}" for i in range(80))
     docs = spark.createDataFrame([(i, f"{words} x{i}") for i in range(60)] + [(0, f"{words} y{i % 3}") for i in range(500)], "doc_id long, text string")
