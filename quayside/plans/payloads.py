@@ -9,7 +9,7 @@ from quayside import workspace
 from quayside.config import ENROLLMENT_TEXT_COLUMNS, endpoint_columns
 from quayside.operators.children import of_parents
 from quayside.operators.combine import cast_to_text, project, union_outer, union_strict
-from quayside.operators.flatten import array_widths, drop_nested, flatten, flatten_entries
+from quayside.operators.flatten import array_widths, drop_nested, flatten, flatten_entries, list_widths
 from quayside.plans.tables import EVENT_K, event_k, table
 from quayside.sources.payloads import items_of, read_array, read_items
 from quayside.sources.tables import crawl, crawl_changes
@@ -90,6 +90,16 @@ def api_array_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return array_widths(items.select("marks", F.col("who.tags").alias("tags")))
 
 
+def api_list_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lists of all depths in nested items, with their longest lengths."""
+    k = F.col("id") % 1000
+    items = _items(spark, sf_dir).select(
+        F.array(F.struct("marks", "who"), F.struct(F.slice("marks", 1, 1).alias("marks"), "who")).alias("both"),
+        F.when(k > 0, F.struct(F.array(F.col("who.tags")).alias("tags"))).alias("in"),
+    )
+    return list_widths(items)
+
+
 def api_lenient_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One single-quoted payload an order, as some endpoints answer, opened into its items."""
 
@@ -167,6 +177,7 @@ QUERIES = {
     "api_items_entries": api_items_entries,
     "api_first_page": api_first_page,
     "api_array_widths": api_array_widths,
+    "api_list_widths": api_list_widths,
     "api_lenient_items": api_lenient_items,
     "api_parent_child": api_parent_child,
     "user_child_union_strict": user_child_union_strict,
@@ -209,6 +220,16 @@ SELECT count(*) AS items, count(DISTINCT id) AS ids FROM page""",
 WITH {_ITEMS}
 SELECT 'marks' AS column_name, coalesce(max(k % 3), 0) AS width FROM items
 UNION ALL SELECT 'tags', coalesce(max(k % 4), 0) FROM items""",
+    "api_list_widths": f"""
+WITH {_ITEMS}, lists AS (
+  SELECT 'both' AS path, 2 AS width FROM items
+  UNION ALL SELECT 'both_0_marks', k % 3 FROM items
+  UNION ALL SELECT 'both_1_marks', least(k % 3, 1) FROM items
+  UNION ALL SELECT 'both_0_who_tags', k % 4 FROM items
+  UNION ALL SELECT 'both_1_who_tags', k % 4 FROM items
+  UNION ALL SELECT 'in_tags', 1 FROM items WHERE id % 1000 > 0
+  UNION ALL SELECT 'in_tags_0', k % 4 FROM items WHERE id % 1000 > 0)
+SELECT path, CAST(max(width) AS INTEGER) AS width FROM lists WHERE width > 0 GROUP BY path""",
     "api_parent_child": """
 SELECT l_orderkey, l_linenumber, l_quantity,
        CASE WHEN l_returnflag IS DISTINCT FROM 'R' THEN l_discount END AS l_discount,

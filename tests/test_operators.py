@@ -175,9 +175,47 @@ def test_flatten_merges_colliding_paths(spark):
 
 
 def test_flatten_refuses_too_many_columns(spark):
-    df = spark.createDataFrame([(list(range(30)),)], "a array<int>")
-    wide = flatten.flatten(df, max_columns=20)
-    assert len(wide.columns) <= 20 and any(kind.startswith("map") for _, kind in wide.dtypes)
+    df = spark.createDataFrame([(list(range(30)), 1)], "a array<int>, b int")
+    with pytest.raises(ValueError, match=r"a \(30\)"):
+        flatten.flatten(df, max_columns=20)
+    # The type follows what is asked for, whatever the data hold.
+    for rows_ in (df, df.limit(0), spark.createDataFrame([([], 1), (None, 2)], df.schema)):
+        assert flatten.flatten(rows_, max_columns=20, maps=["a"]).dtypes == [("a", "map<string,string>"), ("b", "int")]
+    assert flatten.flatten(df, maps=["a"]).first().a["29"] == "29"
+
+
+DEEP = "k int, a array<struct<b: array<array<int>>, c: string, e: array<int>>>, `a_0` array<int>, m map<string,int>"
+DEEP_ROWS = [
+    (1, [([[1, 2], []], "x", []), (None, "y", [])], [7], {"q": 1}),
+    (2, [([[], None, [3, None, 5]], None, None)], None, None),
+    (3, None, [], None), (4, [None], [None, 9], None),
+]
+
+
+def test_flatten_reads_all_depths_at_once(spark, monkeypatch):
+    df = spark.createDataFrame(DEEP_ROWS, DEEP)
+    taken = []
+    longest = flatten._longest
+    monkeypatch.setattr(flatten, "_longest", lambda rows_: taken.append(1) or longest(rows_))
+    flat = flatten.flatten(df)
+    assert taken == [1]
+    assert flat.columns == [
+        "k", "a_0_b_0_0", "a_0_b_0_1", "a_0_b_2_0", "a_0_b_2_1", "a_0_b_2_2", "a_0_c", "a_1_c", "a_0_0", "a_0_1", "m",
+    ]
+    got = {r.k: r.asDict() for r in flat.collect()}
+    assert (got[1]["a_0_b_0_1"], got[1]["a_1_c"], got[1]["a_0_0"], got[1]["m"]) == (2, "y", 7, {"q": 1})
+    assert (got[2]["a_0_b_2_0"], got[2]["a_0_b_2_1"], got[2]["a_0_b_2_2"], got[4]["a_0_1"]) == (3, None, 5, 9)
+    inner = flatten.flatten(df, maps=["a_b"])
+    assert [c for c in inner.columns if c.startswith("a_0_b")] == ["a_0_b"]
+    assert {r.k: r["a_0_b"] for r in inner.collect()}[2] == {"2_0": "3", "2_2": "5"}
+
+
+def test_list_widths_of_all_depths(spark):
+    df = spark.createDataFrame(DEEP_ROWS, DEEP)
+    got = sorted((r.path, r.width) for r in flatten.list_widths(df).collect())
+    assert got == [("a", 2), ("a_0", 2), ("a_0_b", 3), ("a_0_b_0", 2), ("a_0_b_2", 3)]
+    assert rows(flatten.list_widths(df.limit(0))) == []
+    assert rows(flatten.list_widths(df.select("k", "m"))) == []
 
 
 def test_array_widths(spark):
