@@ -90,7 +90,8 @@ def mixed(docs: DataFrame, weight: Column | None = None, seed: str = SEED) -> Da
     first, so nothing is taken more than ``MOST`` times.
     """
     text = F.col("text")
-    identity = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    # Rows without an id are told apart by their texts, so that they do not share one key.
+    identity = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.coalesce(F.md5(text.cast("binary")), F.lit(""))))
     rows = staged(docs.sparkSession, docs.select(
         F.col("doc_id").alias("doc_id"),
         F.col("source").alias("source"),
