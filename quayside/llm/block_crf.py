@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm.page_blocks import Block, blocks
+from quayside.llm.common import hash_bound
+from quayside.llm.page_blocks import Block, Place, blocks
 
 #: Pages of the table that are looked at for training, and the longest of them in characters.
 SAMPLE = 200
@@ -49,22 +50,25 @@ _ROLE_TAGS = {"nav": "menu", "footer": "bottom", "aside": "side", "form": "form"
 _SURROUNDINGS: dict[tuple, list[str]] = {}
 
 
-def surroundings(tags: tuple[str, ...], names: frozenset[str]) -> list[str]:
+def surroundings(place: Place) -> list[str]:
     """Features of a place in the page: its ancestors and their roles."""
-    if (tags, names) not in _SURROUNDINGS:
+    key = place.tag, place.inside, place.named
+    if key not in _SURROUNDINGS:
         if len(_SURROUNDINGS) > 10_000:
             _SURROUNDINGS.clear()
-        _SURROUNDINGS[tags, names] = _surroundings(tags, names)
-    return _SURROUNDINGS[tags, names]
+        _SURROUNDINGS[key] = _surroundings(place)
+    return _SURROUNDINGS[key]
 
 
-def _surroundings(path: tuple[str, ...], names: frozenset[str]) -> list[str]:
-    tags = set(path)
-    roles = {_ROLE_OF[name] for name in names if name in _ROLE_OF}
+def _surroundings(place: Place) -> list[str]:
+    tags = place.inside
+    roles = {_ROLE_OF[name] for name in place.named if name in _ROLE_OF}
     roles |= {_ROLE_TAGS[tag] for tag in tags if tag in _ROLE_TAGS}
-    found = ["bias", f"tag={path[-1] if path else ''}"]
-    found += [f"in={tag}" for tag in tags if tag not in ("html", "body")]
-    found += [f"role={role}" for role in roles]
+    found = ["bias", f"tag={place.tag}"]
+    found += [f"in={tag}" for tag in sorted(tags) if tag not in ("html", "body")]
+    found += [f"role={role}" for role in sorted(roles)]
+    # The words of classes, ids and roles themselves: a page tells the model names that no list holds.
+    found += [f"named={name}" for name in sorted(place.named)]
     apart = roles - {"main"}
     if "article" in tags or "main" in tags or "main" in roles:
         found.append("marked-and-apart" if apart else "marked")
@@ -81,7 +85,7 @@ def features(block: Block, at: int, n: int) -> list[str]:
     words = text.count(" ") + 1
     share = block.link_chars / len(text)
     found = [
-        *surroundings(block.tags, block.names),
+        *surroundings(block.place),
         f"words={min(words.bit_length(), 6)}",
         "linked=" + ("none" if not share else "some" if share < 0.5 else "most"),
         "ends=" + ("stop" if text[-1] in ".!?…。\"')" else "open"),
@@ -287,7 +291,7 @@ def _labelled(html: str, main: str) -> tuple[list[list[str]], list[bool]]:
 def _self_labelled(html: str) -> tuple[list[list[str]], list[bool]] | None:
     """Labels of a page that names its article; none if it doesn't."""
     found = blocks(html)
-    inside = [bool({"article", "main"} & set(b.tags)) for b in found]
+    inside = [bool({"article", "main"} & b.place.inside) for b in found]
     if not any(inside):
         return None
     page = [features(b, at, len(found)) for at, b in enumerate(found)]
@@ -301,8 +305,7 @@ def learned(pages: DataFrame, sample: int = SAMPLE) -> Model:
     empty pages teach nothing; copies of a page are one.
     """
     known = pages.select(F.col("html").alias("html")).where(F.char_length("html").between(1, LONGEST))
-    share = min(1.0, sample / max(known.count(), 1))
-    chosen = known.where(F.pmod(F.xxhash64("html"), F.lit(1_000_000)) < int(share * 1_000_000))
+    chosen = known.where(F.xxhash64("html") <= F.lit(hash_bound(sample, known.count())))
     taught = [_labelled(html, main) for html, main in laid_out_pages()]
     own = sorted({row["html"] for row in chosen.distinct().limit(4 * sample).collect()})
     taught += [x for x in map(_self_labelled, own) if x]

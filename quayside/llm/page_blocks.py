@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 from html import unescape
 
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption "
     "figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup "
-    "option p pre search section select summary table tbody td tfoot th thead title tr ul".split()
+    "option p pre search section summary table tbody td tfoot th thead title tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose content is never shown as text.
-HIDDEN_TAGS = frozenset("script style template noscript svg math iframe object canvas textarea select".split())
-#: Those whose content is no markup.
+#: Elements whose content is no markup and no text of the page; left open, they hide the rest, as in a browser.
 RAW_TAGS = frozenset("script style iframe textarea".split())
+#: Elements whose text is not shown, or not as text; they end with their parent at the latest.
+UNSEEN_TAGS = frozenset("select svg template".split())
 #: A start tag of the key closes an open element of these names.
 CLOSES = {
     "li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -40,11 +41,31 @@ def _targets(attributes: list[tuple[str, str]]) -> list[str]:
     return [unescape(value) for name, value in attributes if name in ("href", "xlink:href") and value][:1]
 
 
+class Place:
+    """An open element and those around it; blocks of one place share it, so reading is linear in the page.
+
+    ``inside`` and ``named`` are the tags, and the words of classes, ids and roles, from here to the root;
+    an element that adds none has the set of its parent.
+    """
+
+    __slots__ = ("tag", "inside", "named", "unseen")
+
+    def __init__(self, tag: str, inside: frozenset[str], named: frozenset[str], unseen: bool) -> None:
+        self.tag, self.inside, self.named, self.unseen = tag, inside, named, unseen
+
+    def within(self, tag: str, words: frozenset[str]) -> Place:
+        inside = self.inside if tag in self.inside else self.inside | {tag}
+        named = self.named if words <= self.named else self.named | words
+        return Place(tag, inside, named, self.unseen or tag in UNSEEN_TAGS)
+
+
+ROOT = Place("", frozenset(), frozenset(), False)
+
+
 @dataclass
 class Block:
     text: str
-    tags: tuple[str, ...]
-    names: frozenset[str]
+    place: Place
     link_chars: int = 0
 
 
@@ -52,40 +73,47 @@ class _Reader:
     """The elements that are open, and the block that is being read."""
 
     def __init__(self) -> None:
-        self.tags: list[str] = []
-        self.names: list[frozenset[str]] = []
+        self.open: list[Place] = []
+        #: Where the open elements of a tag are, innermost last.
+        self.at: dict[str, list[int]] = {}
         self.parts: list[str] = []
         self.linked = 0
         self.links: list[str] = []
         self.blocks: list[Block] = []
 
+    @property
+    def here(self) -> Place:
+        return self.open[-1] if self.open else ROOT
+
     def flush(self) -> None:
         """End the block at hand with the elements that are open now."""
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                names = frozenset().union(*self.names)
-                self.blocks.append(Block(text, tuple(self.tags), names, self.linked))
+                self.blocks.append(Block(text, self.here, self.linked))
             self.parts, self.linked = [], 0
 
     def drop_to(self, at: int) -> None:
         """Close the elements from a place on."""
-        if not BLOCK_TAGS.isdisjoint(self.tags[at:]):
+        if any(place.tag in BLOCK_TAGS and not place.unseen for place in self.open[at:]):
             self.flush()
-        del self.tags[at:], self.names[at:]
+        while len(self.open) > at:
+            self.at[self.open.pop().tag].pop()
+
+    def innermost(self, tags: Iterable[str]) -> int:
+        """Where the innermost open element of one of the tags is; -1 if none is open."""
+        return max((self.at[tag][-1] for tag in tags if self.at.get(tag)), default=-1)
 
     def close(self, closed: tuple[str, ...]) -> None:
-        for at in range(len(self.tags) - 1, -1, -1):
-            if self.tags[at] in closed:
-                self.drop_to(at)
-                return
-            if self.tags[at] in SCOPES:
-                return
+        at = self.innermost(closed)
+        if at >= 0 and at >= self.innermost(SCOPES):
+            self.drop_to(at)
 
     def start(self, tag: str, attributes: str) -> None:
-        if tag in BLOCK_TAGS:
-            if "p" in self.tags:
-                self.close(("p",))
+        if self.here.unseen:
+            pass
+        elif tag in BLOCK_TAGS:
+            self.close(("p",))
             if tag in CLOSES:
                 self.close(CLOSES[tag])
             self.flush()
@@ -101,38 +129,24 @@ class _Reader:
                 names = frozenset(_PART.findall(named.lower()))
             if tag == "a":
                 self.links += _targets(found)
-        self.tags.append(tag)
-        self.names.append(names)
+        self.at.setdefault(tag, []).append(len(self.open))
+        self.open.append(self.here.within(tag, names))
 
     def end(self, tag: str) -> None:
-        for at in range(len(self.tags) - 1, -1, -1):
-            if self.tags[at] == tag:
-                self.drop_to(at)
-                return
+        at = self.innermost((tag,))
+        if at >= 0:
+            self.drop_to(at)
 
     def text(self, data: str) -> None:
+        if self.here.unseen:
+            return
         if "&" in data:
             data = unescape(data)
         self.parts.append(data)
-        if "a" in self.tags:
+        if self.at.get("a"):
             self.linked += len(data)
 
 
-def _hidden_targets(html: str, at: int, end: int) -> list[str]:
-    """The targets of the anchors between two places, comments left out."""
-    found = []
-    while 0 <= (at := html.find("<", at, end)):
-        if html.startswith("<!--", at):
-            close = html.find("-->", at + 2, end)
-            at = close + 3 if close >= 0 else end
-            continue
-        tag = _TAG.match(html, at, end)
-        if tag and not tag[1] and tag[2] and tag[2].lower() == "a":
-            found += _targets(_attributes(tag[3]))
-        at = tag.end() if tag else at + 1
-    return found
-
-
 def blocks(html: str | None) -> list[Block]:
     """The blocks of a page, as ``read_page`` finds them."""
     return read_page(html)[0]
@@ -141,9 +155,10 @@ def blocks(html: str | None) -> list[Block]:
 def read_page(html: str | None) -> tuple[list[Block], list[str]]:
     """The blocks of a page in order, and the targets of all its anchors, with text or without.
 
-    A null, an empty or a textless page has no blocks. Anchors count inside
-    elements that hide their text too, where these hold markup. Character references are decoded, white space is one space, and elements
-    that the page leaves open end with their parent or with the page. A tag or
+    A null, an empty or a textless page has no blocks. What ``noscript``, ``canvas``,
+    ``object`` and ``math`` hold is text like any other; whether it is main text is for
+    the caller to say. Anchors count where their text is unseen too. Character references are decoded, white space is one space, and
+    elements that the page leaves open end with their parent or with the page. A tag or
     comment that never ends hides the rest of the page, as it does in a browser.
     """
     html, reader, at = html or "", _Reader(), 0
@@ -172,13 +187,10 @@ def read_page(html: str | None) -> tuple[list[Block], list[str]]:
         tag = found[2].lower()
         if found[1]:
             reader.end(tag)
-        elif tag in HIDDEN_TAGS:
-            if not found[3].endswith("/") or tag in ("script", "style", "textarea"):
-                close = re.compile(f"</{tag}[^>]*>", re.IGNORECASE).search(html, at)
-                if tag not in RAW_TAGS:
-                    reader.links += _hidden_targets(html, at, close.start() if close else len(html))
-                at = close.end() if close else len(html)
-        else:
+        elif tag in RAW_TAGS:
+            close = re.compile(f"</{tag}[^>]*>", re.IGNORECASE).search(html, at)
+            at = close.end() if close else len(html)
+        elif not (found[3].endswith("/") and tag in UNSEEN_TAGS):
             reader.start(tag, found[3])
     reader.flush()
     return reader.blocks, reader.links

@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.llm.common import hash_bound
+
 COUNTS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
     "n_lines", "n_distinct", "n_top", "n_upper", "n_marks",
@@ -225,11 +227,6 @@ def labelled_sample(labels: DataFrame, label: str, most: int = LABELLED) -> Data
     return found.where(F.xxhash64("doc_id") <= F.lit(hash_bound(most, total)))
 
 
-def hash_bound(most: int, total: int) -> int:
-    """The largest 64-bit hash of a sample of about ``most`` of ``total`` rows, whatever their number."""
-    return min((most << 64) // max(total, 1), (1 << 64) - 1) - (1 << 63)
-
-
 def learn_from(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> list[Rule]:
     """Rules learned from the labelled documents; what is collected is bounded by ``most`` rows.
 

@@ -282,7 +282,7 @@ def derivatives(fields: Fields, block: bytes) -> list[dict]:
     told = [("status", status)] + [(f"http-{name}", value) for name, value in http]
     told += [(name, value) for name, value in fields if name != "content-length"]
     facts = "".join(f"{name}: {value}\r\n" for name, value in [*told, *(("outlink", f"{x} L a/@href") for x in links)])
-    text = "\n".join(b.text for b in found if "title" not in b.tags)
+    text = "\n".join(b.text for b in found if "title" not in b.place.inside)
     out = []
     for kind, content_type, data in (
         ("metadata", "application/warc-fields", facts.encode()), ("conversion", "text/plain; charset=utf-8", text.encode("utf-8", "replace")),
