@@ -1,13 +1,17 @@
 """A log-bilinear language model, trained in numpy with noise-contrastive estimation.
 
-Words are counted over all training texts. The commonest words are the model's
-classes; all others share one class, inside which a word has the probability of
-its count. The model predicts a class from the two words before it: their
-vectors, weighted position by position, are added up and multiplied with every
-class vector. Partitions train on their own texts from common parameters, and
-the parameters are averaged by words seen, round after round; each training
-text is used once. For scoring, the contexts of a batch are made distinct and
-normalised by one matrix product, so probabilities are exact.
+Words are counted over all training texts. So many of the commonest have vectors
+of their own, a number that grows with the distinct words; all others share one,
+and have the probability of their count inside it. Words with vectors are put into
+classes by their rank, and the model predicts the class and then the word in its
+class from the two words before it: their vectors, weighted position by position,
+are added up and multiplied with those of the classes and those of the words in
+the class. Both steps are trained against noise, drawn from the classes and from
+the words of the class. Partitions train on their own texts from common
+parameters; the parameters are averaged, each row by how often it was met, round
+after round, and each training text is used once. For scoring, the contexts of a
+batch are made distinct and both steps are normalised by matrix products, so
+probabilities are exact and cost about two square roots of the words each.
 """
 
 from __future__ import annotations
@@ -23,14 +27,15 @@ from pyspark.sql import types as T
 
 from quayside.llm.common import BLANKS, lower_ascii, staged
 
-#: Words with a class of their own, and words whose counts every task holds; both bound what is broadcast.
-CLASSES = 1024
+#: Words whose counts every task holds, which bounds what is broadcast; of these the commonest have vectors.
 HEAD = 262_144
+LEAST_VECTORS, GROWTH = 1024, 0.75
 DIMENSIONS = 16
-NOISE = 48
-BATCH = 4096
+#: Noise classes of a batch, and noise words of a token.
+NOISE, NOISE_WORDS = 48, 8
+BATCH = 512
 ROUNDS = 2
-RATE = 0.2
+RATE = 0.3
 FOLDS, HELD_OUT = 7, 2
 
 
@@ -61,10 +66,15 @@ def _head(counts: DataFrame, most: int) -> list[tuple[str, int]]:
     return sorted(found, key=lambda x: (-x[1], x[0]))
 
 
+def vector_words(distinct: int) -> int:
+    """Words with vectors of their own: a power of the distinct words, and ``HEAD`` at the most."""
+    return min(HEAD, max(LEAST_VECTORS, int(distinct**GROWTH)))
+
+
 class Vocabulary:
     """Counts of the training texts: totals, and the commonest words by falling count."""
 
-    def __init__(self, counts: DataFrame, n_texts: int, classes: int = CLASSES, head: int = HEAD):
+    def __init__(self, counts: DataFrame, n_texts: int, vectors: int | None = None, head: int = HEAD):
         totals = counts.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()
         common = _head(counts, head)
         self.words = [word.encode("utf-8", "surrogatepass") for word, _ in common]
@@ -72,13 +82,13 @@ class Vocabulary:
         self.n_texts = n_texts
         self.tokens = totals["n"] + n_texts
         self.distinct = totals["v"] + (1 if n_texts else 0)
-        self.classes = min(classes, len(common))
-        top = int(self.counts[: self.classes].sum())
-        self.rest_tokens, self.rest_distinct = totals["n"] - top, totals["v"] - self.classes
+        self.vectors = min(vector_words(totals["v"]) if vectors is None else vectors, len(common))
+        top = int(self.counts[: self.vectors].sum())
+        self.rest_tokens, self.rest_distinct = totals["n"] - top, totals["v"] - self.vectors
 
-    def class_shares(self) -> np.ndarray:
-        """Smoothed shares of the classes: the common words, all other words, the end."""
-        found = np.concatenate([self.counts[: self.classes], [self.rest_tokens, self.n_texts]]) + 1.0
+    def unit_shares(self) -> np.ndarray:
+        """Smoothed shares of the units: all other words, the end, and the words with vectors by falling count."""
+        found = np.concatenate([[self.rest_tokens, self.n_texts], self.counts[: self.vectors]]) + 1.0
         return found / found.sum()
 
 
@@ -86,16 +96,18 @@ def _token_ids(words: list[bytes], index: dict[bytes, int]) -> np.ndarray:
     return np.fromiter((index.get(w, -1) for w in words), dtype=np.int32, count=len(words))
 
 
-def _class_ids(ids: np.ndarray, classes: int) -> np.ndarray:
-    return np.where((ids >= 0) & (ids < classes), ids, classes).astype(np.int32)
+#: The unit of all words without a vector and that of the end; word ``i`` is unit ``i + FIRST``.
+REST, END, FIRST = 0, 1, 2
+
+
+def _units(ids: np.ndarray, vectors: int) -> np.ndarray:
+    return np.where((ids >= 0) & (ids < vectors), ids + FIRST, REST).astype(np.int32)
 
 
-def _contexts(targets: list[np.ndarray], classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Targets of all texts with their end, and the two classes before each; a text begins with two starts."""
-    start = classes + 2
-    whole = np.concatenate([np.concatenate([[start, start], t, [classes + 1]]) for t in targets]).astype(np.int32)
+def _contexts(targets: list[np.ndarray], start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Targets of all texts with their end, and the two units before each; a text begins with two starts."""
+    whole = np.concatenate([np.concatenate([[start, start], t, [END]]) for t in targets]).astype(np.int32)
     inside = whole != start
-    inside[:2] = False
     at = np.flatnonzero(inside)
     return whole[at], whole[at - 1], whole[at - 2]
 
@@ -103,124 +115,176 @@ def _contexts(targets: list[np.ndarray], classes: int) -> tuple[np.ndarray, np.n
 Parameters = dict[str, np.ndarray]
 
 
-def first_parameters(vocabulary: Vocabulary) -> Parameters:
+def class_width(units: int) -> int:
+    """Units of a class, as many as there are classes."""
+    return max(1, int(np.ceil(np.sqrt(units))))
+
+
+def first_parameters(shares: np.ndarray, dimensions: int = DIMENSIONS) -> Parameters:
+    """Vectors of context units (the last is the start), target units and classes; the last number of the latter is a bias."""
     random = np.random.default_rng(7)
-    n = vocabulary.classes + 2
+    units, width = len(shares), class_width(len(shares))
+    of_classes = np.add.reduceat(shares, np.arange(0, units, width))
+
+    def rows(n: int) -> np.ndarray:
+        return random.normal(0, 0.1, (n, dimensions)).astype(np.float32)
+
     return {
-        "context": random.normal(0, 0.1, (n + 1, DIMENSIONS)).astype(np.float32),
-        "target": random.normal(0, 0.1, (n, DIMENSIONS)).astype(np.float32),
-        "place": np.ones((2, DIMENSIONS), dtype=np.float32),
-        "bias": np.log(vocabulary.class_shares()).astype(np.float32),
+        "context": rows(units + 1),
+        "target": np.column_stack([rows(units), np.log(shares / of_classes[np.arange(units) // width])]).astype(np.float32),
+        "class": np.column_stack([rows(len(of_classes)), np.log(of_classes)]).astype(np.float32),
+        "place": np.ones((2, dimensions), dtype=np.float32),
     }
 
 
-def _add_rows(into: np.ndarray, rows: np.ndarray, at: np.ndarray) -> None:
-    """Add every row to the row of ``into`` that its index names."""
-    order = np.argsort(at.astype(np.uint16) if len(into) < 1 << 16 else at, kind="stable")
+def _summed(rows: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places that are named, the sum of the rows of each, and their number."""
+    order = np.argsort(at, kind="stable")
     ranked = at[order]
     starts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-    into[ranked[starts]] += np.add.reduceat(rows[order], starts, axis=0)
+    return ranked[starts], np.add.reduceat(rows[order], starts, axis=0), np.diff(np.append(starts, len(at)))
+
+
+def _with_one(rows: np.ndarray) -> np.ndarray:
+    return np.column_stack([rows, np.ones(len(rows), dtype=np.float32)])
 
 
 class Trainer:
-    """Noise-contrastive steps on batches; every batch shares its noise words."""
+    """Noise-contrastive steps on batches, which change the rows they meet and no others."""
 
-    def __init__(self, parameters: Parameters, noise: np.ndarray, seed: int):
+    def __init__(self, parameters: Parameters, shares: np.ndarray, seed: int):
         self.p = {name: value.copy() for name, value in parameters.items()}
         self.squares = {name: np.full(value.shape, 0.1, dtype=np.float32) for name, value in parameters.items()}
-        self.log_noise = np.log(noise).astype(np.float32)
-        self.upto = np.cumsum(noise)
+        self.met = {name: np.zeros(len(value), dtype=np.float32) for name, value in parameters.items()}
+        self.width = class_width(len(shares))
+        self.upto = np.concatenate([[0.0], np.cumsum(shares)])
+        self.bounds = self.upto[np.minimum(np.arange(len(parameters["class"]) + 1) * self.width, len(shares))]
+        of_classes = np.diff(self.bounds)
+        self.log_class = np.log(of_classes).astype(np.float32)
+        self.log_word = np.log(shares / of_classes[np.arange(len(shares)) // self.width]).astype(np.float32)
         self.random = np.random.default_rng(seed)
         self.seen = 0
 
+    def _drawn(self, classes: np.ndarray) -> np.ndarray:
+        """Noise words for every token, out of the class of its target."""
+        low, high = self.bounds[classes][:, None], self.bounds[classes + 1][:, None]
+        found = np.searchsorted(self.upto, low + (high - low) * self.random.random((len(classes), NOISE_WORDS)), side="right") - 1
+        first = classes[:, None] * self.width
+        return np.clip(found, first, np.minimum(first + self.width, len(self.upto) - 1) - 1)
+
     def step(self, target: np.ndarray, last: np.ndarray, before: np.ndarray) -> None:
         p, n = self.p, len(target)
         self.seen += n
         one, two = p["context"][last], p["context"][before]
-        predicted = one * p["place"][0] + two * p["place"][1]
-        noise = np.minimum(np.searchsorted(self.upto, self.random.random(NOISE)), len(self.upto) - 1)
-        offset = p["bias"] - self.log_noise - np.float32(np.log(NOISE))
-        true_vectors, noise_vectors = p["target"][target], p["target"][noise]
-        # What pushes the true word up and the noise words down.
-        up = 1 / (1 + np.exp(np.einsum("ij,ij->i", predicted, true_vectors) + offset[target]))
-        down = predicted @ noise_vectors.T
-        down += offset[noise]
-        np.exp(-down, out=down)
-        down += 1
-        np.divide(-1, down, out=down)
-        to_predicted = up[:, None] * true_vectors
-        to_predicted += down @ noise_vectors
-        change = {name: np.zeros_like(value) for name, value in p.items()}
-        _add_rows(change["target"], up[:, None] * predicted, target)
-        np.add.at(change["target"], noise, down.T @ predicted)
-        change["bias"] += np.bincount(target, weights=up, minlength=len(change["bias"])).astype(np.float32)
-        np.add.at(change["bias"], noise, down.sum(axis=0))
-        _add_rows(change["context"], to_predicted * p["place"][0], last)
-        _add_rows(change["context"], to_predicted * p["place"][1], before)
-        change["place"][0] = np.einsum("ij,ij->j", to_predicted, one)
-        change["place"][1] = np.einsum("ij,ij->j", to_predicted, two)
-        for name, by in change.items():
-            by /= np.float32(np.sqrt(n))
-            self.squares[name] += by * by
-            p[name] += np.float32(RATE) * by / np.sqrt(self.squares[name])
-
-
-def _flat(parameters: Parameters) -> np.ndarray:
-    return np.concatenate([parameters[name].ravel() for name in sorted(parameters)])
-
-
-def _shaped(flat: np.ndarray, like: Parameters) -> Parameters:
-    found, at = {}, 0
-    for name in sorted(like):
-        found[name] = flat[at : at + like[name].size].reshape(like[name].shape).astype(np.float32)
-        at += like[name].size
-    return found
-
-
-def trained(spark: SparkSession, texts: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Parameters:
+        predicted = _with_one(one * p["place"][0] + two * p["place"][1])
+        # The class against noise classes that the batch shares.
+        kind = target // self.width
+        noise = np.minimum(np.searchsorted(self.bounds[1:], self.random.random(NOISE), side="right"), len(self.log_class) - 1)
+        offset = self.log_class + np.float32(np.log(NOISE))
+        true, false = p["class"][kind], p["class"][noise]
+        up = 1 / (1 + np.exp(np.einsum("ij,ij->i", predicted, true) - offset[kind]))
+        down = -1 / (1 + np.exp(offset[noise] - predicted @ false.T))
+        back = up[:, None] * true + down @ false
+        by_class = np.concatenate([up[:, None] * predicted, down.T @ predicted]), np.concatenate([kind, noise])
+        # The word against noise words of its class.
+        words = self._drawn(kind)
+        offset = self.log_word + np.float32(np.log(NOISE_WORDS))
+        true, false = p["target"][target], p["target"][words]
+        up = 1 / (1 + np.exp(np.einsum("ij,ij->i", predicted, true) - offset[target]))
+        down = -1 / (1 + np.exp(offset[words] - np.einsum("ij,ikj->ik", predicted, false)))
+        back += up[:, None] * true + np.einsum("ik,ikj->ij", down, false)
+        by_word = (
+            np.concatenate([up[:, None] * predicted, (down[:, :, None] * predicted[:, None, :]).reshape(-1, predicted.shape[1])]),
+            np.concatenate([target, words.ravel()]),
+        )
+        back = back[:, :-1]
+        by_context = np.concatenate([back * p["place"][0], back * p["place"][1]]), np.concatenate([last, before])
+        by_place = np.stack([np.einsum("ij,ij->j", back, one), np.einsum("ij,ij->j", back, two)]), np.arange(2)
+        for name, (rows, at) in {"class": by_class, "target": by_word, "context": by_context, "place": by_place}.items():
+            at, change, times = _summed(rows, at)
+            change /= np.float32(np.sqrt(n))
+            self.squares[name][at] += change * change
+            p[name][at] += np.float32(RATE) * change / np.sqrt(self.squares[name][at])
+            self.met[name][at] += times
+
+
+#: Rows of a table of parameters that travel together.
+ROWS = 256
+REACHED = "name string, block int, met array<float>, sums array<double>"
+
+
+def _blocks(trainer: Trainer) -> Iterator[pa.RecordBatch]:
+    """What a partition reached, every row times how often it was met; blocks it never met stay at home."""
+    for name, value in trainer.p.items():
+        for block, low in enumerate(range(0, len(value), ROWS)):
+            met = trainer.met[name][low : low + ROWS]
+            if met.any():
+                sums = (value[low : low + ROWS] * met[:, None].astype(np.float64)).ravel()
+                yield _block(name, block, met, sums)
+
+
+def _block(name: str, block: int, met: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array([name]), pa.array([block], pa.int32()), pa.array([met], pa.list_(pa.float32())), pa.array([sums], pa.list_(pa.float64()))]
+    return pa.RecordBatch.from_arrays(columns, names=["name", "block", "met", "sums"])
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of equal blocks; a task holds those it was dealt once, whatever their number of copies."""
+    held: dict[tuple[str, int], list[np.ndarray]] = {}
+    for batch in batches:
+        names, blocks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for i, key in enumerate(zip(names, blocks, strict=True)):
+            met, sums = (np.asarray(batch.column(j)[i].values) for j in (2, 3))
+            if key in held:
+                held[key][0] += met
+                held[key][1] += sums
+            else:
+                held[key] = [met.copy(), sums.copy()]
+    for (name, block), (met, sums) in held.items():
+        yield _block(name, block, met, sums)
+
+
+def trained(spark: SparkSession, texts: DataFrame, vocabulary: Vocabulary, index, rounds: int = ROUNDS) -> Parameters:
     """Average the parameters that each partition reaches on its own texts, ``rounds`` times.
 
     A round uses the texts of one hash class, so that all rounds together use
-    every text once. The sums are made by Spark; the driver sees one set of
-    parameters, whose size the classes bound.
+    every text once. The sums are made by Spark, block by block; the driver sees
+    one set of parameters, whose size ``HEAD`` bounds. ``index`` is a broadcast
+    pair that begins with the numbers of the words.
     """
-    parameters, noise = first_parameters(vocabulary), vocabulary.class_shares()
-    index = spark.sparkContext.broadcast({w: i for i, w in enumerate(vocabulary.words[: vocabulary.classes])})
-    classes = vocabulary.classes
+    shares, vectors = vocabulary.unit_shares(), vocabulary.vectors
+    parameters = first_parameters(shares)
 
     def learn(batches: Iterator[pa.RecordBatch], start) -> Iterator[pa.RecordBatch]:
-        trainer = Trainer(start.value, noise, 11)
+        trainer = Trainer(start.value, shares, 11)
         for batch in batches:
             targets, held = [], 0
             for text in [*batch.column(0).to_pylist(), None]:
                 if text is not None:
                     words = text.encode("utf-8", "surrogatepass").lower().split()
-                    targets.append(_class_ids(_token_ids(words, index.value), classes))
+                    targets.append(_units(_token_ids(words, index.value[0]), vectors))
                     held += len(words) + 1
-                if targets and (text is None or held > 64 * BATCH):
-                    target, last, before = _contexts(targets, classes)
+                if targets and (text is None or held > 512 * BATCH):
+                    target, last, before = _contexts(targets, len(shares))
                     for low in range(0, len(target), BATCH):
                         trainer.step(target[low : low + BATCH], last[low : low + BATCH], before[low : low + BATCH])
                     targets, held = [], 0
         if trainer.seen:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([trainer.seen], pa.int64()), pa.array([_flat(trainer.p)], pa.list_(pa.float32()))],
-                names=["seen", "flat"],
-            )
+            yield from _blocks(trainer)
 
     for number in range(rounds):
         start = spark.sparkContext.broadcast(parameters)
         part = texts.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == number).select(
             F.coalesce(F.col("text"), F.lit("")).alias("text")
         )
-        reached = part.mapInArrow(lambda batches, start=start: learn(batches, start), "seen long, flat array<float>")
-        summed = reached.select("seen", F.posexplode("flat").alias("at", "x")).groupBy("at").agg(
-            (F.sum(F.col("x") * F.col("seen")) / F.sum("seen")).alias("x")
-        ).toPandas()
-        if len(summed):
-            flat = _flat(parameters)
-            flat[summed["at"].to_numpy()] = summed["x"].to_numpy()
-            parameters = _shaped(flat, parameters)
+        reached = part.mapInArrow(lambda batches, start=start: learn(batches, start), REACHED)
+        together = reached.repartition("name", "block").mapInArrow(_added, REACHED)
+        parameters = {name: value.copy() for name, value in parameters.items()}
+        for row in together.toArrow().to_pylist():
+            met = np.array(row["met"], dtype=np.float64)
+            value = parameters[row["name"]][row["block"] * ROWS :][: len(met)]
+            sums = np.array(row["sums"]).reshape(value.shape)
+            value[met > 0] = sums[met > 0] / met[met > 0, None]
     return parameters
 
 
@@ -237,32 +301,45 @@ SCORED = T.StructType(
 )
 
 
+def _log_sums(scores: np.ndarray) -> np.ndarray:
+    top = scores.max(axis=1)
+    return top + np.log(np.exp(scores - top[:, None]).sum(axis=1))
+
+
 class Normaliser:
-    """Logarithms of class probabilities; the normaliser of a context is computed when first met."""
+    """Logarithms of unit probabilities; a context, and a context with a class, is normalised once a call."""
 
-    def __init__(self, parameters: Parameters, rows: int = 2048):
-        self.p, self.rows = parameters, rows
-        self.width = len(parameters["context"])
-        self.total = np.full(self.width * self.width, np.nan, dtype=np.float32)
+    def __init__(self, parameters: Parameters, numbers: int = 1 << 22):
+        self.p, self.numbers = parameters, numbers
+        self.width = class_width(len(parameters["target"]))
 
     def predicted(self, last: np.ndarray, before: np.ndarray) -> np.ndarray:
         p = self.p
-        return p["context"][last] * p["place"][0] + p["context"][before] * p["place"][1]
+        return _with_one(p["context"][last] * p["place"][0] + p["context"][before] * p["place"][1])
+
+    def _normalisers(self, predicted: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        step = max(1, self.numbers // len(rows))
+        parts = [_log_sums(predicted[low : low + step] @ rows.T) for low in range(0, len(predicted), step)]
+        return np.concatenate(parts)
 
     def log_probability(self, target: np.ndarray, last: np.ndarray, before: np.ndarray) -> np.ndarray:
-        p = self.p
-        at = last.astype(np.int64) * self.width + before
-        new = np.unique(at[np.isnan(self.total[at])])
-        for low in range(0, len(new), self.rows):
-            part = new[low : low + self.rows]
-            scores = self.predicted(part // self.width, part % self.width) @ p["target"].T + p["bias"]
-            top = scores.max(axis=1)
-            self.total[part] = top + np.log(np.exp(scores - top[:, None]).sum(axis=1))
-        raw = np.einsum("ij,ij->i", self.predicted(last, before), p["target"][target]) + p["bias"][target]
-        return (raw - self.total[at]).astype(np.float64)
-
-
-def _scorer(head, start, classes: int) -> Column:
+        p, units = self.p, len(self.p["context"])
+        contexts, context = np.unique(last.astype(np.int64) * units + before, return_inverse=True)
+        predicted = self.predicted(contexts // units, contexts % units)
+        kind = target // self.width
+        of_class = np.einsum("ij,ij->i", predicted[context], p["class"][kind]) - self._normalisers(predicted, p["class"])[context]
+        pairs, pair = np.unique(kind.astype(np.int64) * len(contexts) + context, return_inverse=True)
+        kinds = pairs // len(contexts)
+        total = np.empty(len(pairs), dtype=np.float32)
+        bounds = np.append(np.flatnonzero(np.append(True, kinds[1:] != kinds[:-1])), len(kinds))
+        for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+            first = int(kinds[low]) * self.width
+            total[low:high] = self._normalisers(predicted[pairs[low:high] % len(contexts)], p["target"][first : first + self.width])
+        of_word = np.einsum("ij,ij->i", predicted[context], p["target"][target]) - total[pair]
+        return of_class.astype(np.float64) + of_word
+
+
+def _scorer(head, start, vectors: int) -> Column:
     """Per text: its tokens, sums of logarithms over what every task knows, and its rare words."""
     held: dict[str, Normaliser] = {}
 
@@ -276,7 +353,7 @@ def _scorer(head, start, classes: int) -> Column:
         def settle() -> None:
             if not pending:
                 return
-            target, last, before = _contexts([t for t, _ in pending], classes)
+            target, last, before = _contexts([t for t, _ in pending], len(start.value["target"]))
             found = np.concatenate([[0.0], np.cumsum(held["model"].log_probability(target, last, before))])
             ends = np.cumsum([len(t) + 1 for t, _ in pending])
             columns[3].extend(np.diff(found[np.concatenate([[0], ends])]).tolist())
@@ -287,15 +364,15 @@ def _scorer(head, start, classes: int) -> Column:
             words = (text or "").encode("utf-8", "surrogatepass").lower().split()
             ids = _token_ids(words, index)
             known = ids[ids >= 0]
-            kinds = _class_ids(ids, classes)
+            units = _units(ids, vectors)
             tail = Counter(w for w, i in zip(words, ids.tolist(), strict=True) if i < 0)
             columns[0].append(len(words) + 1)
             columns[1].append(len(known))
             columns[2].append(float(logs[known].sum()))
-            columns[4].append(float(logs[known[known >= classes]].sum()))
-            columns[5].append(int((kinds == classes).sum()))
+            columns[4].append(float(logs[known[known >= vectors]].sum()))
+            columns[5].append(int((units == REST).sum()))
             columns[6].append([{"word": w.decode("utf-8", "surrogatepass"), "n": n} for w, n in tail.items()])
-            pending.append((kinds, len(words)))
+            pending.append((units, len(words)))
             size += len(words)
             if size > 500_000:
                 settle()
@@ -310,24 +387,24 @@ def _scorer(head, start, classes: int) -> Column:
     return F.arrow_udf(score, SCORED).asNondeterministic()
 
 
-def scored(spark: SparkSession, docs: DataFrame, classes: int = CLASSES, head: int = HEAD) -> DataFrame:
+def scored(spark: SparkSession, docs: DataFrame, vectors: int | None = None, head: int = HEAD) -> DataFrame:
     """One row per row of ``docs`` with the counts, ``base_score`` and ``score`` (log10 of the text's probability).
 
     Null texts are empty and hold one token, the end. Training texts are those
     whose fold is not ``HELD_OUT``. The probability of a word is that of its
-    class after the two words before it; words without a class share one and
-    have add-one probabilities inside it. Without a training text the score is
+    class after the two words before it times that of the word in its class; words
+    without a vector share one and have add-one probabilities inside it. Without a training text the score is
     the base score. Rows that repeat are scored alike and train once each.
     """
     rows = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
     texts = rows.where(fold(F.col("doc_id")) != HELD_OUT).select("text")
     counts = staged(spark, word_counts(texts), "word-counts")
-    vocabulary = Vocabulary(counts, texts.count(), classes, head)
-    parameters = trained(spark, texts, vocabulary)
+    vocabulary = Vocabulary(counts, texts.count(), vectors, head)
     index = {w: i for i, w in enumerate(vocabulary.words)}
     known = spark.sparkContext.broadcast((index, np.log10(vocabulary.counts + 1.0)))
+    parameters = trained(spark, texts, vocabulary, known)
     model = spark.sparkContext.broadcast(parameters)
-    score = _scorer(known, model, vocabulary.classes)
+    score = _scorer(known, model, vocabulary.vectors)
     first = staged(
         spark,
         rows.select("doc_id", F.xxhash64("text").alias("th"), score(F.col("text")).alias("s")).select("doc_id", "th", "s.*"),

@@ -189,18 +189,6 @@ def test_language_model(spark, docs, nothing):
     assert {(r.base_score, r.score, r.n_known) for r in log_bilinear.scored(spark, held).collect()} == {(0.0, 0.0, 0)}
 
 
-def test_classes_are_normalised():
-    import numpy as np
-
-    random = np.random.default_rng(1)
-    model = log_bilinear.Normaliser({
-        "context": random.normal(size=(6, 4)).astype("f4"), "target": random.normal(size=(5, 4)).astype("f4"),
-        "place": np.ones((2, 4), "f4"), "bias": random.normal(size=5).astype("f4")})
-    every = np.arange(5)
-    total = np.exp(model.log_probability(every, np.full(5, 2), np.full(5, 3))).sum()
-    assert abs(total - 1) < 1e-5
-
-
 def test_private_contexts_discover(spark, nothing):
     rows = [(i, f"please call me on +1 456 555 {1000 + i} now thanks") for i in range(12)]
     rows += [(50, "please call me on 0456/5559876 now thanks"), (51, "version 0456/5559876 of it"), (52, None), (50, "")]
