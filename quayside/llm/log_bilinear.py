@@ -32,8 +32,8 @@ HEAD = 262_144
 LEAST_VECTORS, GROWTH = 1024, 0.75
 DIMENSIONS = 16
 #: Noise classes of a batch, and noise words of a token.
-NOISE, NOISE_WORDS = 48, 8
-BATCH = 512
+NOISE, NOISE_WORDS = 48, 4
+BATCH = 1024
 ROUNDS = 2
 RATE = 0.3
 FOLDS, HELD_OUT = 7, 2
@@ -191,8 +191,8 @@ class Trainer:
         offset = self.log_word + np.float32(np.log(NOISE_WORDS))
         true, false = p["target"][target], p["target"][words]
         up = 1 / (1 + np.exp(np.einsum("ij,ij->i", predicted, true) - offset[target]))
-        down = -1 / (1 + np.exp(offset[words] - np.einsum("ij,ikj->ik", predicted, false)))
-        back += up[:, None] * true + np.einsum("ik,ikj->ij", down, false)
+        down = -1 / (1 + np.exp(offset[words] - (false @ predicted[:, :, None])[:, :, 0]))
+        back += up[:, None] * true + (down[:, None, :] @ false)[:, 0]
         by_word = (
             np.concatenate([up[:, None] * predicted, (down[:, :, None] * predicted[:, None, :]).reshape(-1, predicted.shape[1])]),
             np.concatenate([target, words.ravel()]),
@@ -264,7 +264,7 @@ def trained(spark: SparkSession, texts: DataFrame, vocabulary: Vocabulary, index
                     words = text.encode("utf-8", "surrogatepass").lower().split()
                     targets.append(_units(_token_ids(words, index.value[0]), vectors))
                     held += len(words) + 1
-                if targets and (text is None or held > 512 * BATCH):
+                if targets and (text is None or held > 256 * BATCH):
                     target, last, before = _contexts(targets, len(shares))
                     for low in range(0, len(target), BATCH):
                         trainer.step(target[low : low + BATCH], last[low : low + BATCH], before[low : low + BATCH])
@@ -302,14 +302,17 @@ SCORED = T.StructType(
 
 
 def _log_sums(scores: np.ndarray) -> np.ndarray:
+    """Logarithms of the rows' sums of exponentials; the scores are used up."""
     top = scores.max(axis=1)
-    return top + np.log(np.exp(scores - top[:, None]).sum(axis=1))
+    scores -= top[:, None]
+    np.exp(scores, out=scores)
+    return top + np.log(scores.sum(axis=1))
 
 
 class Normaliser:
     """Logarithms of unit probabilities; a context, and a context with a class, is normalised once a call."""
 
-    def __init__(self, parameters: Parameters, numbers: int = 1 << 22):
+    def __init__(self, parameters: Parameters, numbers: int = 1 << 17):
         self.p, self.numbers = parameters, numbers
         self.width = class_width(len(parameters["target"]))
 
