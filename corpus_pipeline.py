@@ -42,7 +42,7 @@ STAGES = [
     ("mixing sources", mix),
 ]
 
-#: The learned rules and the similarity join cannot be said in SQL; tests compare with brute force.
+#: The learned rules and the similarity join cannot be said in SQL; tests check the stages, not every row of run().
 ORACLE_SQL = None
 
 
