@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quayside import workspace
 from quayside.operators import retrieval
 from quayside.plans.tables import spread, table
+from quayside.sinks.documents import write_documents
 from quayside.sinks.runlog import require_samples
 from quayside.sources.landing import read_documents
 
@@ -51,8 +52,7 @@ def prompt_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 def doc_folder_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document landed as a text file of its own, gated on samples, then scanned below a prefix."""
     root = workspace.scratch(spark, "document-files")
-    texts = table(spark, sf_dir, "documents").select(F.coalesce("text", F.lit("")).alias("value"), "doc_id")
-    texts.write.partitionBy("doc_id").text(f"{root}/landed")
+    write_documents(table(spark, sf_dir, "documents"), f"{root}/landed")
     found = read_documents(spark, root, "landed")
     require_samples(found)
     number = F.regexp_extract("doc_id", "/doc_id=([0-9]+)/", 1).cast("bigint")

@@ -264,3 +264,27 @@ def test_report_escapes_cells_and_links(spark, tmp_path):
 def test_empty_report_is_a_header(spark):
     lines = lines_of(spark, []).orderBy("section").collect()
     assert [r.section for r in lines] == [0, 2] and "<th>Customer</th>" in lines[0].html
+
+
+@pytest.mark.parametrize("store", ["file", "other"])
+def test_documents_are_files_of_their_own(spark, tmp_path, monkeypatch, store):
+    """Tasks write them where they can, and Spark's writer elsewhere: the same files."""
+    from quayside.sinks import documents
+
+    started = []
+    if store == "other":
+        monkeypatch.setattr(documents.workspace, "qualified", lambda spark, path: f"other:{path}")
+    else:
+        monkeypatch.setattr(documents.DataFrame, "write", property(lambda self: started.append(self)))
+    texts = {7: "é😀 a\r\nb", 12: "", -3: None, None: "no key", 9: "x" * 70_000}
+    rows = spark.createDataFrame([*texts.items(), (7, "again")], "doc_id long, text string").coalesce(1)
+    documents.write_documents(rows, f"{tmp_path}/docs +1")
+    monkeypatch.undo()
+    assert not started
+    found = {p.parent.name: p.read_bytes() for p in (tmp_path / "docs +1").glob("*/part-*")}
+    want = {f"doc_id={k}": f"{v or ''}\n".encode() for k, v in texts.items() if k not in (None, 7)}
+    both = found.pop("doc_id=7")
+    assert both.decode() in ("é😀 a\r\nb\nagain\n", "again\né😀 a\r\nb\n")
+    assert found == {**want, "doc_id=__HIVE_DEFAULT_PARTITION__": b"no key\n"}
+    documents.write_documents(rows.where("doc_id > 99"), f"{tmp_path}/none")
+    assert spark.read.option("recursiveFileLookup", True).text(f"{tmp_path}/none").isEmpty()
