@@ -35,6 +35,8 @@ UNITS = 100_000_000
 SMALL_CHARS, FEW_PARTS, PART_CHARS = 1_000_000, 64, 64_000_000
 #: Segments of like size that are merged into one.
 FANOUT = 8
+#: Pairs of question and document whose scores a task adds up, which bounds its memory.
+PAIRS = 500_000
 
 
 def tokens(text: Column | str) -> Column:
@@ -289,7 +291,8 @@ def retrieve(
 
     The question terms are weighed by the stored counts and written; only folders that
     hold one of them are read. Their size is known then: while Spark may broadcast them, the postings of question terms move
-    once, to the task that owns their document, and scores are added up in place. A
+    once, to the task that owns their document, and scores are added up in place. How many tasks there are follows the
+    pairs of question and document that the counts allow, so that none holds more as the documents grow. A
     question's candidates are cut to ``k`` in every task before they meet
     (WindowGroupLimit). Beyond that size both sides meet by term, where adaptive
     execution splits a common term.
@@ -304,15 +307,19 @@ def retrieve(
     )
     rarity = F.log(1 + (F.lit(index.documents) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     path = workspace.scratch(spark, "asked-terms")
-    wanted.join(index.terms, "term").select("query_id", "term", rarity.alias("idf")).write.parquet(path)
+    wanted.join(index.terms, "term").select("query_id", "term", "df", rarity.alias("idf")).write.parquet(path)
     weights = spark.read.parquet(path)
+    told = weights.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("met"), F.countDistinct(F.struct("query_id")).alias("asked")).first()
+    pairs = min(told["met"], told["asked"] * index.documents)
+    tasks = max(-(-pairs // PAIRS), spark.sparkContext.defaultParallelism)
+    weights = weights.drop("df")
     parts = {
         n: [row.part for row in weights.select(_part(n).alias("part")).distinct().collect()]
         for n in {segment.parts for segment in index.segments}
     }
     held = _live_postings(spark, index, parts)
     asked = held.join(weights.select("term").distinct(), "term", "left_semi")
-    met = asked.repartition("doc_id").join(weights, "term")
+    met = asked.repartition(tasks, "doc_id").join(weights, "term")
     length = F.col("doc_len") / F.lit(max(index.average_length, 1e-9))
     saturation = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * length))
     contribution = F.floor(F.col("idf") * saturation * UNITS + 0.5)

@@ -531,3 +531,18 @@ def test_term_index_counts(spark):
     df = spark.createDataFrame([(1, "b a, B! a a"), (2, ""), (3, None), (4, "...")], "doc_id bigint, text string")
     assert rows(retrieval.term_index(df)) == [("a", 1, 3, 5), ("b", 1, 2, 5)]
     assert rows(retrieval.term_stats(retrieval.term_index(df))) == [("a", 1, 3), ("b", 1, 2)]
+
+
+def test_tasks_of_a_search_follow_its_pairs(spark, tmp_path, monkeypatch):
+    from quayside.operators import retrieval
+
+    documents = spark.createDataFrame([(n, f"common w{n % 9} rare{n}") for n in range(300)], "doc_id long, text string")
+    asked = spark.createDataFrame([(q, f"common w{q}") for q in range(9)], "query_id long, question string")
+    retrieval.write_index(documents, f"{tmp_path}/ix")
+    index = retrieval.open_index(spark, f"{tmp_path}/ix")
+    whole = sorted(retrieval.retrieve(index, asked, 4).collect())
+    monkeypatch.setattr(retrieval, "PAIRS", 100)
+    few = retrieval.retrieve(index, asked, 4)
+    # 2,700 pairs of question and document, at most 100 in a task; a number that adaptive execution leaves alone.
+    assert re.search(r"hashpartitioning\(doc_id#\d+L, 27\), REPARTITION_BY_NUM", few._jdf.queryExecution().executedPlan().toString())
+    assert sorted(few.collect()) == whole and len(whole) == 36
