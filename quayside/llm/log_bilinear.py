@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,8 @@ BATCH = 1024
 ROUNDS = 2
 RATE = 0.3
 FOLDS, HELD_OUT = 7, 2
+#: Trainers of a round for each core at the most: each sends all the rows it met, whatever the length of its texts.
+TASKS = 2
 
 
 def fold(doc_id: Column) -> Column:
@@ -93,7 +96,7 @@ class Vocabulary:
 
 
 def _token_ids(words: list[bytes], index: dict[bytes, int]) -> np.ndarray:
-    return np.fromiter((index.get(w, -1) for w in words), dtype=np.int32, count=len(words))
+    return np.fromiter(map(index.get, words, repeat(-1)), dtype=np.int32, count=len(words))
 
 
 #: The unit of all words without a vector and that of the end; word ``i`` is unit ``i + FIRST``.
@@ -137,12 +140,13 @@ def first_parameters(shares: np.ndarray, dimensions: int = DIMENSIONS) -> Parame
     }
 
 
-def _summed(rows: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The places that are named, the sum of the rows of each, and their number."""
-    order = np.argsort(at, kind="stable")
-    ranked = at[order]
+def _ranked(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places that are named, the order that brings equal ones together, and where each begins in it."""
+    bits = len(at).bit_length()
+    keys = np.sort((at.astype(np.int64) << bits) | np.arange(len(at)))
+    order, ranked = keys & ((1 << bits) - 1), keys >> bits
     starts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-    return ranked[starts], np.add.reduceat(rows[order], starts, axis=0), np.diff(np.append(starts, len(at)))
+    return ranked[starts], order, starts
 
 
 def _with_one(rows: np.ndarray) -> np.ndarray:
@@ -175,13 +179,14 @@ class Trainer:
     def step(self, target: np.ndarray, last: np.ndarray, before: np.ndarray) -> None:
         p, n = self.p, len(target)
         self.seen += n
-        one, two = p["context"][last], p["context"][before]
+        self.batch = n
+        one, two = p["context"].take(last, axis=0), p["context"].take(before, axis=0)
         predicted = _with_one(one * p["place"][0] + two * p["place"][1])
         # The class against noise classes that the batch shares.
         kind = target // self.width
         noise = np.minimum(np.searchsorted(self.bounds[1:], self.random.random(NOISE), side="right"), len(self.log_class) - 1)
         offset = self.log_class + np.float32(np.log(NOISE))
-        true, false = p["class"][kind], p["class"][noise]
+        true, false = p["class"].take(kind, axis=0), p["class"][noise]
         up = 1 / (1 + np.exp(np.einsum("ij,ij->i", predicted, true) - offset[kind]))
         down = -1 / (1 + np.exp(offset[noise] - predicted @ false.T))
         back = up[:, None] * true + down @ false
@@ -189,28 +194,40 @@ class Trainer:
         # The word against noise words of its class.
         words = self._drawn(kind)
         offset = self.log_word + np.float32(np.log(NOISE_WORDS))
-        true, false = p["target"][target], p["target"][words]
+        true, false = p["target"].take(target, axis=0), p["target"].take(words, axis=0)
         up = 1 / (1 + np.exp(np.einsum("ij,ij->i", predicted, true) - offset[target]))
-        down = -1 / (1 + np.exp(offset[words] - (false @ predicted[:, :, None])[:, :, 0]))
-        back += up[:, None] * true + (down[:, None, :] @ false)[:, 0]
-        by_word = (
-            np.concatenate([up[:, None] * predicted, (down[:, :, None] * predicted[:, None, :]).reshape(-1, predicted.shape[1])]),
-            np.concatenate([target, words.ravel()]),
-        )
+        down = -1 / (1 + np.exp(offset[words] - np.einsum("ijk,ik->ij", false, predicted)))
+        back += up[:, None] * true + np.einsum("ij,ijk->ik", down, false)
         back = back[:, :-1]
         by_context = np.concatenate([back * p["place"][0], back * p["place"][1]]), np.concatenate([last, before])
         by_place = np.stack([np.einsum("ij,ij->j", back, one), np.einsum("ij,ij->j", back, two)]), np.arange(2)
-        for name, (rows, at) in {"class": by_class, "target": by_word, "context": by_context, "place": by_place}.items():
-            at, change, times = _summed(rows, at)
-            change /= np.float32(np.sqrt(n))
-            self.squares[name][at] += change * change
-            p[name][at] += np.float32(RATE) * change / np.sqrt(self.squares[name][at])
-            self.met[name][at] += times
+        for name, (rows, at) in {"class": by_class, "context": by_context, "place": by_place}.items():
+            at, order, starts = _ranked(at)
+            self._change(name, at, rows.take(order, axis=0), starts)
+        # A change of a word is its prediction times a number; they are multiplied in the order of the words.
+        at, order, starts = _ranked(np.concatenate([target, words.ravel()]))
+        tokens = np.where(order < n, order, (order - n) // NOISE_WORDS)
+        rows = predicted.take(tokens, axis=0)
+        rows *= np.concatenate([up, down.ravel()])[order][:, None]
+        self._change("target", at, rows, starts)
+
+    def _change(self, name: str, at: np.ndarray, rows: np.ndarray, starts: np.ndarray) -> None:
+        """Step along the sums of the rows of each place."""
+        change = np.add.reduceat(rows, starts, axis=0)
+        change /= np.float32(np.sqrt(self.batch))
+        squares = self.squares[name].take(at, axis=0)
+        squares += change * change
+        self.squares[name][at] = squares
+        change *= np.float32(RATE)
+        change /= np.sqrt(squares, out=squares)
+        change += self.p[name].take(at, axis=0)
+        self.p[name][at] = change
+        self.met[name][at] += np.diff(np.append(starts, len(rows)))
 
 
 #: Rows of a table of parameters that travel together.
 ROWS = 256
-REACHED = "name string, block int, met array<float>, sums array<double>"
+REACHED = "name string, block int, met array<float>, sums array<float>"
 
 
 def _blocks(trainer: Trainer) -> Iterator[pa.RecordBatch]:
@@ -224,12 +241,12 @@ def _blocks(trainer: Trainer) -> Iterator[pa.RecordBatch]:
 
 
 def _block(name: str, block: int, met: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array([name]), pa.array([block], pa.int32()), pa.array([met], pa.list_(pa.float32())), pa.array([sums], pa.list_(pa.float64()))]
+    columns = [pa.array([name]), pa.array([block], pa.int32()), pa.array([met], pa.list_(pa.float32())), pa.array([sums.astype(np.float32)], pa.list_(pa.float32()))]
     return pa.RecordBatch.from_arrays(columns, names=["name", "block", "met", "sums"])
 
 
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sums of equal blocks; a task holds those it was dealt once, whatever their number of copies."""
+    """The sums of equal blocks, added in double precision; a task holds those it was dealt once, whatever their number of copies."""
     held: dict[tuple[str, int], list[np.ndarray]] = {}
     for batch in batches:
         names, blocks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -239,7 +256,7 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 held[key][0] += met
                 held[key][1] += sums
             else:
-                held[key] = [met.copy(), sums.copy()]
+                held[key] = [met.copy(), sums.astype(np.float64)]
     for (name, block), (met, sums) in held.items():
         yield _block(name, block, met, sums)
 
@@ -276,14 +293,14 @@ def trained(spark: SparkSession, texts: DataFrame, vocabulary: Vocabulary, index
         start = spark.sparkContext.broadcast(parameters)
         part = texts.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == number).select(
             F.coalesce(F.col("text"), F.lit("")).alias("text")
-        )
+        ).coalesce(TASKS * spark.sparkContext.defaultParallelism)
         reached = part.mapInArrow(lambda batches, start=start: learn(batches, start), REACHED)
         together = reached.repartition("name", "block").mapInArrow(_added, REACHED)
         parameters = {name: value.copy() for name, value in parameters.items()}
         for row in together.toArrow().to_pylist():
             met = np.array(row["met"], dtype=np.float64)
             value = parameters[row["name"]][row["block"] * ROWS :][: len(met)]
-            sums = np.array(row["sums"]).reshape(value.shape)
+            sums = np.array(row["sums"], dtype=np.float64).reshape(value.shape)
             value[met > 0] = sums[met > 0] / met[met > 0, None]
     return parameters
 
@@ -301,14 +318,25 @@ SCORED = T.StructType(
 )
 
 
-def _log_sums(scores: np.ndarray) -> np.ndarray:
-    """Logarithms of the rows' sums of exponentials; the scores are used up."""
+#: Scores of which no exponential overflows and no sum of them vanishes.
+SAFE = 80.0
+
+
+def _log_sums(scores: np.ndarray, largest: float) -> np.ndarray:
+    """Logarithms of the rows' sums of exponentials, of scores no further from zero than ``largest``; they are used up."""
+    if largest < SAFE:
+        np.exp(scores, out=scores)
+        return np.log(scores.sum(axis=1))
     top = scores.max(axis=1)
     scores -= top[:, None]
     np.exp(scores, out=scores)
     return top + np.log(scores.sum(axis=1))
 
 
+def _longest(rows: np.ndarray) -> float:
+    return float(np.sqrt(np.einsum("ij,ij->i", rows, rows).max()))
+
+
 class Normaliser:
     """Logarithms of unit probabilities; a context, and a context with a class, is normalised once a call."""
 
@@ -318,11 +346,12 @@ class Normaliser:
 
     def predicted(self, last: np.ndarray, before: np.ndarray) -> np.ndarray:
         p = self.p
-        return _with_one(p["context"][last] * p["place"][0] + p["context"][before] * p["place"][1])
+        return _with_one(p["context"].take(last, axis=0) * p["place"][0] + p["context"].take(before, axis=0) * p["place"][1])
 
     def _normalisers(self, predicted: np.ndarray, rows: np.ndarray) -> np.ndarray:
         step = max(1, self.numbers // len(rows))
-        parts = [_log_sums(predicted[low : low + step] @ rows.T) for low in range(0, len(predicted), step)]
+        largest = _longest(predicted) * _longest(rows)
+        parts = [_log_sums(predicted[low : low + step] @ rows.T, largest) for low in range(0, len(predicted), step)]
         return np.concatenate(parts)
 
     def log_probability(self, target: np.ndarray, last: np.ndarray, before: np.ndarray) -> np.ndarray:
@@ -330,15 +359,16 @@ class Normaliser:
         contexts, context = np.unique(last.astype(np.int64) * units + before, return_inverse=True)
         predicted = self.predicted(contexts // units, contexts % units)
         kind = target // self.width
-        of_class = np.einsum("ij,ij->i", predicted[context], p["class"][kind]) - self._normalisers(predicted, p["class"])[context]
+        of_context = predicted.take(context, axis=0)
+        of_class = np.einsum("ij,ij->i", of_context, p["class"].take(kind, axis=0)) - self._normalisers(predicted, p["class"])[context]
         pairs, pair = np.unique(kind.astype(np.int64) * len(contexts) + context, return_inverse=True)
         kinds = pairs // len(contexts)
         total = np.empty(len(pairs), dtype=np.float32)
         bounds = np.append(np.flatnonzero(np.append(True, kinds[1:] != kinds[:-1])), len(kinds))
         for low, high in zip(bounds[:-1], bounds[1:], strict=True):
             first = int(kinds[low]) * self.width
-            total[low:high] = self._normalisers(predicted[pairs[low:high] % len(contexts)], p["target"][first : first + self.width])
-        of_word = np.einsum("ij,ij->i", predicted[context], p["target"][target]) - total[pair]
+            total[low:high] = self._normalisers(predicted.take(pairs[low:high] % len(contexts), axis=0), p["target"][first : first + self.width])
+        of_word = np.einsum("ij,ij->i", of_context, p["target"].take(target, axis=0)) - total[pair]
         return of_class.astype(np.float64) + of_word
 
 
@@ -368,7 +398,7 @@ def _scorer(head, start, vectors: int) -> Column:
             ids = _token_ids(words, index)
             known = ids[ids >= 0]
             units = _units(ids, vectors)
-            tail = Counter(w for w, i in zip(words, ids.tolist(), strict=True) if i < 0)
+            tail = Counter([words[i] for i in np.flatnonzero(ids < 0).tolist()])
             columns[0].append(len(words) + 1)
             columns[1].append(len(known))
             columns[2].append(float(logs[known].sum()))
@@ -410,17 +440,16 @@ def scored(spark: SparkSession, docs: DataFrame, vectors: int | None = None, hea
     score = _scorer(known, model, vocabulary.vectors)
     first = staged(
         spark,
-        rows.select("doc_id", F.xxhash64("text").alias("th"), score(F.col("text")).alias("s")).select("doc_id", "th", "s.*"),
+        rows.select("doc_id", score(F.col("text")).alias("s")).select(F.monotonically_increasing_id().alias("row"), "doc_id", "s.*"),
         "scores",
     )
-    # Words that only the table of counts knows; rows of one id and text have the same ones.
-    tail = first.where(F.size("tail") > 0).select("doc_id", "th", "tail").dropDuplicates(["doc_id", "th"])
-    tail = tail.select("doc_id", "th", F.inline("tail")).join(counts, "word", "left")
-    seen = tail.groupBy("doc_id", "th").agg(
+    # Words that only the table of counts knows, by the number of their row, which is written.
+    tail = first.select("row", F.inline("tail")).join(counts, "word", "left")
+    seen = tail.groupBy("row").agg(
         F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(1.0))).alias("tail_log"),
         F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("tail_known"),
-    ).select(F.col("doc_id").alias("d"), F.col("th").alias("h"), "tail_log", "tail_known")
-    both = first.drop("tail").join(seen, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("th").eqNullSafe(F.col("h")), "left")
+    )
+    both = first.drop("tail").join(seen, "row", "left")
     tail_log = F.coalesce("tail_log", F.lit(0.0))
     has_end = 1 if vocabulary.n_texts else 0
     whole = float(np.log10(vocabulary.tokens + 1.0 * (vocabulary.distinct + 1)))

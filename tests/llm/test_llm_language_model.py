@@ -126,3 +126,39 @@ def test_held_out_texts_are_likelier_than_by_counts(spark):
     rows = lb.scored(spark, docs).where("held_out").collect()
     gain = sum(r.score - r.base_score for r in rows) / sum(r.n_tokens for r in rows)
     assert gain > 0.1 and np.mean([r.score > r.base_score for r in rows]) > 0.9
+
+
+def test_normalisers_of_large_scores():
+    """Scores whose exponentials overflow or vanish are shifted first; others need not be."""
+    random = np.random.default_rng(6)
+    for size in (1.0, 60.0, 400.0):
+        scores = (random.random((5, 9)) * 2 - 1).astype("f4") * size
+        want = [np.logaddexp.reduce(row.astype(float)) for row in scores]
+        assert np.allclose(lb._log_sums(scores.copy(), float(np.abs(scores).max())), want, rtol=1e-5)
+
+
+def test_trainers_follow_the_cores(spark, monkeypatch):
+    """Each trainer sends all the rows it met, so there are no more of them when the input has more partitions."""
+    docs = spark.createDataFrame([(n, f"w{n % 50} w{n % 7} w{n % 3}") for n in range(600)], "doc_id long, text string").repartition(40)
+    sent = []
+    real = type(docs).mapInArrow
+
+    def counted(self, function, schema):
+        if schema == lb.REACHED:
+            sent.append(self.rdd.getNumPartitions())
+        return real(self, function, schema)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", counted)
+    assert lb.scored(spark, docs).count() == 600
+    assert sent[0::2] == [lb.TASKS * spark.sparkContext.defaultParallelism] * lb.ROUNDS
+
+
+def test_rows_that_repeat_keep_their_own_rare_words(spark):
+    texts = [(1, "a b rare1 rare2 rare2"), (1, "a b rare1 rare2 rare2"), (1, "a c rare3"), (None, "a b rare1"), (2, None)]
+    docs = spark.createDataFrame(texts * 3, "doc_id long, text string").repartition(3)
+    rows = lb.scored(spark, docs, head=2).collect()
+    assert len(rows) == 15
+    whole = lb.scored(spark, docs).collect()
+    for found in (rows, whole):
+        assert len({(r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 9)) for r in found}) == 4
+    assert {(r.doc_id, r.n_tokens): round(r.base_score, 9) for r in rows} == {(r.doc_id, r.n_tokens): round(r.base_score, 9) for r in whole}
