@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.llm.common import BLANKS, lower_ascii, staged
+from quayside.llm.common import staged
 
 #: Words whose counts every task holds, which bounds what is broadcast; of these the commonest have vectors.
 HEAD = 262_144
@@ -47,10 +47,36 @@ def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS))
 
 
+#: Distinct words that a task counts before it passes the counts on.
+COUNTED = 500_000
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words and their counts, a word again whenever more than ``COUNTED`` were held."""
+    held: Counter[bytes] = Counter()
+    for batch in batches:
+        for text in batch.column(0).cast(pa.binary()).to_pylist():
+            held.update(_words(text))
+            if len(held) > COUNTED:
+                yield _counts(held)
+                held.clear()
+    yield _counts(held)
+
+
+def _counts(held: Counter[bytes]) -> pa.RecordBatch:
+    words = pa.array(list(held), pa.binary()).cast(pa.string())
+    return pa.RecordBatch.from_arrays([words, pa.array(list(held.values()), pa.int64())], names=["word", "c"])
+
+
+def _words(text: bytes) -> list[bytes]:
+    """Words of a text in UTF-8, A-Z lower-cased."""
+    return text.lower().split()
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """``(word, c)`` over all texts."""
-    parts = F.split(F.btrim(lower_ascii(F.col("text")), F.lit(BLANKS)), r"[\x20\x09-\x0D]+", -1)
-    return texts.select(F.explode(parts).alias("word")).where("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("c"))
+    some = texts.where(F.col("text").isNotNull()).select("text").mapInArrow(_counted, "word string, c long")
+    return some.groupBy("word").agg(F.sum("c").alias("c"))
 
 
 def _head(counts: DataFrame, most: int) -> list[tuple[str, int]]:
@@ -149,6 +175,31 @@ def _ranked(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ranked[starts], order, starts
 
 
+def _sums(rows: np.ndarray, order: np.ndarray, starts: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the rows in this order from each start to the next, times these numbers, and how many each adds up."""
+    numbers = np.diff(starts, append=len(order))
+    # Most are alone and are taken as they are: adding up costs more than that, even of one row.
+    sums = rows.take(order.take(starts), axis=0)
+    if times is not None:
+        sums *= times.take(starts)[:, None]
+    several = np.flatnonzero(numbers > 1)
+    if len(several):
+        of = np.flatnonzero(np.repeat(numbers > 1, numbers))
+        added = rows.take(order.take(of), axis=0)
+        if times is not None:
+            added *= times.take(of)[:, None]
+        begins = np.cumsum(numbers[several]) - numbers[several]
+        sums[several] = np.add.reduceat(added, begins, axis=0)
+    return sums, numbers
+
+
+def _falling(x: np.ndarray) -> np.ndarray:
+    """``1 / (1 + exp(x))`` of numbers that are used up."""
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
 def _with_one(rows: np.ndarray) -> np.ndarray:
     return np.column_stack([rows, np.ones(len(rows), dtype=np.float32)])
 
@@ -166,15 +217,27 @@ class Trainer:
         of_classes = np.diff(self.bounds)
         self.log_class = np.log(of_classes).astype(np.float32)
         self.log_word = np.log(shares / of_classes[np.arange(len(shares)) // self.width]).astype(np.float32)
+        # Where draws from each of equal cells of a class begin to look; a power of two, for which a cell's begin is exact.
+        self.cells = 2 << (self.width - 1).bit_length()
+        low, share = self.bounds[:-1, None], of_classes[:, None]
+        begins = np.searchsorted(self.upto, low + share * (np.arange(self.cells) / self.cells), side="right") - 1
+        self.first = np.minimum(begins, len(shares) - 1).astype(np.int32)
         self.random = np.random.default_rng(seed)
         self.seen = 0
 
     def _drawn(self, classes: np.ndarray) -> np.ndarray:
         """Noise words for every token, out of the class of its target."""
         low, high = self.bounds[classes][:, None], self.bounds[classes + 1][:, None]
-        found = np.searchsorted(self.upto, low + (high - low) * self.random.random((len(classes), NOISE_WORDS)), side="right") - 1
+        drawn = self.random.random((len(classes), NOISE_WORDS))
+        cell = (drawn * self.cells).astype(np.int32) + classes[:, None] * self.cells
+        found, value = self.first.take(cell).ravel(), (low + (high - low) * drawn).ravel()
+        late = np.flatnonzero(self.upto.take(found + 1) <= value)
+        while len(late):
+            found[late] += 1
+            late = late[found[late] + 1 < len(self.upto)]
+            late = late[self.upto[found[late] + 1] <= value[late]]
         first = classes[:, None] * self.width
-        return np.clip(found, first, np.minimum(first + self.width, len(self.upto) - 1) - 1)
+        return np.clip(found.reshape(cell.shape), first, np.minimum(first + self.width, len(self.upto) - 1) - 1)
 
     def step(self, target: np.ndarray, last: np.ndarray, before: np.ndarray) -> None:
         p, n = self.p, len(target)
@@ -187,33 +250,31 @@ class Trainer:
         noise = np.minimum(np.searchsorted(self.bounds[1:], self.random.random(NOISE), side="right"), len(self.log_class) - 1)
         offset = self.log_class + np.float32(np.log(NOISE))
         true, false = p["class"].take(kind, axis=0), p["class"][noise]
-        up = 1 / (1 + np.exp(np.einsum("ij,ij->i", predicted, true) - offset[kind]))
-        down = -1 / (1 + np.exp(offset[noise] - predicted @ false.T))
+        up = _falling(np.einsum("ij,ij->i", predicted, true) - offset[kind])
+        down = -_falling(offset[noise] - predicted @ false.T)
         back = up[:, None] * true + down @ false
         by_class = np.concatenate([up[:, None] * predicted, down.T @ predicted]), np.concatenate([kind, noise])
         # The word against noise words of its class.
         words = self._drawn(kind)
         offset = self.log_word + np.float32(np.log(NOISE_WORDS))
         true, false = p["target"].take(target, axis=0), p["target"].take(words, axis=0)
-        up = 1 / (1 + np.exp(np.einsum("ij,ij->i", predicted, true) - offset[target]))
-        down = -1 / (1 + np.exp(offset[words] - np.einsum("ijk,ik->ij", false, predicted)))
+        up = _falling(np.einsum("ij,ij->i", predicted, true) - offset[target])
+        down = -_falling(offset[words] - np.einsum("ijk,ik->ij", false, predicted))
         back += up[:, None] * true + np.einsum("ij,ijk->ik", down, false)
         back = back[:, :-1]
         by_context = np.concatenate([back * p["place"][0], back * p["place"][1]]), np.concatenate([last, before])
-        by_place = np.stack([np.einsum("ij,ij->j", back, one), np.einsum("ij,ij->j", back, two)]), np.arange(2)
-        for name, (rows, at) in {"class": by_class, "context": by_context, "place": by_place}.items():
+        by_place = np.stack([np.einsum("ij,ij->j", back, one), np.einsum("ij,ij->j", back, two)])
+        for name, (rows, at) in {"class": by_class, "context": by_context}.items():
             at, order, starts = _ranked(at)
-            self._change(name, at, rows.take(order, axis=0), starts)
+            self._change(name, at, *_sums(rows, order, starts))
+        self._change("place", np.arange(2), by_place, 1)
         # A change of a word is its prediction times a number; they are multiplied in the order of the words.
         at, order, starts = _ranked(np.concatenate([target, words.ravel()]))
-        tokens = np.where(order < n, order, (order - n) // NOISE_WORDS)
-        rows = predicted.take(tokens, axis=0)
-        rows *= np.concatenate([up, down.ravel()])[order][:, None]
-        self._change("target", at, rows, starts)
-
-    def _change(self, name: str, at: np.ndarray, rows: np.ndarray, starts: np.ndarray) -> None:
-        """Step along the sums of the rows of each place."""
-        change = np.add.reduceat(rows, starts, axis=0)
+        of_token = np.concatenate([np.arange(n), np.repeat(np.arange(n), NOISE_WORDS)])
+        self._change("target", at, *_sums(predicted, of_token.take(order), starts, np.concatenate([up, down.ravel()]).take(order)))
+
+    def _change(self, name: str, at: np.ndarray, change: np.ndarray, numbers: np.ndarray | int) -> None:
+        """Step along the sums of the rows of each place, which so many met."""
         change /= np.float32(np.sqrt(self.batch))
         squares = self.squares[name].take(at, axis=0)
         squares += change * change
@@ -222,7 +283,7 @@ class Trainer:
         change /= np.sqrt(squares, out=squares)
         change += self.p[name].take(at, axis=0)
         self.p[name][at] = change
-        self.met[name][at] += np.diff(np.append(starts, len(rows)))
+        self.met[name][at] += numbers
 
 
 #: Rows of a table of parameters that travel together.
@@ -276,9 +337,9 @@ def trained(spark: SparkSession, texts: DataFrame, vocabulary: Vocabulary, index
         trainer = Trainer(start.value, shares, 11)
         for batch in batches:
             targets, held = [], 0
-            for text in [*batch.column(0).to_pylist(), None]:
+            for text in [*batch.column(0).cast(pa.binary()).to_pylist(), None]:
                 if text is not None:
-                    words = text.encode("utf-8", "surrogatepass").lower().split()
+                    words = _words(text)
                     targets.append(_units(_token_ids(words, index.value[0]), vectors))
                     held += len(words) + 1
                 if targets and (text is None or held > 256 * BATCH):
@@ -326,7 +387,7 @@ def _log_sums(scores: np.ndarray, largest: float) -> np.ndarray:
     """Logarithms of the rows' sums of exponentials, of scores no further from zero than ``largest``; they are used up."""
     if largest < SAFE:
         np.exp(scores, out=scores)
-        return np.log(scores.sum(axis=1))
+        return np.log(scores @ np.ones(scores.shape[1], dtype=scores.dtype))
     top = scores.max(axis=1)
     scores -= top[:, None]
     np.exp(scores, out=scores)
@@ -381,6 +442,7 @@ def _scorer(head, start, vectors: int) -> Column:
             held["model"] = Normaliser(start.value)
         index, logs = head.value
         columns: list[list] = [[] for _ in SCORED.names]
+        rare, times = [], []
         pending: list[tuple[np.ndarray, int]] = []
 
         def settle() -> None:
@@ -393,8 +455,8 @@ def _scorer(head, start, vectors: int) -> Column:
             pending.clear()
 
         size = 0
-        for text in texts.to_pylist():
-            words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+        for text in texts.cast(pa.binary()).to_pylist():
+            words = _words(text or b"")
             ids = _token_ids(words, index)
             known = ids[ids >= 0]
             units = _units(ids, vectors)
@@ -404,17 +466,20 @@ def _scorer(head, start, vectors: int) -> Column:
             columns[2].append(float(logs[known].sum()))
             columns[4].append(float(logs[known[known >= vectors]].sum()))
             columns[5].append(int((units == REST).sum()))
-            columns[6].append([{"word": w.decode("utf-8", "surrogatepass"), "n": n} for w, n in tail.items()])
+            rare.extend(tail)
+            times.extend(tail.values())
+            columns[6].append(len(rare))
             pending.append((units, len(words)))
             size += len(words)
             if size > 500_000:
                 settle()
                 size = 0
         settle()
-        types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(),
-                 pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))]
+        types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64()]
+        pairs = pa.StructArray.from_arrays([pa.array(rare, pa.binary()).cast(pa.string()), pa.array(times, pa.int64())], names=["word", "n"])
+        tails = pa.ListArray.from_arrays(pa.array([0, *columns.pop()], pa.int32()), pairs)
         return pa.StructArray.from_arrays(
-            [pa.array(c, kind) for c, kind in zip(columns, types, strict=True)], names=SCORED.names
+            [*(pa.array(c, kind) for c, kind in zip(columns, types, strict=True)), tails], names=SCORED.names
         )
 
     return F.arrow_udf(score, SCORED).asNondeterministic()

@@ -1,6 +1,7 @@
 """The language model against plain sums over all units, and on held-out texts."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,3 +163,42 @@ def test_rows_that_repeat_keep_their_own_rare_words(spark):
     for found in (rows, whole):
         assert len({(r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 9)) for r in found}) == 4
     assert {(r.doc_id, r.n_tokens): round(r.base_score, 9) for r in rows} == {(r.doc_id, r.n_tokens): round(r.base_score, 9) for r in whole}
+
+
+def test_words_are_counted_in_the_tasks(spark, monkeypatch):
+    """Counts leave a task instead of words: equal words of a text never become rows."""
+    texts = ["B a\x0bb\x1c\u00c9  \n", None, "", "b\u00a0b B A a", " \t", "c C c"]
+    want = {"a": 3, "b": 2, "b\x1c\u00c9": 1, "b\u00a0b": 1, "c": 3}
+    counts = lb.word_counts(spark.createDataFrame([(t,) for t in texts * 2], "text string").repartition(3))
+    assert "Generate" not in counts._jdf.queryExecution().executedPlan().toString()
+    assert {r.word: r.c for r in counts.collect()} == {w: 2 * c for w, c in want.items()}
+    monkeypatch.setattr(lb, "COUNTED", 1)
+    parts = [dict(zip(*b.to_pydict().values(), strict=True)) for b in lb._counted([pa.record_batch({"text": [t for t in texts if t is not None]})])]
+    assert len(parts) > 2 and {w: sum(part.get(w, 0) for part in parts) for w in want} == want
+
+
+@pytest.mark.parametrize("units", [2, 9, 10, 700])
+def test_cells_find_the_words_that_a_search_finds(units):
+    """Also where one word holds nearly all of its class, so that all others begin in one cell."""
+    shares = np.random.default_rng(8).random(units) ** 4
+    shares[units // 2] = 1e4
+    shares /= shares.sum()
+    trainer = lb.Trainer(lb.first_parameters(shares), shares, 3)
+    kinds = np.repeat(np.arange(len(trainer.log_class)), 3000)
+    low, high = trainer.bounds[kinds][:, None], trainer.bounds[kinds + 1][:, None]
+    value = low + (high - low) * np.random.default_rng(3).random((len(kinds), lb.NOISE_WORDS))
+    first = kinds[:, None] * trainer.width
+    want = np.clip(np.searchsorted(trainer.upto, value, side="right") - 1, first, np.minimum(first + trainer.width, units) - 1)
+    assert (trainer._drawn(kinds) == want).all() and trainer.cells >= trainer.width
+
+
+def test_rows_of_a_place_are_added_up():
+    random = np.random.default_rng(9)
+    for places, n in ((1, 1), (1, 40), (60, 40), (7, 200)):
+        at, rows, times = random.integers(0, places, n), random.random((n, 3)).astype("f4"), random.random(n).astype("f4")
+        named, order, starts = lb._ranked(at)
+        for factor in (None, times):
+            want = np.zeros((places, 3))
+            np.add.at(want, at, rows if factor is None else rows * factor[:, None])
+            sums, numbers = lb._sums(rows, order, starts, None if factor is None else factor.take(order))
+            assert np.allclose(sums, want[named], rtol=1e-5) and (numbers == np.bincount(at)[named]).all()
