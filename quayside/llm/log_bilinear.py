@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -125,6 +125,11 @@ def _token_ids(words: list[bytes], index: dict[bytes, int]) -> np.ndarray:
     return np.fromiter(map(index.get, words, repeat(-1)), dtype=np.int32, count=len(words))
 
 
+def _commonest(index: dict[bytes, int], most: int) -> dict[bytes, int]:
+    """The first words of an index, which are most tokens: a small table is found in the processor's caches."""
+    return dict(islice(index.items(), most))
+
+
 #: The unit of all words without a vector and that of the end; word ``i`` is unit ``i + FIRST``.
 REST, END, FIRST = 0, 1, 2
 
@@ -335,12 +340,13 @@ def trained(spark: SparkSession, texts: DataFrame, vocabulary: Vocabulary, index
 
     def learn(batches: Iterator[pa.RecordBatch], start) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(start.value, shares, 11)
+        common = _commonest(index.value[0], vectors)
         for batch in batches:
             targets, held = [], 0
             for text in [*batch.column(0).cast(pa.binary()).to_pylist(), None]:
                 if text is not None:
                     words = _words(text)
-                    targets.append(_units(_token_ids(words, index.value[0]), vectors))
+                    targets.append(_units(_token_ids(words, common), vectors))
                     held += len(words) + 1
                 if targets and (text is None or held > 256 * BATCH):
                     target, last, before = _contexts(targets, len(shares))
@@ -387,7 +393,7 @@ def _log_sums(scores: np.ndarray, largest: float) -> np.ndarray:
     """Logarithms of the rows' sums of exponentials, of scores no further from zero than ``largest``; they are used up."""
     if largest < SAFE:
         np.exp(scores, out=scores)
-        return np.log(scores @ np.ones(scores.shape[1], dtype=scores.dtype))
+        return np.log(scores.sum(axis=1))
     top = scores.max(axis=1)
     scores -= top[:, None]
     np.exp(scores, out=scores)
@@ -436,10 +442,12 @@ class Normaliser:
 def _scorer(head, start, vectors: int) -> Column:
     """Per text: its tokens, sums of logarithms over what every task knows, and its rare words."""
     held: dict[str, Normaliser] = {}
+    common: dict[bytes, int] = {}
 
     def score(texts: pa.Array) -> pa.Array:
         if "model" not in held:
             held["model"] = Normaliser(start.value)
+            common.update(_commonest(head.value[0], vectors))
         index, logs = head.value
         columns: list[list] = [[] for _ in SCORED.names]
         rare, times = [], []
@@ -457,7 +465,9 @@ def _scorer(head, start, vectors: int) -> Column:
         size = 0
         for text in texts.cast(pa.binary()).to_pylist():
             words = _words(text or b"")
-            ids = _token_ids(words, index)
+            ids = _token_ids(words, common)
+            others = np.flatnonzero(ids < 0)
+            ids[others] = _token_ids([words[i] for i in others.tolist()], index)
             known = ids[ids >= 0]
             units = _units(ids, vectors)
             tail = Counter([words[i] for i in np.flatnonzero(ids < 0).tolist()])

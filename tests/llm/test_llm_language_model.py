@@ -202,3 +202,11 @@ def test_rows_of_a_place_are_added_up():
             np.add.at(want, at, rows if factor is None else rows * factor[:, None])
             sums, numbers = lb._sums(rows, order, starts, None if factor is None else factor.take(order))
             assert np.allclose(sums, want[named], rtol=1e-5) and (numbers == np.bincount(at)[named]).all()
+
+
+def test_commonest_words_come_first():
+    words = [b"w%d" % n for n in range(50)]
+    index = {w: i for i, w in enumerate(words)}
+    for most in (0, 7, 50, 99):
+        found = lb._units(lb._token_ids([*words, b"new"], lb._commonest(index, most)), most)
+        assert (found == lb._units(lb._token_ids([*words, b"new"], index), most)).all()
