@@ -50,13 +50,18 @@ def prompt_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_folder_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document landed as a text file of its own, gated on samples, then scanned below a prefix."""
+    """Every document landed as a text file of its own, gated on samples, then scanned below a prefix.
+
+    The files are read once, and what the scan found is kept in a table below scratch.
+    """
     root = workspace.scratch(spark, "document-files")
     write_documents(table(spark, sf_dir, "documents"), f"{root}/landed")
     found = read_documents(spark, root, "landed")
     require_samples(found)
     number = F.regexp_extract("doc_id", "/doc_id=([0-9]+)/", 1).cast("bigint")
-    return found.select(number.alias("doc_id"), F.sha2(F.col("text").cast("binary"), 256).alias("sha256"))
+    scanned = found.select(number.alias("doc_id"), F.sha2(F.col("text").cast("binary"), 256).alias("sha256"))
+    scanned.write.parquet(f"{root}/scanned")
+    return spark.read.schema(scanned.schema).parquet(f"{root}/scanned")
 
 
 QUERIES = {

@@ -55,6 +55,10 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _fs(spark, path).exists(_path(spark, path))
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    return _fs(spark, path).getFileStatus(_path(spark, path)).isDirectory()
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """The path with its scheme, as file listings spell it."""
     return _fs(spark, path).makeQualified(_path(spark, path)).toString().rstrip("/")

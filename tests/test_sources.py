@@ -1,8 +1,11 @@
 """Readers on hand-written files."""
 
 import datetime as dt
+import gzip
 import json
+import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -290,6 +293,72 @@ def test_documents_below_prefix(spark, tmp_path):
     assert rows(found) == [("one\ntwo\n", True)]
 
 
+def texts(df):
+    return rows(df.select("doc_id", F.col("text").cast("binary")))
+
+
+def test_documents_read_by_tasks_are_those_of_sparks_reader(spark, tmp_path):
+    """Names, hidden and empty files, links, bytes that are no text, packed files and Hadoop's checksums."""
+    top = tmp_path / "d [x] {y} +%20é"
+    names = (
+        "a.txt _hidden.txt .dot _k=1.txt _metadata x._COPYING_ sub/deep/b.txt _sub/c.txt _sub=1/c.txt _metadata_of/d.txt "
+        ".sub/e.txt y._COPYING_/f.txt doc_id=3/part-0.txt pl+us/pe%20r/ü😀.txt q?h#;&=.txt br[1]{2}*.txt"
+    ).split()
+    for n, name in enumerate([*names, "sp ace/l\nf.txt"]):
+        put(top / name, f"{n}\né\r\n")
+    put(top / "empty.txt", "")
+    put(top / "bytes.txt", b"\xef\xbb\xbf\xff\x00\xc3")
+    for name in ("z.gz", "br [1]/Z.txt.GZ"):
+        put(top / name, gzip.compress(b"packed"))
+    (top / "nothing").symlink_to("nowhere")
+    (top / "linked").symlink_to(top / "sub")
+    spark.range(300).selectExpr("repeat(id, 9)").coalesce(1).write.text(f"{tmp_path}/by-spark")
+    (tmp_path / "none").mkdir()
+    at = workspace.literal(str(top))
+    wanted = {at: 14, f"{at}/*": 17, f"{at}/{{sub,doc_id=3}}": 2, f"{at}/a.txt": 1, f"{tmp_path}/by-spark": 1, f"{tmp_path}/none": 0}
+    for place, number in wanted.items():
+        found = texts(landing.read_documents(spark, place))
+        assert found == texts(landing._read_with_spark(spark, place)) and len(found) == number
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        landing.read_documents(spark, f"{tmp_path}/not-there")
+
+
+def test_the_driver_holds_no_list_of_the_documents(spark, tmp_path, monkeypatch):
+    from quayside.plans.retrieval import doc_folder_scan
+
+    documents = spark.range(90).selectExpr("id doc_id", "nullif(concat('text ', id), 'text 7') text")
+    documents.coalesce(1).write.parquet(f"{tmp_path}/in/documents.parquet")
+    scanned = doc_folder_scan(spark, f"{tmp_path}/in")
+    assert len(scanned.inputFiles()) < 20 and not any("doc_id=" in name for name in scanned.inputFiles())
+    want = documents.selectExpr("doc_id", "sha2(coalesce(text, '') || chr(10), 256)")
+    assert rows(scanned) == rows(want)
+    for n in range(90):
+        put(tmp_path / f"docs/{n % 9}/{n}.txt", "x" * (n + 1))
+    monkeypatch.setattr(landing, "PATHS", 10)
+    found = landing.read_documents(spark, f"{tmp_path}/docs")
+    assert len(found.inputFiles()) < 20
+    # Nine tasks for 90 files, ten each, a number that adaptive execution leaves alone.
+    assert re.search(r"hashpartitioning\(path#\d+, 9\), REPARTITION_BY_NUM", found._jdf.queryExecution().executedPlan().toString())
+    assert sorted(len(r.text) for r in found.collect()) == [*range(1, 91)]
+
+
+def test_documents_stop_on_a_wrong_checksum(spark, tmp_path):
+    spark.range(300).selectExpr("repeat(id, 9)").coalesce(1).write.text(f"{tmp_path}/docs")
+    part = next((tmp_path / "docs").glob("part-*"))
+    part.write_bytes(part.read_bytes().replace(b"7", b"8"))
+    with pytest.raises(Exception, match="checksum error"):
+        landing.read_documents(spark, f"{tmp_path}/docs").collect()
+
+
+def test_a_sample_of_documents_reads_one_file(tmp_path):
+    (tmp_path / "a.txt").write_text("one")
+    paths = pa.array([f"{tmp_path}/{name}".encode() for name in ("a.txt", "gone.txt")], pa.binary())
+    read = landing._read(iter([pa.RecordBatch.from_arrays([paths], ["path"])]))
+    assert next(read).to_pylist() == [{"doc_id": f"file:{tmp_path}/a.txt", "content": b"one"}]
+    with pytest.raises(FileNotFoundError):
+        next(read)
+
+
 def test_release_deletes_only_this_application(spark):
     other = f"{spark.conf.get('spark.checkpoint.dir')}/quayside/other/x"
     mine = workspace.scratch(spark, "mine")
